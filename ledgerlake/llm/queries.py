@@ -7,18 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe
+from ledgerlake.llm import bpe, decontam, langid
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(decontam.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_bpe,)}
+    return {f.__name__: f for f in (op1_decontaminate, op6_language, op9_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
