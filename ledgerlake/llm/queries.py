@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, decontam, langid
+from ledgerlake.llm import bpe, decontam, langid, simhash
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,8 +25,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(simhash.near_duplicates(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op6_language, op9_bpe)}
+    return {f.__name__: f for f in (op1_decontaminate, op6_language, op9_bpe, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
