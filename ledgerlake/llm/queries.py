@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, decontam, langid, simhash
+from ledgerlake.llm import bpe, decontam, langid, quality_rules, simhash
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(decontam.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op6_language, op9_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op6_language, op9_bpe, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
