@@ -217,10 +217,11 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return rows.mapInArrow(by_slice(work), f"doc_id {kind}, token_ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the rows of :func:`encode_decode`."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, further columns, n_tokens, ids_sha256 and decoded_sha256 of the rows of :func:`encode_decode`."""
     return encoded.select(
         "doc_id",
+        *more,
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from ledgerlake.llm.automaton import SuffixAutomaton
@@ -113,15 +114,16 @@ def train(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
     return tuple((k, b" ".join(v)[: 2 * TRAIN_SYMBOLS]) for k, v in sorted(texts.items()))
 
 
-def predict(docs: DataFrame, texts: tuple[tuple[str, bytes], ...], keep_columns: bool = False) -> DataFrame:
+def predict(docs: DataFrame, texts: tuple[tuple[str, bytes], ...], keep_columns: bool = False, prefix: str = "") -> DataFrame:
     """Language of every whole text.
 
-    docs: doc_id, text; further columns are ignored, or kept before the results if ``keep_columns``. Returns doc_id,
+    docs: doc_id, text; further columns are ignored, or kept before the results if ``keep_columns``; ``prefix`` is put
+    before the names of the results, for tables that have such columns already. Returns doc_id,
     lang_pred, score (0 to 1: by how much the second-best language needs more bits, relative to it) and rate (bits a
     symbol of the best). lang_pred is ``und`` and score 0 where the text is null or has no letter, and everywhere if
     no language was learned. Ties go to the first language in order of name. Repeated rows are each judged. No shuffle.
     """
-    schema = (docs.schema if keep_columns else docs.select("doc_id").schema).add("lang_pred", "string").add("score", "double").add("rate", "double")
+    schema = (docs.select("*").schema if keep_columns else docs.select("doc_id").schema).add(f"{prefix}lang_pred", "string").add(f"{prefix}score", "double").add(f"{prefix}rate", "double")
     kept = docs.columns if keep_columns else ["doc_id"]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.lower("text").cast("binary").alias("__low"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
 
@@ -140,8 +142,6 @@ def predict(docs: DataFrame, texts: tuple[tuple[str, bytes], ...], keep_columns:
             lang = [m.langs[b] if ok else "und" for b, ok in zip(best, letters, strict=True)]
         return pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(lang), pa.array(score), pa.array(rate)], schema=to)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     to = to_arrow_schema(schema)
     return rows.mapInArrow(by_slice(work, ROWS), schema)
 
@@ -152,3 +152,9 @@ def identify(docs: DataFrame) -> DataFrame:
     texts = train(docs.filter(~held_out))
     got = predict(docs, texts)
     return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """docs without the rows that are ``und``, learned from those not held out. All columns are kept, in order."""
+    got = predict(docs, train(docs.filter(~is_in_fold(*HELD_OUT))), keep_columns=True, prefix="__")
+    return got.filter("__lang_pred <> 'und'").select(*docs.columns)

@@ -49,43 +49,105 @@ def _each(text: bytes):
         at += size + 1
 
 
-def _rows(docs: DataFrame, content: bool) -> DataFrame:
-    """A row for each chunk that may be removed: its document, lines and digest, and its bytes if asked for."""
+def occurrences(docs: DataFrame) -> DataFrame:
+    """A row for each chunk that may be removed: its document, its lines and the halves of a 128-bit digest of its bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        doc, lo, hi, hi64, lo64, data = [], [], [], [], [], []
+        doc, lo, hi, digest = [], [], [], []
         for i, t in enumerate(batch.column(2).to_pylist()):
             for a, b, part in _each(t or b""):
-                d = xxhash.xxh3_128_digest(part)
                 doc.append(i)
                 lo.append(a)
                 hi.append(b)
-                hi64.append(d[:8])
-                lo64.append(d[8:])
-                data.append(part)
-        take = pa.array(doc, pa.int64())
-        halves = [pa.array(np.frombuffer(b"".join(x), "<i8")) for x in (hi64, lo64)]
-        cols = [batch.column(0).take(take), batch.column(1).take(take), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), *halves]
-        names = ["doc_id", "tid", "start", "end", "h1", "h2"]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(data, pa.binary())] if content else cols, [*names, "data"] if content else names)
+                digest.append(xxhash.xxh3_128_digest(part))
+        take, halves = pa.array(doc, pa.int64()), np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
+        cols = [batch.column(0).take(take), batch.column(1).take(take), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), *map(pa.array, halves.T.copy())]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "start", "end", "h1", "h2"])
 
-    schema = f"doc_id {kind}, tid bigint, start int, end int, h1 bigint, h2 bigint" + (", data binary" if content else "")
-    return keyed(docs).mapInArrow(by_slice(work), schema)
+    return keyed(docs).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, start int, end int, h1 bigint, h2 bigint")
+
+
+def _contents(marked: DataFrame) -> DataFrame:
+    """Digest and bytes of every chunk that ``marked`` lists in __chunks."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        h1, h2, data = [], [], []
+        for t, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            lines = t.split(b"\n")
+            for m in marks:
+                h1.append(m["h1"])
+                h2.append(m["h2"])
+                data.append(b"\n".join(lines[m["start"] : m["end"]]))
+        return pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(data, pa.binary())], ["h1", "h2", "data"])
+
+    rows = marked.filter("__chunks is not null").select(F.col("text").cast("binary").alias("text"), "__chunks")
+    return rows.mapInArrow(by_slice(work), "h1 bigint, h2 bigint, data binary")
+
+
+def _marked(docs: DataFrame, chunks_: DataFrame) -> DataFrame:
+    """docs with __chunks, the array of a document's repeated chunks, null where it has none; a written table."""
+    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("start", "end", "h1", "h2", "is_first"))).alias("__chunks"))
+    rows = docs.withColumn("__tid", F.xxhash64("text"))
+    joined = rows.join(marks, rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__tid"] == marks["__of"]), "left")
+    return stash(joined.drop("__doc_id", "__of", "__tid"), "marked")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, tid and cuts, an array of the line ranges to remove, of each document that has one.
+    """docs, all columns, with __chunks: the repeated chunks of each text, and whether each is the first of its kind.
 
-    Chunks are counted by a 128-bit digest first. Those met again are then grouped by their bytes, which compares them;
-    the first by doc_id (nulls last), text and line stays. Counting and comparing sum up in each task before they
-    shuffle, and occurrences are joined to the first of their chunk, so no group is gathered.
+    First is the occurrence with the smallest doc_id (nulls last), text hash and line. Chunks are counted by a 128-bit
+    digest; then the bytes of those met again are compared, by their smallest and largest value for a digest, and a
+    digest that stands for different bytes is struck out. Counts and comparisons are summed in each task before they
+    shuffle, and occurrences are joined to their first, so no group is gathered. Texts are shuffled once.
     """
-    again = stash(_rows(docs, content=False).groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"), "digests")
-    found = _rows(docs, content=True).join(again, ["h1", "h2"], "left_semi")
+    found = stash(occurrences(docs), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "start")
-    first = found.groupBy("h1", "h2", "data").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = stash(first.withColumn("k", F.row_number().over(_one())) if False else first.select("h1", "h2", F.sha2("data", 256).alias("content"), "first"), "first")
-    places = _rows(docs, content=True).select("doc_id", "tid", "start", "end", "h1", "h2", F.sha2("data", 256).alias("content"))
-    cut = places.join(first, ["h1", "h2", "content"]).filter(~place.eqNullSafe(F.col("first")))
-    return cut.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    again = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
+    chunks_ = found.join(again, ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first")))
+    marked = _marked(docs, chunks_)
+    differ = stash(_contents(marked).groupBy("h1", "h2").agg(F.min("data").alias("a"), F.max("data").alias("b")).filter("a <> b").select("h1", "h2"), "differ")
+    return marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, ["h1", "h2"], "left_anti"))
+
+
+def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of marked with the text cut, and __lines and __removed, counts of lines."""
+    schema = marked.select(*columns).schema.add("__lines", "long").add("__removed", "long")
+    at = columns.index("text")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, lines, removed = [], [], []
+        for t, marks in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
+            parts = (t or "").split("\n")
+            lines.append(len(parts))
+            gone = [m for m in marks or () if not m["is_first"]]
+            for m in reversed(gone):
+                del parts[m["start"] : m["end"]]
+            removed.append(lines[-1] - len(parts))
+            texts.append("\n".join(parts) if gone else t)
+        cols = list(batch.columns[: len(columns)])
+        cols[at] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_arrays([*cols, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], [*columns, "__lines", "__removed"])
+
+    return marked.select(*columns, "__chunks").mapInArrow(by_slice(work), schema)
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """docs with repeated chunks of lines removed but for their first occurrence. All columns are kept, in order.
+
+    n_chars, if there, is counted anew where a text changed. A document of which nothing is left is removed; one that
+    was null or empty before stays. Rows that repeat both id and text are one document and are cut alike. An empty
+    table gives an empty result.
+    """
+    names = docs.columns
+    out = _apply(repeats(docs), names).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*names)
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_removed and kept_sha256 (of the text that is left) for every row of docs; null texts count as empty."""
+    done = _apply(repeats(docs.select("doc_id", "text")), ["doc_id", "text"])
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return done.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), F.sha2(text, 256).alias("kept_sha256"))

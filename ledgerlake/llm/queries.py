@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, decontam, langid, quality_model, quality_rules, simhash, toxicity
+from ledgerlake.llm import bpe, decontam, langid, line_dedup, quality_model, quality_rules, simhash, toxicity
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,10 @@ def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -43,7 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op4_quality, op5_toxicity, op6_language, op9_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op3_line_dedup, op4_quality, op5_toxicity, op6_language, op9_bpe, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
