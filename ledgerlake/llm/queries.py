@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, langid, line_dedup, quality_model, quality_rules, simhash, toxicity
+from ledgerlake.llm import bpe, decontam, langid, line_dedup, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, toxicity
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +39,16 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.dedup(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER))
 
@@ -47,7 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op3_line_dedup, op4_quality, op5_toxicity, op6_language, op9_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op3_line_dedup, op4_quality, op5_toxicity, op6_language, op7_suffix_dedup, op8_substring_dedup, op9_bpe, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
