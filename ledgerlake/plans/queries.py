@@ -560,9 +560,10 @@ def oracle_prices(spark, d):
     return got.filter("feed_id = own").select("feed_id", "block", "code", "raw_answer", "is_stale")
 
 
-@query("""SELECT CAST(p_partkey AS VARCHAR) AS token_id, CAST((CAST(p_partkey AS HUGEINT) * 1000000000000000000 * CAST(1000000000000000000 AS HUGEINT)) // (CAST(p_size AS HUGEINT) * 1000000000000000000) AS VARCHAR) AS leg0, CAST((CAST(p_partkey + 1 AS HUGEINT) * 1000000000000000000 * CAST(1000000000000000000 AS HUGEINT)) // (CAST(p_size AS HUGEINT) * 1000000000000000000) AS VARCHAR) AS leg1 FROM part""".replace("* 1000000000000000000 * CAST(1000000000000000000 AS HUGEINT)) // (CAST(p_size AS HUGEINT) * 1000000000000000000)", "* 1000000000000000000) // CAST(p_size AS HUGEINT)"))
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS token_id, CASE WHEN p_partkey > 0 THEN CAST((CAST(p_partkey AS HUGEINT) * 1000000000000000000) // CAST(p_size AS HUGEINT) AS VARCHAR) END AS leg0,
+CASE WHEN p_partkey > 0 THEN CAST((CAST(p_partkey + 1 AS HUGEINT) * 1000000000000000000) // CAST(p_size AS HUGEINT) AS VARCHAR) END AS leg1 FROM part""")
 def exchange_rates(spark, d):
-    """K2: amounts under a liquidity share, floor(reserve * sample / supply)."""
+    """K2: amounts under a liquidity share, floor(reserve * sample / supply); a share with an empty reserve is invalid."""
     p = v.table(spark, d, "part")
     word = lambda c: F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0")
     at = [F.lit(1).cast("bigint").alias("chain_id"), F.lit(9).cast("bigint").alias("block")]
