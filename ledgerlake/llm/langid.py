@@ -54,6 +54,7 @@ class Model:
             none = step < 0
             fresh = np.where(step[0] < 0, 0, step[0])  # a new phrase begins with the symbol that ended the last
             step = np.where(none, fresh[None, :], step)
+            none[0] = True  # at the root any symbol begins a phrase
             rows.append(((at + step) * width * 2 + none).astype(np.int32))
             self.root.append(at * width)
             self.bits.append(np.log2(max(2, n)))
@@ -76,7 +77,7 @@ class Model:
         order = np.argsort(-length, kind="stable")
         doc, start, length = doc[order], (begin + within)[order], length[order]
         flat = np.r_[np.concatenate(coded) if coded else np.zeros(0, np.uint8), np.zeros(STRETCH, np.uint8)]
-        count = np.ones((len(self.langs), len(doc)), np.int32)
+        count = np.zeros((len(self.langs), len(doc)), np.int32)
         state = np.repeat(np.array(self.root, np.int32)[:, None], len(doc), axis=1)
         active = np.searchsorted(-length, -np.arange(1, STRETCH + 1), side="right")
         for t in range(int(length[0]) if len(length) else 0):

@@ -135,13 +135,15 @@ def links(fps: DataFrame) -> DataFrame:
                 yield from _edges(rest.column("first").to_numpy(), rest.column("fp").to_numpy(), np.array([0, rest.num_rows]))
 
         sorted_rows = narrow.select("first", "mask", "key", "fp").repartition("first", "mask", "key").sortWithinPartitions("first", "mask", "key")
-        found.append(sorted_rows.mapInArrow(work, "a bigint, b bigint"))
+        edges = sorted_rows.mapInArrow(work, "a bigint, b bigint")
         if wide.isEmpty():
+            found.append(edges)
             break
+        found.append(stash(edges, "links"))
         hot = keyed_rows.join(wide.select("first", "mask", "key"), ["first", "mask", "key"]).select("fp", "first", "mask")
-        more = {r.mask: _narrower(r.mask & (1 << 64) - 1) for r in wide.select("mask").distinct().collect()}
-        narrower = F.coalesce(*[F.when(F.col("mask") == m, F.array(*[F.lit(_signed(x)) for x in xs])) for m, xs in more.items()])
-        todo = stash(hot.select("fp", "first", F.explode(narrower).alias("mask")), "narrower")
+        narrower = [(r.mask, _signed(x)) for r in wide.select("mask").distinct().collect() for x in dict.fromkeys(_narrower(r.mask & (1 << 64) - 1))]
+        steps = fps.sparkSession.createDataFrame(narrower, "mask bigint, narrower bigint")
+        todo = stash(hot.join(F.broadcast(steps), "mask").select("fp", "first", F.col("narrower").alias("mask")), "narrower")
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
