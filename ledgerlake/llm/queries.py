@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, langid, line_dedup, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, toxicity
+from ledgerlake.llm import bpe, decontam, langid, line_dedup, oracles, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, toxicity
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": oracles.DECONTAMINATE, "op2_divergence": oracles.DIVERGENCE, "op8_substring_dedup": oracles.SUBSTRING_DEDUP}
