@@ -33,29 +33,33 @@ def watched(transfers: DataFrame) -> DataFrame:
     return transfers.drop("address").withColumn("address", F.explode(sides))
 
 
-def legs(facts: DataFrame, amount: str = "amount") -> DataFrame:
-    """Signed legs of account-scoped transfers: gained and lost limbs, and whether a gain is an interest settlement.
+def entries(transfers: DataFrame, *more: str) -> DataFrame:
+    """Two rows for each transfer, what ``to_address`` gained and what ``from_address`` lost, as limbs."""
+    zero = u256.limbs(*[F.lit(0)] * 3)
+    amount = amount_limbs("amount")
+    sides = F.array(F.struct(F.col("to_address").alias("address"), F.col("x").alias("gained"), zero.alias("lost")), F.struct(F.col("from_address").alias("address"), zero.alias("gained"), F.col("x").alias("lost")))
+    rows = transfers.select("chain_id", "token_address", *more, "from_address", "to_address", amount.alias("x"))
+    return rows.select("chain_id", "token_address", *more, F.explode(sides).alias("e")).select("chain_id", "e.address", "token_address", *more, "e.gained", "e.lost").filter("address is not null")
 
-    That is a mint to the account in a transaction in which the account also sends the same token. The test is a
-    window over the legs of one transaction and token, so it needs no second shuffle when rows are keyed by account.
+
+def settlements(transfers: DataFrame) -> DataFrame:
+    """settled limbs of each account and token: mints in a transaction in which the account also sends that token.
+
+    Only mints are joined, to what accounts send; the bulk of transfers takes no part.
     """
-    one_tx = Window.partitionBy("chain_id", "address", "tx_hash", "token_address")
-    sends = F.max((F.col("from_address") == F.col("address")).cast("int")).over(one_tx) == 1
-    minted = (F.col("from_address") == ZERO) & (F.col("to_address") == F.col("address"))
-    limbs = amount_limbs(amount)
-    return facts.select(
-        "chain_id", "address", "token_address", "tx_hash", "block",
-        u256.where(F.col("to_address") == F.col("address"), limbs).alias("gained"),
-        u256.where(F.col("from_address") == F.col("address"), limbs).alias("lost"),
-        (minted & sends).alias("settles"),
-    )
+    key = ["chain_id", "address", "tx_hash", "token_address"]
+    mints = transfers.filter(F.col("from_address") == ZERO).select("chain_id", F.col("to_address").alias("address"), "tx_hash", "token_address", "amount")
+    sends = transfers.select("chain_id", F.col("from_address").alias("address"), "tx_hash", "token_address")
+    return mints.join(sends, key, "left_semi").groupBy("chain_id", "address", "token_address").agg(u256.sum_(amount_limbs("amount")).alias("settled"))
 
 
-def sum_balances(rows: DataFrame, key: list[str]) -> DataFrame:
-    """amount, incoming and outgoing of each key from the rows of :func:`legs`; map-side sums of limbs."""
-    none = u256.where(~F.col("settles"), F.col("gained"))
-    sums = rows.groupBy(*key).agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"), u256.sum_(none).alias("i"))
-    return sums.select(*key, u256.minus(F.col("g"), F.col("l")).alias("balance"), F.col("i").alias("incoming"), F.col("l").alias("outgoing"))
+def sum_balances(transfers: DataFrame) -> DataFrame:
+    """balance, incoming and outgoing limbs of every account and token; legs are summed in each task before they shuffle."""
+    key = ["chain_id", "address", "token_address"]
+    sums = entries(transfers).groupBy(*key).agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"))
+    both = sums.join(settlements(transfers), key, "left")
+    less = u256.limbs(*[F.coalesce(F.col("settled")[p], F.lit(0)) for p in u256.PARTS])
+    return both.select(*key, u256.minus(F.col("g"), F.col("l")).alias("balance"), u256.minus(F.col("g"), less).alias("incoming"), F.col("l").alias("outgoing"))
 
 
 def rendered(sums: DataFrame, **columns: str) -> DataFrame:
@@ -69,19 +73,14 @@ def token_balances(transfers: DataFrame, to_block: int | None = None, tokens: li
     facts = transfers if to_block is None else transfers.filter(F.col("block") <= to_block)
     if tokens is not None:
         facts = facts.filter(F.col("token_address").isin(tokens))
-    sums = sum_balances(legs(watched(facts)), ["chain_id", "address", "token_address"])
-    return rendered(sums, amount="balance", incoming="incoming", outgoing="outgoing")
+    return rendered(sum_balances(facts), amount="balance", incoming="incoming", outgoing="outgoing")
 
 
 def simple_balances(transfers: DataFrame, to_block: int | None = None) -> DataFrame:
     """The same without interest settlement: one shuffle, on the account and token, after map-side sums."""
     facts = transfers if to_block is None else transfers.filter(F.col("block") <= to_block)
-    limbs = amount_limbs("amount")
-    entry = lambda side, sign: F.struct(F.col(side).alias("address"), *[(F.lit(sign).cast("decimal(38,0)") * F.col("a")[p]).cast(u256.LIMB).alias(p) for p in u256.PARTS])
-    rows = facts.select("chain_id", "token_address", "from_address", "to_address", limbs.alias("a"))
-    rows = rows.select("chain_id", "token_address", F.explode(F.array(entry("to_address", 1), entry("from_address", -1))).alias("e"))
-    sums = rows.groupBy("chain_id", F.col("e.address").alias("address"), "token_address").agg(u256.sum_(F.col("e")).alias("balance"))
-    return rendered(sums, amount="balance")
+    sums = entries(facts).groupBy("chain_id", "address", "token_address").agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"))
+    return rendered(sums.select("chain_id", "address", "token_address", u256.minus(F.col("g"), F.col("l")).alias("balance")), amount="balance")
 
 
 def negative_warnings(balances: DataFrame) -> DataFrame:
@@ -142,8 +141,7 @@ def ledger(transfers: DataFrame, transactions: DataFrame, internals: DataFrame)
 
 def block_deltas(transfers: DataFrame) -> DataFrame:
     """delta limbs of each account, token and block in which something moved."""
-    rows = legs(watched(transfers))
-    sums = rows.groupBy("chain_id", "address", "token_address", "block").agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"))
+    sums = entries(transfers, "block").groupBy("chain_id", "address", "token_address", "block").agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"))
     return sums.select("chain_id", "address", "token_address", "block", u256.minus(F.col("g"), F.col("l")).alias("delta"))
 
 
