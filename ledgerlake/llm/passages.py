@@ -28,6 +28,8 @@ Laid = tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]
 ANCHOR = np.uint64((1 << 48) - 1)
 #: Rows of documents worked on at once, and bytes of run contents.
 ROWS, CONTENT_BYTES = 300, 2_000_000
+#: Anchors of 16 bytes up to which they are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 LAST = np.iinfo(np.int64).max
 
 
@@ -195,14 +197,16 @@ def _grouped(contents: DataFrame, kind: Kind) -> DataFrame:
 def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     """doc_id, tid and ranges, the window starts to be marked, of every document that has some."""
     found = _runs(docs, kind)
-    place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), "lo", "tid", "n", "doc_id")
-    kinds = found.groupBy("a", "h1", "h2").agg(F.count("*").alias("occurs"), F.min(place).alias("first"))
-    several = kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    notable = kinds.join(several, "a", "left").select("a", "h1", "h2", "occurs", F.coalesce("kinds", F.lit(1)).alias("kinds"), "first")
+    place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), "lo", "tid", "n")
+    kinds = stash(found.groupBy("a", "h1", "h2").agg(F.count("*").alias("occurs"), F.min(place).alias("first")), "kinds")
+    several = stash(kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "anchors")
+    small = several.count() <= BROADCAST_ROWS
+    notable = kinds.join(F.broadcast(several) if small else several, "a", "left").select("a", "h1", "h2", "occurs", F.coalesce("kinds", F.lit(1)).alias("kinds"), "first")
     notable = stash(notable.filter("occurs > 1 or kinds > 1"), "notable")
-    reps = notable.filter("kinds > 1").select("a", "occurs", "kinds", *[F.col(f"first.{c}").alias(c) for c in ("doc_id", "tid", "lo", "n")])
-    again = notable.filter("occurs > 1").select("a", "h1", "h2", F.col("first.d").alias("d"), F.col("first.lo").alias("s"))
-    settled = found.join(again, ["a", "h1", "h2"])
+    doc = F.when(F.col("first.d") != LAST, F.col("first.d")).alias("doc_id")
+    reps = notable.filter("kinds > 1").select("a", "occurs", "kinds", doc, *[F.col(f"first.{c}").alias(c) for c in ("tid", "lo", "n")])
+    again = notable.filter("occurs > 1").select("h1", "h2", F.col("first.d").alias("d"), F.col("first.lo").alias("s"))
+    settled = found.drop("a").join(again, ["h1", "h2"])
     if kind.spare_first:
         settled = settled.filter((F.coalesce("doc_id", F.lit(LAST)) != F.col("d")) | (F.col("lo") != F.col("s")))
     marks = settled.select("doc_id", "tid", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
