@@ -1,8 +1,8 @@
 """Line deduplication over content-defined chunks of lines.
 
-A rolling hash over the hashes of consecutive lines chooses the boundaries, so an inserted line moves those around it
-and no others. Chunks of several lines that occur more than once anywhere are removed but for their first occurrence,
-after their bytes were compared.
+The hashes of lines choose the boundaries, so an inserted line moves those around it and no others. A line long enough
+to be removed is a chunk of its own, shorter ones are gathered. Chunks that occur more than once anywhere are removed
+but for their first occurrence, after their bytes were compared.
 """
 
 from __future__ import annotations
@@ -15,29 +15,29 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import by_slice, keyed, stash
 
-#: Lines that the rolling hash covers, mean lines of a chunk, lines and bytes that a chunk needs to be removed.
-ROLL, MEAN, MIN_LINES, MIN_BYTES = 2, 4, 2, 40
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Short lines for each one that may end a chunk; lines and bytes that a chunk needs to be removed.
+MEAN, MIN_LINES, MIN_BYTES = 2, 1, 40
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
     """First line, line after the last, and bytes of each chunk of a text; ``\\n`` splits lines.
 
-    A chunk ends after a line where the rolling hash of the last ROLL lines is divisible by MEAN.
+    A line of MIN_BYTES is a chunk. Shorter ones between such lines are cut after a line whose hash is divisible by
+    MEAN, once MIN_BYTES are together.
     """
     lines = text.split(b"\n")
-    digest = xxhash.xxh3_64_intdigest
-    h = np.array([digest(x) for x in lines], np.uint64)
-    roll = h.copy()
-    for k in range(1, ROLL):
-        roll[k:] = roll[k:] * _MIX + h[:-k]
-    roll ^= roll >> np.uint64(29)
-    ends = np.flatnonzero(roll % np.uint64(MEAN) == 0) + 1
-    bounds = [0, *ends.tolist()]
-    if bounds[-1] != len(lines):
-        bounds.append(len(lines))
-    size = np.r_[0, np.cumsum([len(x) + 1 for x in lines])]
-    return [(a, b, int(size[b] - size[a]) - 1) for a, b in zip(bounds, bounds[1:], strict=False)]
+    size = np.array([len(x) for x in lines])
+    far = np.cumsum(size + 1)
+    alone = size >= MIN_BYTES
+    must = alone | np.r_[alone[1:], True]
+    h = np.array([0 if x else xxhash.xxh3_64_intdigest(line) for line, x in zip(lines, must.tolist(), strict=True)], np.uint64)
+    may = np.flatnonzero(must | ((h ^ h >> np.uint64(29)) % np.uint64(MEAN) == 0))
+    out, line, at = [], 0, 0
+    for i, end, sure in zip(may.tolist(), far[may].tolist(), must[may].tolist(), strict=True):
+        if sure or end - at > MIN_BYTES:
+            out.append((line, i + 1, end - at - 1))
+            line, at = i + 1, end
+    return out
 
 
 def _each(text: bytes):

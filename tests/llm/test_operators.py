@@ -102,6 +102,18 @@ def test_chunks_shift_with_their_lines():
     assert len(parts(lines) - parts([b"new", *lines[:100], b"new", *lines[100:]])) <= 3
 
 
+@pytest.mark.parametrize(("lines", "words", "recall"), [(1, 60, 1.0), (4, 25, 1.0), (12, 5, 0.5)])
+def test_line_dedup_of_planted_passages(spark, lines, words, recall):
+    rng = random.Random(9)
+    ls = lambda k: [prose(rng, words, 5000) for _ in range(k)]
+    parts = [ls(lines) for _ in range(6)]
+    texts = [ls(3) + parts[i % 6] + ls(rng.randrange(4)) for i in range(24)]
+    got = line_dedup.report(table(spark, ["\n".join(t) for t in texts])).collect()
+    gone = {r.doc_id: r.n_removed for r in got}
+    assert sum(gone[i] for i in range(6)) == 0 and all(gone[i] <= lines for i in range(24))
+    assert sum(gone.values()) >= recall * 18 * lines
+
+
 def test_quality_model(spark, odd_texts):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     got = quality_model.classify(docs, labels.unionByName(labels)).join(labels, "doc_id").filter("held_out")
