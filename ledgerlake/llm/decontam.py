@@ -6,6 +6,7 @@ whose match reaches a window (10 item words, or a whole shorter item) are hit an
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.automaton import SuffixAutomaton
-from ledgerlake.llm.common import by_slice, keyed
+from ledgerlake.llm.common import by_slice, keyed, same_doc, stash
 
 WINDOW = 10
 #: Bytes of items in one automaton; larger benchmarks are streamed against in several blocks.
@@ -82,7 +83,7 @@ class Matcher:
         return len(words), spans, names
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def matcher(items: tuple[tuple[str, bytes], ...], window: int) -> Matcher:
     return Matcher(items, window)
 
@@ -100,12 +101,42 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b" ".join(x for x in out if x)
 
 
-def _blocks(benchmark: DataFrame) -> list[tuple[tuple[str, bytes], ...]]:
+def _blocks(benchmark: DataFrame) -> tuple[int, Iterator[tuple[tuple[str, bytes], ...]]]:
+    """How many blocks there are, and each in turn; the driver holds one at a time."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text").cast("binary").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("name", "text"), F.lit(n))
-    return [tuple(sorted((r.name, bytes(r.text)) for r in items.filter(part == k).collect())) for k in range(n)]
+    return n, (tuple(sorted((r.name, bytes(r.text)) for r in items.filter(part == k).collect())) for k in range(n))
+
+
+def _match(rows: DataFrame, items: tuple[tuple[str, bytes], ...], window: int) -> DataFrame:
+    """doc_id, tid, n_words, spans and items of each of rows, those of :func:`keyed`, for one block."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        m = matcher(items, window)
+        n, spans, names = zip(*[m.find(t or b"") for t in batch.column(2).to_pylist()], strict=True)
+        flat = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+        cols = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), flat, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "n_words", "spans", "items"])
+
+    return rows.mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>")
+
+
+def _hits(docs: DataFrame, blocks: Iterator[tuple[tuple[str, bytes], ...]], window: int) -> DataFrame:
+    """One row for each hit document, with the spans and items of all blocks; each block meets the whole texts."""
+    both = None
+    for items in blocks:
+        found = stash(_match(keyed(docs), items, window).filter(F.size("spans") > 0), "hits")
+        both = found if both is None else both.unionByName(found)
+    spans = F.array_sort(F.flatten(F.collect_set("spans")))
+    joined = F.aggregate(
+        spans,
+        F.array().cast("array<struct<start:int,end:int>>"),
+        lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(done, F.array(x))),
+    )
+    return both.groupBy("doc_id", "tid").agg(joined.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -115,34 +146,15 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     doc_id, tid, n_words (long), spans (array of start and end word, in order, not touching) and items (sorted array
     of item ids as text; a null id counts as the empty string). Null and empty texts have no words; items without
     words match nothing; repeated items count once; an empty benchmark gives no spans. The benchmark is read in blocks
-    of BLOCK_BYTES, each streamed against all rows, so no automaton outgrows a worker; with several blocks, rows that
-    repeat both id and text come back once. With one block, as for usual benchmarks, nothing is shuffled.
+    of BLOCK_BYTES, each streamed against all rows, so no automaton outgrows a worker; the hits of several blocks are
+    written and joined to the rows. With one block, as for usual benchmarks, nothing is shuffled.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {kind}, tid bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
-    rows, found = keyed(docs), []
-    for items in _blocks(benchmark):
-
-        def work(batch: pa.RecordBatch, items=items) -> pa.RecordBatch:
-            m = matcher(items, window)
-            n, spans, names = zip(*[m.find(t or b"") for t in batch.column(2).to_pylist()], strict=True)
-            flat = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-            cols = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), flat, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "n_words", "spans", "items"])
-
-        found.append(rows.mapInArrow(by_slice(work), out))
-    if len(found) == 1:
-        return found[0]
-    both = found[0]
-    for x in found[1:]:
-        both = both.unionByName(x)
-    spans = F.array_sort(F.flatten(F.collect_set("spans")))
-    joined = F.aggregate(
-        spans,
-        F.array().cast("array<struct<start:int,end:int>>"),
-        lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(done, F.array(x))),
-    )
-    return both.groupBy("doc_id", "tid").agg(F.first("n_words").alias("n_words"), joined.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    n, blocks = _blocks(benchmark)
+    if n == 1:
+        return _match(keyed(docs), next(blocks), window)
+    hits, rows = _hits(docs, blocks, window), _match(keyed(docs), (), window).drop("spans", "items")
+    none = [F.coalesce(hits[c], F.array().cast(hits.schema[c].dataType)).alias(c) for c in ("spans", "items")]
+    return rows.join(hits, same_doc(rows, hits), "left").select(rows["doc_id"], rows["tid"], "n_words", *none)
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -164,22 +176,28 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     All columns of docs are kept, in order; n_chars, if there, is counted anew where a text changed. Texts without a
     hit stay as they are, null and empty ones too. Every row of docs is judged by itself, repeated ones alike.
     """
-    names, blocks = docs.columns, _blocks(benchmark)
+    names, (n, blocks) = docs.columns, _blocks(benchmark)
     at = names.index("text")
+    items = next(blocks) if n == 1 else ()
+    rows = docs
+    if n > 1:
+        hits = _hits(docs, blocks, window).select(F.col("doc_id").alias("__of"), F.col("tid").alias("__tid"), F.col("spans").alias("__spans"))
+        rows = docs.join(hits, docs["doc_id"].eqNullSafe(hits["__of"]) & (F.xxhash64(docs["text"]) == hits["__tid"]), "left").drop("__of", "__tid")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [None if t is None else t.encode() for t in batch.column(at).to_pylist()]
+        m = matcher(items, window)
         keep = [True] * len(texts)
-        for items in blocks:
-            m = matcher(items, window)
-            for i, t in enumerate(texts):
-                n, spans, _ = m.find(t or b"") if keep[i] else (0, [], None)
-                if spans:
-                    keep[i] = sum(b - a for a, b in spans) <= max_coverage * n
-                    texts[i] = cut(t, spans)
-        cols = list(batch.columns)
+        known = [[(x["start"], x["end"]) for x in r or ()] for r in batch.column(len(names)).to_pylist()] if n > 1 else None
+        for i, t in enumerate(texts):
+            words, spans, _ = m.find(t or b"")
+            spans = known[i] if known else spans
+            if spans:
+                keep[i] = sum(b - a for a, b in spans) <= max_coverage * words
+                texts[i] = cut(t, spans)
+        cols = list(batch.columns[: len(names)])
         cols[at] = pa.array([None if t is None else t.decode() for t in texts], pa.string())
         return pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
 
-    out = docs.mapInArrow(by_slice(work), docs.schema)
+    out = rows.mapInArrow(by_slice(work), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

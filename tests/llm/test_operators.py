@@ -57,6 +57,21 @@ def test_decontamination(spark, odd_texts, monkeypatch):
     assert decontam.find(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_in_blocks(spark, monkeypatch):
+    words = [f"v{i}" for i in range(60)]
+    part = lambda a, b: " ".join(words[a:b])
+    items = spark.createDataFrame([(k, part(a, b)) for k, (a, b) in enumerate([(0, 12), (8, 20), (15, 25), (30, 40), (45, 55)])], "item_id bigint, text string")
+    fill = lambda n: " ".join(f"x{i}" for i in range(n))
+    texts = [part(0, 25), fill(30) + " " + part(0, 25), f"{part(0, 12)} {fill(6)} {part(30, 40)}", f"{fill(20)} {part(45, 50)} {part(30, 40)} {part(50, 55)} {fill(5)}", fill(9), "", None]
+    docs = table(spark, texts * 2, [*range(len(texts))] * 2).unionByName(table(spark, [texts[1]], [None]))
+    found = lambda: sorted(map(repr, decontam.report(decontam.find(docs, items)).collect()))
+    left = lambda: sorted(map(repr, decontam.clean(docs, items).collect()))
+    want = found(), left()
+    assert len(want[0]) == 2 * len(texts) + 1
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 60)
+    assert (found(), left()) == want
+
+
 def test_quality_rules(spark, odd_texts):
     docs = table(spark, odd_texts).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("lang")))
     got = quality_rules.judge(docs.unionByName(docs))
