@@ -30,12 +30,12 @@ def _inside(source: str, first: Column, last: Column) -> Column:
 def replace_overlap(facts: DataFrame, fresh: DataFrame, windows: DataFrame, source: str) -> DataFrame:
     """Facts with own-source rows of each account's window replaced by a new collection; rows of other sources stay.
 
-    windows: chain_id, address, start, end, one row for each account.
+    windows: chain_id, address, start, end, any number for an account.
     """
-    scope = ["chain_id", "address"]
-    told = facts.join(windows.select(*scope, "start", "end"), scope, "left")
-    stay = told.filter(F.col("start").isNull() | ~_inside(source, F.col("start"), F.col("end"))).select(*facts.columns)
-    new = fresh.join(windows.select(*scope, "start", "end"), scope).filter(F.col("block").between(F.col("start"), F.col("end"))).select(*facts.columns)
+    w = windows.select(F.col("chain_id").alias("__chain"), F.col("address").alias("__account"), "start", "end")
+    of = lambda rows: (rows["chain_id"] == w["__chain"]) & (rows["address"] == w["__account"])
+    stay = facts.join(w, of(facts) & (facts["ingestion_source"] == source) & facts["block"].between(w["start"], w["end"]), "left_anti")
+    new = fresh.join(w, of(fresh) & fresh["block"].between(w["start"], w["end"]), "left_semi").select(*facts.columns)
     return upsert(stay, new)
 
 

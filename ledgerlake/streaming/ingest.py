@@ -32,7 +32,7 @@ class FactSink:
     the same version anew and changes nothing twice. Only the newest version is read.
     """
 
-    def __init__(self, path: str, merge: Callable[[DataFrame, DataFrame], DataFrame]):
+    def __init__(self, path: str, merge: Callable[..., DataFrame]):
         self.path, self.merge = path, merge
 
     def versions(self, spark: SparkSession) -> list[int]:
@@ -46,9 +46,9 @@ class FactSink:
         found = [v for v in self.versions(spark) if before is None or v < before]
         return spark.read.parquet(f"{self.path}/v={found[-1]}") if found else None
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, *more: DataFrame) -> None:
         old = self.read(batch.sparkSession, before=batch_id)
-        rows = self.merge(old, batch) if old is not None else self.merge(batch.limit(0), batch)
+        rows = self.merge(old if old is not None else batch.limit(0), batch, *more)
         rows.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
 
 
@@ -57,11 +57,17 @@ def upsert_sink(path: str, key: list[str] | None = None) -> FactSink:
 
 
 def overlap_sink(path: str, source: str) -> FactSink:
-    """Late and reorganised data: each account's window in a batch replaces what its source said of it before."""
+    """Late and reorganised data: the windows that were collected replace what their source said of them before.
 
-    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
-        windows = new.groupBy("chain_id", "address").agg(F.min("block").alias("start"), F.max("block").alias("end"))
-        return maintenance.replace_overlap(old, new, windows, source)
+    Called with a batch, its id and windows (chain_id, address, start, end; any number for an account), those that were
+    collected, whether facts came or not. Without windows a batch replaces the blocks it has facts of, and no others.
+    Facts outside the windows are upserted.
+    """
+
+    def merge(old: DataFrame, new: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+        if windows is None:
+            windows = new.select("chain_id", "address", F.col("block").alias("start"), F.col("block").alias("end")).distinct()
+        return maintenance.upsert(maintenance.replace_overlap(old, new.limit(0), windows, source), new)
 
     return FactSink(path, merge)
 

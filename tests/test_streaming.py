@@ -39,6 +39,20 @@ def test_overlap_sink(spark, tmp_path):
     assert sorted(r.amount for r in sink.read(spark).collect()) == ["1", "3"]
 
 
+def test_overlap_sink_replaces_the_collected_windows(spark, tmp_path):
+    sink = ingest.overlap_sink(str(tmp_path / "table"), "own")
+    rows = lambda xs: transfers(spark, xs).withColumn("identity", F.col("tx_hash"))
+    kept = lambda: sorted(r.identity for r in sink.read(spark).collect())
+    windows = lambda *xs: spark.createDataFrame([(1, A, *x) for x in xs], "chain_id bigint, address string, start bigint, end bigint")
+    sink(rows([("a", 0, 5, B, A, 1), ("b", 0, 400, B, A, 2), ("c", 0, 990, B, A, 3), ("d", 0, 1000, B, A, 4)]), 0)
+    sink(rows([("e", 0, 5, B, A, 5), ("f", 0, 1000, B, A, 6)]), 1)
+    assert kept() == ["b", "c", "e", "f"]
+    sink(rows([("g", 0, 1001, B, A, 7)]), 2, windows((0, 6), (989, 1001)))
+    assert kept() == ["b", "g"]
+    sink(rows([]), 3, windows((390, 402)))
+    assert kept() == ["g"]
+
+
 def test_running_balances(spark, tmp_path):
     schema = spark.createDataFrame([], TRANSFER + ", identity string, ts timestamp").schema
     land(tmp_path / "in", "1.json", [fact("x", 1, 5), fact("y", 2, 6), fact("y", 2, 6)])
