@@ -56,6 +56,12 @@ def balances_in_out(spark, d):
     return ledger.token_balances(v.transfers(spark, d), tokens=["t1", "t7"])
 
 
+@query("SELECT chain_id, account AS address, token_address, CAST(sum(gained) - sum(lost) AS VARCHAR) AS amount, CAST(sum(gained) AS VARCHAR) AS incoming, CAST(sum(lost) AS VARCHAR) AS outgoing FROM v_entries GROUP BY ALL")
+def all_balances_in_out(spark, d):
+    """Balances with incoming and outgoing of all accounts and tokens."""
+    return ledger.token_balances(v.transfers(spark, d))
+
+
 @query("""SELECT chain_id, address, list_sort(list('negative_balance:' || token_address)) AS warnings FROM (
   SELECT chain_id, account AS address, token_address FROM v_entries WHERE block <= 400 GROUP BY ALL HAVING sum(gained) < sum(lost)) GROUP BY ALL""")
 def negative_warnings(spark, d):
@@ -458,11 +464,20 @@ def wrapped_native(spark, d):
     SELECT chain_id, to_address AS account, 't' AS token_address, tx_hash, amount AS gained, CAST(0 AS BIGINT) AS lost, log_index = 1 AS minted FROM v_transfers WHERE log_index <> 2
     UNION ALL SELECT chain_id, to_address, 't', tx_hash, 0, amount, false FROM v_transfers WHERE log_index = 2)) GROUP BY ALL HAVING account LIKE 'c%'""")
 def interest_settlement(spark, d):
-    """A mint in a transaction that also sends the token is no income."""
+    """A mint in a transaction that also sends the token is no income; customers only."""
+    return all_interest_settlement(spark, d).filter("address like 'c%'")
+
+
+@query(f"""SELECT chain_id, account AS address, token_address, CAST(sum(gained) - sum(lost) AS VARCHAR) AS amount, CAST(sum(CASE WHEN minted AND sends THEN 0 ELSE gained END) AS VARCHAR) AS incoming, CAST(sum(lost) AS VARCHAR) AS outgoing FROM (
+  SELECT *, bool_or(gives) OVER (PARTITION BY chain_id, account, tx_hash, token_address) AS sends FROM (
+    SELECT chain_id, CASE WHEN log_index = 2 THEN 's0' ELSE to_address END AS account, 't' AS token_address, tx_hash, amount AS gained, CAST(0 AS BIGINT) AS lost, log_index = 1 AS minted, false AS gives FROM v_transfers
+    UNION ALL SELECT chain_id, CASE log_index WHEN 1 THEN '{ledger.ZERO}' WHEN 2 THEN to_address ELSE from_address END, 't', tx_hash, 0, amount, false, true FROM v_transfers)) GROUP BY ALL""")
+def all_interest_settlement(spark, d):
+    """The same for all accounts, senders and the zero address too."""
     t = v.transfers(spark, d).withColumn("token_address", F.lit("t"))
     own = F.col("to_address")
     x = t.withColumn("from_address", F.when(F.col("log_index") == 1, ledger.ZERO).when(F.col("log_index") == 2, own).otherwise(F.col("from_address"))).withColumn("to_address", F.when(F.col("log_index") == 2, "s0").otherwise(own))
-    return ledger.token_balances(x).filter("address like 'c%'")
+    return ledger.token_balances(x)
 
 
 # Sources and scalar functions.
