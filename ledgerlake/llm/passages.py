@@ -137,13 +137,16 @@ def _compare(table: pa.Table, kind: Kind) -> pa.RecordBatch:
     row, place, at, (grams, *_) = _windows(table, kind)
     a = table.column("a").to_numpy().astype(np.uint64)
     bucket = mix(kind.window_ids(grams)[at], a[row])
-    doc = table.column("doc_id").fill_null(LAST).to_numpy()
+    doc, tid = table.column("doc_id").fill_null(LAST).to_numpy()[row], table.column("tid").to_numpy()[row]
     start = place + table.column("lo").to_numpy()[row]
-    order = np.lexsort((start, doc[row], bucket)) if kind.spare_first else np.argsort(bucket, kind="stable")
+    order = np.lexsort((tid, start, doc, bucket)) if kind.spare_first else np.argsort(bucket, kind="stable")
     same = bucket[order][1:] == bucket[order][:-1]
     marked = np.zeros(len(row), bool)
-    marked[order[1:][same]] = True
-    if not kind.spare_first:
+    if kind.spare_first:  # repeated rows are one document: all of them hold its first occurrence
+        first = order[np.maximum.accumulate(np.r_[0, np.where(same, 0, np.arange(1, len(order)))])[: len(order)]]
+        marked[order] = (doc[order] != doc[first]) | (start[order] != start[first]) | (tid[order] != tid[first])
+    else:
+        marked[order[1:][same]] = True
         marked[order[:-1][same]] = True
         marked &= table.column("occurs").to_numpy()[row] == 1
     return _ranges(table, row, place, marked)
@@ -187,7 +190,7 @@ def _grouped(contents: DataFrame, kind: Kind) -> DataFrame:
         return pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in ("doc_id", "tid", "occurs")), pa.array(s), *map(pa.array, d)], ["doc_id", "tid", "occurs", "lo", "w1", "w2"])
 
     rows = contents.select("doc_id", "tid", "occurs", "lo", "content").mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid int, occurs bigint, lo int, w1 bigint, w2 bigint")
-    place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("lo").alias("s"))
+    place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("lo").alias("s"), F.col("tid").alias("t"))
     again = rows.groupBy("w1", "w2").agg(F.count("*").alias("m"), F.min(place).alias("first")).filter("m > 1")
     found = rows.join(again, ["w1", "w2"])
     found = found.filter(place != F.col("first")) if kind.spare_first else found.filter("occurs = 1")
@@ -205,10 +208,10 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     notable = stash(notable.filter("occurs > 1 or kinds > 1"), "notable")
     doc = F.when(F.col("first.d") != LAST, F.col("first.d")).alias("doc_id")
     reps = notable.filter("kinds > 1").select("a", "occurs", "kinds", doc, *[F.col(f"first.{c}").alias(c) for c in ("tid", "lo", "n")])
-    again = notable.filter("occurs > 1").select("h1", "h2", F.col("first.d").alias("d"), F.col("first.lo").alias("s"))
+    again = notable.filter("occurs > 1").select("h1", "h2", F.col("first.d").alias("d"), F.col("first.lo").alias("s"), F.col("first.tid").alias("t"))
     settled = found.drop("a").join(again, ["h1", "h2"])
     if kind.spare_first:
-        settled = settled.filter((F.coalesce("doc_id", F.lit(LAST)) != F.col("d")) | (F.col("lo") != F.col("s")))
+        settled = settled.filter((F.coalesce("doc_id", F.lit(LAST)) != F.col("d")) | (F.col("lo") != F.col("s")) | (F.col("tid") != F.col("t")))
     marks = settled.select("doc_id", "tid", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
     contents = _fetch(docs, reps, kind)
     if reps.filter(F.col("kinds") > kind.group).isEmpty():

@@ -221,6 +221,19 @@ def test_substring_dedup(spark, group):
     assert substring_dedup.dedup(docs.unionByName(docs), 10, group).count() == 2 * len(texts)
 
 
+@pytest.mark.parametrize("group", [50_000, 1])
+def test_substring_dedup_of_repeated_rows(spark, group):
+    rng = random.Random(13)
+    part = prose(rng, 60, 500)
+    texts = ["a b " + part + " c", "d " + part, part + " " + prose(rng, 30, 500), prose(rng, 40, 500)]
+    docs = table(spark, texts)
+    want = sorted([b" ".join(w for w, m in zip(ws, mark, strict=True) if not m).decode() for ws, mark in brute.later_words([t.encode() for t in texts], 10)] * 2)
+    assert sorted(r.kept for r in substring_dedup.dedup(docs.unionByName(docs), 10, group).collect()) == want
+    same = docs.withColumn("doc_id", F.lit(None).cast("bigint")).filter(F.col("text").isin(texts[0], texts[1]))
+    kept = [r.kept for r in substring_dedup.dedup(same.unionByName(same), 10, group).collect()]
+    assert sum(part in k for k in kept) == 2 and sum(k in ("a b c", "d") for k in kept) == 2
+
+
 def test_bpe_equals_the_library(spark, odd_texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
     lib = Tokenizer.from_file(path)
