@@ -1,6 +1,8 @@
 """Exact 256-bit integers as columns: three limbs of 26 decimal digits in a struct of decimal(38,0).
 
-Limb sums of up to 10^12 rows cannot overflow; all arithmetic stays in whole-stage code, without Python workers.
+Limb sums of up to 10^12 rows cannot overflow, and no Python worker takes part. Sums are in whole-stage code; carries
+(``normalise``, and so ``render`` of numbers of 27 digits or more) use ``transform``, which Spark interprets. Numbers
+that fit the lowest limb, nearly all, take a branch without it.
 """
 
 from __future__ import annotations
@@ -26,9 +28,11 @@ def limbs(hi: Column, mid: Column, lo: Column) -> Column:
 def parse(text: Column) -> Column:
     """Limbs of a decimal string of at most 78 digits, a minus sign allowed; null for anything else."""
     minus = text.startswith("-")
+    short = F.when(text.rlike(r"^-?[0-9]{1,26}$"), text.cast(LIMB))
     digits = F.lpad(F.regexp_replace(text, "^-", ""), 3 * DIGITS, "0")
     part = lambda k: F.when(minus, -1).otherwise(1).cast(LIMB) * F.substring(digits, 1 + DIGITS * k, DIGITS).cast(LIMB)
-    return F.when(text.rlike(r"^-?[0-9]{1,78}$"), limbs(part(0), part(1), part(2)))
+    zero = F.lit(0).cast(LIMB)
+    return F.when(short.isNotNull(), limbs(zero, zero, short)).when(text.rlike(r"^-?[0-9]{27,78}$"), limbs(part(0), part(1), part(2)))
 
 
 def of_long(value: Column) -> Column:
@@ -91,11 +95,19 @@ def _digits(n: Column) -> Column:
 
 def render(x: Column) -> Column:
     """Canonical decimal string."""
+    small = (x["hi"] == 0) & (x["mid"] == 0) & (F.abs(x["lo"]) < _base())
+    return F.when(small, x["lo"].cast("string")).otherwise(_render(x))
+
+
+def _render(x: Column) -> Column:
     return bound(normalise(x), lambda n: F.when(n["hi"] < 0, F.concat(F.lit("-"), bound(normalise(negate(n)), _digits))).otherwise(_digits(n)))
 
 
 def from_hex(text: Column) -> Column:
     """Limbs of 0x followed by 1 to 64 hexadecimal digits; null for anything else."""
+    short = limbs(F.lit(0), F.lit(0), F.conv(F.substring(text, 3, 15), 16, 10))
+    zeros = F.substring(text, 3, 49) == "0" * 49
+    padded = limbs(F.lit(0), F.lit(0), F.conv(F.substring(text, 52, 15), 16, 10))
     digits = F.lpad(F.substring(text, 3, 64), 64, "0")
     words = [F.conv(F.substring(digits, 1 + 8 * k, 8), 16, 10).cast("decimal(10,0)") for k in range(8)]
     sums = []
@@ -105,7 +117,7 @@ def from_hex(text: Column) -> Column:
         for t in terms[1:]:
             total = (total + t.cast(LIMB)).cast(LIMB)
         sums.append(total)
-    return F.when(text.rlike("^0[xX][0-9a-fA-F]{1,64}$"), limbs(*sums))
+    return F.when(text.rlike("^0[xX][0-9a-fA-F]{1,15}$"), short).when(text.rlike("^0[xX][0-9a-fA-F]{1,64}$"), F.when((F.length(text) == 66) & zeros, padded).otherwise(limbs(*sums)))
 
 
 def from_hex_signed(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlake.functions.scalars import field_hash
+from ledgerlake.functions.scalars import canonical_decimal, field_hash
 
 TRANSFER_FIELDS = ("block_number", "from_address", "to_address", "amount")
 INTERNAL_KEY = ("tx_hash", "trace_id", "from_address", "to_address", "value", "block_number")
@@ -74,15 +74,22 @@ def duplicate_keys(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def is_valued(value: Column) -> Column:
+    """Whether a text is a positive whole number."""
+    return F.coalesce(value.rlike("^0*[1-9][0-9]*$"), F.lit(False))
+
+
 def drop_matched_internals(transactions: DataFrame, internals: DataFrame) -> DataFrame:
     """Internal legs that no transaction leg accounts for.
 
     For each (chain, account, tx, from, to, value) with a positive value, as many internal legs go, first by identity,
-    as there are transaction legs. Legs whose value is zero or no number stay. One shuffle of each side on that key.
+    as there are transaction legs. A missing side, as in a contract's creation, equals a missing or empty one; values
+    are equal as numbers. Legs whose value is zero or no number stay. One shuffle of each side on that key.
     """
-    key = ["chain_id", "address", "tx_hash", "from_address", "to_address", "value"]
-    valued = F.coalesce(F.col("value").rlike("^0*[1-9][0-9]*$"), F.lit(False))
-    counted = transactions.filter(valued).groupBy(*key).agg(F.count("*").alias("__legs"))
-    ranked = internals.filter(valued).withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("identity")))
+    key = ["__chain", "__account", "__tx", "__from", "__to", "__value"]
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    keyed = lambda rows: rows.filter(is_valued(F.col("value"))).withColumns({"__chain": F.col("chain_id"), "__account": blank("address"), "__tx": F.col("tx_hash"), "__from": blank("from_address"), "__to": blank("to_address"), "__value": canonical_decimal(F.col("value"))})
+    counted = keyed(transactions).groupBy(*key).agg(F.count("*").alias("__legs"))
+    ranked = keyed(internals).withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("identity")))
     left = ranked.join(counted, key, "left").filter(F.col("__n") > F.coalesce("__legs", F.lit(0))).select(*internals.columns)
-    return left.unionByName(internals.filter(~valued))
+    return left.unionByName(internals.filter(~is_valued(F.col("value"))))

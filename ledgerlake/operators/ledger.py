@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlake.functions import u256
-from ledgerlake.functions.scalars import call_argument, selector
-from ledgerlake.operators.identity import drop_matched_internals
+from ledgerlake.functions.scalars import call_argument, canonical_decimal, selector
+from ledgerlake.operators.asof import as_of
+from ledgerlake.operators.identity import is_valued
 
 ZERO = "0x" + "0" * 40
 # The wrapped native token of each chain.
@@ -95,18 +96,24 @@ def account_legs(rows: DataFrame) -> DataFrame:
 
 
 def native_flows(transactions: DataFrame, internals: DataFrame, exclude_reverted: bool = False) -> DataFrame:
-    """native_in, native_out and transaction_count of each account, internal legs matched off first."""
+    """native_in, native_out and transaction_count of each account, internal legs matched off first.
+
+    Legs are counted by (chain, tx, from, to, value) before they are dealt to their accounts: of n internal legs, as
+    many as there are transaction legs go, as :func:`drop_matched_internals` says; which ones does not matter here.
+    """
     if exclude_reverted:
         transactions = transactions.filter("status <> 'reverted'")
-    tx, inner = account_legs(transactions), account_legs(internals)
-    inner = drop_matched_internals(tx, inner)
-    cols = ["chain_id", "address", "from_address", "to_address", "value"]
-    both = tx.select(*cols, F.lit(1).alias("is_tx")).unionByName(inner.select(*cols, F.lit(0).alias("is_tx")))
+    key = ["chain_id", "tx_hash", "from_address", "to_address", "value"]
+    legs = lambda rows, t: rows.select("chain_id", "tx_hash", "from_address", "to_address", canonical_decimal(F.col("value")).alias("value"), F.lit(t).alias("t"), F.lit(1 - t).alias("i"))
+    counts = legs(transactions, 1).unionByName(legs(internals, 0)).groupBy(*key).agg(F.sum("t").alias("t"), F.sum("i").alias("i"))
+    extra = F.when(is_valued(F.col("value")), F.greatest(F.col("i") - F.col("t"), F.lit(0))).otherwise(F.col("i"))
+    sides = account_legs(counts.withColumn("legs", F.col("t") + extra))
     value = amount_limbs("value")
-    sums = both.groupBy("chain_id", "address").agg(
-        u256.sum_(u256.where(F.col("to_address") == F.col("address"), value)).alias("i"),
-        u256.sum_(u256.where(F.col("from_address") == F.col("address"), value)).alias("o"),
-        F.sum("is_tx").cast("bigint").alias("transaction_count"),
+    times = u256.limbs(*[(value[p] * F.col("legs")).cast(u256.LIMB) for p in u256.PARTS])
+    sums = sides.filter("legs > 0").groupBy("chain_id", "address").agg(
+        u256.sum_(u256.where(F.col("to_address") == F.col("address"), times)).alias("i"),
+        u256.sum_(u256.where(F.col("from_address") == F.col("address"), times)).alias("o"),
+        F.sum("t").cast("bigint").alias("transaction_count"),
     )
     return rendered(sums, native_in="i", native_out="o")
 
@@ -156,12 +163,43 @@ def balance_history(transfers: DataFrame) -> DataFrame:
     return rendered(sums, amount="balance")
 
 
+def by_block(rows: DataFrame, marks: DataFrame, key: list[str], mode: str) -> DataFrame:
+    """As-of lookup by block number, in buckets of 10,000 blocks."""
+    return as_of(rows, marks, key, mode, at="block", position=F.col("block").cast("bigint"), width=10_000, unit=1)
+
+
+def at_marks(deltas: DataFrame, marks: DataFrame) -> DataFrame:
+    """Balances at each mark (chain_id, address, block) of an account's history, from its :func:`block_deltas`.
+
+    A delta belongs to the first mark at or after its block, by an as-of lookup in buckets of blocks, so that a hub
+    account's history is many tasks; deltas after the last mark are left out.
+    """
+    key = ["chain_id", "address"]
+    points = marks.select(*key, "block", F.col("block").alias("mark")).distinct()
+    placed = by_block(deltas, points, key, "after").select(*key, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    return running_sums(placed, points.select(*key, "mark"), key)
+
+
+def running_sums(placed: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
+    """key, token_address, block and balance limbs at each mark: sums by mark, then a running sum over a key's marks.
+
+    placed: key, token_address, mark, delta. A token is there from the mark on by which it first moved. The running sum
+    sees a row for each mark and token.
+    """
+    parts = placed.groupBy(*key, "token_address", "mark").agg(u256.sum_(F.col("delta")).alias("part"))
+    since = parts.groupBy(*key, "token_address").agg(F.min("mark").alias("__since"))
+    grid = since.join(marks.select(*key, "mark"), key).filter("mark >= __since").drop("__since")
+    filled = grid.join(parts, [*key, "token_address", "mark"], "left")
+    run = Window.partitionBy(*key, "token_address").orderBy("mark").rowsBetween(Window.unboundedPreceding, 0)
+    sums = filled.select(*key, "token_address", "mark", *[F.sum(F.coalesce(F.col("part")[p], F.lit(0).cast(u256.LIMB))).over(run).alias(p) for p in u256.PARTS])
+    return sums.select(*key, "token_address", F.col("mark").alias("block"), u256.limbs(*[F.col(p) for p in u256.PARTS]).alias("balance"))
+
+
 def state_at(transfers: DataFrame, probes: DataFrame) -> DataFrame:
     """Balances for (chain_id, address, at_block) probes: all tokens moved by then, summed up to the block.
 
-    Probes and block deltas meet in a join on the account; the sum is a map-side aggregate, whatever the history.
+    The probes of an account are marks in its history: each delta is met once, however many probes there are.
     """
-    deltas = block_deltas(transfers)
-    rows = probes.join(deltas, ["chain_id", "address"]).filter(F.col("block") <= F.col("at_block"))
-    sums = rows.groupBy("chain_id", "address", "at_block", "token_address").agg(u256.sum_(F.col("delta")).alias("balance"))
-    return rendered(sums, amount="balance")
+    asked = probes.select("chain_id", "address", F.col("at_block").alias("block")).distinct()
+    deltas = block_deltas(transfers).join(asked.select("chain_id", "address").distinct(), ["chain_id", "address"], "left_semi")
+    return rendered(at_marks(deltas, asked).withColumnRenamed("block", "at_block"), amount="balance")

@@ -4,43 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from ledgerlake.operators import asof
 from ledgerlake.operators.identity import last_wins
 
 SCOPE = ["token_key", "exchange", "market", "quote", "interval"]
 
 
 def as_of(probes: DataFrame, points: DataFrame, key: list[str], mode: str = "nearest", max_distance_ms: int | None = None) -> DataFrame:
-    """Each probe with the point before, after or nearest to it: columns of probes, point_ts, and point (a struct).
-
-    probes: key, ts and any columns; points: key, ts and any columns. A point at the probe's time is both before and
-    after; of two equally near the earlier wins; one further off than ``max_distance_ms`` is missing. Probes and points
-    are merged by one window over the key, without a join: each key is sorted once.
-    """
-    rest = [c for c in points.columns if c not in {*key, "ts"}]
-    extra = [c for c in probes.columns if c not in {*key, "ts"}]
-    marked = points.select(*key, "ts", F.struct("ts", *rest).alias("__point"), F.lit(None).cast(probes.select(F.struct(*extra) if extra else F.lit(1)).schema[0].dataType).alias("__probe"), F.lit(False).alias("__asks"))
-    asking = probes.select(*key, "ts", F.lit(None).cast(marked.schema["__point"].dataType).alias("__point"), (F.struct(*extra) if extra else F.lit(1)).alias("__probe"), F.lit(True).alias("__asks"))
-    both = marked.unionByName(asking)
-    back = Window.partitionBy(*key).orderBy("ts", "__asks").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*key).orderBy("ts", F.desc("__asks")).rowsBetween(0, Window.unboundedFollowing)
-    found = both
-    if mode in ("before", "nearest"):
-        found = found.withColumn("__before", F.last("__point", ignorenulls=True).over(back))
-    if mode in ("after", "nearest"):
-        found = found.withColumn("__after", F.first("__point", ignorenulls=True).over(ahead))
-    ms = lambda c: F.unix_millis(c)
-    if mode == "nearest":
-        gap_before, gap_after = ms(F.col("ts")) - ms(F.col("__before.ts")), ms(F.col("__after.ts")) - ms(F.col("ts"))
-        pick = F.when(F.col("__after").isNull() | (gap_before <= gap_after), F.col("__before")).otherwise(F.col("__after"))
-    else:
-        pick = F.col(f"__{mode}")
-    found = found.filter("__asks").withColumn("__pick", pick)
-    if max_distance_ms is not None:
-        near = F.abs(ms(F.col("ts")) - ms(F.col("__pick.ts"))) <= max_distance_ms
-        found = found.withColumn("__pick", F.when(near, F.col("__pick")))
-    return found.select(*key, "ts", *[F.col(f"__probe.{c}").alias(c) for c in extra], F.col("__pick.ts").alias("point_ts"), F.col("__pick").alias("point"))
+    """The point before, after or nearest to each probe in time, see :func:`asof.as_of`."""
+    return asof.as_of(probes, points, key, mode, max_distance_ms)
 
 
 def price_at(probes: DataFrame, points: DataFrame, mode: str = "nearest", max_distance_ms: int | None = None, any_scope: bool = False) -> DataFrame:

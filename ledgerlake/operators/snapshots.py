@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlake.functions import u256
-from ledgerlake.operators.ledger import block_deltas, rendered, watched
+from ledgerlake.operators.ledger import at_marks, block_deltas, by_block, rendered, running_sums, watched
 
 EVENTS, BLOCKS = 10_000, 10_000
+KEY = ["chain_id", "address"]
+#: Stands for no snapshot: before every block.
+NEVER = -1
 
 
 def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
@@ -46,23 +49,8 @@ def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS)
 
 
 def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
-    """Balances of each account at each of its boundaries: segment sums, then a running sum over segments.
-
-    A block belongs to the first boundary at or after it, found by one window over boundaries and deltas together.
-    """
-    key = ["chain_id", "address"]
-    deltas = block_deltas(transfers)
-    marks = at.select(*key, "block", F.col("block").alias("edge"))
-    both = deltas.withColumn("edge", F.lit(None).cast("bigint")).unionByName(marks, allowMissingColumns=True)
-    ahead = Window.partitionBy(*key).orderBy("block", F.col("edge").isNotNull()).rowsBetween(0, Window.unboundedFollowing)
-    placed = both.withColumn("snapshot", F.first("edge", ignorenulls=True).over(ahead)).filter("token_address is not null and snapshot is not null")
-    parts = placed.groupBy(*key, "token_address", "snapshot").agg(u256.sum_(F.col("delta")).alias("part"))
-    first = parts.groupBy(*key, "token_address").agg(F.min("snapshot").alias("since"))
-    grid = first.join(at.withColumnRenamed("block", "snapshot"), key).filter("snapshot >= since").drop("since")
-    filled = grid.join(parts, [*key, "token_address", "snapshot"], "left")
-    run = Window.partitionBy(*key, "token_address").orderBy("snapshot").rowsBetween(Window.unboundedPreceding, 0)
-    rows = filled.select(*key, "token_address", F.col("snapshot").alias("block"), *[F.sum(F.coalesce(F.col("part")[p], F.lit(0).cast(u256.LIMB))).over(run).alias(p) for p in u256.PARTS])
-    return rendered(rows.select(*key, "token_address", "block", u256.limbs(*[F.col(p) for p in u256.PARTS]).alias("balance")), amount="balance")
+    """Balances of each account at each of its boundaries (chain_id, address, block)."""
+    return rendered(at_marks(block_deltas(transfers), at), amount="balance")
 
 
 def replay(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS, earlier: DataFrame | None = None) -> DataFrame:
@@ -82,11 +70,26 @@ def invalidate(taken: DataFrame, from_block: int) -> tuple[DataFrame, DataFrame]
 
 
 def at_block(taken: DataFrame, transfers: DataFrame, probes: DataFrame) -> DataFrame:
-    """State for (chain_id, address, at_block) probes: the newest snapshot at or before the block plus later deltas."""
-    key = ["chain_id", "address", "at_block"]
-    near = probes.join(taken.select("chain_id", "address", F.col("block").alias("snapshot")).distinct(), ["chain_id", "address"], "left").filter("snapshot is null or snapshot <= at_block")
-    near = probes.join(near.groupBy(*key).agg(F.max("snapshot").alias("snapshot")), key, "left")
-    held = near.join(taken.withColumnRenamed("block", "snapshot"), ["chain_id", "address", "snapshot"]).select(*key, "token_address", u256.parse(F.col("amount")).alias("x"))
-    moved = near.join(block_deltas(transfers), ["chain_id", "address"]).filter("block <= at_block and (snapshot is null or block > snapshot)").select(*key, "token_address", F.col("delta").alias("x"))
-    sums = held.unionByName(moved).groupBy(*key, "token_address").agg(u256.sum_(F.col("x")).alias("balance"))
-    return rendered(sums, amount="balance")
+    """State for (chain_id, address, at_block) probes: the newest snapshot at or before the block plus later deltas.
+
+    Facts no later than the oldest snapshot that an account's probes start from, or after its last probe, are dropped
+    before anything is summed.
+    """
+    asked = probes.select(*KEY, F.col("at_block").alias("block")).distinct()
+    edges = taken.select(*KEY, "block", F.col("block").alias("snapshot")).distinct()
+    near = by_block(asked, edges, KEY, "before").select(*KEY, "block", F.coalesce("point.snapshot", F.lit(NEVER)).alias("since"))
+    span = near.groupBy(*KEY).agg(F.min("since").alias("__low"), F.max("block").alias("__high"))
+    inside = block_deltas(_within(transfers, span)).join(span, KEY).filter("block > __low and block <= __high").drop("__low", "__high")
+    marks = near.select(*KEY, "block", "since")
+    # probes that start from one snapshot follow each other without another's in between
+    placed = by_block(inside, marks, KEY, "after").filter("block > point.since").select(*KEY, F.col("point.since").alias("since"), "token_address", F.col("point.block").alias("mark"), "delta")
+    moved = running_sums(placed, marks.withColumnRenamed("block", "mark"), [*KEY, "since"]).select(*KEY, "token_address", "block", F.col("balance").alias("x"))
+    held = near.join(taken.withColumnRenamed("block", "since"), [*KEY, "since"]).select(*KEY, "token_address", "block", u256.parse(F.col("amount")).alias("x"))
+    sums = held.unionByName(moved).groupBy(*KEY, "token_address", "block").agg(u256.sum_(F.col("x")).alias("balance"))
+    return rendered(sums.withColumnRenamed("block", "at_block"), amount="balance")
+
+
+def _within(transfers: DataFrame, span: DataFrame) -> DataFrame:
+    """Transfers in the blocks of some account's span, for pruning before they are summed."""
+    bounds = span.groupBy("chain_id").agg(F.min("__low").alias("__first"), F.max("__high").alias("__last"))
+    return transfers.join(F.broadcast(bounds), "chain_id").filter("block > __first and block <= __last").drop("__first", "__last")

@@ -318,7 +318,11 @@ def price_nearest(spark, d):
 def block_by_timestamp(spark, d):
     """The highest block at or before a time."""
     ts = v.prices(spark, d).filter("token_key = 'view'").select("ts").distinct()
-    blocks = ts.withColumn("number", F.row_number().over(Window.orderBy("ts")).cast("bigint")).withColumn("chain_id", F.lit(1))
+    days = ts.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    # a row a day: the window without a key orders days, not blocks
+    before = days.select("day", F.coalesce(F.sum("n").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    within = F.row_number().over(Window.partitionBy("day").orderBy("ts"))
+    blocks = ts.withColumn("day", F.to_date("ts")).join(F.broadcast(before), "day").select("ts", (within + F.col("earlier")).cast("bigint").alias("number"), F.lit(1).alias("chain_id"))
     return px.block_at(v.probes(spark, d).select(F.lit(1).alias("chain_id"), "ts", "request"), blocks).select("request", "block")
 
 
