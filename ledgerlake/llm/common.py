@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that are worked on at once; bounds the output held by a task.
 SLICE = 1000
+#: Spark's setting that removes a query's shuffle files when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,7 +43,12 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here, and a lost executor costs no rework."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")  # once written, what was shuffled for the table is of no more use
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

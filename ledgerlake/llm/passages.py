@@ -1,10 +1,13 @@
-"""Repeated windows of a corpus: the steps that suffix-array and substring deduplication share.
+"""Repeated windows of a corpus: how suffix-array and substring deduplication split a corpus into groups for tasks.
 
-1. Anchored runs of windows (see :mod:`anchors`) are grouped by anchor and content; runs with equal content are settled.
-2. Where an anchor has several contents, one of each is fetched, and the windows within them are sorted into buckets
-   by identifiers refined at later offsets. An anchor's contents go to one task, unless they are many: then the windows
-   themselves are grouped, summed up in each task first.
+1. Anchored runs of windows (see :mod:`anchors`) are written once and grouped by anchor and content; runs with equal
+   content are settled by their 128-bit digest.
+2. Where an anchor has several contents, one of each is fetched. An anchor's contents go to one task, which finds the
+   windows that repeat among them by the operator's own method, on the symbols themselves. Where they are too many for a
+   task, the windows are grouped instead, by 128-bit digest, summed up in each task first.
 3. What was found is joined to the documents.
+
+Rows that agree in doc_id and in a 64-bit hash of the text are one document.
 """
 
 from __future__ import annotations
@@ -15,20 +18,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.anchors import mix, runs
-from ledgerlake.llm.common import by_slice, stash
+from ledgerlake.llm.anchors import runs
+from ledgerlake.llm.common import by_slice, keyed, stash
 
 #: Symbols' identifiers, sequence ends, bytes, and where each symbol starts and stops in them.
 Laid = tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]
+#: Row, place in the row, and bucket of each window that shares its bucket; equal windows have equal buckets.
+Buckets = tuple[np.ndarray, np.ndarray, np.ndarray]
 #: Bits of an anchor's identifier that are shuffled.
 ANCHOR = np.uint64((1 << 48) - 1)
 #: Rows of documents worked on at once, and bytes of run contents.
 ROWS, CONTENT_BYTES = 300, 2_000_000
-#: Anchors of 16 bytes up to which they are broadcast; more are joined by a shuffle.
+#: Anchors up to which they are broadcast, 16 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 LAST = np.iinfo(np.int64).max
 
@@ -38,6 +42,10 @@ class Kind:
     """What a symbol is, and how long grams and windows are."""
 
     lay: Callable[[list[bytes]], Laid]
+    #: The symbols of a text from each given start, so many each.
+    cut: Callable[[bytes, list[tuple[int, int]]], list[bytes]]
+    #: The windows of some contents that repeat among them, in buckets.
+    buckets: Callable[[list[bytes], int], Buckets]
     gram: int
     window: int
     #: Whether the earliest occurrence of a window is spared.
@@ -45,26 +53,9 @@ class Kind:
     #: Contents of one anchor that one task compares; with more, the windows are grouped instead.
     group: int
 
-    def window_ids(self, grams: np.ndarray) -> np.ndarray:
-        """Identifier of the window at each place, refined from the grams' by those at later offsets."""
-        size = self.gram
-        while 2 * size <= self.window:
-            grams, size = mix(grams[:-size], grams[size:]), 2 * size
-        return mix(grams[: len(grams) - (self.window - size)], grams[self.window - size :]) if size < self.window else grams
-
-
-def packed(docs: DataFrame) -> DataFrame:
-    """doc_id, tid (hash of the text) and zst, the compressed text, for shuffles of whole texts."""
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        z = zstandard.ZstdCompressor(level=3)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([z.compress(t or b"") for t in batch.column(2).to_pylist()], pa.binary())], ["doc_id", "tid", "zst"])
-
-    return _keyed(docs).mapInArrow(by_slice(work), "doc_id bigint, tid int, zst binary")
-
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("tid"), F.col("text").cast("binary").alias("text"))
+    return keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
 
 
 def _runs(docs: DataFrame, kind: Kind) -> DataFrame:
@@ -78,53 +69,37 @@ def _runs(docs: DataFrame, kind: Kind) -> DataFrame:
         for of, p, lo, hi in runs(grams, kind.gram, kind.window, ends):
             d = b"".join([digest(buf[a:b]) for a, b in zip(starts[lo].tolist(), stops[hi + kind.window - 1].tolist(), strict=True)])
             d = np.frombuffer(d, "<i8").reshape(-1, 2)
-            for o, x in zip(out, (of, (grams[p] & ANCHOR).astype(np.int64), d[:, 0], d[:, 1].astype(np.int32), (lo - begin[of]).astype(np.int32), (hi - lo + 1).astype(np.int32)), strict=True):
+            for o, x in zip(out, (of, (grams[p] & ANCHOR).astype(np.int64), d[:, 0], d[:, 1], (lo - begin[of]).astype(np.int32), (hi - lo + 1).astype(np.int32)), strict=True):
                 o.append(x)
-        of, *cols = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, ("i8", "i8", "i8", "i4", "i4", "i4"), strict=True))
+        of, *cols = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, ("i8", "i8", "i8", "i8", "i4", "i4"), strict=True))
         take = pa.array(of)
         return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, cols)], ["doc_id", "tid", "a", "h1", "h2", "lo", "n"])
 
-    return _keyed(docs).mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid int, a bigint, h1 bigint, h2 int, lo int, n int")
+    return _keyed(docs).mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid bigint, a bigint, h1 bigint, h2 bigint, lo int, n int")
 
 
 def _fetch(docs: DataFrame, reps: DataFrame, kind: Kind) -> DataFrame:
-    """a, doc_id, tid, lo, occurs and the content of each run in reps."""
+    """a, doc_id, tid, lo, occurs, kinds and the content of each run in reps; a document goes once, with all its runs."""
     lists = reps.groupBy(F.col("doc_id").alias("d"), F.col("tid").alias("t")).agg(F.collect_list(F.struct("a", "lo", "n", "occurs", "kinds")).alias("runs"))
-    texts = packed(docs)
-    joined = texts.join(lists, texts["doc_id"].eqNullSafe(lists["d"]) & (texts["tid"] == lists["t"])).select("doc_id", "tid", "zst", "runs")
+    texts = _keyed(docs).dropDuplicates(["doc_id", "tid"]) if kind.spare_first else _keyed(docs)
+    joined = texts.join(lists, texts["doc_id"].eqNullSafe(lists["d"]) & (texts["tid"] == lists["t"])).select("doc_id", "tid", "text", "runs")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        z = zstandard.ZstdDecompressor()
-        texts = [z.decompress(t) for t in batch.column(2).to_pylist()]
-        _, ends, buf, starts, stops = kind.lay(texts)
-        begin = np.r_[0, ends[:-1]].tolist()
         of, marks, content = [], [], []
-        for i, rs in enumerate(batch.column(3).to_pylist()):
-            for r in rs:
-                lo = begin[i] + r["lo"]
-                of.append(i)
-                marks.append(r)
-                content.append(buf[starts[lo] : stops[lo + r["n"] + kind.window - 2]])
+        for i, (text, rs) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+            of += [i] * len(rs)
+            marks += rs
+            content += kind.cut(text, [(r["lo"], r["n"] + kind.window - 1) for r in rs])
         take = pa.array(of, pa.int64())
         cols = [pa.array([m[c] for m in marks], t) for c, t in (("a", pa.int64()), ("lo", pa.int32()), ("occurs", pa.int64()), ("kinds", pa.int64()))]
         return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *cols, pa.array(content, pa.binary())], ["doc_id", "tid", "a", "lo", "occurs", "kinds", "content"])
 
-    return joined.mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid int, a bigint, lo int, occurs bigint, kinds bigint, content binary")
-
+    return joined.mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid bigint, a bigint, lo int, occurs bigint, kinds bigint, content binary")
 
-def _windows(table: pa.Table, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, Laid]:
-    """Row, place in its content, place in the whole of each window of the contents in table."""
-    laid = kind.lay(table.column("content").to_pylist())
-    ends = laid[1]
-    size = np.diff(np.r_[0, ends]) - kind.window + 1
-    row = np.repeat(np.arange(len(ends)), size)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    return row, place, place + np.r_[0, ends[:-1]][row], laid
 
-
-def _ranges(table: pa.Table, row: np.ndarray, place: np.ndarray, marked: np.ndarray) -> pa.RecordBatch:
-    """Marked windows as ranges of window starts in their documents."""
-    row, at = row[marked], place[marked] + table.column("lo").to_numpy()[row[marked]]
+def _ranges(table: pa.Table, row: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """Windows, in order, as ranges of window starts in their documents."""
+    at = place + table.column("lo").to_numpy()[row]
     edge = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)]) if len(row) else np.zeros(0, int)
     last = np.r_[edge[1:], len(row)] - 1 if len(row) else edge
     take = pa.array(row[edge], pa.int64())
@@ -133,23 +108,21 @@ def _ranges(table: pa.Table, row: np.ndarray, place: np.ndarray, marked: np.ndar
 
 
 def _compare(table: pa.Table, kind: Kind) -> pa.RecordBatch:
-    """Windows that repeat among the contents of an anchor, for all anchors in table."""
-    row, place, at, (grams, *_) = _windows(table, kind)
-    a = table.column("a").to_numpy().astype(np.uint64)
-    bucket = mix(kind.window_ids(grams)[at], a[row])
-    doc, tid = table.column("doc_id").fill_null(LAST).to_numpy()[row], table.column("tid").to_numpy()[row]
-    start = place + table.column("lo").to_numpy()[row]
-    order = np.lexsort((tid, start, doc, bucket)) if kind.spare_first else np.argsort(bucket, kind="stable")
-    same = bucket[order][1:] == bucket[order][:-1]
-    marked = np.zeros(len(row), bool)
+    """Windows that repeat among the contents of table's anchors; equal windows have one anchor, so all go together."""
+    row, place, bucket = kind.buckets(table.column("content").to_pylist(), kind.window)
     if kind.spare_first:  # repeated rows are one document: all of them hold its first occurrence
+        doc, tid = table.column("doc_id").fill_null(LAST).to_numpy()[row], table.column("tid").to_numpy()[row]
+        start = place + table.column("lo").to_numpy()[row]
+        order = np.lexsort((tid, start, doc, bucket))
+        same = bucket[order][1:] == bucket[order][:-1]
         first = order[np.maximum.accumulate(np.r_[0, np.where(same, 0, np.arange(1, len(order)))])[: len(order)]]
+        marked = np.zeros(len(row), bool)
         marked[order] = (doc[order] != doc[first]) | (start[order] != start[first]) | (tid[order] != tid[first])
-    else:
-        marked[order[1:][same]] = True
-        marked[order[:-1][same]] = True
-        marked &= table.column("occurs").to_numpy()[row] == 1
-    return _ranges(table, row, place, marked)
+    else:  # runs met more than once are settled already
+        marked = table.column("occurs").to_numpy()[row] == 1
+    row, place = row[marked], place[marked]
+    order = np.lexsort((place, row))
+    return _ranges(table, row[order], place[order])
 
 
 def _bucketed(contents: DataFrame, kind: Kind) -> DataFrame:
@@ -170,7 +143,7 @@ def _bucketed(contents: DataFrame, kind: Kind) -> DataFrame:
             yield _compare(pa.Table.from_batches(held).combine_chunks(), kind)
 
     sorted_rows = contents.repartition("a").sortWithinPartitions("a")
-    return sorted_rows.mapInArrow(_small(work), "doc_id bigint, tid int, lo int, hi int")
+    return sorted_rows.mapInArrow(_small(work), "doc_id bigint, tid bigint, lo int, hi int")
 
 
 def _small(work):
@@ -182,14 +155,17 @@ def _grouped(contents: DataFrame, kind: Kind) -> DataFrame:
     """The same for anchors with too many contents for one task: each window is a row, grouped by its own digest."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = pa.Table.from_batches([batch])
-        row, place, at, (_, _, buf, starts, stops) = _windows(table, kind)
+        _, ends, buf, starts, stops = kind.lay(batch.column("content").to_pylist())
+        size = np.diff(np.r_[0, ends]) - kind.window + 1
+        row = np.repeat(np.arange(len(ends)), size)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        at = place + np.r_[0, ends[:-1]][row]
         d = b"".join([xxhash.xxh3_128_digest(buf[a:b]) for a, b in zip(starts[at].tolist(), stops[at + kind.window - 1].tolist(), strict=True)])
         d, take = np.frombuffer(d, "<i8").reshape(-1, 2).T.copy(), pa.array(row, pa.int64())
         s = (place + batch.column("lo").to_numpy()[row]).astype(np.int32)
         return pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in ("doc_id", "tid", "occurs")), pa.array(s), *map(pa.array, d)], ["doc_id", "tid", "occurs", "lo", "w1", "w2"])
 
-    rows = contents.select("doc_id", "tid", "occurs", "lo", "content").mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid int, occurs bigint, lo int, w1 bigint, w2 bigint")
+    rows = contents.select("doc_id", "tid", "occurs", "lo", "content").mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid bigint, occurs bigint, lo int, w1 bigint, w2 bigint")
     place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("lo").alias("s"), F.col("tid").alias("t"))
     again = rows.groupBy("w1", "w2").agg(F.count("*").alias("m"), F.min(place).alias("first")).filter("m > 1")
     found = rows.join(again, ["w1", "w2"])
@@ -199,7 +175,7 @@ def _grouped(contents: DataFrame, kind: Kind) -> DataFrame:
 
 def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     """doc_id, tid and ranges, the window starts to be marked, of every document that has some."""
-    found = _runs(docs, kind)
+    found = stash(_runs(docs, kind), "runs")
     place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), "lo", "tid", "n")
     kinds = stash(found.groupBy("a", "h1", "h2").agg(F.count("*").alias("occurs"), F.min(place).alias("first")), "kinds")
     several = stash(kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "anchors")
@@ -224,9 +200,9 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
 
 
 def with_ranges(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """doc_id, tid, zst and ranges (null if none) for every row of docs."""
-    texts, marks = packed(docs), marks.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "ranges")
-    return texts.join(marks, texts["doc_id"].eqNullSafe(marks["d"]) & (texts["tid"] == marks["t"]), "left").select("doc_id", "tid", "zst", "ranges")
+    """doc_id, text (its bytes) and ranges (null if none) for every row of docs."""
+    texts, marks = _keyed(docs), marks.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "ranges")
+    return texts.join(marks, texts["doc_id"].eqNullSafe(marks["d"]) & (texts["tid"] == marks["t"]), "left").select("doc_id", F.coalesce("text", F.lit(b"")).alias("text"), "ranges")
 
 
 def covered(ranges: list[dict] | None, window: int, size: int) -> list[tuple[int, int]]:

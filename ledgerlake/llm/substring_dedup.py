@@ -1,11 +1,11 @@
 """Substring deduplication of words by prefix-partitioned suffix trees.
 
-Suffixes are split by prefixes of variable length. The first split is by an anchor of four words; where an anchor has
-more than one continuation the prefix is lengthened to the whole run of windows around it, and runs that are equal in
-full are settled. What is left of an anchor goes to one task, small enough for its memory: a subtree, of which only the
-nodes at least 20 words deep matter. They are found as the groups of equal 20-word prefixes among the sorted suffixes:
-every such group with two suffixes lies under a deep internal node, a maximal repeat, and all but its earliest go. An
-anchor with too many suffixes for a task is split by the full 20-word prefix.
+Suffixes are split by prefixes of variable length into groups that fit a task: by an anchor of four words and, where it
+has several continuations, by the run of windows around it (see :mod:`passages`); a group that is still too large is
+split by the whole 20-word prefix. A task builds the lower part of the suffix tree of its group: suffixes that share
+their first eight words with another are sorted, and the number of words that neighbours share gives the internal
+nodes. Those at least 20 words deep are the repeats; of the suffixes below one, all but the earliest go. Words are
+compared as such, not their hashes.
 """
 
 from __future__ import annotations
@@ -13,14 +13,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 
 from ledgerlake.llm.anchors import mix
 from ledgerlake.llm.common import by_slice
-from ledgerlake.llm.passages import Kind, Laid, covered, repeated, with_ranges
+from ledgerlake.llm.passages import Buckets, Kind, Laid, covered, repeated, with_ranges
 
 WINDOW, GRAM, GROUP = 20, 4, 50_000
+#: Words of the prefixes by which a task splits its suffixes.
+PREFIX = 8
 #: Words whose identifier a worker remembers; when full it starts anew.
 CACHE = 500_000
 
@@ -37,7 +38,7 @@ _ids = _Ids()
 
 
 def lay(texts: list[bytes]) -> Laid:
-    """Identifiers of all GRAM-word grams of texts laid end to end."""
+    """Identifiers of all GRAM-word grams of texts laid end to end, for anchors."""
     split = [t.split() for t in texts]
     words = [w for s in split for w in s]
     x = np.fromiter(map(_ids.__getitem__, words), np.uint64, len(words))
@@ -48,8 +49,65 @@ def lay(texts: list[bytes]) -> Laid:
     return x, np.cumsum([len(s) for s in split], dtype=np.int64), b" ".join(words), stops - size, stops
 
 
+def cut(text: bytes, places: list[tuple[int, int]]) -> list[bytes]:
+    words = text.split()
+    return [b" ".join(words[lo : lo + n]) for lo, n in places]
+
+
+class _Numbers(dict):
+    """Numbers words from 1, in the order in which they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = got = len(self) + 1
+        return got
+
+
+def subtree(contents: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix tree of word sequences from ``least`` words (PREFIX or more) down.
+
+    Returns row and place of the suffixes below its highest internal nodes at that depth, in the tree's order, and for
+    each node where its suffixes begin in that order and its depth, the words that all of them share.
+    """
+    split, number = [c.split() for c in contents], _Numbers()
+    size = np.array([len(ws) for ws in split], np.int64)
+    n = int(size.sum())
+    word = np.fromiter((number[w] for ws in split for w in ws), np.int64, n)
+    row, ends = np.repeat(np.arange(len(split)), size), np.cumsum(size)
+    room = ends[row] - np.arange(n)
+    at = lambda x, i, k: np.where(room[i] > k, x[np.minimum(i + k, n - 1)], 0)  # noqa: E731, x at k words on; 0 past the end
+    prefix, every, step = word, np.arange(n), 1
+    while step < PREFIX:  # numbers of the prefixes of 2, 4 and 8 words, in word order
+        prefix = np.unique(prefix << 32 | at(prefix, every, step), return_inverse=True)[1] + 1
+        step *= 2
+    suffix = np.flatnonzero(room >= least)
+    suffix = suffix[np.bincount(prefix[suffix], minlength=1)[prefix[suffix]] > 1]
+    parts = np.array([at(prefix, suffix, k) for k in range(0, max(least, int(size.max(initial=0))), PREFIX)])
+    order = np.lexsort(parts[::-1])
+    suffix, parts = suffix[order], parts[:, order]
+    if not len(suffix):
+        return row[suffix], suffix, suffix, suffix
+    differ = np.concatenate([parts[:, 1:] != parts[:, :-1], np.ones((1, len(suffix) - 1), bool)])
+    shared = PREFIX * differ.argmax(axis=0)
+    for _ in range(PREFIX - 1):  # words that neighbours share beyond their equal parts
+        on, below = shared < np.minimum(room[suffix[1:]], room[suffix[:-1]]), np.minimum
+        shared = shared + (on & (word[below(suffix[1:] + shared, n - 1)] == word[below(suffix[:-1] + shared, n - 1)]))
+    shared = np.minimum(shared, np.minimum(room[suffix[1:]], room[suffix[:-1]]))
+    begin = np.flatnonzero(np.r_[True, shared < least])
+    members = np.diff(np.r_[begin, len(suffix)])
+    depth = np.minimum.reduceat(np.r_[room[suffix[:1]], np.where(shared < least, room[suffix[1:]], shared)], begin)
+    keep, members, depth = np.repeat(members > 1, members), members[members > 1], depth[members > 1]
+    suffix = suffix[keep]
+    return row[suffix], suffix - (ends - size)[row[suffix]], np.cumsum(members) - members, depth
+
+
+def repeats(contents: list[bytes], window: int) -> Buckets:
+    """The suffixes below each internal node at least ``window`` words deep."""
+    row, place, begin, _ = subtree(contents, window)
+    return row, place, np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(row)]))
+
+
 def kind(window: int = WINDOW, group: int = GROUP) -> Kind:
-    return Kind(lay, GRAM, window, spare_first=True, group=group)
+    return Kind(lay, cut, repeats, GRAM, window, spare_first=True, group=group)
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
@@ -63,9 +121,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFram
     rows = with_ranges(docs, repeated(docs, kind(window, group)))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        z, out = zstandard.ZstdDecompressor(), []
-        for t, ranges in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            words = z.decompress(t).split()
+        out = []
+        for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            words = text.split()
             n = len(words)
             for a, b in reversed(covered(ranges, window, n)):
                 del words[a:b]

@@ -207,6 +207,60 @@ def test_suffix_dedup(spark, group):
     assert suffix_dedup.dedup(null_ids, 150, group).count() == len(texts)
 
 
+def test_suffix_dedup_of_whole_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r.doc_id, (r.text or "").encode()) for r in docs.collect())
+    marks = dict(zip([d for d, _ in rows], brute.repeated_bytes([t for _, t in rows], suffix_dedup.WINDOW), strict=True))
+    got = {r.doc_id: r for r in suffix_dedup.dedup(docs).collect()}
+    for d, t in rows:
+        kept = bytes(x for x, m in zip(t, marks[d], strict=True) if not m)
+        assert (got[d].n_bytes, bytes(got[d].kept)) == (len(t), kept), d
+    assert any(r.n_removed for r in got.values())
+
+
+def test_repeated_rows_and_null_ids_are_copies(spark):
+    rng = random.Random(14)
+    part = "".join(rng.choice("abcd") for _ in range(500))
+    texts = [part + "x" * 9, "y" + part, "alone " + prose(rng, 120, 900), None]
+    for rows, ids in ((texts, [1, 1, 2, 2]), (texts, [None] * 4), (texts + texts, list(range(4)) * 2), (texts + texts, [None] * 8)):
+        want = brute.repeated_bytes([(t or "").encode() for t in rows], 400)
+        kept = sorted(bytes(x for x, m in zip((t or "").encode(), mark, strict=True) if not m) for t, mark in zip(rows, want, strict=True))
+        assert sorted(bytes(r.kept) for r in suffix_dedup.dedup(table(spark, rows, ids)).collect()) == kept
+
+
+@pytest.mark.parametrize(("repeats", "split", "letters"), [(suffix_dedup.refine, list, b"ab"), (substring_dedup.repeats, bytes.split, b"a b c ")])
+def test_buckets_are_the_equal_windows(repeats, split, letters):
+    rng = random.Random(15)
+    for size in (8, 13, 16, 20, 37):
+        base = bytes(rng.choice(letters) for _ in range(400))
+        contents = [base[(a := rng.randrange(200)) : a + rng.randrange(200)] + bytes(rng.choice(letters) for _ in range(30)) for _ in range(9)] + [b""]
+        want, got = {}, {}
+        for r, c in enumerate(contents):
+            s = split(c)
+            for i in range(len(s) - size + 1):
+                want.setdefault(tuple(s[i : i + size]), set()).add((r, i))
+        for r, i, b in zip(*(x.tolist() for x in repeats(contents, size)), strict=True):
+            got.setdefault(b, set()).add((r, i))
+        assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+    assert len(repeats([], 8)[0]) == 0
+
+
+def test_nodes_of_a_subtree():
+    rng = random.Random(16)
+    words = [b"w%d" % rng.randrange(4) for _ in range(150)]
+    contents = [b" ".join(words[(a := rng.randrange(90)) : a + rng.randrange(60)]) for _ in range(9)]
+    row, place, begin, depth = substring_dedup.subtree(contents, 9)
+    assert len(begin) > 3
+    for a, z, d in zip(begin, [*begin[1:], len(row)], depth, strict=True):
+        below = [contents[r].split()[p:] for r, p in zip(row[a:z], place[a:z], strict=True)]
+        assert below == sorted(below, key=lambda x: [contents_order(contents).index(w) for w in x]) and len(below) > 1
+        assert all(x[:d] == below[0][:d] for x in below) and len({tuple(x[: d + 1]) for x in below}) > 1
+
+
+def contents_order(contents):
+    return list(dict.fromkeys(w for c in contents for w in c.split()))
+
+
 @pytest.mark.parametrize("group", [50_000, 1])
 def test_substring_dedup(spark, group):
     rng = random.Random(12)
