@@ -52,6 +52,14 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Removes the files of a stashed table that nothing reads any more."""
+    jvm, files = table.sparkSession._jvm, table.inputFiles()
+    if files:
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, tid and the text's bytes. Rows that agree in doc_id and text are one document; tid tells other rows apart."""
     return docs.select("doc_id", F.xxhash64("text").alias("tid"), F.col("text").cast("binary").alias("text"))

@@ -7,7 +7,8 @@
    task, the windows are grouped instead, by 128-bit digest, summed up in each task first.
 3. What was found is joined to the documents.
 
-Rows that agree in doc_id and in a 64-bit hash of the text are one document.
+Rows that agree in doc_id and in a 64-bit hash of the text are one document. Intermediate tables are written, and removed
+once the next one is there.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.anchors import runs
-from ledgerlake.llm.common import by_slice, keyed, stash
+from ledgerlake.llm.common import by_slice, forget, keyed, stash
 
 #: Symbols' identifiers, sequence ends, bytes, and where each symbol starts and stops in them.
 Laid = tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]
@@ -54,11 +55,15 @@ class Kind:
     group: int
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+def with_keys(docs: DataFrame) -> DataFrame:
+    """doc_id, tid and the text's bytes; where no id is null or repeated, tid is zero and costs nothing to carry along."""
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    again = ids.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
+    rows = keyed(ids)
+    return rows.withColumn("tid", F.lit(0).cast("bigint")) if again.isEmpty() else rows
 
 
-def _runs(docs: DataFrame, kind: Kind) -> DataFrame:
+def _runs(texts: DataFrame, kind: Kind) -> DataFrame:
     """A row for each run: its document, anchor, digest of its content, first window start, and windows."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -75,13 +80,12 @@ def _runs(docs: DataFrame, kind: Kind) -> DataFrame:
         take = pa.array(of)
         return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, cols)], ["doc_id", "tid", "a", "h1", "h2", "lo", "n"])
 
-    return _keyed(docs).mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid bigint, a bigint, h1 bigint, h2 bigint, lo int, n int")
+    return texts.mapInArrow(by_slice(work, ROWS), "doc_id bigint, tid bigint, a bigint, h1 bigint, h2 bigint, lo int, n int")
 
 
-def _fetch(docs: DataFrame, reps: DataFrame, kind: Kind) -> DataFrame:
+def _fetch(texts: DataFrame, reps: DataFrame, kind: Kind) -> DataFrame:
     """a, doc_id, tid, lo, occurs, kinds and the content of each run in reps; a document goes once, with all its runs."""
     lists = reps.groupBy(F.col("doc_id").alias("d"), F.col("tid").alias("t")).agg(F.collect_list(F.struct("a", "lo", "n", "occurs", "kinds")).alias("runs"))
-    texts = _keyed(docs).dropDuplicates(["doc_id", "tid"]) if kind.spare_first else _keyed(docs)
     joined = texts.join(lists, texts["doc_id"].eqNullSafe(lists["d"]) & (texts["tid"] == lists["t"])).select("doc_id", "tid", "text", "runs")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -173,35 +177,43 @@ def _grouped(contents: DataFrame, kind: Kind) -> DataFrame:
     return found.select("doc_id", "tid", "lo", F.col("lo").alias("hi"))
 
 
-def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
-    """doc_id, tid and ranges, the window starts to be marked, of every document that has some."""
-    found = stash(_runs(docs, kind), "runs")
+def repeated(texts: DataFrame, kind: Kind) -> DataFrame:
+    """doc_id, tid and ranges, the window starts to be marked, of every document of :func:`with_keys` that has some."""
+    found = stash(_runs(texts, kind), "runs")
     place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), "lo", "tid", "n")
     kinds = stash(found.groupBy("a", "h1", "h2").agg(F.count("*").alias("occurs"), F.min(place).alias("first")), "kinds")
     several = stash(kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "anchors")
     small = several.count() <= BROADCAST_ROWS
     notable = kinds.join(F.broadcast(several) if small else several, "a", "left").select("a", "h1", "h2", "occurs", F.coalesce("kinds", F.lit(1)).alias("kinds"), "first")
     notable = stash(notable.filter("occurs > 1 or kinds > 1"), "notable")
-    doc = F.when(F.col("first.d") != LAST, F.col("first.d")).alias("doc_id")
-    reps = notable.filter("kinds > 1").select("a", "occurs", "kinds", doc, *[F.col(f"first.{c}").alias(c) for c in ("tid", "lo", "n")])
+    forget(kinds)
+    forget(several)
     again = notable.filter("occurs > 1").select("h1", "h2", F.col("first.d").alias("d"), F.col("first.lo").alias("s"), F.col("first.tid").alias("t"))
     settled = found.drop("a").join(again, ["h1", "h2"])
     if kind.spare_first:
         settled = settled.filter((F.coalesce("doc_id", F.lit(LAST)) != F.col("d")) | (F.col("lo") != F.col("s")) | (F.col("tid") != F.col("t")))
-    marks = settled.select("doc_id", "tid", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
-    contents = _fetch(docs, reps, kind)
+    settled = stash(settled.select("doc_id", "tid", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")), "settled")
+    forget(found)
+    doc = F.when(F.col("first.d") != LAST, F.col("first.d")).alias("doc_id")
+    reps = notable.filter("kinds > 1").select("a", "occurs", "kinds", doc, *[F.col(f"first.{c}").alias(c) for c in ("tid", "lo", "n")])
+    contents = _fetch(texts, reps, kind)
     if reps.filter(F.col("kinds") > kind.group).isEmpty():
-        marks = marks.unionByName(_bucketed(contents, kind))
+        within = _bucketed(contents, kind)
     else:
         contents = stash(contents, "contents")
         hot = F.col("kinds") > kind.group
-        marks = marks.unionByName(_bucketed(contents.filter(~hot), kind)).unionByName(_grouped(contents.filter(hot), kind))
-    return marks.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-
-
-def with_ranges(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """doc_id, text (its bytes) and ranges (null if none) for every row of docs."""
-    texts, marks = _keyed(docs), marks.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "ranges")
+        within = _bucketed(contents.filter(~hot), kind).unionByName(_grouped(contents.filter(hot), kind))
+    marks = settled.unionByName(within)
+    ranges = stash(marks.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
+    for table in (notable, settled):
+        forget(table)
+    return ranges
+
+
+def with_ranges(docs: DataFrame, kind: Kind) -> DataFrame:
+    """doc_id, text (its bytes) and ranges of repeated windows (null if none) for every row of docs."""
+    texts = with_keys(docs)
+    marks = repeated(texts, kind).select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "ranges")
     return texts.join(marks, texts["doc_id"].eqNullSafe(marks["d"]) & (texts["tid"] == marks["t"]), "left").select("doc_id", F.coalesce("text", F.lit(b"")).alias("text"), "ranges")
 
 

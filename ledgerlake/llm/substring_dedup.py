@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlake.llm.anchors import mix
 from ledgerlake.llm.common import by_slice
-from ledgerlake.llm.passages import Buckets, Kind, Laid, covered, repeated, with_ranges
+from ledgerlake.llm.passages import Buckets, Kind, Laid, covered, with_ranges
 
 WINDOW, GRAM, GROUP = 20, 4, 50_000
 #: Words of the prefixes by which a task splits its suffixes.
@@ -118,7 +118,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFram
     and text are one document and are cut alike. Returns for each row doc_id, kept (words joined by a space), n_words
     and n_removed. A null text has no words. An empty table gives an empty result. window is at least 2 * GRAM.
     """
-    rows = with_ranges(docs, repeated(docs, kind(window, group)))
+    rows = with_ranges(docs, kind(window, group))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []

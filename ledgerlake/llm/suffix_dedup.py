@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlake.llm.anchors import mix
 from ledgerlake.llm.common import by_slice
-from ledgerlake.llm.passages import Buckets, Kind, Laid, covered, repeated, with_ranges
+from ledgerlake.llm.passages import Buckets, Kind, Laid, covered, with_ranges
 
 WINDOW, GRAM, GROUP = 400, 64, 8000
 #: Bytes of the grams that make the initial buckets.
@@ -84,7 +84,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFram
     repeat a text are copies of each other, also under one doc_id. An empty table gives an empty result. window is at
     least 2 * GRAM.
     """
-    rows = with_ranges(docs, repeated(docs, kind(window, group)))
+    rows = with_ranges(docs, kind(window, group))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
