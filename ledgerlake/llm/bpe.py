@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import by_slice
 
-#: Fragments that a worker remembers; when full it starts anew, which changes no result.
-CACHE = 600_000
+#: Fragments of up to KNOWN bytes that a worker remembers, 80 MB at most; when full it starts anew. Longer ones are
+#: merged each time. Neither changes a result.
+CACHE, KNOWN = 400_000, 48
 #: Bytes up to which pieces are merged many at a time.
 SHORT = 200
-#: Byte sequences of white space outside ASCII; texts with one are pre-tokenised whole.
-ODD_SPACES = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+#: White space outside ASCII, as patterns of bytes: no cut between one and a space, for they may be one piece.
+ODD_SPACES = (rb"\xc2[\x85\xa0]", rb"\xe1\x9a\x80", rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]", rb"\xe2\x81\x9f", rb"\xe3\x80\x80")
 # Fixed value: the pre-tokeniser's pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -39,6 +40,25 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Known(dict):
+    """Ids of fragments: special tokens, those that are remembered, and those of the texts at hand."""
+
+    def __init__(self, special: dict[bytes, bytes]):
+        super().__init__(special)
+        self.special, self.at_hand = special, {}
+
+    def __missing__(self, fragment: bytes) -> bytes:
+        return self.at_hand[fragment]
+
+    def forget(self) -> None:
+        self.clear()
+        self.update(self.special)
+
+    def learn(self, ids: dict[bytes, bytes]) -> None:
+        self.at_hand = ids
+        self.update((x, i) for x, i in ids.items() if len(x) <= KNOWN)
+
+
 class ByteBPE:
     """Encoder and decoder for one tokenizer file; built once in each worker."""
 
@@ -60,10 +80,11 @@ class ByteBPE:
             self.never[a, b] = False
         left = [a for a in (*range(0x21, 0x7F), *range(0x80, 0xC0)) if self.never[a, 0x20]]
         self.no_cut = re.compile(b"[" + b"".join(re.escape(bytes([a])) for a in range(256) if a not in set(left)) + b"] ")
-        self.cut = re.compile(b"(?<=[" + b"".join(re.escape(bytes([a])) for a in left) + b"])(?= )")
+        self.cut = re.compile(b"".join(b"(?<!" + x + b")" for x in ODD_SPACES) + b"(?<=[" + b"".join(re.escape(bytes([a])) for a in left) + b"])(?= )")
+        self.odd = re.compile(b"|".join(x + b" " for x in ODD_SPACES))
         self.words = regex.compile(PATTERN)
         self.specials = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
-        self.known: dict[bytes, bytes] = {}
+        self.known = Known({s: array("i", [i]).tobytes() for s, i in self.special.items()})
 
     def _build_table(self) -> None:
         """Open-addressed arrays that find the merges of many pairs at once."""
@@ -144,8 +165,8 @@ class ByteBPE:
         flat, ends = ids[order].tobytes(), 4 * np.cumsum(np.bincount(piece, minlength=len(pieces)))
         return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
-    def _learn(self, fragments: set[bytes]) -> None:
-        """Adds fragments that the pre-tokeniser would cut off as well to those known."""
+    def _ids(self, fragments: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of fragments that the pre-tokeniser would cut off as well."""
         words = {}
         for x in fragments:
             t = x.decode()
@@ -154,7 +175,7 @@ class ByteBPE:
         short = [w for w in pieces if len(w) <= SHORT]
         ids = dict(zip(short, self._merge(short) if short else [], strict=True))
         ids |= {w: self._cut_long(w) for w in pieces if len(w) > SHORT}
-        self.known |= {x: b"".join([ids[w] for w in ws]) for x, ws in words.items()}
+        return {x: b"".join([ids[w] for w in ws]) for x, ws in words.items()}
 
     def _cut_long(self, piece: bytes) -> bytes:
         b = np.frombuffer(piece, np.uint8)
@@ -163,9 +184,7 @@ class ByteBPE:
 
     def _split(self, text: bytes) -> list[bytes]:
         """Fragments at whose ends the pre-tokeniser cuts whatever stands around."""
-        if any(s in text for s in ODD_SPACES):
-            return [text]
-        if self.no_cut.search(text):
+        if self.no_cut.search(text) or self.odd.search(text):
             return self.cut.split(text)
         head, *tail = text.split(b" ")
         return [head, *[b" " + x for x in tail]]
@@ -177,13 +196,9 @@ class ByteBPE:
             whole = self.specials is None or not any(s in t for s in self.special)
             split.append(self._split(t) if whole else [y for x in self.specials.split(t) for y in ([x] if x in self.special else self._split(x))])
         if len(self.known) > CACHE:
-            self.known.clear()
-        new = set().union(*split) - self.known.keys()
-        if new:
-            self._learn(new)
-        special = {s: array("i", [i]).tobytes() for s, i in self.special.items()}
-        ids = self.known | special if special.keys() & set().union(*split) else self.known
-        return [b"".join(map(ids.__getitem__, x)) for x in split]
+            self.known.forget()
+        self.known.learn(self._ids(set().union(*split) - self.known.keys()))
+        return [b"".join(map(self.known.__getitem__, x)) for x in split]
 
     def decode(self, ids: bytes) -> str:
         """Text of packed ids, special tokens included."""

@@ -7,7 +7,6 @@ The parses of many texts by all languages advance together, a symbol at a time,
 
 from __future__ import annotations
 
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -20,12 +19,14 @@ from pyspark.sql.window import Window
 from ledgerlake.llm.automaton import SuffixAutomaton
 from ledgerlake.llm.common import by_slice, is_in_fold
 
-#: Symbols of training text for each language, documents they come from at most, and symbols taken from each.
-TRAIN_SYMBOLS, TRAIN_DOCS, DOC_SYMBOLS = 16_384, 64, 512
-#: Languages that one model can hold.
-MAX_LANGUAGES = 500
-#: A text is parsed in stretches of so many symbols; a phrase ends where a stretch does.
-STRETCH = 1024
+#: Characters of training text for each language, and for all together; labelled rows they come from at most. Whole
+#: texts are taken until there are so many, those of up to LONG_TEXT characters first.
+TRAIN_SYMBOLS, ALL_SYMBOLS, TRAIN_DOCS, LONG_TEXT = 24_000, 500_000, 64, 8_000
+#: Long texts are parsed in stretches of so many symbols, side by side, and joined to one parse after; of each stretch,
+#: the phrases that begin in its first JOIN symbols are remembered. Both only set the pace.
+STRETCH, JOIN = 1024, 256
+#: Stretches of long texts that are held at once, times languages.
+HELD = 100_000
 #: Rows that are parsed together.
 ROWS = 4000
 HELD_OUT = (4, 2)
@@ -55,11 +56,12 @@ class Model:
             fresh = np.where(step[0] < 0, 0, step[0])  # a new phrase begins with the symbol that ended the last
             step = np.where(none, fresh[None, :], step)
             none[0] = True  # at the root any symbol begins a phrase
-            rows.append(((at + step) * width * 2 + none).astype(np.int32))
+            rows.append((at + step) * width * 2 + none)
             self.root.append(at * width)
             self.bits.append(np.log2(max(2, n)))
             at += n
-        self.table = np.concatenate(rows).ravel() if rows else np.zeros(0, np.int32)
+        table = np.concatenate(rows).ravel() if rows else np.zeros(0, np.int64)
+        self.table = table.astype(np.int32) if at * width < 1 << 29 else table
 
     def symbols(self, text: bytes) -> np.ndarray:
         c = self.code[np.frombuffer(text, np.uint8)]
@@ -69,24 +71,78 @@ class Model:
         """Bits a symbol of each text, by language."""
         coded = [self.symbols(t) for t in texts]
         size = np.array([len(c) for c in coded], np.int64)
-        parts = -(-size // STRETCH)
-        doc = np.repeat(np.arange(len(texts)), parts)
-        begin = np.repeat(np.cumsum(size) - size, parts)
-        within = (np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)) * STRETCH
-        length = np.minimum(np.repeat(size, parts) - within, STRETCH)
-        order = np.argsort(-length, kind="stable")
-        doc, start, length = doc[order], (begin + within)[order], length[order]
-        flat = np.r_[np.concatenate(coded) if coded else np.zeros(0, np.uint8), np.zeros(STRETCH, np.uint8)]
-        count = np.zeros((len(self.langs), len(doc)), np.int32)
-        state = np.repeat(np.array(self.root, np.int32)[:, None], len(doc), axis=1)
-        active = np.searchsorted(-length, -np.arange(1, STRETCH + 1), side="right")
-        for t in range(int(length[0]) if len(length) else 0):
+        phrases = np.zeros((len(texts), len(self.langs)), np.int64)
+        short = np.flatnonzero(size <= STRETCH)
+        phrases[short] = self._advance([coded[i] for i in short])[0].T
+        held: list[int] = []
+        for i in np.flatnonzero(size > STRETCH).tolist():
+            held.append(i)
+            if size[held].sum() * len(self.langs) >= HELD * STRETCH:
+                phrases[held] = [self._joined(x) for x in self._in_stretches([coded[k] for k in held])]
+                held = []
+        if held:
+            phrases[held] = [self._joined(x) for x in self._in_stretches([coded[k] for k in held])]
+        return phrases * np.array(self.bits) / np.maximum(size, 1)[:, None]
+
+    def _advance(self, parts: list[np.ndarray], first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Parses of parts from their starts, a symbol of all at a time: phrases and last state by language and part,
+        and whether a phrase begins at each of the ``first`` symbols."""
+        size = np.array([len(c) for c in parts], np.int64)
+        order = np.argsort(-size, kind="stable")
+        length, start = size[order], (np.cumsum(size) - size)[order]
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        count = np.zeros((len(self.langs), len(parts)), np.int64)
+        marks = np.zeros((len(self.langs), len(parts), first), bool)
+        state = np.repeat(np.array(self.root, self.table.dtype)[:, None], len(parts), axis=1)
+        longest = int(length[0]) if len(length) else 0
+        active = np.searchsorted(-length, -np.arange(1, longest + 1), side="right")
+        for t in range(longest):
             n = active[t]
-            got = self.table[state[:, :n] + flat[start[:n] + t].astype(np.int32)]
-            count[:, :n] += got & 1
+            got = self.table[state[:, :n] + flat[start[:n] + t].astype(self.table.dtype)]
+            new = got & 1
+            count[:, :n] += new
+            if t < first:
+                marks[:, :n, t] = new
             state[:, :n] = got >> 1
-        phrases = np.stack([np.bincount(doc, c, len(texts)) for c in count], axis=1)
-        return phrases * np.array(self.bits) / np.maximum(size, 1)[:, None]
+        back = np.argsort(order)
+        return count[:, back], state[:, back], marks[:, back]
+
+    def _in_stretches(self, texts: list[np.ndarray]):
+        """Stretches of each text, with what :meth:`_advance` says of them."""
+        parts = [[c[k : k + STRETCH] for k in range(0, len(c), STRETCH)] for c in texts]
+        count, state, marks = self._advance([p for ps in parts for p in ps], JOIN)
+        at = 0
+        for ps in parts:
+            yield ps, count[:, at : at + len(ps)], state[:, at : at + len(ps)], marks[:, at : at + len(ps)]
+            at += len(ps)
+
+    def _joined(self, x) -> list[int]:
+        """Phrases of the parse of a whole text, by language.
+
+        The phrase that is open at the end of a stretch is carried into the next one, symbol by symbol, until a phrase
+        begins where one of that stretch's own parse does; from there on the two are the same.
+        """
+        parts, count, state, marks = x
+        out = []
+        for k in range(len(self.langs)):
+            total, at = int(count[k, 0]), int(state[k, 0])
+            for p in range(1, len(parts)):
+                begun, met = 0, False
+                for t, c in enumerate(parts[p].tolist()):
+                    got = int(self.table[at + c])
+                    at = got >> 1
+                    if got & 1:
+                        if t < JOIN and marks[k, p, t]:
+                            met = True
+                            break
+                        begun += 1
+                if met:
+                    total += begun + int(count[k, p]) - int(marks[k, p, :t].sum())
+                    at = int(state[k, p])
+                else:
+                    total += begun
+            out.append(total)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -97,22 +153,40 @@ def model(texts: tuple[tuple[str, bytes], ...]) -> Model:
 def train(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
     """Training text of each language, from a bounded sample of rows with text and lang.
 
-    For each language the TRAIN_DOCS rows with the lowest hash of doc_id give DOC_SYMBOLS symbols each, until there
-    are TRAIN_SYMBOLS; a text met before is passed over. Rows without text or lang are not used.
+    For each language, the TRAIN_DOCS rows with the lowest hash of doc_id are ordered by it and give whole texts until
+    TRAIN_SYMBOLS characters, or the language's share of ALL_SYMBOLS, are passed. Texts over LONG_TEXT characters come
+    after all others, the shortest first, so that one of them is taken only where a language has no other, and then
+    whole. A text met before is passed over. Rows without text, lang or doc_id are not used.
     """
-    ids = labelled.filter("lang is not null and text is not null").select("lang", "doc_id")
-    best = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = ids.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= TRAIN_DOCS).drop("n")
-    count = picked.agg(F.countDistinct("lang")).first()[0]
-    if count > MAX_LANGUAGES:
-        raise ValueError(f"{count} languages; a model holds {MAX_LANGUAGES}")
-    sample = labelled.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "doc_id", F.lower(F.substring("text", 1, 4 * DOC_SYMBOLS)).alias("text"))
+    ids = labelled.filter("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", F.length("text").alias("size"))
+    long = F.when(F.col("size") > LONG_TEXT, F.col("size")).otherwise(0)
+    best = Window.partitionBy("lang").orderBy(long, F.xxhash64("doc_id"), "doc_id", "size")
+    rows = ids.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= TRAIN_DOCS).collect()
+    order: dict[str, list] = {}
+    for r in sorted(rows, key=lambda r: (r.lang, r.n)):
+        order.setdefault(r.lang, []).append(r)
+    budget = min(TRAIN_SYMBOLS, ALL_SYMBOLS // max(1, len(order)))
+    wanted, chosen = {}, []
+    for lang, rs in order.items():
+        total = 0
+        for r in rs:
+            if total >= budget or (total and r.size > LONG_TEXT):
+                break
+            total += r.size
+            wanted[lang, r.doc_id, r.size] = r.n
+            chosen.append((lang, r.doc_id, r.size))
+    if not chosen:
+        return ()
+    kinds = ids.schema
+    picked = labelled.sparkSession.createDataFrame(list(dict.fromkeys(chosen)), kinds)
+    low = labelled.select("lang", "doc_id", F.length("text").alias("size"), F.lower("text").alias("text"))
+    sample = low.join(F.broadcast(picked), kinds.names, "left_semi").distinct().collect()
     texts: dict[str, list[bytes]] = {}
-    for r in sorted(sample.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), str(r.doc_id))):
-        part, have = r.text.encode()[: 2 * DOC_SYMBOLS], texts.setdefault(r.lang, [])
-        if part not in have and sum(map(len, have)) < TRAIN_SYMBOLS:
-            have.append(part)
-    return tuple((k, b" ".join(v)[: 2 * TRAIN_SYMBOLS]) for k, v in sorted(texts.items()))
+    for r in sorted(sample, key=lambda r: (r.lang, wanted[r.lang, r.doc_id, r.size], r.text)):
+        have = texts.setdefault(r.lang, [])
+        if r.text.encode() not in have:
+            have.append(r.text.encode())
+    return tuple((k, b" ".join(v)) for k, v in sorted(texts.items()))
 
 
 def predict(docs: DataFrame, texts: tuple[tuple[str, bytes], ...], keep_columns: bool = False, prefix: str = "") -> DataFrame:

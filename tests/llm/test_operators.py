@@ -169,13 +169,16 @@ def test_language(spark, odd_texts):
     assert kept.columns == SCHEMA.replace(",", "").split()[::2] and kept.count() == len(odd_texts) - 3
 
 
-def test_cross_parsing_counts_phrases():
+@pytest.mark.parametrize(("stretch", "join", "longest"), [(1024, 256, 200), (1024, 256, 5000), (64, 8, 500), (5, 2, 300), (64, 0, 300)])
+def test_cross_parsing_counts_phrases(monkeypatch, stretch, join, longest):
     """Against a parse that searches the training text anew for each phrase."""
+    monkeypatch.setattr(langid, "STRETCH", stretch)
+    monkeypatch.setattr(langid, "JOIN", join)
     rng = random.Random(2)
     texts = tuple((k, "".join(rng.choice(c) for _ in range(300)).encode()) for k, c in (("x", "abcd "), ("y", "cdef ")))
     m = langid.Model(texts)
     for _ in range(30):
-        t = "".join(rng.choice("abcdefg ") for _ in range(rng.randrange(1, 200))).encode()
+        t = "".join(rng.choice("abcdefg ") for _ in range(rng.randrange(longest // 2, longest))).encode()
         s = bytes(m.symbols(t).tolist())
         for k, (_, train) in enumerate(texts):
             hay, at, phrases = bytes(m.symbols(train).tolist()), 0, 0
@@ -186,10 +189,30 @@ def test_cross_parsing_counts_phrases():
                 if s[at : at + 1] not in hay:
                     n = 1
                 at, phrases = at + n, phrases + 1
-            got = m.rates([t])[0, k] * len(s) / m.bits[k]
+            got = m.rates([b"", b"ab", t])[2, k] * len(s) / m.bits[k]
             assert abs(got - phrases) < 1e-6, (t, got, phrases)
 
 
+def test_language_with_odd_rows(spark):
+    """Rows without id, ties, long texts, many copies, more rows than are learned from."""
+    rng = random.Random(21)
+    speak = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(n))
+    rows = [(i, speak("aeiou", 80), "x") for i in range(90)] + [(100 + i, speak("bcdfg", 80), "y") for i in range(90)]
+    rows += [(None, speak("aeiou", 9), "y"), (300, speak("hjklm", 4000), "z"), (301, speak("hjklm", 5000), "z"), (302, None, "z")] + [(303, speak("bcdfg", 3), "y")] * 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    texts = dict(langid.train(docs))
+    assert set(texts) == {"x", "y", "z"} and texts["z"] == rows[181][1].encode()
+    assert all(len(t) < langid.TRAIN_SYMBOLS + langid.LONG_TEXT for k, t in texts.items() if k != "z")
+    whole = {r[1] for r in rows if r[1]}
+    assert all(t.decode() in whole or len(t) > 1000 for t in texts.values())
+    got = langid.predict(spark.createDataFrame([(1, speak("aeiou", 9000)), (2, speak("bcdfg", 5)), (None, speak("hjklm", 50)), (4, "aeiou uoiea aeoui"), (4, "aeiou uoiea aeoui")], "doc_id bigint, text string"), langid.train(docs)).collect()
+    assert sorted(r.lang_pred for r in got) == ["x", "x", "x", "y", "z"]
+    same = (("p", b"abc"), ("q", b"abc"))
+    tie = langid.predict(spark.createDataFrame([(1, "abcabc")], "doc_id bigint, text string"), same).first()
+    assert tie.lang_pred == "p" and tie.score == 0
+    assert langid.train(docs.limit(0)) == () and langid.identify(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("group", [8000, 1])
 def test_suffix_dedup(spark, group):
     rng = random.Random(11)
@@ -291,7 +314,7 @@ def test_substring_dedup_of_repeated_rows(spark, group):
 def test_bpe_equals_the_library(spark, odd_texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
     lib = Tokenizer.from_file(path)
-    hard = ["  two  spaces ", "it's he'll 'sa", "x\n y\n\n  z\t", "<|endoftext|>a <|endoftext|>", "é  b　c", "\x00\x1c\x1f", "日本語 テスト 123abc", "a" * 500 + " b", " lead", "trail ", "\U0001f600 ok", "naïve—“quote”…"]
+    hard = ["  two  spaces ", "it's he'll 'sa", "x\n y\n\n  z\t", "<|endoftext|>a <|endoftext|>", "é  b　c", "\x00\x1c\x1f", "日本語 テスト 123abc", "a" * 500 + " b", " lead", "trail ", "\U0001f600 ok", "naïve—“quote”…", "a\u2003 b\u00a0 \u00a0c \u3000 d\u2028  e", "“x” – y’s\u202f z\x85 q"]
     texts = [*odd_texts, *hard]
     docs = table(spark, texts)
     got = bpe.encode_decode(docs.unionByName(docs.filter("doc_id = 4")), path).collect()
@@ -302,6 +325,19 @@ def test_bpe_equals_the_library(spark, odd_texts):
     assert bpe.encode_decode(docs.limit(0), path).count() == 0
 
 
+def test_bpe_remembers_little(monkeypatch):
+    """Many long texts, with and without places to cut, under a small bound."""
+    monkeypatch.setattr(bpe, "CACHE", 500)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder, lib, rng = bpe.ByteBPE(path), Tokenizer.from_file(path), random.Random(8)
+    letter = lambda: rng.choice("abcdefghijklmnop“”’…é日")
+    for k in range(100):
+        texts = ["“" + "".join(letter() for _ in range(rng.randrange(300))) + "” \u00a0 " + prose(rng, 30, 9000) + "<|endoftext|>" * (k % 3) for _ in range(20)]
+        assert coder.encode_all([t.encode() for t in texts[:1]])[0] == bytes().join(i.to_bytes(4, "little") for i in lib.encode(texts[0], add_special_tokens=False).ids)
+        coder.encode_all([t.encode() for t in texts])
+        assert len(coder.known) < 500 + 2000 and max(map(len, coder.known)) <= bpe.KNOWN
+
+
 @pytest.mark.parametrize("group", [4096, 5])
 def test_simhash(spark, odd_texts, monkeypatch, group):
     monkeypatch.setattr(simhash, "GROUP", group)
