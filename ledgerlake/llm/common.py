@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that are worked on at once; bounds the output held by a task.
 SLICE = 1000
+#: Rows of one key from which it is joined apart, and such keys that are broadcast at most (some 100 bytes each).
+HOT, MOST_HOT = 1000, 100_000
 #: Spark's setting that removes a query's shuffle files when it ends.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -70,6 +72,23 @@ def same_doc(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tid"] == b["tid"])
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, key: list[str], count: str) -> DataFrame:
+    """``rows`` joined to ``groups`` (key, ``count``, the rows that a key has, and more), with keys that have very many apart.
+
+    Keys of over HOT rows are broadcast, so that their rows stay where they are; all others are joined by a shuffle.
+    Where more keys than MOST_HOT have so many rows, only those with still more are broadcast.
+    """
+    least, n = HOT, groups.filter(F.col(count) > HOT).count()
+    while n > MOST_HOT:
+        least *= 10
+        n = groups.filter(F.col(count) > least).count()
+    if not n:
+        return rows.join(groups, key)
+    few = groups.filter(F.col(count) > least)
+    rest = rows.join(F.broadcast(few.select(*key)), key, "left_anti").join(groups.filter(F.col(count) <= least), key)
+    return rows.join(F.broadcast(few), key).unionByName(rest)
+
+
 def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = SLICE) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows."""
 

@@ -1,32 +1,51 @@
 """Line deduplication over content-defined chunks of lines.
 
-The hashes of lines choose the boundaries, so an inserted line moves those around it and no others. A line long enough
-to be removed is a chunk of its own, shorter ones are gathered. Chunks that occur more than once anywhere are removed
-but for their first occurrence, after their bytes were compared.
+Long lines are broken at sentence ends. The hashes of lines choose the boundaries, so an inserted line moves those
+around it and no others: a line long enough to be removed is a chunk of its own, shorter ones are gathered. Chunks that
+occur more than once anywhere are removed but for their first occurrence, after their bytes were compared.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import by_slice, keyed, stash
+from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash
 
-#: Short lines for each one that may end a chunk; lines and bytes that a chunk needs to be removed.
+#: Short lines for each one that may end a chunk; lines and bytes that a chunk needs to be removed. Documented with
+#: :func:`dedup`: repeats shorter than MIN_BYTES are everyday phrases, and stay.
 MEAN, MIN_LINES, MIN_BYTES = 2, 1, 40
+#: Where a text is broken into lines: at ``\\n``, and at white space after a sentence's end.
+BREAK = re.compile(rb"\n|(?<=[.!?])[ \t]+")
+
+
+def split(text: bytes) -> tuple[list[bytes], list[bytes]]:
+    """Lines of a text, and what separates each from the next (nothing after the last)."""
+    lines, between, at = [], [], 0
+    for m in BREAK.finditer(text):
+        lines.append(text[at : m.start()])
+        between.append(m[0])
+        at = m.end()
+    return [*lines, text[at:]], [*between, b""]
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
-    """First line, line after the last, and bytes of each chunk of a text; ``\\n`` splits lines.
+    """First line, line after the last, and bytes of each chunk of a text.
 
     A line of MIN_BYTES is a chunk. Shorter ones between such lines are cut after a line whose hash is divisible by
     MEAN, once MIN_BYTES are together.
     """
-    lines = text.split(b"\n")
-    size = np.array([len(x) for x in lines])
+    lines, _ = split(text)
+    return _chunks(lines)
+
+
+def _chunks(lines: list[bytes]) -> list[tuple[int, int, int]]:
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
     far = np.cumsum(size + 1)
     alone = size >= MIN_BYTES
     must = alone | np.r_[alone[1:], True]
@@ -41,12 +60,30 @@ def chunks(text: bytes) -> list[tuple[int, int, int]]:
 
 
 def _each(text: bytes):
-    """First line, line after the last, and content of the chunks that may be removed."""
-    at = 0
-    for a, b, size in chunks(text):
-        if b - a >= MIN_LINES and size >= MIN_BYTES and text[at : at + size].strip():
-            yield a, b, text[at : at + size]
-        at += size + 1
+    """First line, line after the last, and content of the chunks that may be removed; a chunk's lines are joined by ``\\n``."""
+    lines, _ = split(text)
+    for a, b, size in _chunks(lines):
+        if b - a >= MIN_LINES and size >= MIN_BYTES:
+            part = b"\n".join(lines[a:b])
+            if part.strip():
+                yield a, b, part
+
+
+def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """Text without some ranges of lines; a line break that a removed line ends with stays if its line began before it."""
+    lines, between = split(text)
+    out: list[bytes] = []
+    removed = set()
+    for a, b in gone:
+        removed.update(range(a, b))
+    for i, (line, after) in enumerate(zip(lines, between, strict=True)):
+        if i not in removed:
+            out += [line, after]
+        elif after in (b"\n", b"") and out and out[-1] != b"\n":
+            out[-1] = after
+    if len(lines) - 1 in removed and out:
+        out[-1] = b""
+    return b"".join(out)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -74,7 +111,7 @@ def _contents(marked: DataFrame) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         h1, h2, data = [], [], []
         for t, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            lines = t.split(b"\n")
+            lines, _ = split(t)
             for m in marks:
                 h1.append(m["h1"])
                 h2.append(m["h2"])
@@ -103,11 +140,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     found = stash(occurrences(docs), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "start")
-    again = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
-    chunks_ = found.join(again, ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first")))
+    again = stash(found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1"), "again")
+    chunks_ = join_counted(found, again, ["h1", "h2"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
     marked = _marked(docs, chunks_)
     differ = stash(_contents(marked).groupBy("h1", "h2").agg(F.min("data").alias("a"), F.max("data").alias("b")).filter("a <> b").select("h1", "h2"), "differ")
-    return marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, ["h1", "h2"], "left_anti"))
+    same = marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, ["h1", "h2"], "left_anti"))
+    for table in (found, again, differ):
+        forget(table)
+    return same
 
 
 def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
@@ -118,13 +158,11 @@ def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, lines, removed = [], [], []
         for t, marks in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
-            parts = (t or "").split("\n")
-            lines.append(len(parts))
-            gone = [m for m in marks or () if not m["is_first"]]
-            for m in reversed(gone):
-                del parts[m["start"] : m["end"]]
-            removed.append(lines[-1] - len(parts))
-            texts.append("\n".join(parts) if gone else t)
+            text = (t or "").encode()
+            gone = [(m["start"], m["end"]) for m in marks or () if not m["is_first"]]
+            lines.append(1 + sum(1 for _ in BREAK.finditer(text)))
+            removed.append(sum(b - a for a, b in gone))
+            texts.append(without(text, gone).decode() if gone else t)
         cols = list(batch.columns[: len(columns)])
         cols[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays([*cols, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], [*columns, "__lines", "__removed"])
@@ -135,6 +173,9 @@ def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """docs with repeated chunks of lines removed but for their first occurrence. All columns are kept, in order.
 
+    Lines end at ``\\n`` and after sentences. A chunk is a line of MIN_BYTES or more, or several shorter ones that have so
+    many together; what is shorter stays, however often it occurs. A passage that differs in a word keeps the lines
+    around that word only where they are not repeated.
     n_chars, if there, is counted anew where a text changed. A document of which nothing is left is removed; one that
     was null or empty before stays. Rows that repeat both id and text are one document and are cut alike. An empty
     table gives an empty result.

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.anchors import runs
-from ledgerlake.llm.common import by_slice, forget, keyed, stash
+from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash
 
 #: Symbols' identifiers, sequence ends, bytes, and where each symbol starts and stops in them.
 Laid = tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]
@@ -188,8 +188,8 @@ def repeated(texts: DataFrame, kind: Kind) -> DataFrame:
     notable = stash(notable.filter("occurs > 1 or kinds > 1"), "notable")
     forget(kinds)
     forget(several)
-    again = notable.filter("occurs > 1").select("h1", "h2", F.col("first.d").alias("d"), F.col("first.lo").alias("s"), F.col("first.tid").alias("t"))
-    settled = found.drop("a").join(again, ["h1", "h2"])
+    again = notable.filter("occurs > 1").select("h1", "h2", "occurs", F.col("first.d").alias("d"), F.col("first.lo").alias("s"), F.col("first.tid").alias("t"))
+    settled = join_counted(found.drop("a"), again, ["h1", "h2"], "occurs")
     if kind.spare_first:
         settled = settled.filter((F.coalesce("doc_id", F.lit(LAST)) != F.col("d")) | (F.col("lo") != F.col("s")) | (F.col("tid") != F.col("t")))
     settled = stash(settled.select("doc_id", "tid", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")), "settled")

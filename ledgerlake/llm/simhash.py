@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import by_slice, keyed, stash
+from ledgerlake.llm.common import by_slice, join_counted, keyed, stash
 from ledgerlake.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
@@ -166,11 +166,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     never expanded into pairs. An empty table gives an empty result.
     """
     rows = stash(fingerprints(docs), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    classes = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "classes")
     roots = components(links(classes.select("fp")))
-    named = classes.join(roots, classes.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    named = classes.join(roots, classes.fp == roots.node, "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(named.select("fp", "root"), "fp").join(least, "root").select("doc_id", "tid", "fp", "root", "component_id")
+    named = stash(named.join(least, "root").select("fp", "n", "root", "component_id"), "named")
+    return join_counted(rows, named, ["fp"], "n").select("doc_id", "tid", "fp", "root", "component_id")
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -100,11 +100,16 @@ def components(rows: list[tuple[int, int]], bits: int = 3) -> list[int]:
     return [min(low[find(i)]) for i in range(len(rows))]
 
 
+def lines_of(text: str) -> list[str]:
+    """Lines, and sentences within them, each with the white space that ends it."""
+    return re.findall(r"[^\n]*?(?:\n|(?<=[.!?])[ \t]+|$)", text)[: 1 + len(re.findall(r"\n|(?<=[.!?])[ \t]+", text))]
+
+
 def cut_lines(rows: list[tuple[int, str]], chunks, least: int, size: int) -> dict[int, list[tuple[int, int]]]:
     """Line ranges to cut from each text, rows in order of doc_id."""
     seen, cut, count, found = set(), defaultdict(list), Counter(), []
     for d, t in rows:
-        lines = t.split("\n")
+        lines = [re.sub(r"\n$|(?<=[.!?])[ \t]+$", "", x) for x in lines_of(t)]
         for a, b, _ in chunks(t.encode()):
             part = "\n".join(lines[a:b])
             if b - a >= least and len(part.encode()) >= size and part.strip():
@@ -115,3 +120,28 @@ def cut_lines(rows: list[tuple[int, str]], chunks, least: int, size: int) -> dic
             cut[d].append((a, b))
         seen.add(part)
     return cut
+
+
+def without_lines(text: str, cut: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """Text without ranges of lines, their number before, and how many went.
+
+    White space after a removed line goes as well, but a line break stays where something of its own line is kept.
+    """
+    lines, kept = lines_of(text), []
+    gone = {i for a, b in cut for i in range(a, b)}
+    whole = []  # lines of the text, each as the indexes of its sentences
+    for i, x in enumerate(lines):
+        if i and not lines[i - 1].endswith("\n"):
+            whole[-1].append(i)
+        else:
+            whole.append([i])
+    for of in whole:
+        left = [i for i in of if i not in gone]
+        if left:
+            end = lines[of[-1]][len(lines[of[-1]].rstrip("\n")) :]
+            last = re.sub(r"\n$|(?<=[.!?])[ \t]+$", "", lines[left[-1]]) if left[-1] != of[-1] else lines[left[-1]].rstrip("\n")
+            kept.append("".join(lines[i] for i in left[:-1]) + last + end)
+    out = "".join(kept)
+    if cut and len(lines) - 1 in gone:
+        out = re.sub(r"\n$", "", out)
+    return out, len(lines), len(gone)
