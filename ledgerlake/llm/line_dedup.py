@@ -8,6 +8,7 @@ occur more than once anywhere are removed but for their first occurrence, after
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,56 @@ from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash
 MEAN, MIN_LINES, MIN_BYTES = 2, 1, 40
 #: Where a text is broken into lines: at ``\\n``, and at white space after a sentence's end.
 BREAK = re.compile(rb"\n|(?<=[.!?])[ \t]+")
-
-
-def split(text: bytes) -> tuple[list[bytes], list[bytes]]:
-    """Lines of a text, and what separates each from the next (nothing after the last)."""
-    lines, between, at = [], [], 0
-    for m in BREAK.finditer(text):
-        lines.append(text[at : m.start()])
-        between.append(m[0])
-        at = m.end()
-    return [*lines, text[at:]], [*between, b""]
+PARTS = re.compile(rb"(" + BREAK.pattern + rb")")
+
+
+SENTENCE_END = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
+
+
+@dataclass
+class Lines:
+    """The lines of some texts, laid end to end in one buffer."""
+
+    buffer: bytes
+    #: Where each text begins, which text a line belongs to, and its bytes.
+    begin: np.ndarray
+    text: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Lines:
+        buffer = b"".join(x + b"\n" for x in texts)
+        data = np.frombuffer(buffer, np.uint8)
+        blank = (data == 32) | (data == 9)
+        newline = data == 10
+        gap = blank.copy()
+        gap[1:] &= SENTENCE_END[data[:-1]]
+        gap[:1] = False
+        stop = np.flatnonzero(newline | gap)
+        solid = np.flatnonzero(~blank)
+        ends = solid[np.minimum(np.searchsorted(solid, stop), max(0, len(solid) - 1))] if len(solid) else stop
+        start = np.r_[0, np.where(newline[stop], stop + 1, ends)[:-1]] if len(stop) else stop
+        last = np.cumsum(np.array([len(x) + 1 for x in texts], np.int64))
+        return cls(buffer, last - np.array([len(x) + 1 for x in texts], np.int64), np.searchsorted(last, stop, side="right"), start, stop)
+
+    def chunks(self) -> list[tuple[int, int, int]]:
+        """First line, line after the last, and bytes of each chunk, text by text."""
+        size = self.stop - self.start
+        far = np.cumsum(size + 1)
+        alone = size >= MIN_BYTES
+        last = np.r_[self.text[1:] != self.text[:-1], True] if len(size) else np.zeros(0, bool)
+        must = alone | last | np.r_[alone[1:], True][: len(size)]
+        may, low = must.copy(), np.flatnonzero(~must)
+        h = np.array([xxhash.xxh3_64_intdigest(self.buffer[a:b]) for a, b in zip(self.start[low].tolist(), self.stop[low].tolist(), strict=True)], np.uint64)
+        may[low] = (h ^ h >> np.uint64(29)) % np.uint64(MEAN) == 0
+        may = np.flatnonzero(may)
+        out, line, at = [], 0, 0
+        for i, end, sure in zip(may.tolist(), far[may].tolist(), must[may].tolist(), strict=True):
+            if sure or end - at > MIN_BYTES:
+                out.append((line, i + 1, end - at - 1))
+                line, at = i + 1, end
+        return out
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
@@ -40,82 +81,61 @@ def chunks(text: bytes) -> list[tuple[int, int, int]]:
     A line of MIN_BYTES is a chunk. Shorter ones between such lines are cut after a line whose hash is divisible by
     MEAN, once MIN_BYTES are together.
     """
-    lines, _ = split(text)
-    return _chunks(lines)
-
-
-def _chunks(lines: list[bytes]) -> list[tuple[int, int, int]]:
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    far = np.cumsum(size + 1)
-    alone = size >= MIN_BYTES
-    must = alone | np.r_[alone[1:], True]
-    h = np.array([0 if x else xxhash.xxh3_64_intdigest(line) for line, x in zip(lines, must.tolist(), strict=True)], np.uint64)
-    may = np.flatnonzero(must | ((h ^ h >> np.uint64(29)) % np.uint64(MEAN) == 0))
-    out, line, at = [], 0, 0
-    for i, end, sure in zip(may.tolist(), far[may].tolist(), must[may].tolist(), strict=True):
-        if sure or end - at > MIN_BYTES:
-            out.append((line, i + 1, end - at - 1))
-            line, at = i + 1, end
-    return out
-
-
-def _each(text: bytes):
-    """First line, line after the last, and content of the chunks that may be removed; a chunk's lines are joined by ``\\n``."""
-    lines, _ = split(text)
-    for a, b, size in _chunks(lines):
-        if b - a >= MIN_LINES and size >= MIN_BYTES:
-            part = b"\n".join(lines[a:b])
-            if part.strip():
-                yield a, b, part
+    return Lines.of([text]).chunks()
+
+
+def content(part: bytes) -> bytes:
+    """The lines of a piece of a text, joined by ``\\n``: what chunks are compared by."""
+    return b"\n".join(BREAK.split(part))
 
 
 def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
-    """Text without some ranges of lines; a line break that a removed line ends with stays if its line began before it."""
-    lines, between = split(text)
+    """Text without some ranges of lines.
+
+    What separates a removed line from the next goes as well, but a line break stays where something of its own line is
+    kept, and the white space before it goes.
+    """
+    parts, removed = PARTS.split(text), {i for a, b in gone for i in range(a, b)}
     out: list[bytes] = []
-    removed = set()
-    for a, b in gone:
-        removed.update(range(a, b))
-    for i, (line, after) in enumerate(zip(lines, between, strict=True)):
+    for i, line in enumerate(parts[::2]):
+        after = parts[2 * i + 1] if 2 * i + 1 < len(parts) else b""
         if i not in removed:
             out += [line, after]
         elif after in (b"\n", b"") and out and out[-1] != b"\n":
             out[-1] = after
-    if len(lines) - 1 in removed and out:
+    if len(parts) // 2 in removed and out:
         out[-1] = b""
     return b"".join(out)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """A row for each chunk that may be removed: its document, its lines and the halves of a 128-bit digest of its bytes."""
+    """A row for each chunk that may be removed: its document, its lines, its bytes and the halves of a 128-bit digest of its content."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        doc, lo, hi, digest = [], [], [], []
-        for i, t in enumerate(batch.column(2).to_pylist()):
-            for a, b, part in _each(t or b""):
-                doc.append(i)
-                lo.append(a)
-                hi.append(b)
-                digest.append(xxhash.xxh3_128_digest(part))
-        take, halves = pa.array(doc, pa.int64()), np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
-        cols = [batch.column(0).take(take), batch.column(1).take(take), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), *map(pa.array, halves.T.copy())]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "start", "end", "h1", "h2"])
-
-    return keyed(docs).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, start int, end int, h1 bigint, h2 bigint")
+        lines = Lines.of([t or b"" for t in batch.column(2).to_pylist()])
+        found = np.array([(a, b) for a, b, size in lines.chunks() if b - a >= MIN_LINES and size >= MIN_BYTES], np.int64).reshape(-1, 2)
+        lo, hi = lines.start[found[:, 0]], lines.stop[found[:, 1] - 1]
+        parts = [lines.buffer[x:y] if one else content(lines.buffer[x:y]) for x, y, one in zip(lo.tolist(), hi.tolist(), (found[:, 1] == found[:, 0] + 1).tolist(), strict=True)]
+        digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
+        some = np.array([not p.isspace() for p in parts], bool)
+        found, lo, hi, digest = found[some], lo[some], hi[some], digest[some]
+        doc = lines.text[found[:, 0]] if len(found) else np.zeros(0, np.int64)
+        first = np.searchsorted(lines.text, doc)
+        take = pa.array(doc)
+        places = [x.astype(np.int32) for x in (found[:, 0] - first, found[:, 1] - first, lo - lines.begin[doc], hi - lines.begin[doc])]
+        cols = [batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), *map(pa.array, digest.T.copy())]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "start", "end", "lo", "hi", "h1", "h2"])
+
+    return keyed(docs).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, start int, end int, lo int, hi int, h1 bigint, h2 bigint")
 
 
 def _contents(marked: DataFrame) -> DataFrame:
-    """Digest and bytes of every chunk that ``marked`` lists in __chunks."""
+    """Digest and content of every chunk that ``marked`` lists in __chunks."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h1, h2, data = [], [], []
-        for t, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            lines, _ = split(t)
-            for m in marks:
-                h1.append(m["h1"])
-                h2.append(m["h2"])
-                data.append(b"\n".join(lines[m["start"] : m["end"]]))
+        rows = [(m["h1"], m["h2"], content(t[m["lo"] : m["hi"]])) for t, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for m in marks]
+        h1, h2, data = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(data, pa.binary())], ["h1", "h2", "data"])
 
     rows = marked.filter("__chunks is not null").select(F.col("text").cast("binary").alias("text"), "__chunks")
@@ -124,7 +144,7 @@ def _contents(marked: DataFrame) -> DataFrame:
 
 def _marked(docs: DataFrame, chunks_: DataFrame) -> DataFrame:
     """docs with __chunks, the array of a document's repeated chunks, null where it has none; a written table."""
-    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("start", "end", "h1", "h2", "is_first"))).alias("__chunks"))
+    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("start", "end", "lo", "hi", "h1", "h2", "is_first"))).alias("__chunks"))
     rows = docs.withColumn("__tid", F.xxhash64("text"))
     joined = rows.join(marks, rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__tid"] == marks["__of"]), "left")
     return stash(joined.drop("__doc_id", "__of", "__tid"), "marked")
@@ -156,16 +176,17 @@ def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
     at = columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, lines, removed = [], [], []
-        for t, marks in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
-            text = (t or "").encode()
-            gone = [(m["start"], m["end"]) for m in marks or () if not m["is_first"]]
-            lines.append(1 + sum(1 for _ in BREAK.finditer(text)))
-            removed.append(sum(b - a for a, b in gone))
-            texts.append(without(text, gone).decode() if gone else t)
+        texts = batch.column(at).to_pylist()
+        plain = [(t or "").encode() for t in texts]
+        removed = [0] * len(texts)
+        for i, marks in enumerate(batch.column(len(columns)).to_pylist()):
+            if gone := [(m["start"], m["end"]) for m in marks or () if not m["is_first"]]:
+                removed[i] = sum(b - a for a, b in gone)
+                texts[i] = without(plain[i], gone).decode()
+        lines = np.bincount(Lines.of(plain).text, minlength=len(texts))
         cols = list(batch.columns[: len(columns)])
         cols[at] = pa.array(texts, pa.string())
-        return pa.RecordBatch.from_arrays([*cols, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], [*columns, "__lines", "__removed"])
+        return pa.RecordBatch.from_arrays([*cols, pa.array(lines.astype(np.int64)), pa.array(removed, pa.int64())], [*columns, "__lines", "__removed"])
 
     return marked.select(*columns, "__chunks").mapInArrow(by_slice(work), schema)
 

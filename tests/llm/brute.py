@@ -143,5 +143,5 @@ def without_lines(text: str, cut: list[tuple[int, int]]) -> tuple[str, int, int]
             kept.append("".join(lines[i] for i in left[:-1]) + last + end)
     out = "".join(kept)
     if cut and len(lines) - 1 in gone:
-        out = re.sub(r"\n$", "", out)
+        out = out.removesuffix("\n")
     return out, len(lines), len(gone)
