@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -25,6 +26,8 @@ CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 TRAIN_ROWS, FEATURES, LEAST = 16_000, 300, 4
 LEAST_SCORE = 5.0
 STARTS = (4, 5)
+#: Bytes beyond which a word is known by its digest, and not remembered.
+LONG_WORD = 64
 FOLDS, STEPS, RIDGE = 5, 300, 0.05
 #: Words whose features a worker remembers; when full it starts anew.
 CACHE = 200_000
@@ -33,7 +36,9 @@ LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
 def word_features(word: bytes) -> list[bytes]:
-    return [b"=" + word[:24], *[b"^" + word[:n] for n in STARTS if len(word) >= n]]
+    """The word, by its digest where it is long, and its beginnings."""
+    whole = b"=" + word if len(word) <= LONG_WORD else b"#" + xxhash.xxh3_128_digest(word)
+    return [whole, *[b"^" + word[:n] for n in STARTS if len(word) >= n]]
 
 
 @dataclass
@@ -118,9 +123,11 @@ class Places(dict):
         self.column = {f: k for k, f in enumerate(features)}
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = got = tuple(self.column[f] for f in word_features(word) if f in self.column)
+        got = tuple(self.column[f] for f in word_features(word) if f in self.column)
+        if len(word) <= LONG_WORD:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = got
         return got
 
     def of(self, text: bytes) -> set[int]:
