@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import u256
+from ledgerlake.functions import rational, u256
 
 ADDRESS, HASH = "^0x[0-9a-f]{40}$", "^0x[0-9a-f]{64}$"
 PRICE = r"^(0|[1-9][0-9]*)(\.[0-9]+)?$"
@@ -206,5 +206,7 @@ def call_argument(call: Column, k: int = 0) -> Column:
 
 
 def gas_fee(used: Column, price: Column) -> Column:
-    """Product of two decimal strings of together at most 37 digits; null beyond."""
-    return F.when(F.length(used) + F.length(price) <= 37, (used.cast("decimal(18,0)") * price.cast("decimal(19,0)")).cast("decimal(38,0)").cast("string"))
+    """Product of two decimal strings: one decimal multiplication where it fits, and Arrow-batched beyond."""
+    fits = F.coalesce((F.length(used) <= 18) & (F.length(price) <= 19), F.lit(True))
+    small = (used.try_cast("decimal(18,0)") * price.try_cast("decimal(19,0)")).cast("decimal(38,0)").cast("string")
+    return F.when(fits, small).otherwise(rational.multiply(F.when(~fits, used), F.when(~fits, price)))

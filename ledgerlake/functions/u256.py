@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 DIGITS = 26
@@ -125,3 +126,16 @@ def from_hex_signed(text: Column) -> Column:
     modulus = parse(F.lit(str(1 << 256)))
     plain = from_hex(text)
     return F.when(F.substring(text, 3, 1).rlike("[89a-fA-F]") & (F.length(text) == 66), minus(plain, modulus)).otherwise(plain)
+
+
+def register(spark: SparkSession) -> None:
+    """exact_sum(text), the exact sum of decimal strings as an aggregate for SQL; Arrow-batched, so Python takes part.
+
+    Column expressions need no registration: :func:`sum_` stays in the JVM and is the one for large groups.
+    """
+
+    @F.pandas_udf("string")
+    def exact_sum(values: pd.Series) -> str:
+        return str(sum(int(x) for x in values if x is not None))
+
+    spark.udf.register("exact_sum", exact_sum)

@@ -15,16 +15,22 @@ from ledgerlake.operators.identity import first_wins
 
 AT = ["chain_id", "block"]
 # Call selectors.
-SELECTORS = {"balanceOf": "0x70a08231", "allowance": "0xdd62ed3e", "decimals": "0x313ce567", "name": "0x06fdde03", "symbol": "0x95d89b41", "totalSupply": "0x18160ddd", "latestRoundData": "0xfeaf968c", "slot0": "0x3850c7bd", "getReserves": "0x0902f1ac", "convertToAssets": "0x07a2d13a", "exchangeRateStored": "0x182df0f5"}
+SELECTORS = {"balanceOf": "0x70a08231", "allowance": "0xdd62ed3e", "decimals": "0x313ce567", "name": "0x06fdde03", "symbol": "0x95d89b41", "totalSupply": "0x18160ddd", "latestRoundData": "0xfeaf968c", "slot0": "0x3850c7bd", "getReserves": "0x0902f1ac", "convertToAssets": "0x07a2d13a", "exchangeRateStored": "0x182df0f5", "stateSlot0": "0xc815641c"}
 WORD_RATES = ("wsteth", "rocket-reth", "cbeth", "erc4626")
 #: Adapters whose rate is sample * word / 10^k.
 SCALED_RATES = {"aave-v2": 27, "aave-v3": 27, "compound-v2": 18}
 STABLE = ("USDC", "USDT")
+# Pools and vaults that adapters call, by adapter and chain (0: any chain), and the selectors they use.
+TARGETS = {("aave-v2", 0): "0x7d2768dE32b0b80b7a3454c06BdAc94A69DDc7A9", ("aave-v3", 1): "0x87870Bca3F3fD6335C3F4ce8392D69350B4fA4E2", ("aave-v3", 0): "0xA238Dd80C259a72e81d7e4664a9801593F98d1c5", ("curve-3pool-lp", 0): "0xbEbc44782C7dB0A1A60Cb6Fe97d0b483032FF1C7"}
+RATE_SELECTORS = {"income": "0xd15e0053", "wsteth": "0x035faf82", "rocket-reth": "0xe6aa216c", "cbeth": "0x3ba0b9a9", "balances": "0x4903b0d1", "poolTokens": "0xf94d4668"}
 
 
 def padded(value: Column) -> Column:
-    """An address or number as an argument word."""
-    return F.lpad(F.when(value.startswith("0x"), F.lower(F.substring(value, 3, 64))).otherwise(F.lower(F.hex(value.try_cast("bigint")))), 64, "0")
+    """An address or number (of at most 36 digits) as an argument word."""
+    wide = value.try_cast("decimal(38,0)")
+    part = lambda k: F.lower(F.hex(F.pmod(F.floor(wide / F.lit(str(1 << 40 * k)).cast("decimal(38,0)")), F.lit(1 << 40).cast("decimal(38,0)")).cast("bigint")))
+    parts = F.concat(*[F.lpad(part(k), 10, "0") for k in (3, 2, 1, 0)])
+    return F.lpad(F.when(value.startswith("0x"), F.lower(F.substring(value, 3, 64))).when(F.length(value) <= 18, F.lower(F.hex(value.try_cast("bigint")))).otherwise(parts), 64, "0")
 
 
 def plan_calls(registry: DataFrame, selector: str, suffix: str, arguments: list[Column] | None = None) -> DataFrame:
@@ -33,6 +39,40 @@ def plan_calls(registry: DataFrame, selector: str, suffix: str, arguments: list[
     return registry.select(F.concat_ws("::", "id", F.lit(suffix)).alias("call_id"), "target", data.alias("call_data"))
 
 
+def plan_rates(tokens: DataFrame) -> DataFrame:
+    """call_id (``<token_id>::<part>``), target and call_data of the calls that each DeFi token's adapter needs.
+
+    tokens: token_id, chain_id, adapter, token_address, sample (decimal text), legs (array of addresses), adapter_target
+    and adapter_pool_id (for vaults, null otherwise). A fixed ratio needs no call; a vault without target or a pool id
+    of 64 hexadecimal digits, and an unknown adapter, give a row with a code instead.
+    """
+    kind, of = F.col("adapter"), lambda *names: F.col("adapter").isin(*names)
+    own = F.col("token_address")
+    fixed = lambda a: F.coalesce(*[F.when((kind == n) & ((F.col("chain_id") == c) if c else F.lit(True)), t) for (n, c), t in TARGETS.items() if n in a])
+    call = lambda part, target, *data: F.struct(F.lit(part).alias("part"), target.alias("target"), F.concat(*data).alias("data"))
+    rate, supply = F.create_map(*[F.lit(x) for kv in (RATE_SELECTORS | {"compound-v2": SELECTORS["exchangeRateStored"]}).items() for x in kv]), call("supply", own, F.lit(SELECTORS["totalSupply"]))
+    vault = F.coalesce(F.col("adapter_target").isNotNull() & F.col("adapter_pool_id").rlike("^[0-9a-fA-F]{64}$"), F.lit(False))
+    calls = (
+        F.when(of("aave-v2", "aave-v3"), F.array(call("income", fixed(("aave-v2", "aave-v3")), rate["income"], padded(F.coalesce(F.get("legs", 0), own)))))
+        .when(of("wsteth", "rocket-reth", "cbeth", "compound-v2"), F.array(call("rate", own, rate[kind])))
+        .when(kind == "erc4626", F.array(call("assets", own, F.lit(SELECTORS["convertToAssets"]), padded(F.col("sample")))))
+        .when(kind == "curve-3pool-lp", F.array(*[call(f"balance{k}", fixed(("curve-3pool-lp",)), rate["balances"], padded(F.lit(str(k)))) for k in range(3)], supply))
+        .when(of("uniswap-v2-lp", "aerodrome-lp"), F.array(call("reserves", own, F.lit(SELECTORS["getReserves"])), supply))
+        .when((kind == "balancer-bpt") & vault, F.array(call("poolTokens", F.col("adapter_target"), rate["poolTokens"], F.col("adapter_pool_id")), supply))
+    )
+    code = F.when(calls.isNull() & (kind == "balancer-bpt"), "ADAPTER_METADATA_INVALID").when(calls.isNull() & (kind != "fixed-ratio"), "ADAPTER_UNKNOWN")
+    rows = tokens.select("token_id", "chain_id", code.alias("code"), F.explode_outer(calls).alias("c")).filter("c is not null or code is not null")
+    return rows.select("chain_id", F.concat_ws("::", "token_id", F.col("c.part")).alias("call_id"), F.col("c.target").alias("target"), F.col("c.data").alias("call_data"), "code")
+
+
+def plan_reads(reads: DataFrame) -> DataFrame:
+    """Call data of ERC-20 reads: id, target, read (a name of SELECTORS), owner and spender where it takes them."""
+    words = F.when(F.col("read").isin("balanceOf", "allowance"), padded(F.col("owner"))).otherwise("")
+    more = F.when(F.col("read") == "allowance", padded(F.col("spender"))).otherwise("")
+    names = F.create_map(*[F.lit(x) for k in ("balanceOf", "allowance", "decimals", "name", "symbol", "totalSupply") for x in (k, SELECTORS[k])])
+    return reads.select("id", "target", "read", F.concat(F.try_element_at(names, "read"), words, more).alias("call_data"))
+
+
 def with_results(plan: DataFrame, results: DataFrame, prefix: str) -> DataFrame:
     """The plan, with chain_id, block and call_id, beside success and return_data; a missing result has null success."""
     got = results.select(*AT, "call_id", F.col("success").alias(f"{prefix}_ok"), F.lower("return_data").alias(f"{prefix}_data"))
@@ -142,15 +182,27 @@ def pool_prices(requests: DataFrame, results: DataFrame, words: int = 7) -> Data
     states = first_wins(results.select(*AT, F.col("call_id").alias("pool"), "success", F.lower("return_data").alias("data")), [*AT, "pool"], ["success", "data"])
     data = F.col("data")
     sqrt = F.when(s.has_words(data, words), u256.render(u256.from_hex(s.word(data, 0))))
-    states = states.select(*AT, "pool", call_code(F.col("success"), data).alias("code"), sqrt.alias("sqrt"), F.when(s.has_words(data, words), s.tick(s.word(data, 1))).alias("tick"))
+    states = states.select(*AT, "pool", call_code(F.col("success"), data).alias("code"), sqrt.alias("sqrt"), F.when(s.has_words(data, words), s.tick(s.word(data, 1))).alias("tick"), F.substring(data, 131, 128).alias("fee_words"))
     rows = requests.join(states, [*AT, "pool"], "left")
-    bad = F.col("sqrt").isNull() | (F.col("sqrt") == "0") | (F.length("sqrt") > 49) | F.col("tick").isNull()
+    fees = F.lit(True) if words != 4 else F.coalesce((F.col("fee_words").rlike("^(0{58}[0-9a-f]{6}){2}$")), F.lit(False))
+    bad = ~fees | F.col("sqrt").isNull() | (F.col("sqrt") == "0") | (F.length("sqrt") > 49) | F.col("tick").isNull()
     rows = rows.withColumn("code", F.coalesce("code", F.when(bad, "RESPONSE_INVALID")))
     rows = rows.withColumn("sqrt", F.when(F.col("code").isNull(), F.col("sqrt"))).withColumn("tick_sqrt", rational.tick_sqrt(F.when(F.col("code").isNull(), F.col("tick"))))
     orient = ("base_is_0", "decimals0", "decimals1")
     return rows.select("request", "pool", *AT, "code", "tick", rational.sqrt_price("sqrt", *orient).alias("spot"), rational.sqrt_price("tick_sqrt", *orient).alias("by_tick"))
 
 
+def state_view_prices(requests: DataFrame, results: DataFrame) -> DataFrame:
+    """Price and USD price of version-4 pools at blocks, from the four words of their state view.
+
+    requests: those of :func:`pool_prices` and quote, the quote's symbol. The USD price is the spot price where the
+    quote is a stable coin, and otherwise 0; a pool without a price has its code and no USD price.
+    """
+    rows = pool_prices(requests, results, 4).join(requests.select("request", "quote"), "request")
+    usd = F.when(F.upper("quote").isin(*STABLE), F.col("spot.display")).otherwise("0")
+    return rows.withColumn("price_usd", F.when(F.col("code").isNull(), usd))
+
+
 def best_price(candidates: DataFrame, key: list[str]) -> DataFrame:
     """The highest of few candidate ratios (price: num, den, display; rank) of each key; equal ones go by rank."""
     ordered = candidates.filter("price.num is not null").withColumn("__at", rational.ratio_order("price.num", "price.den"))

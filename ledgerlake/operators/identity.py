@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlake.functions.scalars import canonical_decimal, field_hash
+from ledgerlake.functions.scalars import canonical_decimal, field_hash, nullable_lower
 
 TRANSFER_FIELDS = ("block_number", "from_address", "to_address", "amount")
 INTERNAL_KEY = ("tx_hash", "trace_id", "from_address", "to_address", "value", "block_number")
@@ -64,6 +64,27 @@ def stable_dedup(rows: DataFrame, order: list[str], declared_unique: bool = Fals
     return first_wins(rows.withColumn("__key", key), ["chain_id", "address", "tx_hash", "__key"], order).drop("__key")
 
 
+def dedup_internals(rows: DataFrame, order: list[str]) -> DataFrame:
+    """First of the internal transfers that agree in transaction, trace, sides, value and block; missing values are equal."""
+    return first_wins(rows, ["chain_id", *INTERNAL_KEY], order)
+
+
+def dedup_transfers(rows: DataFrame, order: list[str]) -> DataFrame:
+    """First of the transfers that agree in transaction, log index, token, sides and amount; missing values are equal."""
+    return first_wins(rows, ["chain_id", *TRANSFER_KEY], order)
+
+
+def dedup_withdrawals(rows: DataFrame, order: list[str]) -> DataFrame:
+    """First of each withdrawal index."""
+    return first_wins(rows, ["chain_id", "withdrawal_index"], order)
+
+
+def distinct_requests(requests: DataFrame, column: str) -> DataFrame:
+    """Hashes, tokens or addresses asked for, each once, in lower case; blank ones ask for nothing."""
+    low = nullable_lower(F.col(column))
+    return requests.withColumn(column, low).filter(F.col(column).isNotNull()).distinct()
+
+
 def removed_count(rows: DataFrame, key: list[str]) -> DataFrame:
     """kept and removed, the counts of a dedup by key."""
     return rows.groupBy(*key).agg(F.count("*").alias("n")).agg(F.count("*").alias("kept"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("removed"))

@@ -76,6 +76,11 @@ def commit(scopes: DataFrame, done: DataFrame) -> DataFrame:
     return rows.withColumn("next_block", F.greatest("next_block", F.col("__end") + 1)).withColumn("last_complete_block", F.greatest("last_complete_block", "__end")).drop("__end")
 
 
+def status(requests: DataFrame, scopes: DataFrame, key: list[str]) -> DataFrame:
+    """Control row of each scope asked for, each request once; columns are null where a scope was never synced."""
+    return requests.select(*key).distinct().join(scopes, key, "left")
+
+
 def run_rows(windows: DataFrame, run_id: str, code: Column | None = None) -> DataFrame:
     """A ledger row for each window tried: complete, or failed with a code."""
     why = code if code is not None else F.lit(None).cast("string")

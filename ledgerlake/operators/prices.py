@@ -73,12 +73,21 @@ def union_results(results: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     return both.filter("code is null"), both.filter("code is not null")
 
 
-def request_summary(results: DataFrame) -> DataFrame:
-    """configured, succeeded, failed, and status: ok, partial or failed."""
-    sums = results.agg(F.count("*").alias("configured"), F.count_if(F.col("code").isNull()).alias("succeeded"), F.count_if(F.col("code").isNotNull()).alias("failed"))
+def request_summary(results: DataFrame, configured: int | None = None) -> DataFrame:
+    """configured (those requested, unless told), requested, succeeded, failed, and status: ok, partial or failed."""
+    sums = results.agg(F.count("*").alias("requested"), F.count_if(F.col("code").isNull()).alias("succeeded"), F.count_if(F.col("code").isNotNull()).alias("failed"))
+    sums = sums.select((F.col("requested") if configured is None else F.lit(configured).cast("bigint")).alias("configured"), "*")
     return sums.withColumn("status", F.when(F.col("failed") == 0, "ok").when(F.col("succeeded") == 0, "failed").otherwise("partial"))
 
 
+def unless_all_failed(results: DataFrame) -> DataFrame:
+    """results, or an error if every one of them failed; with some failures they are partial, and stand."""
+    told = request_summary(results).first()
+    if told.status == "failed" and told.requested:
+        raise ValueError(f"all {told.requested} requests failed")
+    return results
+
+
 def plan_chunks(requests: DataFrame, days: int) -> DataFrame:
     """Requests (token_key, first_day, last_day) cut into chunks of at most ``days`` days."""
     starts = F.sequence("first_day", "last_day", F.make_interval(days=F.lit(days)))
@@ -111,6 +120,22 @@ def recollect(points: DataFrame, fresh: DataFrame, scope: dict[str, str], replac
     return last_wins(points.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1))), [*SCOPE, "ts"], ["__new"]).drop("__new")
 
 
+def recollect_counts(points: DataFrame, fresh: DataFrame, scope: dict[str, str], replace: bool = True) -> DataFrame:
+    """A dry run: fetched, points of the scope that would go (deleted), and fresh ones at times that are not there yet (inserted)."""
+    mine = F.lit(True)
+    for c, v in scope.items():
+        mine = mine & (F.col(c) == v)
+    at = lambda rows, new: rows.filter(mine).groupBy("ts").agg(F.count("*").alias("n")).select("ts", "n", F.lit(new).alias("new"))
+    by = at(points, 0).unionByName(at(fresh, 1)).groupBy("ts").agg(F.sum(F.col("n") * F.col("new")).alias("f"), F.sum(F.col("n") * (1 - F.col("new"))).alias("o"))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return by.agg(count(F.col("f")).alias("fetched"), count(F.col("o") if replace else F.lit(0)).alias("deleted"), count(F.when((F.col("f") > 0) & (F.lit(replace) | (F.col("o") == 0)), 1).otherwise(0)).alias("inserted"))
+
+
+def reset(points: DataFrame, scopes: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Points and control rows without those of the scopes in ``gone``."""
+    return points.join(gone.select(*SCOPE).distinct(), SCOPE, "left_anti"), scopes.join(gone.select(*SCOPE).distinct(), SCOPE, "left_anti")
+
+
 def coverage(points: DataFrame) -> DataFrame:
     return points.groupBy(*SCOPE).agg(F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts"), F.count("*").alias("points"))
 

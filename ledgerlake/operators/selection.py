@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlake.operators import identity
+
 
 def in_blocks(facts: DataFrame, first: int, last: int) -> DataFrame:
     return facts.filter(F.col("block").between(first, last))
@@ -141,6 +143,32 @@ def exact_cover(windows: DataFrame, scope: list[str], first: str, last: str) ->
     return sums.filter("broken = 1 or lo <> first or hi <> last").select(*scope)
 
 
+def by_hashes(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Rows, such as transaction contexts, of a set of transactions (tx_hash), however large: a semi join."""
+    asked = identity.distinct_requests(hashes.select("tx_hash"), "tx_hash")
+    return rows.join(asked, "tx_hash", "left_semi")
+
+
+def closed_range(kind: str, rows: DataFrame, accounts: DataFrame, chain_id: int, provider: str, first: int, last: int, order: list[str]) -> DataFrame:
+    """All facts of one kind of a set of accounts in [first, last]: checked, each once, in order.
+
+    kind: transfers, transactions, internals or withdrawals. A row of another chain, provider or range fails the whole
+    read. Of equal facts (by stable identity, hash, composite key, or withdrawal index) the first by ``order`` stays;
+    transfers and transactions carry an ``address``, internals belong to the accounts on either side.
+    """
+    rows = checked(rows, out_of_place(rows, chain_id, provider, first, last))
+    if kind == "transfers":
+        return identity.stable_dedup(for_accounts(rows, accounts), order).orderBy(*scan_order())
+    if kind == "transactions":
+        return identity.first_wins(for_accounts(rows, accounts), ["chain_id", "address", "tx_hash"], order).orderBy(*transaction_order())
+    if kind == "internals":
+        once = identity.dedup_internals(rows.drop("address"), order)
+        return involving(once, accounts).orderBy("block", "tx_hash", "trace_id", "address")
+    if kind == "withdrawals":
+        return identity.dedup_withdrawals(for_accounts(rows, accounts), order).orderBy("block", "withdrawal_index")
+    raise ValueError(f"no such kind: {kind}")
+
+
 def scan_stats(windows: DataFrame, removed: DataFrame) -> DataFrame:
     """windows, duplicates_removed and windows_by_provider of a scan."""
     by = windows.groupBy("provider").agg(F.count("*").alias("n"))

@@ -18,34 +18,50 @@ KEY = ["chain_id", "address"]
 NEVER = -1
 
 
-def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
-    """chain_id, address and block of every snapshot.
+def _segments(counts: DataFrame, events: int, blocks: int) -> DataFrame:
+    """chain_id, address, block, is_boundary, and for an account's last row begin and seen, the state of its open segment.
 
-    One falls at a block's end when ``events`` facts or ``blocks`` blocks came since the last, and at the last block.
-    The greedy reset is no window function: counts of facts by block are walked in order, a sorted partition at a time,
-    and an account that spans batches carries its state along.
+    counts: chain_id, address, block, n (its facts), begin and seen (of the segment that is open before; null at first).
+    The greedy reset is no window function: counts are walked in order, a sorted partition at a time, and an account
+    that spans batches carries its state along.
     """
-    counts = watched(transfers).groupBy("chain_id", "address", "block").agg(F.count("*").alias("n"))
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["chain_id", "address", "block", "is_boundary", "begin", "seen"]
+        typed = lambda rows: pd.DataFrame(rows, columns=names).astype({"begin": "Int64", "seen": "Int64"})
+        close = lambda account, last, begin, seen: (*account, last, seen > 0, begin, seen)
         account, begin, seen, last = None, 0, 0, 0
         for frame in frames:
             out = []
-            for chain, address, block, n in frame.itertuples(index=False):
+            for chain, address, block, n, before, held in frame.itertuples(index=False):
                 if (chain, address) != account:
-                    if account is not None and seen:
-                        out.append((*account, last))
-                    account, begin, seen = (chain, address), block, 0
+                    if account is not None:
+                        out.append(close(account, last, begin, seen))
+                    account, begin, seen = (chain, address), block if pd.isna(before) else int(before), 0 if pd.isna(held) else int(held)
                 seen, last = seen + n, block
                 if seen >= max(1, events) or block - begin + 1 >= max(1, blocks):
-                    out.append((*account, block))
+                    out.append((*account, block, True, None, None))
                     begin, seen = block + 1, 0
-            yield pd.DataFrame(out, columns=["chain_id", "address", "block"])
-        if account is not None and seen:
-            yield pd.DataFrame([(*account, last)], columns=["chain_id", "address", "block"])
+            yield typed(out)
+        if account is not None:
+            yield typed([close(account, last, begin, seen)])
+
+    ordered = counts.repartition(*KEY).sortWithinPartitions(*KEY, "block").select(*KEY, "block", "n", "begin", "seen")
+    return ordered.mapInPandas(walk, "chain_id bigint, address string, block bigint, is_boundary boolean, begin bigint, seen bigint")
+
+
+def _counts(transfers: DataFrame) -> DataFrame:
+    return watched(transfers).filter("address is not null").groupBy(*KEY, "block").agg(F.count("*").alias("n"))
+
 
-    ordered = counts.repartition("chain_id", "address").sortWithinPartitions("chain_id", "address", "block").select("chain_id", "address", "block", "n")
-    return ordered.mapInPandas(walk, "chain_id bigint, address string, block bigint")
+def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
+    """chain_id, address and block of every snapshot.
+
+    One falls at a block's end when ``events`` facts or ``blocks`` blocks came since the last, and at the last block.
+    """
+    nothing = F.lit(None).cast("bigint")
+    rows = _segments(_counts(transfers).withColumn("begin", nothing).withColumn("seen", nothing), events, blocks)
+    return rows.filter("is_boundary").select(*KEY, "block").distinct()
 
 
 def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
@@ -55,13 +71,69 @@ def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
 
 def replay(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS, earlier: DataFrame | None = None) -> DataFrame:
     """Snapshots of facts up to a block under a revision; ``earlier`` ones of that revision are kept and resumed after."""
-    facts = transfers.filter(F.col("block") <= to_block)
     if earlier is None:
+        facts = transfers.filter(F.col("block") <= to_block)
         return snapshots(facts, boundaries(facts, events, blocks)).withColumn("revision", F.lit(revision))
-    newest = earlier.groupBy("chain_id", "address").agg(F.max("block").alias("newest"))
-    rest = watched(facts).join(newest, ["chain_id", "address"], "left").filter("newest is null or block > newest").drop("newest", "address")
-    at = boundaries(rest.dropDuplicates(), events, blocks).join(newest, ["chain_id", "address"], "left").filter("newest is null or block > newest").drop("newest")
-    return earlier.unionByName(snapshots(facts, at).withColumn("revision", F.lit(revision)))
+    newest = earlier.groupBy(*KEY).agg(F.max("block").alias("as_of"))
+    held = newest.select(*KEY, "as_of", F.lit(revision).alias("revision"), (F.col("as_of") + 1).alias("begin"), F.lit(0).cast("bigint").alias("seen"), F.lit(0).cast("bigint").alias("processed"))
+    return earlier.unionByName(resume(transfers, to_block, earlier, held, events, blocks)[0].select(*earlier.columns))
+
+
+def start(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
+    """Snapshots of all facts up to a block, and the pointer of each account, from which :func:`resume` goes on.
+
+    The pointer: chain_id, address, as_of (the last block with facts), revision, begin and seen (of the segment open
+    there), processed (facts replayed).
+    """
+    nothing = transfers.sparkSession.createDataFrame([], "chain_id bigint, address string, as_of bigint, revision int, begin bigint, seen bigint, processed bigint")
+    none = transfers.sparkSession.createDataFrame([], "chain_id bigint, address string, token_address string, block bigint, amount string, revision int")
+    return resume(transfers, to_block, none, nothing, events, blocks, revision)
+
+
+def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataFrame, events: int = EVENTS, blocks: int = BLOCKS, revision: int = 0) -> tuple[DataFrame, DataFrame]:
+    """New snapshots of facts after each account's pointer, and the pointers after; no fact before them is read again.
+
+    A balance is that of the account's newest snapshot plus what moved since. Segments go on from where they stood, so
+    boundaries are those of one replay of everything, and in addition the last blocks of the earlier ones. Accounts
+    without a pointer start at ``revision``.
+    """
+    facts = transfers.filter(F.col("block") <= to_block)
+    old = pointer.select(*KEY, F.col("as_of").alias("__as_of"), "begin", "seen", "revision")
+    later = F.col("__as_of").isNull() | (F.col("block") > F.col("__as_of"))
+    counts = _counts(facts).join(old, KEY, "left").filter(later)
+    rows = _segments(counts, events, blocks)
+    marks = rows.filter("is_boundary").select(*KEY, "block").distinct()
+    deltas = block_deltas(facts).join(old.select(*KEY, "__as_of"), KEY, "left").filter(later).drop("__as_of")
+    placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after").select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    newest = taken.join(taken.groupBy(*KEY).agg(F.max("block").alias("block")), [*KEY, "block"])
+    first = marks.groupBy(*KEY).agg(F.min("block").alias("mark"))
+    held = newest.join(first, KEY).select(*KEY, "token_address", "mark", u256.parse(F.col("amount")).alias("delta"))
+    sums = running_sums(placed.unionByName(held), marks.withColumnRenamed("block", "mark"), KEY)
+    told = pointer.select(*KEY, "revision")
+    made = rendered(sums, amount="balance").join(told, KEY, "left").withColumn("revision", F.coalesce("revision", F.lit(revision)))
+    done = counts.groupBy(*KEY).agg(F.sum("n").alias("n"))
+    ends = rows.filter("begin is not null").select(*KEY, F.col("block").alias("__block"), F.col("begin").alias("__begin"), F.col("seen").alias("__seen")).join(done, KEY)
+    both = pointer.join(ends, KEY, "full")
+    after = both.select(*KEY, F.coalesce("__block", "as_of").alias("as_of"), F.coalesce("revision", F.lit(revision)).alias("revision"), F.coalesce("__begin", "begin").alias("begin"), F.coalesce("__seen", "seen").alias("seen"), (F.coalesce("processed", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("processed"))
+    return made.select(*KEY, "token_address", "block", "amount", "revision"), after
+
+
+def rebuild(transfers: DataFrame, to_block: int, taken: DataFrame, revision: int, from_block: int | None = None, events: int = EVENTS, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Snapshots and pointers of a new replay under a new revision, and how many old ones each account loses by it.
+
+    ``from_block`` counts those from that block on, as a targeted rebuild reports it; without it all count. Either way
+    the whole history is replayed.
+    """
+    gone = taken if from_block is None else taken.filter(F.col("block") >= from_block)
+    lost = gone.select(*KEY, "block").distinct().groupBy(*KEY).agg(F.count("*").alias("invalidated"))
+    made, pointer = start(transfers, to_block, revision, events, blocks)
+    return made, pointer, lost
+
+
+def readiness(probes: DataFrame, pointer: DataFrame) -> DataFrame:
+    """state of (chain_id, address, at_block) probes: unavailable without a replay, building before it got there, or ready."""
+    rows = probes.join(pointer.select(*KEY, "as_of", "revision"), KEY, "left")
+    return rows.withColumn("state", F.when(F.col("as_of").isNull(), "unavailable").when(F.col("as_of") >= F.col("at_block"), "ready").otherwise("building"))
 
 
 def invalidate(taken: DataFrame, from_block: int) -> tuple[DataFrame, DataFrame]:
@@ -69,6 +141,11 @@ def invalidate(taken: DataFrame, from_block: int) -> tuple[DataFrame, DataFrame]
     return taken.filter(F.col("block") < from_block), taken.filter(F.col("block") >= from_block).agg(F.count("*").alias("invalidated"))
 
 
+def drop_pointers(pointer: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Pointers without those of accounts whose snapshots were invalidated; their next replay starts anew."""
+    return pointer.join(accounts.select(*KEY).distinct(), KEY, "left_anti")
+
+
 def at_block(taken: DataFrame, transfers: DataFrame, probes: DataFrame) -> DataFrame:
     """State for (chain_id, address, at_block) probes: the newest snapshot at or before the block plus later deltas.
 

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import wraps
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,30 +10,11 @@ from pyspark.sql.window import Window
 from ledgerlake.functions import scalars as s
 from ledgerlake.operators import atblock, identity, ledger, maintenance, selection, snapshots
 from ledgerlake.operators import prices as px
+from ledgerlake.plans import queries_jobs, queries_sources  # noqa: F401, they register their queries
 from ledgerlake.plans import views as v
-from ledgerlake.plans.views import SQL
+from ledgerlake.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from ledgerlake.sources import candles, payloads
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def _plain_times(df: DataFrame) -> DataFrame:
-    """Timestamps without a zone, as the tables have them."""
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = wraps(f)(lambda spark, d: _plain_times(f(spark, d)))
-        if sql is not None:
-            ORACLES[f.__name__] = SQL.rstrip() + "\n" + sql if "v_" in sql else sql
-        return f
-
-    return add
-
-
 def _ids(t: DataFrame) -> DataFrame:
     return t.withColumn("identity", F.concat_ws(":", "chain_id", "tx_hash", "log_index", "token_address"))
 
@@ -112,12 +90,6 @@ def state_at_block(spark, d):
 _SIDES = "(SELECT DISTINCT chain_id, account AS address, block FROM v_entries)"
 
 
-@query()
-def snapshot_boundaries(spark, d):
-    """Greedy block-boundary snapshots, 40 events or 500 blocks apart."""
-    return snapshots.boundaries(v.transfers(spark, d), 40, 500)
-
-
 @query(f"""SELECT b.chain_id, b.address, e.token_address, b.block, CAST(sum(e.gained) - sum(e.lost) AS VARCHAR) AS amount
 FROM (SELECT chain_id, address, max(block) AS block FROM {_SIDES} GROUP BY ALL) b JOIN v_entries e ON e.chain_id = b.chain_id AND e.account = b.address AND e.block <= b.block GROUP BY ALL""")
 def last_snapshots(spark, d):
@@ -384,13 +356,6 @@ def best_pool(spark, d):
     return got.select("request", F.col("pool_address").alias("pool"), "ambiguous")
 
 
-@query("SELECT p_partkey FROM part WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') ORDER BY p_retailprice DESC, p_partkey LIMIT 25")
-def top_candidates(spark, d):
-    """The best pools with an allowed quote symbol."""
-    raw = v.table(spark, d, "part").select("p_partkey", F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("p_partkey")), 40, "0")).alias("pool_address"), F.col("p_brand").alias("quote_symbol"), F.col("p_retailprice").alias("liquidity"))
-    return candles.pool_candidates(raw, ["BRAND#11", "BRAND#12", "BRAND#13"], 25).select("p_partkey")
-
-
 # Maintenance.
 
 
@@ -408,16 +373,6 @@ def _collections(spark, d):
     return t, fresh, windows
 
 
-_FIRST = "(SELECT chain_id, address, tx_hash, log_index, token_address, min(amount) AS amount, min_by(ingestion_source, (amount, block)) AS ingestion_source, min(block) AS block FROM v_transfers GROUP BY chain_id, address, tx_hash, log_index, token_address)"
-
-
-@query()
-def overlap_replacement(spark, d):
-    """Own rows of a window replaced, others kept."""
-    t, fresh, windows = _collections(spark, d)
-    return maintenance.replace_overlap(t, fresh, windows, "own").select("address", "identity", "amount", "ingestion_source")
-
-
 @query("SELECT CAST(0 AS BIGINT) AS written, count(*) AS duplicates FROM (SELECT DISTINCT tx_hash, log_index, token_address FROM v_transfers WHERE block BETWEEN 1000 AND 1500)")
 def upsert_counts(spark, d):
     """A second collection of what is there writes nothing."""
@@ -517,13 +472,6 @@ def cursor_payloads(spark, d):
     return payloads.normalise("cursor", "transfers", body, "cursor").select("tx_hash", "token_address", "from_address", "amount")
 
 
-@query("""SELECT CASE WHEN event_id % 4 = 0 THEN 'ok' WHEN event_id % 4 = 1 THEN 'empty' WHEN event_id % 4 = 2 THEN 'error' ELSE 'malformed' END AS outcome, count(*) AS n FROM events GROUP BY ALL""")
-def envelope_triage(spark, d):
-    """S11."""
-    kinds = F.array(*map(F.lit, ('{"status":"1","message":"OK","result":"1"}', '{"status":"0","message":"No transactions found","result":[]}', '{"status":"0","message":"NOTOK","result":"Max rate limit reached"}', "oops")))
-    return payloads.triage(v.table(spark, d, "events").select(F.get(kinds, (F.col("event_id") % 4).cast("int")).alias("body"))).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
 @query("SELECT event_type AS token_key, CAST(date_trunc('day', ts) AS DATE) AS day, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS close, event_id % 2 = 1 AS is_final FROM events WHERE round(value * 100) > 0")
 def candle_payloads(spark, d):
     """Candle arrays of several layouts as price points."""
@@ -604,15 +552,6 @@ def pool_prices(spark, d):
     return got.select("request", "code", "tick", F.col("spot.display").alias("spot"), F.col("by_tick.display").alias("by_tick"))
 
 
-@query()
-def token_prices_usd(spark, d):
-    """The best USD price of tokens over tiers and one hop, by exact comparison."""
-    o = v.table(spark, d, "orders")
-    price = F.struct(F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("num"), F.lit("100").alias("den"), F.lit("").alias("display"))
-    rows = o.select(F.lit(1).cast("bigint").alias("chain_id"), (F.col("o_orderkey") % 500).alias("block"), F.when(F.col("o_custkey") % 5 == 0, "WETH").otherwise(F.concat(F.lit("t"), F.col("o_custkey") % 20)).alias("token"), F.when((F.col("o_custkey") % 5 == 0) | (F.col("o_custkey") % 3 == 0), "USDC").otherwise("WETH").alias("quote"), F.col("o_orderkey").alias("rank"), price.alias("price"))
-    return atblock.token_prices_usd(rows)
-
-
 @query("SELECT p_partkey AS id, CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN CAST(p_partkey AS VARCHAR) END AS value, CASE WHEN p_size % 3 = 2 THEN 'CALL_FAILED' END AS code FROM part")
 def erc20_reads(spark, d):
     """Text and number reads, and those that failed."""

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import scalars as s
 
-NO_RESULT = "no (transactions|records|token transfers|internal transactions|withdrawals|token) ?(found)?"
+# What an explorer says where there is nothing, by kind; kinds not named here go by "transfers".
+NOTHING = {"transactions": "no transactions? found", "transfers": "no (transactions|token transfers|transfers|records) found"}
 TEXT = lambda *names: "struct<" + ",".join(f"{n}:string" for n in names) + ">"
 EXPLORER = {
     "transactions": TEXT("blockNumber", "timeStamp", "hash", "nonce", "blockHash", "transactionIndex", "from", "to", "value", "gas", "gasUsed", "gasPrice", "input", "isError", "txreceipt_status"),
@@ -29,18 +30,23 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
 
 
-def triage(envelopes: DataFrame) -> DataFrame:
-    """outcome of each explorer envelope (body): ok, empty, error, or malformed."""
-    shape = F.from_json("body", "status string, message string, result string")
-    rows = envelopes.withColumn("e", shape)
-    said = F.lower(F.concat_ws(" ", "e.message", "e.result"))
-    outcome = F.when(F.col("e.status").isNull(), "malformed").when(F.col("e.status") == "1", "ok").when(said.rlike("no [a-z ]*found") | (F.col("e.result") == "[]"), "empty").otherwise("error")
+def triage(envelopes: DataFrame, kind: str = "transactions") -> DataFrame:
+    """outcome of each explorer envelope (body): ok, empty, error, or malformed; and its result.
+
+    An envelope of status 0 is empty only if its message, or its result where that is text, says so in the words of its
+    kind; any other is an error, an empty list or not.
+    """
+    rows = envelopes.withColumn("e", F.from_json("body", "status string, message string, result string"))
+    told = F.when(~F.col("e.result").startswith("["), F.col("e.result"))
+    said = F.lower(F.concat_ws(" ", "e.message", told))
+    nothing = said.rlike(NOTHING.get(kind, NOTHING["transfers"]))
+    outcome = F.when(F.col("e.status").isNull(), "malformed").when(F.col("e.status") != "0", "ok").when(nothing, "empty").otherwise("error")
     return rows.withColumn("outcome", outcome).withColumn("result", F.col("e.result")).drop("e")
 
 
 def rows_of(envelopes: DataFrame, kind: str) -> DataFrame:
     """ordinal and r, the typed records of envelopes that are ok; all other columns stay."""
-    ok = triage(envelopes).filter("outcome = 'ok'").drop("outcome", "body")
+    ok = triage(envelopes, kind).filter("outcome = 'ok'").drop("outcome", "body")
     typed = ok.withColumn("__rows", F.from_json("result", f"array<{EXPLORER[kind]}>")).drop("result")
     return typed.select(*[c for c in typed.columns if c != "__rows"], F.posexplode("__rows").alias("ordinal", "r"))
 
@@ -158,6 +164,8 @@ MAPPERS: dict[tuple[str, str], tuple[Callable[[DataFrame, str], DataFrame], tupl
     ("cursor", "transfers"): (cursor_transfers, ("tx_hash", "block", "amount")),
     ("cursor", "holdings"): (cursor_holdings, ("token_address", "amount")),
     ("rpc", "transfers"): (rpc_transfers, ("tx_hash", "block", "amount")),
+    ("rpc", "transactions"): (lambda raw, provider: rpc_transfers(raw, provider, "external"), ("tx_hash", "block", "value")),
+    ("rpc", "internals"): (lambda raw, provider: rpc_transfers(raw, provider, "internal"), ("tx_hash", "block", "trace_id", "value")),
 }
 
 
@@ -175,11 +183,11 @@ def normalise(dialect: str, kind: str, raw: DataFrame, provider: str) -> DataFra
 
 
 def active_markets(markets: DataFrame, exchange: str) -> DataFrame:
-    """Markets open for spot trading, by each exchange's own flags."""
-    c = F.col
+    """Markets open for spot trading, by each exchange's own flags; a flag that is not told does not close a market."""
+    c, told = F.col, lambda name, unless: F.coalesce(F.col(name), F.lit(unless))
     rules: dict[str, Column] = {
-        "a": (c("status") == "TRADING") & c("spot_allowed"),
+        "a": (c("status") == "TRADING") & told("spot_allowed", True),
         "b": (c("type") == "SPOT") & (c("state") == "live"),
-        "c": ~(c("delisted") | (c("status") != "online") | c("trading_disabled") | c("cancel_only") | c("post_only")),
+        "c": ~(told("status", "").isin("delisted", "offline") | told("trading_disabled", False) | told("cancel_only", False) | told("post_only", False)),
     }
     return markets.filter(F.coalesce(rules[exchange], F.lit(False)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -25,35 +25,68 @@ def run_available(stream: DataFrame, work: Callable[[DataFrame, int], None], che
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-class FactSink:
-    """Keyed upserts of micro-batches into a table kept as numbered versions under one folder.
+#: Blocks of one chain that a bucket of a table holds.
+WIDTH = 100_000
 
-    A batch writes version ``batch_id`` from the newest older one, so a batch that runs again after a failure writes
-    the same version anew and changes nothing twice. Only the newest version is read.
-    """
 
-    def __init__(self, path: str, merge: Callable[..., DataFrame]):
-        self.path, self.merge = path, merge
+def block_bucket() -> Column:
+    return F.concat_ws("-", "chain_id", F.floor(F.col("block") / WIDTH).cast("bigint"))
+
 
-    def versions(self, spark: SparkSession) -> list[int]:
-        jvm = spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        names = [x.getPath() for x in fs.listStatus(folder)] if fs.exists(folder) else []
-        return sorted(int(p.getName()[2:]) for p in names if p.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+class FactSink:
+    """Keyed upserts of micro-batches into a table in buckets, of which a batch rewrites those that it touches.
+
+    A batch writes each bucket it touches anew under its own id, and then, last, the list of those buckets; readers take
+    the newest listed version of every bucket. A batch that runs again after a failure writes the same versions from the
+    same older ones and changes nothing twice; what a failed one left behind is not listed and not read. Facts are
+    merged within their bucket, so an identity that moves between buckets needs its old window collected anew.
+    """
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        found = [v for v in self.versions(spark) if before is None or v < before]
-        return spark.read.parquet(f"{self.path}/v={found[-1]}") if found else None
+    def __init__(self, path: str, merge: Callable[..., DataFrame], bucket: Column | None = None):
+        self.path, self.merge, self.bucket = path, merge, block_bucket() if bucket is None else bucket
+
+    def _exists(self, spark: SparkSession, name: str) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+    def versions(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """bucket and v, the newest listed version of each, of batches before one."""
+        if not self._exists(spark, "versions"):
+            return spark.createDataFrame([], "bucket string, v bigint")
+        rows = spark.read.schema("bucket string, v bigint").option("recursiveFileLookup", True).parquet(f"{self.path}/versions")
+        rows = rows if before is None else rows.filter(F.col("v") < before)
+        return rows.groupBy("bucket").agg(F.max("v").alias("v"))
+
+    def read(self, spark: SparkSession, before: int | None = None, buckets: DataFrame | None = None) -> DataFrame | None:
+        """The table, or its facts in some buckets: partitions of other buckets and versions are pruned by the join."""
+        if not self._exists(spark, "data"):
+            return None
+        wanted = self.versions(spark, before)
+        if buckets is not None:
+            wanted = wanted.join(buckets, "bucket", "left_semi")
+        rows = spark.read.option("basePath", f"{self.path}/data").parquet(f"{self.path}/data").withColumns({"v": F.col("v").cast("bigint"), "bucket": F.col("bucket").cast("string")})
+        return rows.join(F.broadcast(wanted), ["bucket", "v"]).drop("bucket", "v")
+
+    def touched(self, batch: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+        """bucket of the facts of a batch, and of the blocks of its windows."""
+        found = batch.select(self.bucket.alias("bucket"))
+        if windows is not None:
+            starts = F.array_distinct(F.transform(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH)), lambda k: k * WIDTH))
+            found = found.unionByName(windows.select("chain_id", F.explode(starts).alias("block")).select(self.bucket.alias("bucket")))
+        return found.distinct()
 
     def __call__(self, batch: DataFrame, batch_id: int, *more: DataFrame) -> None:
-        old = self.read(batch.sparkSession, before=batch_id)
-        rows = self.merge(old if old is not None else batch.limit(0), batch, *more)
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        spark = batch.sparkSession
+        touched = self.touched(batch, *more)
+        old = self.read(spark, batch_id, touched)
+        rows = self.merge(old.select(*batch.columns) if old is not None else batch.limit(0), batch, *more)
+        marked = rows.withColumn("v", F.lit(batch_id)).withColumn("bucket", self.bucket)
+        marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("v", "bucket").parquet(f"{self.path}/data")
+        touched.select("bucket", F.lit(batch_id).cast("bigint").alias("v")).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions/{batch_id}")
 
 
-def upsert_sink(path: str, key: list[str] | None = None) -> FactSink:
-    return FactSink(path, lambda old, new: maintenance.upsert(old, new, key))
+def upsert_sink(path: str, key: list[str] | None = None, bucket: Column | None = None) -> FactSink:
+    return FactSink(path, lambda old, new: maintenance.upsert(old, new, key), bucket)
 
 
 def overlap_sink(path: str, source: str) -> FactSink:
@@ -73,7 +106,8 @@ def overlap_sink(path: str, source: str) -> FactSink:
 
 
 def price_sink(path: str) -> FactSink:
-    return upsert_sink(path, [*SCOPE, "ts"])
+    """Price points in buckets of a day."""
+    return upsert_sink(path, [*SCOPE, "ts"], F.to_date("ts").cast("string"))
 
 
 def without_repeats(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -89,6 +123,19 @@ def running_balances(transfers: DataFrame) -> DataFrame:
     return sides.groupBy("chain_id", "address", "token_address").agg(*[F.sum(x).alias(p) for x, p in zip(net, u256.PARTS, strict=True)])
 
 
+def published_balances(transfers: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """What each account's holding of a token changed by in a block, published once the watermark has passed it.
+
+    For append mode: a block's row appears once, when no more of its facts can come. address, token_address, block, the
+    block's time and the change in limbs; :func:`ledger.running_sums` of them are the account's states.
+    """
+    timed = transfers.withWatermark("ts", delay)
+    amount = u256.parse(F.col("amount"))
+    sides = watched(timed)
+    net = [F.sum(F.when(F.col("to_address") == F.col("address"), amount[p]).otherwise(0) - F.when(F.col("from_address") == F.col("address"), amount[p]).otherwise(0)).alias(p) for p in u256.PARTS]
+    return sides.groupBy(F.window("ts", "1 minute"), "chain_id", "address", "token_address", "block").agg(F.count("*").alias("transfers"), *net)
+
+
 def complete_blocks(transfers: DataFrame, delay: str = "1 minute") -> DataFrame:
     """Sums of blocks, published once the watermark has passed the block's minute; for append mode."""
     amount = u256.parse(F.col("amount"))

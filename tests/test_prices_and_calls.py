@@ -103,6 +103,14 @@ def test_chains_and_pools(spark):
     found = prices.match_pools(pools, tokens, spark.createDataFrame([("r", "pepe")], "request string, text string"))
     best = prices.best_pool(found).first()
     assert (best.pool_address, best.ambiguous) == ("q", False)
-    faults = candles.registry_faults(spark.createDataFrame([("a", "0x12", "x", "y", 1, 1)], "id string, pool_address string, token0 string, token1 string, fee int, tick_spacing int"))
-    assert faults.first().fault == "ADDRESS"
+    at = lambda n: "0x" + format(n, "040x")
+    rows = [(1, 10, 1, 2, 2, 500), (2, 10, 1, 2, 2, 500), (3, 11, 1, 1, 1, 500), (4, 12, 3, 1, 2, 500), (5, 13, 1, 1, 2, 0), (6, 14, 1, 2, 1, 500), (7, 15, 1, 2, 2, 1), (7, 16, 2, 1, 1, 1)]
+    made = [(f"ethereum:uniswap-v3:{i}", at(t), at(p), at(a), at(b), at(q), fee, 18, 6, "1") for i, p, t, a, q, fee in [(i, p, t, a, q, f) for i, p, t, a, q, f in rows] for b in (2 if a == 1 and t != 1 or a == 1 and i != 3 else 1,)]
+    made += [("Bad Id", *made[0][1:]), ("ethereum:uniswap-v3:8", "0x12", *made[0][2:])]
+    registry = spark.createDataFrame(made, "id string, token_address string, pool_address string, token0 string, token1 string, quote_token string, fee int, decimals0 int, decimals1 int, deployment_block string")
+    faults = {}
+    for r in candles.registry_faults(registry).collect():
+        faults.setdefault(r.id.rsplit(":", 1)[-1], set()).add(r.fault)
+    assert faults["1"] == faults["2"] == {"DUPLICATE_POOL"} and faults["8"] == {"ADDRESS"} and "ID" in faults["Bad Id"]
+    assert "SIDES" in faults["3"] and "SIDES" in faults["4"] and "METADATA" in faults["5"] and "DUPLICATE_ID" in faults["7"]
     assert {r.status for r in prices.request_summary(found.withColumn("code", F.lit(None).cast("string"))).collect()} == {"ok"}
