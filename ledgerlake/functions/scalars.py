@@ -35,11 +35,11 @@ def nullable_lower(text: Column) -> Column:
 
 
 def hex_to_decimal(text: Column) -> Column:
-    return u256.render(u256.from_hex(text))
+    return u256.hex_text(text)
 
 
 def hex_to_signed(text: Column) -> Column:
-    return u256.render(u256.from_hex_signed(text))
+    return u256.signed_hex_text(text)
 
 
 def epoch_seconds(text: Column) -> Column:

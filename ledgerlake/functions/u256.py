@@ -106,9 +106,6 @@ def _render(x: Column) -> Column:
 
 def from_hex(text: Column) -> Column:
     """Limbs of 0x followed by 1 to 64 hexadecimal digits; null for anything else."""
-    short = limbs(F.lit(0), F.lit(0), F.conv(F.substring(text, 3, 15), 16, 10))
-    zeros = F.substring(text, 3, 49) == "0" * 49
-    padded = limbs(F.lit(0), F.lit(0), F.conv(F.substring(text, 52, 15), 16, 10))
     digits = F.lpad(F.substring(text, 3, 64), 64, "0")
     words = [F.conv(F.substring(digits, 1 + 8 * k, 8), 16, 10).cast("decimal(10,0)") for k in range(8)]
     sums = []
@@ -118,7 +115,19 @@ def from_hex(text: Column) -> Column:
         for t in terms[1:]:
             total = (total + t.cast(LIMB)).cast(LIMB)
         sums.append(total)
-    return F.when(text.rlike("^0[xX][0-9a-fA-F]{1,15}$"), short).when(text.rlike("^0[xX][0-9a-fA-F]{1,64}$"), F.when((F.length(text) == 66) & zeros, padded).otherwise(limbs(*sums)))
+    return F.when(text.rlike("^0[xX][0-9a-fA-F]{1,64}$"), limbs(*sums))
+
+
+def hex_text(text: Column) -> Column:
+    """Decimal string of 0x followed by 1 to 64 hexadecimal digits; null for anything else. Those of up to 60 bits, nearly all, are converted at once."""
+    short = F.when(text.rlike("^0[xX][0-9a-fA-F]{1,15}$"), F.substring(text, 3, 15)).when(text.rlike("^0[xX]0{49}[0-9a-fA-F]{15}$"), F.substring(text, 52, 15))
+    return F.coalesce(F.conv(short, 16, 10), _render(from_hex(text)))
+
+
+def signed_hex_text(text: Column) -> Column:
+    """Decimal string of a 64-digit two's-complement word after 0x; shorter ones are not negative."""
+    negative = text.rlike("^0[xX][89a-fA-F][0-9a-fA-F]{63}$")
+    return F.when(negative, _render(from_hex_signed(text))).otherwise(hex_text(text))
 
 
 def from_hex_signed(text: Column) -> Column:

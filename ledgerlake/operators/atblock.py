@@ -85,7 +85,7 @@ def call_code(ok: Column, data: Column) -> Column:
 
 def uint(data: Column) -> Column:
     """Decimal string of a single word, else null."""
-    return F.when(s.has_words(data, 1), u256.render(u256.from_hex(data)))
+    return F.when(s.has_words(data, 1), u256.hex_text(data))
 
 
 def oracle_prices(feeds: DataFrame, results: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def oracle_prices(feeds: DataFrame, results: DataFrame, blocks: DataFrame) -> Da
     data = F.col("round_data")
     word = lambda k: s.word(data, k)
     rows = rows.withColumn("shaped", s.has_words(data, 5))
-    rows = rows.select("*", F.when(F.col("shaped"), u256.render(u256.from_hex_signed(word(1)))).alias("raw_answer"), *[F.when(F.col("shaped"), s.word_long(data, k)).alias(n) for k, n in ((2, "started_at"), (3, "updated_at"))], *[F.when(F.col("shaped"), F.lpad(F.substring(data, 3 + 64 * k, 64), 64, "0")).alias(n) for k, n in ((0, "round_word"), (4, "answered_word"))], s.word_long(F.col("decimals_data"), 0).alias("decimals"))
+    rows = rows.select("*", F.when(F.col("shaped"), u256.signed_hex_text(word(1))).alias("raw_answer"), *[F.when(F.col("shaped"), s.word_long(data, k)).alias(n) for k, n in ((2, "started_at"), (3, "updated_at"))], *[F.when(F.col("shaped"), F.lpad(F.substring(data, 3 + 64 * k, 64), 64, "0")).alias(n) for k, n in ((0, "round_word"), (4, "answered_word"))], s.word_long(F.col("decimals_data"), 0).alias("decimals"))
     age = F.col("block_ts") - F.col("updated_at")
     code = (
         F.when(F.col("round_ok").isNull(), "FEED_RESPONSE_INVALID")
@@ -138,7 +138,7 @@ def exchange_rates(tokens: DataFrame, results: DataFrame) -> DataFrame:
     data = lambda p: call(F.lit(p))["data"]
     one = F.lit("1")
     num = lambda *xs: F.array(*xs)
-    hexed = lambda w: u256.render(u256.from_hex(w))
+    hexed = lambda w: u256.hex_text(w)
     kind = F.col("adapter")
     pool = s.abi_arrays(data("poolTokens"))
     rows = rows.withColumn("pool", F.when((kind == "balancer-bpt") & F.col("code").isNull(), pool))
@@ -181,7 +181,7 @@ def pool_prices(requests: DataFrame, results: DataFrame, words: int = 7) -> Data
     """
     states = first_wins(results.select(*AT, F.col("call_id").alias("pool"), "success", F.lower("return_data").alias("data")), [*AT, "pool"], ["success", "data"])
     data = F.col("data")
-    sqrt = F.when(s.has_words(data, words), u256.render(u256.from_hex(s.word(data, 0))))
+    sqrt = F.when(s.has_words(data, words), u256.hex_text(s.word(data, 0)))
     states = states.select(*AT, "pool", call_code(F.col("success"), data).alias("code"), sqrt.alias("sqrt"), F.when(s.has_words(data, words), s.tick(s.word(data, 1))).alias("tick"), F.substring(data, 131, 128).alias("fee_words"))
     rows = requests.join(states, [*AT, "pool"], "left")
     fees = F.lit(True) if words != 4 else F.coalesce((F.col("fee_words").rlike("^(0{58}[0-9a-f]{6}){2}$")), F.lit(False))

@@ -129,7 +129,7 @@ def wrapped_native(transactions: DataFrame, transfers: DataFrame, wrapped: dict[
     bare = F.coalesce(F.col("input"), F.lit("")).isin("", "0x") | (selector(F.col("input")) == DEPOSIT)
     base = ["chain_id", "tx_hash", "block", "token_address"]
     deposits = rows.filter(bare & u256.is_positive(amount_limbs("value"))).select(*base, F.lit(ZERO).alias("from_address"), F.col("from_address").alias("to_address"), F.col("value").alias("amount"), F.lit("deposit").alias("source"))
-    taken = u256.render(u256.from_hex(call_argument(F.col("input"))))
+    taken = u256.hex_text(call_argument(F.col("input")))
     withdrawals = rows.filter(selector(F.col("input")) == WITHDRAW).select(*base, F.col("from_address"), F.lit(ZERO).alias("to_address"), taken.alias("amount"), F.lit("withdrawal").alias("source")).filter("amount <> '0'")
     there = transfers.select("chain_id", "tx_hash", "token_address", "from_address", "to_address")
     made = deposits.join(there.select("chain_id", "tx_hash", "token_address", "to_address"), ["chain_id", "tx_hash", "token_address", "to_address"], "left_anti").select(*base, "from_address", "to_address", "amount", "source")

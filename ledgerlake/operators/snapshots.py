@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlake.functions import u256
+from ledgerlake.lineage import cut
 from ledgerlake.operators.ledger import at_marks, block_deltas, by_block, rendered, running_sums, watched
 
 EVENTS, BLOCKS = 10_000, 10_000
@@ -65,8 +66,8 @@ def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS)
 
 
 def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
-    """Balances of each account at each of its boundaries (chain_id, address, block)."""
-    return rendered(at_marks(block_deltas(transfers), at), amount="balance")
+    """Balances of each account at each of its boundaries (chain_id, address, block); boundaries are computed once."""
+    return rendered(at_marks(block_deltas(transfers), cut(at.select(*KEY, "block").distinct())), amount="balance")
 
 
 def replay(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS, earlier: DataFrame | None = None) -> DataFrame:
@@ -101,7 +102,7 @@ def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataF
     old = pointer.select(*KEY, F.col("as_of").alias("__as_of"), "begin", "seen", "revision")
     later = F.col("__as_of").isNull() | (F.col("block") > F.col("__as_of"))
     counts = _counts(facts).join(old, KEY, "left").filter(later)
-    rows = _segments(counts, events, blocks)
+    rows = cut(_segments(counts, events, blocks))
     marks = rows.filter("is_boundary").select(*KEY, "block").distinct()
     deltas = block_deltas(facts).join(old.select(*KEY, "__as_of"), KEY, "left").filter(later).drop("__as_of")
     placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after").select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
@@ -154,7 +155,7 @@ def at_block(taken: DataFrame, transfers: DataFrame, probes: DataFrame) -> DataF
     """
     asked = probes.select(*KEY, F.col("at_block").alias("block")).distinct()
     edges = taken.select(*KEY, "block", F.col("block").alias("snapshot")).distinct()
-    near = by_block(asked, edges, KEY, "before").select(*KEY, "block", F.coalesce("point.snapshot", F.lit(NEVER)).alias("since"))
+    near = cut(by_block(asked, edges, KEY, "before").select(*KEY, "block", F.coalesce("point.snapshot", F.lit(NEVER)).alias("since")))
     span = near.groupBy(*KEY).agg(F.min("since").alias("__low"), F.max("block").alias("__high"))
     inside = block_deltas(_within(transfers, span)).join(span, KEY).filter("block > __low and block <= __high").drop("__low", "__high")
     marks = near.select(*KEY, "block", "since")

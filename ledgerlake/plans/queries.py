@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 
 from ledgerlake.functions import scalars as s
+from ledgerlake.lineage import cut
 from ledgerlake.operators import atblock, identity, ledger, maintenance, selection, snapshots
 from ledgerlake.operators import prices as px
 from ledgerlake.plans import queries_jobs, queries_sources  # noqa: F401, they register their queries
@@ -103,7 +104,7 @@ def last_snapshots(spark, d):
 def state_from_snapshots(spark, d):
     """The same from the newest snapshot and later deltas."""
     t = v.transfers(spark, d)
-    taken = snapshots.replay(t, 600, 1, 60, 400)
+    taken = cut(snapshots.replay(t, 600, 1, 60, 400))
     return snapshots.at_block(taken, t, t.select("chain_id", F.col("from_address").alias("address"), F.lit(700).cast("bigint").alias("at_block")).distinct())
 
 

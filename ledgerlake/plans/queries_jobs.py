@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import fixed_point
+from ledgerlake.lineage import cut
 from ledgerlake.operators import atblock, identity, ledger, maintenance, selection, snapshots
 from ledgerlake.operators import prices as px
 from ledgerlake.plans import views as v
@@ -195,7 +196,7 @@ def snapshot_boundaries(spark, d):
 def resumed_snapshots(spark, d):
     """A replay to one block and one that goes on from its pointers, without reading what came before."""
     t = v.transfers(spark, d)
-    taken, pointer = snapshots.start(t, 900, 7, 60, 400)
+    taken, pointer = (cut(x) for x in snapshots.start(t, 900, 7, 60, 400))
     more, _ = snapshots.resume(t, 10**6, taken, pointer, 60, 400, 7)
     return taken.unionByName(more).select("address", "block", "token_address", "amount", "revision")
 
@@ -204,7 +205,7 @@ def resumed_snapshots(spark, d):
 def replay_pointers(spark, d):
     """Each account's pointer after a replay and its continuation, and whether a block is ready."""
     t = v.transfers(spark, d)
-    taken, pointer = snapshots.start(t, 900, 7)
+    taken, pointer = (cut(x) for x in snapshots.start(t, 900, 7))
     _, after = snapshots.resume(t, 1500, taken, pointer)
     asked = after.select(*KEY, F.lit(1200).cast("bigint").alias("at_block"))
     return snapshots.readiness(asked, after).join(after.select(*KEY, "processed"), KEY).select("address", "as_of", "processed", "state")
@@ -214,7 +215,7 @@ def replay_pointers(spark, d):
 def rebuild_counts(spark, d):
     """How many snapshots each account loses to a targeted rebuild that begins at a block."""
     t = v.transfers(spark, d)
-    taken = snapshots.replay(t, 10**6, 1, 1, 1)
+    taken = cut(snapshots.replay(t, 10**6, 1, 1, 1))
     made, _, lost = snapshots.rebuild(t, 10**6, taken, 2, 1800, 1, 10**6)
     return lost.join(made.select(*KEY).distinct(), KEY, "left_semi").select("address", "invalidated")
 
@@ -338,6 +339,6 @@ def pool_search(spark, d):
 def states_at_blocks(spark, d):
     """Balances of accounts at several blocks each, from snapshots of which some lie between."""
     t = v.transfers(spark, d)
-    taken = snapshots.replay(t, 900, 1, 10**6, 250)
+    taken = cut(snapshots.replay(t, 900, 1, 10**6, 250))
     asked = t.select("chain_id", F.col("from_address").alias("address")).distinct().crossJoin(F.broadcast(spark.createDataFrame([(300,), (700,), (1100,), (2300,)], "at_block bigint")))
     return snapshots.at_block(taken, t, asked).select("address", "at_block", "token_address", "amount")
