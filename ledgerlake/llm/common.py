@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.lineage import shared_dir
+
 #: Rows of an Arrow batch that are worked on at once; bounds the output held by a task.
 SLICE = 1000
 #: Rows of one key from which it is joined apart, and such keys that are broadcast at most (some 100 bytes each).
@@ -23,24 +24,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only a local session, where all run in one machine, may leave it unset and gets a folder of its own.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    found = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if found.isDefined():
-        return found.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="ledgerlake-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
 def stash(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here, and a lost executor costs no rework."""
     spark = df.sparkSession
@@ -62,9 +45,15 @@ def forget(table: DataFrame) -> None:
         folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def tid_of(docs: DataFrame) -> Column:
+    """What tells rows of one doc_id apart: a hash of the text, or zero, which costs nothing to carry along, where no id is null or repeated."""
+    again = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
+    return F.lit(0).cast("bigint") if again.isEmpty() else F.xxhash64("text")
+
+
+def keyed(docs: DataFrame, tid: Column | None = None) -> DataFrame:
     """doc_id, tid and the text's bytes. Rows that agree in doc_id and text are one document; tid tells other rows apart."""
-    return docs.select("doc_id", F.xxhash64("text").alias("tid"), F.col("text").cast("binary").alias("text"))
+    return docs.select("doc_id", (F.xxhash64("text") if tid is None else tid).alias("tid"), F.col("text").cast("binary").alias("text"))
 
 
 def same_doc(a: DataFrame, b: DataFrame) -> Column:

@@ -13,17 +13,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash
+from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash, tid_of
 
 #: Short lines for each one that may end a chunk; lines and bytes that a chunk needs to be removed. Documented with
 #: :func:`dedup`: repeats shorter than MIN_BYTES are everyday phrases, and stay.
 MEAN, MIN_LINES, MIN_BYTES = 2, 1, 40
 #: Where a text is broken into lines: at ``\\n``, and at white space after a sentence's end.
 BREAK = re.compile(rb"\n|(?<=[.!?])[ \t]+")
-PARTS = re.compile(rb"(" + BREAK.pattern + rb")")
 
 
 SENTENCE_END = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
@@ -90,62 +89,75 @@ def content(part: bytes) -> bytes:
 
 
 def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
-    """Text without some ranges of lines.
+    """Text without some ranges of lines."""
+    lines = Lines.of([text])
+    return _without(lines, 0, len(lines.stop), {i for a, b in gone for i in range(a, b)})
+
+
+def _without(lines: Lines, first: int, after: int, removed: set[int]) -> bytes:
+    """What is left of the text that has the lines from ``first`` to ``after``.
 
     What separates a removed line from the next goes as well, but a line break stays where something of its own line is
     kept, and the white space before it goes.
     """
-    parts, removed = PARTS.split(text), {i for a, b in gone for i in range(a, b)}
-    out: list[bytes] = []
-    for i, line in enumerate(parts[::2]):
-        after = parts[2 * i + 1] if 2 * i + 1 < len(parts) else b""
-        if i not in removed:
-            out += [line, after]
-        elif after in (b"\n", b"") and out and out[-1] != b"\n":
-            out[-1] = after
-    if len(parts) // 2 in removed and out:
+    buffer, out = lines.buffer, []
+    start, stop = lines.start[first : after + 1].tolist(), lines.stop[first:after].tolist()
+    start += [stop[-1]] * (len(stop) + 1 - len(start))
+    start[-1] = stop[-1]  # nothing separates the last line from another text
+    for i, end in enumerate(stop):
+        between = buffer[end : start[i + 1]]
+        if first + i not in removed:
+            out += [buffer[start[i] : end], between]
+        elif between in (b"\n", b"") and out and out[-1] != b"\n":
+            out[-1] = between
+    if after - 1 in removed and out:
         out[-1] = b""
     return b"".join(out)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """A row for each chunk that may be removed: its document, its lines, its bytes and the halves of a 128-bit digest of its content."""
+def _flat(marks: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Row of each mark in a column of arrays of structs, and the marks' fields."""
+    rows = np.repeat(np.arange(len(marks)), marks.value_lengths().fill_null(0).to_numpy())
+    flat = marks.flatten()
+    return rows, {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+
+
+def occurrences(docs: DataFrame, tid: Column | None = None) -> DataFrame:
+    """A row for each chunk that may be removed: its document, its bytes, its number of lines, and the halves of a 128-bit digest of its content."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = Lines.of([t or b"" for t in batch.column(2).to_pylist()])
         found = np.array([(a, b) for a, b, size in lines.chunks() if b - a >= MIN_LINES and size >= MIN_BYTES], np.int64).reshape(-1, 2)
-        lo, hi = lines.start[found[:, 0]], lines.stop[found[:, 1] - 1]
-        parts = [lines.buffer[x:y] if one else content(lines.buffer[x:y]) for x, y, one in zip(lo.tolist(), hi.tolist(), (found[:, 1] == found[:, 0] + 1).tolist(), strict=True)]
+        lo, hi, n = lines.start[found[:, 0]], lines.stop[found[:, 1] - 1], found[:, 1] - found[:, 0]
+        parts = [lines.buffer[x:y] if one else content(lines.buffer[x:y]) for x, y, one in zip(lo.tolist(), hi.tolist(), (n == 1).tolist(), strict=True)]
         digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
         some = np.array([not p.isspace() for p in parts], bool)
-        found, lo, hi, digest = found[some], lo[some], hi[some], digest[some]
-        doc = lines.text[found[:, 0]] if len(found) else np.zeros(0, np.int64)
-        first = np.searchsorted(lines.text, doc)
+        doc = lines.text[found[:, 0]][some]
         take = pa.array(doc)
-        places = [x.astype(np.int32) for x in (found[:, 0] - first, found[:, 1] - first, lo - lines.begin[doc], hi - lines.begin[doc])]
-        cols = [batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), *map(pa.array, digest.T.copy())]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "start", "end", "lo", "hi", "h1", "h2"])
+        places = [x.astype(np.int32) for x in (lo[some] - lines.begin[doc], hi[some] - lines.begin[doc], n[some])]
+        cols = [batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), *map(pa.array, digest[some].T.copy())]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "lo", "hi", "lines", "h1", "h2"])
 
-    return keyed(docs).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, start int, end int, lo int, hi int, h1 bigint, h2 bigint")
+    return keyed(docs, tid).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h1 bigint, h2 bigint")
 
 
 def _contents(marked: DataFrame) -> DataFrame:
     """Digest and content of every chunk that ``marked`` lists in __chunks."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(m["h1"], m["h2"], content(t[m["lo"] : m["hi"]])) for t, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for m in marks]
-        h1, h2, data = zip(*rows, strict=True) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(data, pa.binary())], ["h1", "h2", "data"])
+        texts, (rows, m) = batch.column(0).to_pylist(), _flat(batch.column(1))
+        data = [texts[r][lo:hi] if n == 1 else content(texts[r][lo:hi]) for r, lo, hi, n in zip(rows.tolist(), m["lo"].tolist(), m["hi"].tolist(), m["lines"].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(m["h1"]), pa.array(m["h2"]), pa.array(data, pa.binary())], ["h1", "h2", "data"])
 
     rows = marked.filter("__chunks is not null").select(F.col("text").cast("binary").alias("text"), "__chunks")
     return rows.mapInArrow(by_slice(work), "h1 bigint, h2 bigint, data binary")
 
 
-def _marked(docs: DataFrame, chunks_: DataFrame) -> DataFrame:
+def _marked(docs: DataFrame, chunks_: DataFrame, tid: Column) -> DataFrame:
     """docs with __chunks, the array of a document's repeated chunks, null where it has none; a written table."""
-    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("start", "end", "lo", "hi", "h1", "h2", "is_first"))).alias("__chunks"))
-    rows = docs.withColumn("__tid", F.xxhash64("text"))
+    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("lo", "hi", "lines", "h1", "h2", "is_first"))).alias("__chunks"))
+    rows = docs.withColumn("__tid", tid)
     joined = rows.join(marks, rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__tid"] == marks["__of"]), "left")
     return stash(joined.drop("__doc_id", "__of", "__tid"), "marked")
 
@@ -153,18 +165,19 @@ def _marked(docs: DataFrame, chunks_: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """docs, all columns, with __chunks: the repeated chunks of each text, and whether each is the first of its kind.
 
-    First is the occurrence with the smallest doc_id (nulls last), text hash and line. Chunks are counted by a 128-bit
+    First is the occurrence with the smallest doc_id (nulls last), text hash and place. Chunks are counted by a 128-bit
     digest; then the bytes of those met again are compared, by their smallest and largest value for a digest, and a
     digest that stands for different bytes is struck out. Counts and comparisons are summed in each task before they
     shuffle, and occurrences are joined to their first, so no group is gathered. Texts are shuffled once.
     """
-    found = stash(occurrences(docs), "chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "start")
+    tid = tid_of(docs)
+    found = stash(occurrences(docs, tid), "chunks")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "lo")
     again = stash(found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1"), "again")
     chunks_ = join_counted(found, again, ["h1", "h2"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
-    marked = _marked(docs, chunks_)
+    marked = _marked(docs, chunks_, tid)
     differ = stash(_contents(marked).groupBy("h1", "h2").agg(F.min("data").alias("a"), F.max("data").alias("b")).filter("a <> b").select("h1", "h2"), "differ")
-    same = marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, ["h1", "h2"], "left_anti"))
+    same = marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, ["h1", "h2"], "left_anti"), tid)
     for table in (found, again, differ):
         forget(table)
     return same
@@ -177,16 +190,20 @@ def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).to_pylist()
-        plain = [(t or "").encode() for t in texts]
-        removed = [0] * len(texts)
-        for i, marks in enumerate(batch.column(len(columns)).to_pylist()):
-            if gone := [(m["start"], m["end"]) for m in marks or () if not m["is_first"]]:
-                removed[i] = sum(b - a for a, b in gone)
-                texts[i] = without(plain[i], gone).decode()
-        lines = np.bincount(Lines.of(plain).text, minlength=len(texts))
+        lines = Lines.of([(t or "").encode() for t in texts])
+        first = np.searchsorted(lines.text, np.arange(len(texts) + 1))
+        rows, m = _flat(batch.column(len(columns)))
+        gone = ~m["is_first"].astype(bool)
+        rows, n = rows[gone], m["lines"][gone].astype(np.int64)
+        begin = np.searchsorted(lines.start, m["lo"][gone] + lines.begin[rows], side="right") - 1
+        removed = np.bincount(rows, n, len(texts)).astype(np.int64)
+        which = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ends = np.searchsorted(np.repeat(rows, n), np.arange(len(texts) + 1))
+        for i in np.flatnonzero(removed).tolist():
+            texts[i] = _without(lines, int(first[i]), int(first[i + 1]), set(which[ends[i] : ends[i + 1]].tolist())).decode()
         cols = list(batch.columns[: len(columns)])
         cols[at] = pa.array(texts, pa.string())
-        return pa.RecordBatch.from_arrays([*cols, pa.array(lines.astype(np.int64)), pa.array(removed, pa.int64())], [*columns, "__lines", "__removed"])
+        return pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(first)), pa.array(removed)], [*columns, "__lines", "__removed"])
 
     return marked.select(*columns, "__chunks").mapInArrow(by_slice(work), schema)
 

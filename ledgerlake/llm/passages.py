@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.anchors import runs
-from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash
+from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash, tid_of
 
 #: Symbols' identifiers, sequence ends, bytes, and where each symbol starts and stops in them.
 Laid = tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]
@@ -56,11 +56,9 @@ class Kind:
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, tid and the text's bytes; where no id is null or repeated, tid is zero and costs nothing to carry along."""
+    """doc_id, tid and the text's bytes."""
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    again = ids.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
-    rows = keyed(ids)
-    return rows.withColumn("tid", F.lit(0).cast("bigint")) if again.isEmpty() else rows
+    return keyed(ids, tid_of(ids))
 
 
 def _runs(texts: DataFrame, kind: Kind) -> DataFrame:
