@@ -15,7 +15,8 @@ def _carried(points: DataFrame, asked: DataFrame, key: list[str], modes: tuple[s
 
     Points are reduced to two for each bucket by partial aggregates; the window then sees a row a bucket, not a point.
     """
-    ends = points.groupBy(*key, "__bucket").agg(F.min("__p").alias("low"), F.max("__p").alias("high"))
+    first = F.max(F.struct((-F.col("__p.__at")).alias("__back"), "__p"))["__p"]  # the largest of those at the first place
+    ends = points.groupBy(*key, "__bucket").agg(first.alias("low"), F.max("__p").alias("high"))
     known = ends.unionByName(asked.select(*key, "__bucket").distinct(), allowMissingColumns=True).groupBy(*key, "__bucket").agg(F.max("low").alias("low"), F.max("high").alias("high"))
     other = lambda c, order: F.last(c, ignorenulls=True).over(Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
     found = []
@@ -27,13 +28,14 @@ def _carried(points: DataFrame, asked: DataFrame, key: list[str], modes: tuple[s
     return rows.select(*key, "__bucket", F.explode("__all").alias("__p")).filter("__p is not null")
 
 
-def as_of(probes: DataFrame, points: DataFrame, key: list[str], mode: str = "nearest", max_distance: int | None = None, at: str = "ts", position: Column | None = None, width: int = HOUR, unit: int = 1000) -> DataFrame:
+def as_of(probes: DataFrame, points: DataFrame, key: list[str], mode: str = "nearest", max_distance: int | None = None, at: str = "ts", position: Column | None = None, width: int = HOUR, unit: int = 1000, places: DataFrame | None = None) -> DataFrame:
     """Each probe with the point before, after or nearest to it: columns of probes, point_<at>, and point (a struct).
 
     probes and points: key, ``at`` and any columns. A point at the probe's place is both before and after; of two
     equally near the earlier wins; of points at one place the largest in order of its columns; one further off than
     ``max_distance`` is missing. ``position`` gives the place of ``at`` as a long (microseconds of a timestamp by
-    default) and ``width`` the size of a bucket; distances are in whole ``unit`` (milliseconds).
+    default) and ``width`` the size of a bucket; distances are in whole ``unit`` (milliseconds). ``places``: key and
+    ``at`` of all probes, others too, where they can be told at less cost than by computing the probes once more.
 
     A key is cut into buckets, each with the nearest point from outside carried in, so a hot key is many tasks. Within
     one, points and probes are merged by a running frame: the cost is that of a sort, whatever the number of probes.
@@ -45,7 +47,8 @@ def as_of(probes: DataFrame, points: DataFrame, key: list[str], mode: str = "nea
     bucket = F.floor(F.col("__at") / width).cast("bigint").alias("__bucket")
     told = points.select(*key, place, at, *rest).select(*key, bucket, F.struct("__at", at, *rest).alias("__p"))
     asked = probes.select(*key, place, at, *extra).select(*key, bucket, F.col("__at"), F.struct(F.lit(1).alias("__one"), at, *extra).alias("__probe"))
-    told = told.unionByName(_carried(told, asked, key, modes))
+    near = asked if places is None else places.select(*key, place).select(*key, bucket)
+    told = told.unionByName(_carried(told, near, key, modes))
     both = told.select("*", F.col("__p.__at").alias("__at")).unionByName(asked, allowMissingColumns=True)
     running = Window.partitionBy(*key, "__bucket").rowsBetween(Window.unboundedPreceding, 0)
     last = lambda order: F.last("__p", ignorenulls=True).over(running.orderBy(order, F.col("__probe").isNotNull(), "__p"))

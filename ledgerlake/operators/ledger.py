@@ -163,20 +163,27 @@ def balance_history(transfers: DataFrame) -> DataFrame:
     return rendered(sums, amount="balance")
 
 
-def by_block(rows: DataFrame, marks: DataFrame, key: list[str], mode: str) -> DataFrame:
+def by_block(rows: DataFrame, marks: DataFrame, key: list[str], mode: str, places: DataFrame | None = None) -> DataFrame:
     """As-of lookup by block number, in buckets of 10,000 blocks."""
-    return as_of(rows, marks, key, mode, at="block", position=F.col("block").cast("bigint"), width=10_000, unit=1)
+    return as_of(rows, marks, key, mode, at="block", position=F.col("block").cast("bigint"), width=10_000, unit=1, places=places)
 
 
-def at_marks(deltas: DataFrame, marks: DataFrame) -> DataFrame:
-    """Balances at each mark (chain_id, address, block) of an account's history, from its :func:`block_deltas`.
+def touched_blocks(transfers: DataFrame) -> DataFrame:
+    """chain_id, address and block of everything that transfers move, told without their amounts."""
+    sides = transfers.select("chain_id", "block", F.explode(F.array("from_address", "to_address")).alias("address"))
+    return sides.filter("address is not null")
+
+
+def at_marks(transfers: DataFrame, marks: DataFrame) -> DataFrame:
+    """Balances at each mark (chain_id, address, block) of an account's history.
 
     A delta belongs to the first mark at or after its block, by an as-of lookup in buckets of blocks, so that a hub
     account's history is many tasks; deltas after the last mark are left out.
     """
     key = ["chain_id", "address"]
     points = marks.select(*key, "block", F.col("block").alias("mark")).distinct()
-    placed = by_block(deltas, points, key, "after").select(*key, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    mine = transfers.join(F.broadcast(marks.groupBy("chain_id").agg(F.max("block").alias("__last"))), "chain_id").filter("block <= __last").drop("__last")
+    placed = by_block(block_deltas(mine), points, key, "after", touched_blocks(mine)).select(*key, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
     return running_sums(placed, points.select(*key, "mark"), key)
 
 
@@ -201,5 +208,4 @@ def state_at(transfers: DataFrame, probes: DataFrame) -> DataFrame:
     The probes of an account are marks in its history: each delta is met once, however many probes there are.
     """
     asked = probes.select("chain_id", "address", F.col("at_block").alias("block")).distinct()
-    deltas = block_deltas(transfers).join(asked.select("chain_id", "address").distinct(), ["chain_id", "address"], "left_semi")
-    return rendered(at_marks(deltas, asked).withColumnRenamed("block", "at_block"), amount="balance")
+    return rendered(at_marks(transfers, asked).withColumnRenamed("block", "at_block"), amount="balance")

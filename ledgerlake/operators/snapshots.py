@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from ledgerlake.functions import u256
 from ledgerlake.lineage import cut
-from ledgerlake.operators.ledger import at_marks, block_deltas, by_block, rendered, running_sums, watched
+from ledgerlake.operators.ledger import at_marks, block_deltas, by_block, rendered, running_sums, touched_blocks, watched
 
 EVENTS, BLOCKS = 10_000, 10_000
 KEY = ["chain_id", "address"]
@@ -67,7 +67,7 @@ def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS)
 
 def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
     """Balances of each account at each of its boundaries (chain_id, address, block); boundaries are computed once."""
-    return rendered(at_marks(block_deltas(transfers), cut(at.select(*KEY, "block").distinct())), amount="balance")
+    return rendered(at_marks(transfers, cut(at.select(*KEY, "block").distinct())), amount="balance")
 
 
 def replay(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS, earlier: DataFrame | None = None) -> DataFrame:
@@ -105,7 +105,7 @@ def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataF
     rows = cut(_segments(counts, events, blocks))
     marks = rows.filter("is_boundary").select(*KEY, "block").distinct()
     deltas = block_deltas(facts).join(old.select(*KEY, "__as_of"), KEY, "left").filter(later).drop("__as_of")
-    placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after").select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after", touched_blocks(facts)).select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
     newest = taken.join(taken.groupBy(*KEY).agg(F.max("block").alias("block")), [*KEY, "block"])
     first = marks.groupBy(*KEY).agg(F.min("block").alias("mark"))
     held = newest.join(first, KEY).select(*KEY, "token_address", "mark", u256.parse(F.col("amount")).alias("delta"))
@@ -157,10 +157,11 @@ def at_block(taken: DataFrame, transfers: DataFrame, probes: DataFrame) -> DataF
     edges = taken.select(*KEY, "block", F.col("block").alias("snapshot")).distinct()
     near = cut(by_block(asked, edges, KEY, "before").select(*KEY, "block", F.coalesce("point.snapshot", F.lit(NEVER)).alias("since")))
     span = near.groupBy(*KEY).agg(F.min("since").alias("__low"), F.max("block").alias("__high"))
-    inside = block_deltas(_within(transfers, span)).join(span, KEY).filter("block > __low and block <= __high").drop("__low", "__high")
+    near_facts = _within(transfers, span)
+    inside = block_deltas(near_facts).join(span, KEY).filter("block > __low and block <= __high").drop("__low", "__high")
     marks = near.select(*KEY, "block", "since")
     # probes that start from one snapshot follow each other without another's in between
-    placed = by_block(inside, marks, KEY, "after").filter("block > point.since").select(*KEY, F.col("point.since").alias("since"), "token_address", F.col("point.block").alias("mark"), "delta")
+    placed = by_block(inside, marks, KEY, "after", touched_blocks(near_facts)).filter("block > point.since").select(*KEY, F.col("point.since").alias("since"), "token_address", F.col("point.block").alias("mark"), "delta")
     moved = running_sums(placed, marks.withColumnRenamed("block", "mark"), [*KEY, "since"]).select(*KEY, "token_address", "block", F.col("balance").alias("x"))
     held = near.join(taken.withColumnRenamed("block", "since"), [*KEY, "since"]).select(*KEY, "token_address", "block", u256.parse(F.col("amount")).alias("x"))
     sums = held.unionByName(moved).groupBy(*KEY, "token_address", "block").agg(u256.sum_(F.col("x")).alias("balance"))

@@ -110,7 +110,7 @@ def state_from_snapshots(spark, d):
 
 @query("SELECT CAST(count(*) FILTER (block >= 2000) AS BIGINT) AS invalidated FROM (SELECT DISTINCT chain_id, account, token_address, block FROM v_entries)")
 def invalidated_snapshots(spark, d):
-    """How many rows an invalidation from a block on takes."""
+    """How many rows an invalidation from a block on takes."""
     return snapshots.invalidate(ledger.block_deltas(v.transfers(spark, d)), 2000)[1]
 
 
@@ -149,7 +149,7 @@ def dedup_counts(spark, d):
 
 @query("SELECT tx_hash, log_index, count(*) AS n FROM v_transfers GROUP BY ALL HAVING count(*) > 1")
 def duplicate_keys(spark, d):
-    """Keys that break uniqueness."""
+    """Keys that break uniqueness."""
     return identity.duplicate_keys(v.transfers(spark, d), ["tx_hash", "log_index"])
 
 
@@ -175,7 +175,7 @@ def ledger_union(spark, d):
 @query("""SELECT tx_hash, address, direction, CAST(amount AS VARCHAR) AS amount FROM (SELECT tx_hash, log_index, to_address AS address, 'incoming' AS direction, amount, block FROM v_transfers
 UNION ALL SELECT tx_hash, log_index, from_address, 'outgoing', amount, block FROM v_transfers WHERE from_address <> to_address) WHERE block BETWEEN 100 AND 900 AND address IN ('s1', 's2', 'c3', 'c4')""")
 def account_listing(spark, d):
-    """Transfers of a set of accounts in a block range, with direction."""
+    """Transfers of a set of accounts in a block range, with direction."""
     t = selection.in_blocks(v.transfers(spark, d), 100, 900)
     asked = spark.createDataFrame([(1, a) for a in ("s1", "s2", "c3", "c4")], "chain_id bigint, address string")
     return selection.for_accounts(ledger.watched(t), asked).select("tx_hash", "address", selection.direction().alias("direction"), "amount")
@@ -252,7 +252,7 @@ def window_tiles(spark, d):
 @query("""SELECT CAST(sum(n) AS BIGINT) AS windows, CAST((SELECT sum(c - 1) FROM (SELECT count(*) AS c FROM v_transfers GROUP BY tx_hash, log_index)) AS BIGINT) AS duplicates_removed, max(n) FILTER (provider = 'external') AS external, max(n) FILTER (provider = 'own') AS own
 FROM (SELECT ingestion_source AS provider, count(*) AS n FROM v_transfers GROUP BY ALL)""")
 def scan_stats(spark, d):
-    """A8, A7."""
+    """A8."""
     t = v.transfers(spark, d)
     got = selection.scan_stats(t.withColumn("provider", F.col("ingestion_source")), identity.removed_count(t, ["tx_hash", "log_index"]))
     m = F.col("windows_by_provider")
@@ -310,7 +310,7 @@ def missing_days(spark, d):
 @query("""SELECT token_key, 'x' AS exchange, CAST(count(*) AS BIGINT) AS points, CAST(count(*) FILTER (day >= DATE '2024-01-20') AS BIGINT) AS open_candles, min(day) AS from_day, max(day) AS to_day, CAST(36 - count(*) AS BIGINT) AS missing, count(*) < 36 AS partial
 FROM (SELECT token_key, CAST(ts AS DATE) AS day FROM v_prices GROUP BY ALL) WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-02-09' GROUP BY token_key""")
 def daily_history(spark, d):
-    """Daily candles, the last of a day, with what is missing or unfinished."""
+    """Daily candles, the last of a day, with what is missing or unfinished."""
     p = v.prices(spark, d).withColumn("day", F.to_date("ts"))
     asked = p.select("token_key").distinct().select("token_key", F.lit("2024-01-05").cast("date").alias("first_day"), F.lit("2024-02-09").cast("date").alias("last_day"))
     return px.daily_history(p, asked, F.lit("2024-01-20").cast("date")).drop("first_day", "last_day")
@@ -325,13 +325,13 @@ def hourly_closes(spark, d):
 
 @query("SELECT token_key, count(*) AS points, min(ts) AS from_ts, max(ts) AS to_ts FROM v_prices GROUP BY token_key")
 def price_coverage(spark, d):
-    """A11, M8."""
+    """A11."""
     return px.coverage(v.prices(spark, d)).select("token_key", "points", "from_ts", "to_ts")
 
 
 @query("""SELECT token_key, CAST(sum(price) AS BIGINT) AS total, count(*) AS points, max(CASE WHEN ts < TIMESTAMP '2024-01-20' THEN ts END) AS last_ts FROM v_prices WHERE ts < TIMESTAMP '2024-01-20' GROUP BY token_key""")
 def price_update(spark, d):
-    """A resumed price sync gives the same table as one that ran through."""
+    """A resumed price sync gives the same table as one that ran through."""
     p = v.prices(spark, d).withColumn("ordinal", F.lit(0).cast("bigint"))
     start, end = (F.lit(f"2024-01-{k} 00:00:00").cast("timestamp") for k in ("10", "20"))
     scopes = p.select(*px.SCOPE).distinct().withColumn("next_from", start).withColumn("to_ts", end)
@@ -342,7 +342,7 @@ def price_update(spark, d):
 @query("""SELECT c_custkey AS request, chunk, CAST(first_day + CAST(chunk * 90 AS INTEGER) AS DATE) AS chunk_first, least(CAST(first_day + CAST(chunk * 90 + 89 AS INTEGER) AS DATE), DATE '2024-12-31') AS chunk_last
 FROM (SELECT c_custkey, CAST(DATE '2024-01-01' + CAST(c_custkey % 300 AS INTEGER) AS DATE) AS first_day FROM customer), range(5) t(chunk) WHERE first_day + CAST(chunk * 90 AS INTEGER) <= DATE '2024-12-31'""")
 def chunk_plan(spark, d):
-    """Long day ranges cut into chunks."""
+    """Long day ranges cut into chunks."""
     c = v.table(spark, d, "customer").select(F.col("c_custkey").alias("token_key"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int")).alias("first_day"), F.lit("2024-12-31").cast("date").alias("last_day"))
     return px.plan_chunks(c, 90).select(F.col("token_key").alias("request"), F.col("chunk").cast("bigint").alias("chunk"), "chunk_first", "chunk_last")
 
@@ -376,7 +376,7 @@ def _collections(spark, d):
 
 @query("SELECT CAST(0 AS BIGINT) AS written, count(*) AS duplicates FROM (SELECT DISTINCT tx_hash, log_index, token_address FROM v_transfers WHERE block BETWEEN 1000 AND 1500)")
 def upsert_counts(spark, d):
-    """A second collection of what is there writes nothing."""
+    """A second collection of what is there writes nothing."""
     t, _, _ = _collections(spark, d)
     return maintenance.upsert_counts(t, t.filter("block between 1000 and 1500"))
 
@@ -446,7 +446,7 @@ def all_interest_settlement(spark, d):
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS tx_hash, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS VARCHAR) AS block_number, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS value, o_orderdate AS ts,
 CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'reverted' ELSE 'unknown' END AS status FROM orders""")
 def explorer_payloads(spark, d):
-    """Landed explorer documents as normalised transactions."""
+    """Landed explorer documents as normalised transactions."""
     o = v.table(spark, d, "orders")
     r = F.struct(F.concat(F.lit("000"), F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date"))).alias("blockNumber"), F.unix_timestamp("o_orderdate").cast("string").alias("timeStamp"), F.col("o_orderkey").cast("string").alias("hash"), F.concat(F.lit("00"), F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("value"), F.when(F.col("o_orderstatus") == "F", "0").when(F.col("o_orderstatus") == "P", "1").alias("isError"))
     body = o.select(F.lit(1).cast("bigint").alias("chain_id"), F.to_json(F.struct(F.lit("1").alias("status"), F.lit("OK").alias("message"), F.array(r).alias("result"))).alias("body"))
@@ -475,7 +475,7 @@ def cursor_payloads(spark, d):
 
 @query("SELECT event_type AS token_key, CAST(date_trunc('day', ts) AS DATE) AS day, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS close, event_id % 2 = 1 AS is_final FROM events WHERE round(value * 100) > 0")
 def candle_payloads(spark, d):
-    """Candle arrays of several layouts as price points."""
+    """Candle arrays as price points, with their own word on what is final."""
     e = v.table(spark, d, "events")
     price = F.round(F.col("value") * 100).cast("bigint").cast("string")
     ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
@@ -543,7 +543,7 @@ def exchange_rates(spark, d):
 
 @query()
 def pool_prices(spark, d):
-    """Spot and tick price of a pool at every order's block, exact to 18 digits."""
+    """Spot and tick price of a pool at every order's block, exact to 18 digits."""
     o = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("block"), F.round(F.col("o_totalprice")).cast("bigint").alias("p"), F.lit(1).cast("bigint").alias("chain_id"))
     word = lambda c: F.lpad(F.lower(F.hex(c)), 64, "0")
     data = F.concat(F.lit("0x"), F.lpad(F.concat(F.lower(F.hex(F.col("p"))), F.lit("0" * 20)), 64, "0"), word(F.col("p") % 800000), *[word(F.lit(0))] * 5)
@@ -594,7 +594,7 @@ def call_plan(spark, d):
 
 @query("SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 1 THEN '0' ELSE CAST(c_custkey AS VARCHAR) END AS amount FROM customer WHERE c_custkey % 4 <> 2")
 def balances_of(spark, d):
-    """Asked tokens, absent or empty is zero, reverted is left out."""
+    """Asked tokens, absent or empty is zero, reverted is left out."""
     c = v.table(spark, d, "customer").select(F.lit(1).alias("chain_id"), F.lit(1).alias("block"), F.lit("a").alias("address"), F.col("c_custkey").cast("string").alias("token_address"), F.col("c_custkey").alias("k"))
     r = c.filter("k % 4 <> 1").select("chain_id", "block", "address", "token_address", (F.col("k") % 4 != 2).alias("success"), F.concat(F.lit("0x"), F.lpad(F.hex("k"), 64, "0")).alias("return_data"))
     return atblock.balances_of(c.drop("k"), r).select(F.col("token_address").cast("bigint").alias("id"), "amount")

@@ -114,3 +114,45 @@ def test_chains_and_pools(spark):
     assert faults["1"] == faults["2"] == {"DUPLICATE_POOL"} and faults["8"] == {"ADDRESS"} and "ID" in faults["Bad Id"]
     assert "SIDES" in faults["3"] and "SIDES" in faults["4"] and "METADATA" in faults["5"] and "DUPLICATE_ID" in faults["7"]
     assert {r.status for r in prices.request_summary(found.withColumn("code", F.lit(None).cast("string"))).collect()} == {"ok"}
+
+
+def test_as_of_carries_points_between_buckets(spark):
+    """Against a search of all points, for one key in many buckets, empty ones and ties included."""
+    import random
+
+    from ledgerlake.operators.asof import as_of
+
+    rng = random.Random(4)
+    pts = [(k, rng.randrange(0, 3000), rng.randrange(9)) for k in "ab" for _ in range(40)] + [("a", 10**6, 1)]
+    ask = [(k, rng.randrange(-50, 4000), i) for i, k in enumerate("ab" * 100 + "c")]
+    points = spark.createDataFrame(pts, "k string, at bigint, v int")
+    probes = spark.createDataFrame(ask, "k string, at bigint, r int")
+    for mode, far in (("before", None), ("after", None), ("nearest", None), ("nearest", 20)):
+        got = {r.r: (r.point.at, r.point.v) if r.point else None for r in as_of(probes, points, ["k"], mode, far, "at", F.col("at"), 100, 1).collect()}
+        for k, at, r in ask:
+            before = max(((p, v) for q, p, v in pts if q == k and p <= at), default=None)
+            after = max(((p, v) for q, p, v in pts if q == k and p == min((x for y, x, _ in pts if y == k and x >= at), default=None)), default=None)
+            best = before if mode == "before" else after if mode == "after" else before if after is None or before and at - before[0] <= after[0] - at else after
+            if far is not None and best and abs(best[0] - at) > far:
+                best = None
+            assert got[r] == best, (mode, k, at)
+
+
+def test_gas_fee_beyond_one_decimal(spark):
+    from ledgerlake.functions import scalars as s
+
+    rows = spark.createDataFrame([("21000", "1" + "0" * 22), ("9" * 40, "7" * 40), (None, "1"), ("5", "4")], "u string, p string")
+    want = [str(21000 * 10**22), str(int("9" * 40) * int("7" * 40)), None, "20"]
+    assert [r.f for r in rows.select(s.gas_fee(F.col("u"), F.col("p")).alias("f")).collect()] == want
+
+
+def test_closed_range_fails_as_a_whole(spark):
+    import pytest
+
+    from ledgerlake.operators import selection
+
+    rows = spark.createDataFrame([(1, "a", "x", 5, "p", 0), (1, "a", "x", 5, "p", 1), (1, "a", "y", 50, "p", 0)], "chain_id bigint, address string, tx_hash string, block bigint, provider string, transaction_index int")
+    asked = spark.createDataFrame([(1, "a")], "chain_id bigint, address string")
+    assert selection.closed_range("transactions", rows.filter("block < 9"), asked, 1, "p", 1, 9, ["transaction_index"]).count() == 1
+    with pytest.raises(ValueError, match="RANGE"):
+        selection.closed_range("transactions", rows, asked, 1, "p", 1, 9, ["transaction_index"])

@@ -64,3 +64,44 @@ def test_running_balances(spark, tmp_path):
     assert {(r.address, r.v) for r in got} == {(A, "11"), (B, "-11")}
     asked = ingest.replay_requests(transfers(spark, [("x", 0, 4, B, A, 1), ("y", 0, 9, B, A, 1)])).first()
     assert (asked.from_block, asked.to_block) == (4, 9)
+
+
+def test_buckets_that_are_not_touched_stay(spark, tmp_path):
+    sink = ingest.overlap_sink(str(tmp_path / "table"), "own")
+    rows = lambda xs: transfers(spark, xs).withColumn("identity", F.col("tx_hash"))
+    sink(rows([("a", 0, 5, B, A, 1), ("b", 0, ingest.WIDTH + 5, B, A, 2)]), 0)
+    sink(rows([("c", 0, 6, B, A, 3)]), 1)
+    newest = {r.bucket: r.v for r in sink.versions(spark).collect()}
+    assert newest == {"1-0": 1, "1-1": 0}
+    sink(rows([]), 2, spark.createDataFrame([(1, A, 0, 10)], "chain_id bigint, address string, start bigint, end bigint"))
+    assert [r.identity for r in sink.read(spark).collect()] == ["b"]
+    assert sorted(r.identity for r in sink.read(spark, before=2).collect()) == ["a", "b", "c"]
+
+
+def test_price_sink(spark, tmp_path):
+    sink = ingest.price_sink(str(tmp_path / "prices"))
+    row = lambda ts, price: ("t", "x", "spot", "USD", "1m", ts, price)
+    rows = lambda xs: spark.createDataFrame(xs, "token_key string, exchange string, market string, quote string, interval string, ts string, price int").withColumn("ts", F.col("ts").cast("timestamp"))
+    sink(rows([row("2024-01-01 00:00:00", 1), row("2024-01-02 00:00:00", 2)]), 0)
+    sink(rows([row("2024-01-02 00:00:00", 3), row("2024-01-02 00:01:00", 4)]), 1)
+    assert sorted(r.price for r in sink.read(spark).collect()) == [1, 3, 4]
+
+
+def test_blocks_are_published_when_complete(spark, tmp_path):
+    schema = spark.createDataFrame([], TRANSFER + ", identity string, ts timestamp").schema
+    late = {"ts": "2024-01-01T01:00:00Z"}
+    land(tmp_path / "in", "1.json", [fact("x", 1, 5), fact("y", 1, 6), fact("z", 9, 7) | late])
+    stream = ingest.landing(spark, str(tmp_path / "in"), schema)
+    for name, rows in (("net", ingest.published_balances(stream)), ("sums", ingest.complete_blocks(ingest.landing(spark, str(tmp_path / "in"), schema)))):
+        q = rows.writeStream.format("memory").queryName(name).outputMode("append").start()
+        q.processAllAvailable()
+        q.stop()
+    assert {(r.address, r.block, int(r.lo)) for r in spark.table("net").collect()} == {(A, 1, 11), (B, 1, -11)}
+    assert [(r.block, r.transfers, int(r.lo)) for r in spark.table("sums").collect()] == [(1, 2, 11)]
+
+
+def test_monitor_looks_at_touched_scopes(spark):
+    rows = transfers(spark, [("x", 0, 4, B, A, 1), ("y", 0, 9, B, A, 1)]).withColumn("identity", F.col("tx_hash"))
+    scopes = spark.createDataFrame([(1, A, 10, 9), (1, B, 5, 4)], "chain_id bigint, address string, next_block bigint, last_complete_block bigint")
+    got = ingest.monitor(scopes, rows, rows.limit(1)).collect()
+    assert [(r.address, r.facts, r.gaps, r.status) for r in got] == [(A, 2, 1, "attention")]
