@@ -1,8 +1,8 @@
 """Line deduplication over content-defined chunks of lines.
 
-Long lines are broken at sentence ends. The hashes of lines choose the boundaries, so an inserted line moves those
-around it and no others: a line long enough to be removed is a chunk of its own, shorter ones are gathered. Chunks that
-occur more than once anywhere are removed but for their first occurrence, after their bytes were compared.
+Long lines are broken at sentence ends. Lengths and hashes of lines choose the boundaries, so an inserted line moves
+those around it and no others: short lines are gathered until a chunk is long enough to be removed. Chunks that occur
+more than once anywhere are removed but for their first occurrence, after their bytes were compared.
 """
 
 from __future__ import annotations
@@ -61,24 +61,27 @@ class Lines:
         far = np.cumsum(size + 1)
         alone = size >= MIN_BYTES
         last = np.r_[self.text[1:] != self.text[:-1], True] if len(size) else np.zeros(0, bool)
-        must = alone | last | np.r_[alone[1:], True][: len(size)]
-        may, low = must.copy(), np.flatnonzero(~must)
+        may, low = alone | last, np.flatnonzero(~(alone | last))
         h = np.array([xxhash.xxh3_64_intdigest(self.buffer[a:b]) for a, b in zip(self.start[low].tolist(), self.stop[low].tolist(), strict=True)], np.uint64)
         may[low] = (h ^ h >> np.uint64(29)) % np.uint64(MEAN) == 0
         may = np.flatnonzero(may)
-        out, line, at = [], 0, 0
-        for i, end, sure in zip(may.tolist(), far[may].tolist(), must[may].tolist(), strict=True):
-            if sure or end - at > MIN_BYTES:
+        out, line, at, fresh = [], 0, 0, True
+        for i, end, ends in zip(may.tolist(), far[may].tolist(), last[may].tolist(), strict=True):
+            if end - at > MIN_BYTES or (ends and fresh):
                 out.append((line, i + 1, end - at - 1))
-                line, at = i + 1, end
+            elif ends:  # what is left of a text goes with the chunk before
+                out[-1] = (out[-1][0], i + 1, out[-1][2] + end - at)
+            else:
+                continue
+            line, at, fresh = i + 1, end, ends
         return out
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
     """First line, line after the last, and bytes of each chunk of a text.
 
-    A line of MIN_BYTES is a chunk. Shorter ones between such lines are cut after a line whose hash is divisible by
-    MEAN, once MIN_BYTES are together.
+    A chunk has MIN_BYTES, if the text has so many. It ends after a line that is so long by itself, or after a shorter one
+    whose hash is divisible by MEAN; what is left at the end of a text goes with its last chunk.
     """
     return Lines.of([text]).chunks()
 
@@ -211,9 +214,8 @@ def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """docs with repeated chunks of lines removed but for their first occurrence. All columns are kept, in order.
 
-    Lines end at ``\\n`` and after sentences. A chunk is a line of MIN_BYTES or more, or several shorter ones that have so
-    many together; what is shorter stays, however often it occurs. A passage that differs in a word keeps the lines
-    around that word only where they are not repeated.
+    Lines end at ``\\n`` and after sentences. A chunk has MIN_BYTES at least, in one line or several; shorter texts
+    stay, however often they occur. Where a passage differs in a word, the chunk with that word stays.
     n_chars, if there, is counted anew where a text changed. A document of which nothing is left is removed; one that
     was null or empty before stays. Rows that repeat both id and text are one document and are cut alike. An empty
     table gives an empty result.
