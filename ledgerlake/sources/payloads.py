@@ -16,7 +16,7 @@ EXPLORER = {
     "transactions": TEXT("blockNumber", "timeStamp", "hash", "nonce", "blockHash", "transactionIndex", "from", "to", "value", "gas", "gasUsed", "gasPrice", "input", "isError", "txreceipt_status"),
     "transfers": TEXT("blockNumber", "timeStamp", "hash", "transactionHash", "transactionIndex", "logIndex", "from", "to", "contractAddress", "value", "tokenName", "tokenSymbol", "tokenDecimal"),
     "internals": TEXT("hash", "traceId", "blockNumber", "timeStamp", "from", "to", "value", "type", "isError"),
-    "withdrawals": TEXT("withdrawalIndex", "validatorIndex", "blockNumber", "timestamp", "timeStamp", "blockTimestamp", "address", "amount"),
+    "withdrawals": TEXT("withdrawalIndex", "validatorIndex", "blockNumber", "timestamp", "time_stamp", "blockTimestamp", "address", "amount"),
     "holdings": TEXT("TokenAddress", "TokenName", "TokenSymbol", "TokenDivisor", "TokenQuantity"),
 }
 CURSOR_TRANSACTION = TEXT("hash", "nonce", "transaction_index", "from_address", "to_address", "value", "gas", "gas_price", "input", "receipt_gas_used", "receipt_status", "block_timestamp", "block_number", "block_hash")
@@ -47,7 +47,9 @@ def triage(envelopes: DataFrame, kind: str = "transactions") -> DataFrame:
 def rows_of(envelopes: DataFrame, kind: str) -> DataFrame:
     """ordinal and r, the typed records of envelopes that are ok; all other columns stay."""
     ok = triage(envelopes, kind).filter("outcome = 'ok'").drop("outcome", "body")
-    typed = ok.withColumn("__rows", F.from_json("result", f"array<{EXPLORER[kind]}>")).drop("result")
+    # two fields of withdrawals differ only in case, which column names do not tell apart
+    text = F.regexp_replace("result", r'"timeStamp"\s*:', '"time_stamp":') if kind == "withdrawals" else F.col("result")
+    typed = ok.withColumn("__rows", F.from_json(text, f"array<{EXPLORER[kind]}>")).drop("result")
     return typed.select(*[c for c in typed.columns if c != "__rows"], F.posexplode("__rows").alias("ordinal", "r"))
 
 
@@ -71,7 +73,7 @@ def explorer_internals(rows: DataFrame, provider: str) -> DataFrame:
 def explorer_withdrawals(rows: DataFrame, provider: str) -> DataFrame:
     """Beacon withdrawals in Gwei; chain 1 only."""
     r = lambda c: F.col(f"r.{c}")
-    when = F.coalesce(r("timestamp"), r("timeStamp"), r("blockTimestamp"))
+    when = F.coalesce(r("timestamp"), r("time_stamp"), r("blockTimestamp"))
     return _with_block(rows.filter("chain_id = 1").select("chain_id", s.canonical_decimal(r("withdrawalIndex")).alias("withdrawal_index"), s.nullable_decimal(r("validatorIndex")).alias("validator_index"), s.canonical_decimal(r("blockNumber")).alias("block_number"), s.epoch_seconds(when).alias("ts"), s.nullable_lower(r("address")).alias("address"), s.canonical_decimal(r("amount")).alias("amount"), F.lit(9).alias("amount_decimals"), F.lit(provider).alias("provider"), "ordinal"))
 
 
