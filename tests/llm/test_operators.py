@@ -378,3 +378,68 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
+
+
+def test_null_ids_and_repeated_rows_everywhere(spark, odd_texts):
+    """Every operator returns a row for each row, whatever the ids; equal texts get equal results."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [*odd_texts, "plain words " * 30]
+    docs = table(spark, texts * 2, [None] * len(texts) + [3] * len(texts))
+    labels = spark.createDataFrame([(None, 1, 1, "x"), (3, 0, 1, "y"), (3, 1, 0, "y")], "doc_id bigint, quality int, toxic int, text string")
+    items = spark.createDataFrame([(1, texts[4][:90])], "item_id bigint, text string")
+    results = {
+        "decontaminate": decontam.report(decontam.find(docs, items)).select("doc_id", "n_words", "n_hit"),
+        "rules": quality_rules.judge(docs).select("doc_id", "n_words", "kept"),
+        "lines": line_dedup.report(docs).select("doc_id", "n_lines", "n_removed"),
+        "quality": quality_model.classify(docs, labels).select("doc_id", "score", "predicted"),
+        "toxicity": toxicity.classify(docs, labels).select("doc_id", "p_toxic", "toxic"),
+        "language": langid.identify(docs).select("doc_id", "lang_pred", "score"),
+        "bpe": bpe.digests(bpe.encode_decode(docs, path)).select("doc_id", "n_tokens", "ids_sha256"),
+        "simhash": simhash.report(simhash.near_duplicates(docs)).select("doc_id", "fingerprint", "component_id"),
+    }
+    for name, df in results.items():
+        rows = [tuple(r) for r in df.collect()]
+        assert len(rows) == 2 * len(texts), name
+        assert sum(r[0] is None for r in rows) == len(texts), name
+        if name not in ("lines",):
+            assert sorted(map(repr, (r[1:] for r in rows if r[0] is None))) == sorted(map(repr, (r[1:] for r in rows if r[0] == 3))), name
+
+
+def test_quality_rules_with_long_texts_and_ties(spark):
+    """Words that are equally common share the last places among the commonest without changing from run to run."""
+    rng = random.Random(31)
+    words = [f"w{i:02d}" for i in range(60)]  # all equally common
+    texts = [" ".join(rng.sample(words, 60) * 2) for _ in range(30)] + [" ".join(rng.choice(words) for _ in range(40000))]
+    one, two = (sorted(map(repr, quality_rules.judge(table(spark, texts)).repartition(n).collect())) for n in (1, 3))
+    assert one == two and len(one) == len(texts)
+
+
+def test_labels_that_disagree_or_clash(spark):
+    docs = table(spark, [prose(random.Random(i), 80) for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0, "t", "en") for i in range(40)] + [(1, 0, 1, "t", "en"), (1, 1, 0, "u", None)], "doc_id bigint, quality int, toxic int, text string, lang string")
+    got = toxicity.classify(docs, labels).collect()
+    assert len(got) == 40 and {r.doc_id: r.p_toxic for r in toxicity.classify(docs, labels.orderBy("text", "toxic")).collect()} == {r.doc_id: r.p_toxic for r in got}
+    assert quality_model.classify(docs, labels).count() == 40
+
+
+def test_a_chain_is_its_links_in_turn():
+    """Against sums written out, one row and one feature at a time."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    links = [toxicity.Linear(rng.normal(size=k + 6), float(rng.normal())) for k in range(3)]
+    chain = toxicity.Chain([bytes([97 + i]) for i in range(6)], links)
+    places = [sorted({int(c) for c in rng.integers(0, 6, n)}) for n in (0, 1, 3, 6)]
+    for row, got in zip(places, chain.predict(places), strict=True):
+        earlier = []
+        for link in links:
+            z = link.bias + sum(link.weight[j] * p for j, p in enumerate(earlier)) + sum(link.weight[len(earlier) + c] for c in row)
+            earlier.append(1 / (1 + math.exp(-z)))
+        assert np.allclose(got, earlier)
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    assert components(spark.createDataFrame([(1, 1)], "a bigint, b bigint")).count() == 0
