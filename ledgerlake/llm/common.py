@@ -6,13 +6,14 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.lineage import shared_dir
 
-#: Rows of an Arrow batch that are worked on at once; bounds the output held by a task.
-SLICE = 1000
+#: Rows of an Arrow batch that are worked on at once, and their bytes (unless it is one row); bounds what a task holds.
+SLICE, SLICE_BYTES = 1000, 16_000_000
 #: Rows of one key from which it is joined apart, and such keys that are broadcast at most (some 100 bytes each).
 HOT, MOST_HOT = 1000, 100_000
 #: Spark's setting that removes a query's shuffle files when it ends.
@@ -78,13 +79,35 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: list[str], count: str)
     return rows.join(F.broadcast(few), key).unionByName(rest)
 
 
+def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of at most ``rows`` rows and, where they have several, SLICE_BYTES."""
+    for at in range(0, batch.num_rows, rows):
+        piece = batch.slice(at, rows)
+        while piece.num_rows > 1 and piece.nbytes > SLICE_BYTES:
+            half = piece.num_rows // 2
+            while half > 1 and piece.slice(0, half).nbytes > SLICE_BYTES:
+                half //= 2
+            yield piece.slice(0, half)
+            piece = piece.slice(half)
+        yield piece
+
+
+def shards(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a task in shards of at most ``rows``, each with a number that no other shard of the job has."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for piece in slices(batch, rows):
+            yield number, piece
+            number += 1
+
+
 def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = SLICE) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows."""
+    """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows, bounded in bytes too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                out = work(batch.slice(at, rows))
+            for piece in slices(batch, rows):
+                out = work(piece)
                 if out is not None:
                     yield out
 

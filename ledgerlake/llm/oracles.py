@@ -59,3 +59,22 @@ base AS (SELECT m2.*, coalesce(rep.n, 0) AS again, m2.n < 50 OR 100 * coalesce(r
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(chars - blank AS BIGINT) AS word_chars, CAST(symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
   CAST(again AS BIGINT) AS n_repeat_words, base_failed, NOT (base_failed OR coalesce(chars >= {q.MIN_CHARS} AND class_distance > {q.MAX_CLASS_DISTANCE}, false) OR coalesce(n >= {q.MIN_WORDS} AND word_distance > {q.MAX_WORD_DISTANCE}, false)) AS kept
 FROM base LEFT JOIN far USING (doc_id)"""
+
+LEXICAL_SEARCH = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+q AS (SELECT item_id, row_number() OVER () AS k, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM u),
+s AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS wt FROM tf, s GROUP BY t, n),
+m AS (SELECT r, doc_id, 25 + (75 * len(w) * n) // l AS m FROM d, s WHERE len(w) > 0),
+score AS (SELECT k, item_id, r, doc_id, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN tf USING (t) JOIN wt USING (t) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score WHERE score > 0) WHERE rank <= 10"""
+
+VECTOR_SEARCH = """
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 100 = 0 AND q.r <> c.r)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s) WHERE rank <= 10"""

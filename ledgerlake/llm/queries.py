@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, langid, line_dedup, oracles, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, toxicity
+from ledgerlake.llm import bpe, decontam, langid, lexical_search, line_dedup, oracles, quality_model, quality_rules, run_detection, simhash, substring_dedup, suffix_dedup, threshold_search, toxicity
 from ledgerlake.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,9 +57,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_detection.detect(read(spark, sf_dir, "documents"), plant=True, texts=False)
+
+
+def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_search.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op3_line_dedup, op4_quality, op5_toxicity, op6_language, op7_suffix_dedup, op8_substring_dedup, op9_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_divergence, op3_line_dedup, op4_quality, op5_toxicity, op6_language, op7_suffix_dedup, op8_substring_dedup, op9_bpe, op10_simhash, op11_lexical_search, op12_runs, op13_vector_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": oracles.DECONTAMINATE, "op2_divergence": oracles.DIVERGENCE, "op8_substring_dedup": oracles.SUBSTRING_DEDUP}
+    return {"op1_decontaminate": oracles.DECONTAMINATE, "op2_divergence": oracles.DIVERGENCE, "op8_substring_dedup": oracles.SUBSTRING_DEDUP, "op11_lexical_search": oracles.LEXICAL_SEARCH, "op13_vector_search": oracles.VECTOR_SEARCH}

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -145,3 +148,67 @@ def without_lines(text: str, cut: list[tuple[int, int]]) -> tuple[str, int, int]
     if cut and len(lines) - 1 in gone:
         out = out.removesuffix("\n")
     return out, len(lines), len(gone)
+
+
+def bench_terms(text: bytes) -> list[bytes]:
+    return BENCH_WORD.findall(ascii_lower(text))
+
+
+def ranked(docs: list[tuple[int | None, str | None]], items: list[tuple[int | None, str | None]], k: int = 10) -> list[tuple]:
+    """item_id, rank, doc_id and score of the k best documents for each item, every document scored."""
+    split = [(d, Counter(bench_terms((t or "").encode()))) for d, t in docs]
+    n, length = sum(bool(c) for _, c in split), sum(c.total() for _, c in split)
+    df = Counter(t for _, c in split for t in c)
+    out = []
+    for name, text in set(items):
+        asked = bench_terms((text or "").encode())
+        found = []
+        for d, c in split:
+            m = 100 - 75 + 75 * c.total() * n // max(1, length)
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (1000000000 * c[t] // (1000 * c[t] + 8 * m)) for t in asked if c[t])
+            if score > 0:
+                found.append((-score, d is None, d))
+        out += [(name, i + 1, d, -s) for i, (s, _, d) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k])]
+    return out
+
+
+def nearest(rows: list[tuple[int | None, list | None]], k: int = 10, each: int = 100) -> list[tuple]:
+    """query_id, rank, vec_id and score: every inner product of scaled vectors."""
+    good = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, v) in enumerate(good):
+        if i is not None and i % each == 0:
+            found = sorted((-sum(x * y for x, y in zip(v, w, strict=False)), j is None, j or 0) for b, (j, w) in enumerate(good) if a != b)
+            out += [(i, r + 1, None if none else j, -s) for r, (s, none, j) in enumerate(found[:k])]
+    return out
+
+
+def word_runs(words: list, least: int = 24, periods: int = 3) -> list[tuple[int, int, int]]:
+    """start, length and smallest period of every run, each period in turn."""
+    out, seen = [], set()
+    for q in range(1, len(words) // periods + 1):
+        at = 0
+        while at + q < len(words):
+            end = at
+            while end + q < len(words) and words[end] == words[end + q]:
+                end += 1
+            if end - at + q >= max(least, periods * q) and (at, end + q) not in seen:
+                seen.add((at, end + q))
+                out.append((at, end + q - at, q))
+            at = end + 1
+    return sorted(out)
+
+
+def run_row(doc_id: int | None, text: str | None) -> tuple:
+    """What a text's runs are, after one text in ten was made periodic."""
+    words = BLANK_WORD.findall((text or "").encode())
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and n and h % 10 == 0:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = word_runs(words)
+    gone = {i for s, m, q in found for i in range(s + q, s + m)}
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
+    return (len(found), *best, None if best[0] is None else 1000 * best[1] // best[2], sha("".join(f"{s},{m},{q}\n" for s, m, q in found).encode()), sha(b" ".join(w for i, w in enumerate(words) if i not in gone)))
