@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.commits import CommitLog
 from ledgerlake.operators.identity import last_wins
 from ledgerlake.operators.selection import gaps
 
 OVERLAP = 12
 KEY = ["chain_id", "address", "identity"]
+#: Blocks of a bucket of facts, and buckets of scopes.
+WIDTH, SCOPE_BUCKETS = 100_000, 64
 
 
 def plan_windows(scopes: DataFrame, window: int, overlap: int = OVERLAP) -> DataFrame:
@@ -76,6 +79,36 @@ def commit(scopes: DataFrame, done: DataFrame) -> DataFrame:
     return rows.withColumn("next_block", F.greatest("next_block", F.col("__end") + 1)).withColumn("last_complete_block", F.greatest("last_complete_block", "__end")).drop("__end")
 
 
+SCOPES = "chain_id bigint, address string, next_block bigint, target_block bigint, last_complete_block bigint, status string"
+
+
+def commit_windows(log: CommitLog, fresh: DataFrame, windows: DataFrame, source: str, run_id: str, bucket: Column) -> int:
+    """A run's facts, its scopes' cursors, and a row for each window and for the run, in one commit; the new version.
+
+    log: tables facts, scopes, windows and runs. windows: chain_id, address, start, end, target_block; the own facts that
+    they held before are replaced by ``fresh``, others stay. Whatever fails before the last step leaves the old state of
+    all four; Conflict where another run was committed since.
+    """
+    now = log.snapshot()
+    scope = F.pmod(F.xxhash64("chain_id", "address"), F.lit(SCOPE_BUCKETS)).cast("string")
+    names = lambda rows, c: {r[0] for r in rows.select(c.cast("string")).distinct().collect()}  # noqa: E731  of buckets
+    span = windows.select("chain_id", F.explode(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH))).alias("k")).select("chain_id", (F.col("k") * WIDTH).alias("block"))
+    touched, near = names(span, bucket), names(windows, scope)
+    old = log.read("facts", now, touched)
+    facts = replace_overlap(old.select(*fresh.columns) if old is not None else fresh.limit(0), fresh, windows, source)
+    held = log.read("scopes", now, near)
+    held = windows.sparkSession.createDataFrame([], SCOPES) if held is None else held
+    asked = windows.groupBy("chain_id", "address").agg(F.max("target_block").alias("__target"))
+    both = held.join(asked, ["chain_id", "address"], "full")
+    scopes = commit(both.withColumn("target_block", F.coalesce("__target", "target_block")).drop("__target"), windows).withColumn("status", F.coalesce(F.when(F.col("next_block") > F.col("target_block"), "idle"), F.lit("behind"))).select(*held.columns)
+    told = windows.select("chain_id", "address", "start", "end", F.lit(run_id).alias("run_id"))
+    runs = run_rows(windows, run_id).join(fresh.groupBy("chain_id", "address").agg(F.count("*").alias("records")), ["chain_id", "address"], "left")
+    day = F.lit("all")
+    written = {"facts": (facts.schema, dict.fromkeys(touched, []) | log.write("facts", facts, bucket)), "scopes": (scopes.schema, log.write("scopes", scopes, scope))}
+    added = {"windows": (told.schema, log.write("windows", told, day)), "runs": (runs.schema, log.write("runs", runs, day))}
+    return log.commit(now, written, added)
+
+
 def status(requests: DataFrame, scopes: DataFrame, key: list[str]) -> DataFrame:
     """Control row of each scope asked for, each request once; columns are null where a scope was never synced."""
     return requests.select(*key).distinct().join(scopes, key, "left")

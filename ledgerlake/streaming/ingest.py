@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlake.functions import u256
 from ledgerlake.operators import maintenance
+from ledgerlake.operators.commits import CommitLog, Conflict
 from ledgerlake.operators.ledger import watched
 from ledgerlake.operators.prices import SCOPE
 
@@ -26,7 +28,9 @@ def run_available(stream: DataFrame, work: Callable[[DataFrame, int], None], che
 
 
 #: Blocks of one chain that a bucket of a table holds.
-WIDTH = 100_000
+WIDTH = maintenance.WIDTH
+#: How often a batch is merged anew where another writer came first.
+TRIES = 5
 
 
 def block_bucket() -> Column:
@@ -36,53 +40,56 @@ def block_bucket() -> Column:
 class FactSink:
     """Keyed upserts of micro-batches into a table in buckets, of which a batch rewrites those that it touches.
 
-    A batch writes each bucket it touches anew under its own id, and then, last, the list of those buckets; readers take
-    the newest listed version of every bucket. A batch that runs again after a failure writes the same versions from the
-    same older ones and changes nothing twice; what a failed one left behind is not listed and not read. Facts are
-    merged within their bucket, so an identity that moves between buckets needs its old window collected anew.
+    Each batch is one commit of a :class:`commits.CommitLog`, whose versions grow on their own; with it goes the batch's
+    id, and a batch that its stream applied before changes nothing, whichever streams write the table. A stream is told by Spark's
+    query id, which stays the same over restarts from a checkpoint; calls from outside a stream are told by ``query``, or
+    else by the sink. Of two writers that meet, one merges anew. Facts are merged within their bucket, so an identity that
+    moves between buckets needs its old window collected anew.
     """
 
+    TABLE = "facts"
+
     def __init__(self, path: str, merge: Callable[..., DataFrame], bucket: Column | None = None):
-        self.path, self.merge, self.bucket = path, merge, block_bucket() if bucket is None else bucket
+        self.path, self.merge, self.bucket, self.own = path, merge, block_bucket() if bucket is None else bucket, uuid.uuid4().hex
 
-    def _exists(self, spark: SparkSession, name: str) -> bool:
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, self.path)
 
     def versions(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """bucket and v, the newest listed version of each, of batches before one."""
-        if not self._exists(spark, "versions"):
-            return spark.createDataFrame([], "bucket string, v bigint")
-        rows = spark.read.schema("bucket string, v bigint").option("recursiveFileLookup", True).parquet(f"{self.path}/versions")
-        rows = rows if before is None else rows.filter(F.col("v") < before)
-        return rows.groupBy("bucket").agg(F.max("v").alias("v"))
-
-    def read(self, spark: SparkSession, before: int | None = None, buckets: DataFrame | None = None) -> DataFrame | None:
-        """The table, or its facts in some buckets: partitions of other buckets and versions are pruned by the join."""
-        if not self._exists(spark, "data"):
-            return None
-        wanted = self.versions(spark, before)
-        if buckets is not None:
-            wanted = wanted.join(buckets, "bucket", "left_semi")
-        rows = spark.read.option("basePath", f"{self.path}/data").parquet(f"{self.path}/data").withColumns({"v": F.col("v").cast("bigint"), "bucket": F.col("bucket").cast("string")})
-        return rows.join(F.broadcast(wanted), ["bucket", "v"]).drop("bucket", "v")
-
-    def touched(self, batch: DataFrame, windows: DataFrame | None = None) -> DataFrame:
-        """bucket of the facts of a batch, and of the blocks of its windows."""
+        """bucket and v, the commit that wrote each bucket last, of commits before one."""
+        since = self.log(spark).snapshot(None if before is None else before - 1).since.get(self.TABLE, {})
+        return spark.createDataFrame(sorted(since.items()), "bucket string, v bigint")
+
+    def read(self, spark: SparkSession, before: int | None = None, buckets: set[str] | None = None) -> DataFrame | None:
+        """The table, or its facts in some buckets, as of the commits before one; files of other buckets are not listed."""
+        log = self.log(spark)
+        return log.read(self.TABLE, log.snapshot(None if before is None else before - 1), buckets)
+
+    def touched(self, batch: DataFrame, windows: DataFrame | None = None) -> set[str]:
+        """Buckets of the facts of a batch, and of the blocks of its windows."""
         found = batch.select(self.bucket.alias("bucket"))
         if windows is not None:
             starts = F.array_distinct(F.transform(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH)), lambda k: k * WIDTH))
             found = found.unionByName(windows.select("chain_id", F.explode(starts).alias("block")).select(self.bucket.alias("bucket")))
-        return found.distinct()
+        return {r.bucket for r in found.distinct().collect()}  # names of buckets, not facts
 
-    def __call__(self, batch: DataFrame, batch_id: int, *more: DataFrame) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, *more: DataFrame, query: str | None = None) -> None:
         spark = batch.sparkSession
+        log, stream = self.log(spark), query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or self.own
         touched = self.touched(batch, *more)
-        old = self.read(spark, batch_id, touched)
-        rows = self.merge(old.select(*batch.columns) if old is not None else batch.limit(0), batch, *more)
-        marked = rows.withColumn("v", F.lit(batch_id)).withColumn("bucket", self.bucket)
-        marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("v", "bucket").parquet(f"{self.path}/data")
-        touched.select("bucket", F.lit(batch_id).cast("bigint").alias("v")).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions/{batch_id}")
+        for _ in range(TRIES):
+            now = log.snapshot()
+            if now.applied.get(stream, -1) >= batch_id:
+                return
+            old = log.read(self.TABLE, now, touched)
+            rows = self.merge(old.select(*batch.columns) if old is not None else batch.limit(0), batch, *more)
+            parts = dict.fromkeys(touched, []) | log.write(self.TABLE, rows, self.bucket)
+            try:
+                log.commit(now, {self.TABLE: (rows.schema, parts)}, batch=(stream, batch_id))
+                return
+            except Conflict:
+                continue
+        raise Conflict(f"{TRIES} others came first")
 
 
 def upsert_sink(path: str, key: list[str] | None = None, bucket: Column | None = None) -> FactSink:
@@ -152,6 +159,3 @@ def monitor(scopes: DataFrame, facts: DataFrame, batch: DataFrame) -> DataFrame:
     """Audit of the scopes that a micro-batch touches."""
     touched = batch.select("chain_id", "address").distinct()
     return maintenance.audit(scopes.join(touched, ["chain_id", "address"], "left_semi"), facts.join(touched, ["chain_id", "address"], "left_semi"))
-
-
-
