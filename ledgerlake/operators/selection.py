@@ -134,13 +134,50 @@ def tiles(ranges: DataFrame, size: int) -> DataFrame:
     return rows.select(*scope, "start", F.least(F.col("start") + size - 1, F.col("last")).alias("end"))
 
 
+def halved(facts: DataFrame, ranges: DataFrame, most: int) -> DataFrame:
+    """Ranges halved until each window holds at most ``most`` facts: scope columns, start, end, records and over.
+
+    ranges: scope columns, first, last, any number for a scope; facts: the same scope columns and block. A window of more
+    facts is cut in two, the first half one block longer where its length is odd. A single block of more facts stays, and is told by
+    ``over``. The windows of a range cover it exactly; a range of which first is after last has none.
+
+    All scopes at once: counts by block give those of every window above it in the tree of halves, as partial sums, so a
+    scope with very many facts is not one task. Windows are then the halves of the crowded ones that are not crowded
+    themselves.
+    """
+    scope = [c for c in ranges.columns if c not in ("first", "last")]
+    asked = ranges.filter("first <= last").distinct()
+    counts = facts.groupBy(*scope, "block").agg(F.count("*").alias("n"))
+    inside = counts.join(asked, scope).filter("block between first and last")
+    half = lambda w: w["lo"] + F.floor((w["hi"] - w["lo"]) / 2).cast("bigint")
+    window = lambda lo, hi: F.struct(lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"))
+
+    def below(path: Column) -> Column:
+        """The path from the whole range with the half of its last window that holds the block."""
+        w = F.element_at(path, -1)
+        left = F.col("block") <= half(w)
+        return F.concat(path, F.array(F.when(w["lo"] == w["hi"], w).otherwise(window(F.when(left, w["lo"]).otherwise(half(w) + 1), F.when(left, half(w)).otherwise(w["hi"])))))
+
+    depth = F.ceil(F.log2((F.col("last") - F.col("first") + 1).cast("double"))).cast("int") + 1  # one more than doubles may round off
+    path = F.aggregate(F.sequence(F.lit(1), depth), F.array(window(F.col("first"), F.col("last"))), lambda done, _: below(done))
+    key = [*scope, "first", "last"]
+    nodes = inside.select(*key, "n", F.explode(F.array_distinct(path)).alias("w")).groupBy(*key, "w.lo", "w.hi").agg(F.sum("n").alias("n"))
+    crowded = nodes.filter((F.col("n") > most) & (F.col("lo") < F.col("hi")))
+    mid = F.col("lo") + F.floor((F.col("hi") - F.col("lo")) / 2).cast("bigint")
+    halves = crowded.select(*key, F.explode(F.array(window(F.col("lo"), mid), window(mid + 1, F.col("hi")))).alias("w")).select(*key, "w.lo", "w.hi")
+    met = halves.unionByName(asked.select(*key, F.col("first").cast("bigint").alias("lo"), F.col("last").cast("bigint").alias("hi")))
+    told = met.join(nodes, [*key, "lo", "hi"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    done = told.filter((F.col("n") <= most) | (F.col("lo") == F.col("hi")))
+    return done.select(*key, F.col("lo").alias("start"), F.col("hi").alias("end"), F.col("n").alias("records"), (F.col("n") > most).alias("over"))
+
+
 def exact_cover(windows: DataFrame, scope: list[str], first: str, last: str) -> DataFrame:
     """Scopes whose windows (start, end) are not contiguous, disjoint and exactly [first, last]."""
     order = Window.partitionBy(*scope).orderBy("start")
     joined = windows.withColumn("next", F.lead("start").over(order))
     broken = F.max((F.col("next") != F.col("end") + 1).cast("int"))
-    sums = joined.groupBy(*scope).agg(F.coalesce(broken, F.lit(0)).alias("broken"), F.min("start").alias("lo"), F.max("end").alias("hi"), F.max(first).alias("first"), F.max(last).alias("last"))
-    return sums.filter("broken = 1 or lo <> first or hi <> last").select(*scope)
+    sums = joined.groupBy(*scope).agg(F.coalesce(broken, F.lit(0)).alias("broken"), F.min("start").alias("lo"), F.max("end").alias("hi"), F.max(first).alias("__first"), F.max(last).alias("__last"))
+    return sums.filter("broken = 1 or lo <> __first or hi <> __last").select(*scope)
 
 
 def by_hashes(rows: DataFrame, hashes: DataFrame) -> DataFrame:

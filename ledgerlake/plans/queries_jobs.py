@@ -98,6 +98,23 @@ def outgoing_order(spark, d):
     return selection.within_limit(sent, 10_000_000).withColumn("place", F.row_number().over(by).cast("bigint")).filter("place <= 3").select(F.col("receiver").alias("address"), "tx_hash", "place")
 
 
+_HALVES = """(WITH RECURSIVE c AS (SELECT address, block, count(*) AS n FROM v_transfers GROUP BY ALL),
+w(address, lo, hi, n) AS (SELECT address, CAST(0 AS BIGINT), CAST(2999 AS BIGINT), CAST(sum(n) FILTER (block BETWEEN 0 AND 2999) AS BIGINT) FROM c GROUP BY address
+  UNION ALL SELECT h.address, h.lo, h.hi, CAST(coalesce((SELECT sum(n) FROM c WHERE c.address = h.address AND c.block BETWEEN h.lo AND h.hi), 0) AS BIGINT)
+  FROM (SELECT address, CASE WHEN s = 0 THEN lo ELSE (lo + hi) // 2 + 1 END AS lo, CASE WHEN s = 0 THEN (lo + hi) // 2 ELSE hi END AS hi FROM w, (VALUES (0), (1)) b(s) WHERE n > 4 AND lo < hi) h)
+SELECT address, lo, hi, n FROM w WHERE n <= 4 OR lo = hi)"""
+
+
+@query(f"SELECT address, lo AS start, hi AS end, n AS records, n > 4 AS over, true AS covered FROM {_HALVES} -- v_")
+def halved_windows(spark, d):
+    """Every account's range of blocks halved until each window has at most four transfers, and the proof of cover."""
+    t = v.transfers(spark, d)
+    ranges = t.select(*KEY).distinct().select(*KEY, F.lit(0).cast("bigint").alias("first"), F.lit(2999).cast("bigint").alias("last"))
+    windows = selection.halved(t, ranges, 4)
+    broken = selection.exact_cover(windows, KEY, "first", "last").withColumn("broken", F.lit(True))
+    return windows.join(broken, KEY, "left").select("address", "start", "end", "records", "over", F.col("broken").isNull().alias("covered"))
+
+
 # Prices.
 
 
