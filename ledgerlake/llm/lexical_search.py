@@ -23,6 +23,8 @@ from ledgerlake.llm.threshold_search import MOST, Best
 
 #: Documents of a shard, postings of a block.
 SHARD, BLOCK = 4096, 64
+#: Shards of a task, where there are more than two tasks for each core.
+TASK = 64
 #: Bytes of items that are searched for at once; the driver holds one such part of the items.
 ITEM_BYTES = 1_000_000
 #: Lower-cases A-Z and blanks every other ASCII byte that is neither digit nor letter.
@@ -204,7 +206,9 @@ def _part(docs: DataFrame, items: list[tuple[int | None, bytes]], k: int) -> Dat
     df = posted.select(F.explode(F.arrays_zip("terms", "dfs")).alias("t")).groupBy("t.terms").agg(F.sum("t.dfs").alias("df"))
     weight = {r.terms: int(np.floor(1000 * np.log((2 * n + 2) / (2 * r.df + 1)))) for r in df.collect()}  # as many as the items have terms
     asked = [(key, name, [(vocab[t], weight[vocab[t]] * m) for t, m in c.items() if vocab[t] in weight]) for key, ((name, _), c) in enumerate(zip(items, counts, strict=True))]
-    found = _searched(indexed, asked, k, BLOCK)
+    shards_ = indexed.count()  # the index is so compact that its files would make few tasks
+    tasks = max(1, min(shards_, max(2 * docs.sparkSession.sparkContext.defaultParallelism, shards_ // TASK)))
+    found = _searched(indexed.repartition(tasks), asked, k, BLOCK)
     order = Window.partitionBy("key").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
 
