@@ -106,7 +106,7 @@ def update(points: DataFrame, fresh: DataFrame, scopes: DataFrame, interval_ms:
     last = taken.groupBy(*SCOPE).agg(F.max("ts").alias("last_ts"))
     step = F.timestamp_millis(F.unix_millis("last_ts") + interval_ms)
     control = scopes.join(last, SCOPE, "left").withColumn("status", F.when(F.col("last_ts").isNull(), "stalled").otherwise("ok"))
-    return merged, control.withColumn("next_from", F.coalesce(F.least(step, F.col("to_ts")), F.col("next_from"))).drop("last_ts")
+    return merged, control.withColumn("next_from", F.when(F.col("last_ts").isNull(), F.col("next_from")).otherwise(F.least(step, F.col("to_ts")))).drop("last_ts")
 
 
 def recollect(points: DataFrame, fresh: DataFrame, scope: dict[str, str], replace: bool = True) -> DataFrame:
