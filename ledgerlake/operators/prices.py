@@ -104,7 +104,7 @@ def update(points: DataFrame, fresh: DataFrame, scopes: DataFrame, interval_ms:
     both = points.withColumn("__new", F.lit(0)).unionByName(taken.withColumn("__new", F.lit(1)))
     merged = last_wins(both, [*SCOPE, "ts"], ["__new"]).drop("__new")
     last = taken.groupBy(*SCOPE).agg(F.max("ts").alias("last_ts"))
-    step = F.timestamp_millis(F.unix_millis("last_ts") + interval_ms)
+    step = F.timestamp_micros(F.unix_micros("last_ts") + interval_ms * 1000)
     control = scopes.join(last, SCOPE, "left").withColumn("status", F.when(F.col("last_ts").isNull(), "stalled").otherwise("ok"))
     return merged, control.withColumn("next_from", F.when(F.col("last_ts").isNull(), F.col("next_from")).otherwise(F.least(step, F.col("to_ts")))).drop("last_ts")
 

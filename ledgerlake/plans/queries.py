@@ -11,7 +11,7 @@ from ledgerlake.functions import scalars as s
 from ledgerlake.lineage import cut
 from ledgerlake.operators import atblock, identity, ledger, maintenance, selection, snapshots
 from ledgerlake.operators import prices as px
-from ledgerlake.plans import queries_jobs, queries_sources  # noqa: F401, they register their queries
+from ledgerlake.plans import queries_jobs, queries_sources, queries_streams  # noqa: F401, they register their queries
 from ledgerlake.plans import views as v
 from ledgerlake.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from ledgerlake.sources import candles, payloads
@@ -428,16 +428,10 @@ def interest_settlement(spark, d):
     return all_interest_settlement(spark, d).filter("address like 'c%'")
 
 
-@query(f"""SELECT chain_id, account AS address, token_address, CAST(sum(gained) - sum(lost) AS VARCHAR) AS amount, CAST(sum(CASE WHEN minted AND sends THEN 0 ELSE gained END) AS VARCHAR) AS incoming, CAST(sum(lost) AS VARCHAR) AS outgoing FROM (
-  SELECT *, bool_or(gives) OVER (PARTITION BY chain_id, account, tx_hash, token_address) AS sends FROM (
-    SELECT chain_id, CASE WHEN log_index = 2 THEN 's0' ELSE to_address END AS account, 't' AS token_address, tx_hash, amount AS gained, CAST(0 AS BIGINT) AS lost, log_index = 1 AS minted, false AS gives FROM v_transfers
-    UNION ALL SELECT chain_id, CASE log_index WHEN 1 THEN '{ledger.ZERO}' WHEN 2 THEN to_address ELSE from_address END, 't', tx_hash, 0, amount, false, true FROM v_transfers)) GROUP BY ALL""")
+@query(v.MINTED_BALANCES)
 def all_interest_settlement(spark, d):
-    """The same for all accounts, senders and the zero address too."""
-    t = v.transfers(spark, d).withColumn("token_address", F.lit("t"))
-    own = F.col("to_address")
-    x = t.withColumn("from_address", F.when(F.col("log_index") == 1, ledger.ZERO).when(F.col("log_index") == 2, own).otherwise(F.col("from_address"))).withColumn("to_address", F.when(F.col("log_index") == 2, "s0").otherwise(own))
-    return ledger.token_balances(x)
+    """The same for all accounts, senders and the zero address too."""
+    return ledger.token_balances(v.minted(spark, d))
 
 
 # Sources and scalar functions.

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.ledger import ZERO
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,6 +33,13 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def minted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers of one token, of which first lines are mints and second ones are sent by the customer."""
+    t = transfers(spark, sf_dir).withColumn("token_address", F.lit("t"))
+    own = F.col("to_address")
+    return t.withColumn("from_address", F.when(F.col("log_index") == 1, ZERO).when(F.col("log_index") == 2, own).otherwise(F.col("from_address"))).withColumn("to_address", F.when(F.col("log_index") == 2, "s0").otherwise(own))
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "P", "reverted").otherwise("unknown")
     return table(spark, sf_dir, "orders").select(
@@ -102,3 +111,8 @@ v_entries AS (
   SELECT chain_id, to_address AS account, token_address, tx_hash, block, amount AS gained, CAST(0 AS BIGINT) AS lost FROM v_transfers
   UNION ALL SELECT chain_id, from_address, token_address, tx_hash, block, 0, amount FROM v_transfers)
 """
+#: Balances of the transfers of :func:`minted`.
+MINTED_BALANCES = f"""SELECT chain_id, account AS address, token_address, CAST(sum(gained) - sum(lost) AS VARCHAR) AS amount, CAST(sum(CASE WHEN minted AND sends THEN 0 ELSE gained END) AS VARCHAR) AS incoming, CAST(sum(lost) AS VARCHAR) AS outgoing FROM (
+  SELECT *, bool_or(gives) OVER (PARTITION BY chain_id, account, tx_hash, token_address) AS sends FROM (
+    SELECT chain_id, CASE WHEN log_index = 2 THEN 's0' ELSE to_address END AS account, 't' AS token_address, tx_hash, amount AS gained, CAST(0 AS BIGINT) AS lost, log_index = 1 AS minted, false AS gives FROM v_transfers
+    UNION ALL SELECT chain_id, CASE log_index WHEN 1 THEN '{ZERO}' WHEN 2 THEN to_address ELSE from_address END, 't', tx_hash, 0, amount, false, true FROM v_transfers)) GROUP BY ALL"""

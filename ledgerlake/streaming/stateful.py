@@ -1,13 +1,15 @@
 """Streams whose state Spark's own aggregates cannot hold (survey R4, R5, R7).
 
-The processors keep their state in RocksDB, set by :func:`with_state_store`, and are small: Spark groups the rows, keeps and
+The processors keep their state in RocksDB, set by :func:`state_store`, and are small: Spark groups the rows, keeps and
 recovers the state, and fires the timers.
 """
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -27,35 +29,35 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 BALANCE_BUCKETS = 64
 
 
-def with_state_store(spark: SparkSession) -> SparkSession:
-    """The session, set to keep the state of streams in RocksDB."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    return spark
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep their state in RocksDB."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 class _Settlement(StatefulProcessor):
-    """What a transaction moves. State: what each account has sent, and been minted, of a token in it."""
+    """What a transaction moves. State: what each account has sent, and been minted, of a token in it, as one text, so that a batch asks for it once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.legs = handle.getMapState("legs", "address string, token_address string", "sent boolean, minted string")
+        self.held = handle.getValueState("legs", "legs string, last bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        legs: dict[tuple, list] = {}
+        held = self.held.get()
+        legs = {(a, t): [sent, minted] for a, t, sent, minted in json.loads(held[0])} if held else {}
+        before = last = int(held[1]) if held else -1
         out: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])  # balance, incoming, outgoing
-        last = 0
-
-        def leg(at: tuple) -> list:
-            if at not in legs:
-                held = self.legs.getValue(at) if self.legs.containsKey(at) else (False, "0")
-                legs[at] = [bool(held[0]), int(held[1])]
-            return legs[at]
-
         for frame in rows:
             for sender, receiver, token, amount, ms in zip(frame["from_address"], frame["to_address"], frame["token_address"], frame["amount"], frame["ms"], strict=True):
                 n, last = int(amount), max(last, int(ms))
                 if sender is not None:
-                    of = leg((sender, token))
+                    of = legs.setdefault((sender, token), [False, 0])
                     if not of[0]:  # mints that came before were taken for income
                         out[sender, token][1] -= of[1]
                         of[0] = True
@@ -65,18 +67,19 @@ class _Settlement(StatefulProcessor):
                     out[receiver, token][0] += n
                     out[receiver, token][1] += n
                     if sender == ZERO:
-                        of = leg((receiver, token))
+                        of = legs.setdefault((receiver, token), [False, 0])
                         of[1] += n
                         if of[0]:
                             out[receiver, token][1] -= n
-        for at, (sent, minted) in legs.items():
-            self.legs.updateValue(at, (sent, str(minted)))
-        self.handle.registerTimer(last)
+        self.held.update((json.dumps([(*at, *of) for at, of in legs.items()]), last))
+        if last > before:
+            self.handle.registerTimer(last)
         yield pd.DataFrame([(*at, *map(str, sums)) for at, sums in out.items()], columns=["address", "token_address", "amount", "incoming", "outgoing"]).assign(chain_id=key[0])[COLUMNS]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if max(self.handle.listTimers(), default=0) <= timerValues.getCurrentWatermarkInMs():
-            self.legs.clear()
+        held = self.held.get()
+        if held and held[1] <= timerValues.getCurrentWatermarkInMs():
+            self.held.clear()
         return iter(())
 
     def close(self) -> None:
@@ -109,46 +112,50 @@ def balance_sink(path: str) -> FactSink:
 
 
 class _States(StatefulProcessor):
-    """An account's balances. State: open blocks with what they moved, the balance of each token, and the last published block."""
+    """Balances of some tokens of an account. State, as one text: the last published block, the balance of each token, and open blocks with their time and what they moved."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "block bigint, token_address string", "delta string, ms bigint")
-        self.balances = handle.getMapState("balances", "token_address string", "amount string")
-        self.published = handle.getValueState("published", "block bigint")
+        self.held = handle.getValueState("state", "state string")
+
+    def _state(self) -> tuple[int, dict[str, int], dict[int, list]]:
+        held = self.held.get()
+        done, sums, blocks = json.loads(held[0]) if held else (-1, {}, [])
+        return done, sums, {b: [ms, moved] for b, ms, moved in blocks}
+
+    def _keep(self, done: int, sums: dict[str, int], blocks: dict[int, list]) -> None:
+        self.held.update((json.dumps((done, sums, [(b, *of) for b, of in blocks.items()])),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        done = self.published.get()[0] if self.published.exists() else -1
-        fresh: dict[tuple, list[int]] = defaultdict(lambda: [0, 0])
+        done, sums, blocks = self._state()
+        first = min((ms for ms, _ in blocks.values()), default=None)
         late: dict[tuple, int] = defaultdict(int)
         for frame in rows:
-            for block, token, delta, ms in zip(frame["block"], frame["token_address"], frame["delta"], frame["ms"], strict=True):
+            for block, token, delta, ms in zip(frame["block"].tolist(), frame["token_address"], frame["delta"], frame["ms"].tolist(), strict=True):
                 if block <= done:
-                    late[int(block), token] += int(delta)
+                    late[block, token] += int(delta)
                 else:
-                    of = fresh[int(block), token]
-                    of[0], of[1] = of[0] + int(delta), max(of[1], int(ms))
-        for at, (delta, ms) in fresh.items():
-            held = self.open.getValue(at) if self.open.containsKey(at) else ("0", 0)
-            self.open.updateValue(at, (str(int(held[0]) + delta), max(ms, held[1])))
-        for ms in {ms for _, ms in fresh.values()}:
-            self.handle.registerTimer(ms)
+                    of = blocks.setdefault(block, [ms, {}])
+                    of[0] = max(of[0], ms)
+                    of[1][token] = of[1].get(token, 0) + int(delta)
+        self._keep(done, sums, blocks)
+        nearest = min((ms for ms, _ in blocks.values()), default=None)
+        if nearest is not None and (first is None or nearest < first):  # one timer, for the block that will be complete first
+            self.handle.registerTimer(nearest)
         yield self._rows(key, "late", [(block, token, str(n)) for (block, token), n in late.items()])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark, out = timerValues.getCurrentWatermarkInMs(), []
-        held: dict[str, int] = {}
-        ready = sorted((at, value[0]) for at, value in self.open.iterator() if value[1] <= mark)
-        for (block, token), delta in ready:
-            if token not in held:
-                held[token] = int(self.balances.getValue((token,))[0]) if self.balances.containsKey((token,)) else 0
-            held[token] += int(delta)
-            out.append((block, token, str(held[token])))
-            self.open.removeKey((block, token))
-        for token, n in held.items():
-            self.balances.updateValue((token,), (str(n),))
-        if ready:
-            self.published.update((ready[-1][0][0],))
+        done, sums, blocks = self._state()
+        for block in sorted(b for b, (ms, _) in blocks.items() if ms <= mark):
+            for token, delta in blocks.pop(block)[1].items():
+                sums[token] = sums.get(token, 0) + delta
+                out.append((block, token, str(sums[token])))
+            done = block
+        if out:
+            self._keep(done, sums, blocks)
+        if blocks and (out or all(ms > mark for ms, _ in blocks.values())):
+            self.handle.registerTimer(min(ms for ms, _ in blocks.values()))
         yield self._rows(key, "state", out)
 
     def _rows(self, key, kind: str, rows: list[tuple]) -> pd.DataFrame:
@@ -158,19 +165,20 @@ class _States(StatefulProcessor):
         pass
 
 
-def published_states(transfers: DataFrame, delay: str = "1 minute") -> DataFrame:
+def published_states(transfers: DataFrame, delay: str = "1 minute", parts: int = 4) -> DataFrame:
     """Balances of accounts after each complete block, once, in order of blocks; append mode.
 
     kind state: amount is the balance after the block, as :func:`ledger.balance_history` has it; a block is complete when
     the watermark, ``delay`` behind the newest fact, has reached its time. kind late: facts of a block that was published
-    before; amount is what they would have moved, and no state holds it.
+    before; amount is what they would have moved, and no state holds it. An account's tokens are dealt to ``parts`` groups,
+    each with a state of its own, so that an account with very many tokens is not one task.
     """
     timed = watched(transfers.withWatermark("ts", delay)).filter("address is not null and amount is not null")
     amount = u256.parse(F.col("amount"))
     moved = u256.minus(u256.where(F.col("to_address") == F.col("address"), amount), u256.where(F.col("from_address") == F.col("address"), amount))
     # without the time itself Spark hands over late facts as well
     rows = timed.select("chain_id", "address", "token_address", "block", u256.render(moved).alias("delta"), F.unix_millis("ts").alias("ms"))
-    return rows.groupBy("chain_id", "address").transformWithStateInPandas(_States(), "kind string, chain_id bigint, address string, token_address string, block bigint, amount string", "Append", "EventTime")
+    return rows.withColumn("part", F.pmod(F.xxhash64("token_address"), F.lit(parts))).groupBy("chain_id", "address", "part").transformWithStateInPandas(_States(), "kind string, chain_id bigint, address string, token_address string, block bigint, amount string", "Append", "EventTime")
 
 
 class _Tail(StatefulProcessor):
@@ -181,16 +189,16 @@ class _Tail(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.next = handle.getValueState("next", "ms bigint")
+        self.next = handle.getValueState("next", "us bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         since = self.next.get()[0] if self.next.exists() else None
         top = since
         for frame in rows:
-            kept = frame if since is None else frame[frame["ms"] >= since]
+            kept = frame if since is None else frame[frame["us"] >= since]
             if len(kept):
-                top = max(int(kept["ms"].max()) + self.interval_ms, top or 0)
-                yield self._out(key, "point", kept["ms"], kept["price"], None, None)
+                top = max(int(kept["us"].max()) + self.interval_ms * 1000, top or 0)
+                yield self._out(key, "point", kept["us"], kept["price"], None, None)
         came = top != since
         if came:
             self.next.update((top,))
@@ -202,9 +210,9 @@ class _Tail(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield self._out(key, "control", [None], [None], self.next.get()[0] if self.next.exists() else None, "stalled")
 
-    def _out(self, key, kind: str, ms, price, since: int | None, status: str | None) -> pd.DataFrame:
-        rows = pd.DataFrame({"ms": pd.array(list(ms), "Int64"), "price": pd.array(list(price), "Int64")})
-        return rows.assign(**dict(zip(SCOPE, key, strict=True)), kind=kind, next_ms=pd.array([since] * len(rows), "Int64"), status=status)[["kind", *SCOPE, "ms", "price", "next_ms", "status"]]
+    def _out(self, key, kind: str, us, price, since: int | None, status: str | None) -> pd.DataFrame:
+        rows = pd.DataFrame({"us": pd.array(list(us), "Int64"), "price": pd.array(list(price), "Int64")})
+        return rows.assign(**dict(zip(SCOPE, key, strict=True)), kind=kind, next_us=pd.array([since] * len(rows), "Int64"), status=status)[["kind", *SCOPE, "us", "price", "next_us", "status"]]
 
     def close(self) -> None:
         pass
@@ -217,10 +225,10 @@ def price_tail(points: DataFrame, interval_ms: int, stall_ms: int = 600_000) ->
     has next_from after the batch, and status: ok, or stalled where nothing new came, in the batch or for ``stall_ms``.
     Price: a whole number.
     """
-    rows = points.select(*SCOPE, F.unix_millis("ts").alias("ms"), F.col("price").cast("bigint").alias("price"))
+    rows = points.select(*SCOPE, F.unix_micros("ts").alias("us"), F.col("price").cast("bigint").alias("price"))
     scope = ", ".join(f"{c} string" for c in SCOPE)
-    tail = rows.groupBy(*SCOPE).transformWithStateInPandas(_Tail(interval_ms, stall_ms), f"kind string, {scope}, ms bigint, price bigint, next_ms bigint, status string", "Append", "ProcessingTime")
-    return tail.select("kind", *SCOPE, F.timestamp_millis("ms").alias("ts"), "price", F.timestamp_millis("next_ms").alias("next_from"), "status")
+    tail = rows.groupBy(*SCOPE).transformWithStateInPandas(_Tail(interval_ms, stall_ms), f"kind string, {scope}, us bigint, price bigint, next_us bigint, status string", "Append", "ProcessingTime")
+    return tail.select("kind", *SCOPE, F.timestamp_micros("us").alias("ts"), "price", F.timestamp_micros("next_us").alias("next_from"), "status")
 
 
 def run_tail(tail: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
