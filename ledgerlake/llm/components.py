@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stash
+from ledgerlake.llm.common import forget, stash
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.filter("a <> m").select("a", F.col("m").alias("b"))).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select("a", F.col("m").alias("b")))
-        edges = stash(small.distinct(), "edges")
+        before, edges = edges, stash(small.distinct(), "edges")
+        forget(before)
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == mark:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -18,8 +18,8 @@ from ledgerlake.llm.automaton import SuffixAutomaton
 from ledgerlake.llm.common import by_slice, keyed, same_doc, stash
 
 WINDOW = 10
-#: Bytes of items in one automaton; larger benchmarks are streamed against in several blocks.
-BLOCK_BYTES = 8_000_000
+#: Bytes of items in one automaton, some 100 MB in a worker; larger benchmarks are streamed against in several blocks.
+BLOCK_BYTES = 1_000_000
 #: Lower-cases A-Z and blanks every other ASCII byte that is neither digit nor letter.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -187,7 +187,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [None if t is None else t.encode() for t in batch.column(at).to_pylist()]
         m = matcher(items, window)
-        keep = [True] * len(texts)
+        keep, changed = [True] * len(texts), [False] * len(texts)
         known = [[(x["start"], x["end"]) for x in r or ()] for r in batch.column(len(names)).to_pylist()] if n > 1 else None
         for i, t in enumerate(texts):
             words, spans, _ = m.find(t or b"")
@@ -195,9 +195,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
             if spans:
                 keep[i] = sum(b - a for a, b in spans) <= max_coverage * words
                 texts[i] = cut(t, spans)
+                changed[i] = True
         cols = list(batch.columns[: len(names)])
         cols[at] = pa.array([None if t is None else t.decode() for t in texts], pa.string())
-        return pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
+        return pa.RecordBatch.from_arrays([*cols, pa.array(changed)], [*names, "__changed"]).filter(pa.array(keep))
 
-    out = rows.mapInArrow(by_slice(work), docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
+    out = rows.mapInArrow(by_slice(work), docs.select(*names).schema.add("__changed", "boolean"))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.when(F.col("__changed"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*names)

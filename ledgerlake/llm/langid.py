@@ -156,7 +156,7 @@ def train(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
     For each language, the TRAIN_DOCS rows with the lowest hash of doc_id are ordered by it and give whole texts until
     TRAIN_SYMBOLS characters, or the language's share of ALL_SYMBOLS, are passed. Texts over LONG_TEXT characters come
     after all others, the shortest first, so that one of them is taken only where a language has no other, and then
-    whole. A text met before is passed over. Rows without text, lang or doc_id are not used.
+    LONG_TEXT characters of it from a place that a hash of doc_id chooses. A text met before is passed over. Rows without text, lang or doc_id are not used.
     """
     ids = labelled.filter("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", F.length("text").alias("size"))
     long = F.when(F.col("size") > LONG_TEXT, F.col("size")).otherwise(0)
@@ -179,7 +179,9 @@ def train(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
         return ()
     kinds = ids.schema
     picked = labelled.sparkSession.createDataFrame(list(dict.fromkeys(chosen)), kinds)
-    low = labelled.select("lang", "doc_id", F.length("text").alias("size"), F.lower("text").alias("text"))
+    size = F.length("text")
+    piece = F.substring("text", (1 + F.pmod(F.xxhash64("doc_id"), F.greatest(size - LONG_TEXT, F.lit(1)))).cast("int"), F.lit(LONG_TEXT))
+    low = labelled.select("lang", "doc_id", size.alias("size"), F.lower(F.when(size > LONG_TEXT, piece).otherwise(F.col("text"))).alias("text"))
     sample = low.join(F.broadcast(picked), kinds.names, "left_semi").distinct().collect()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(sample, key=lambda r: (r.lang, wanted[r.lang, r.doc_id, r.size], r.text)):

@@ -1,13 +1,13 @@
 """Line deduplication over content-defined chunks of lines.
 
-Long lines are broken at sentence ends. Lengths and hashes of lines choose the boundaries, so an inserted line moves
-those around it and no others: short lines are gathered until a chunk is long enough to be removed. Chunks that occur
-more than once anywhere are removed but for their first occurrence, after their bytes were compared.
+Texts are broken into short lines: at ``\n``, and at blanks that the bytes before them choose. A rolling hash over the
+hashes of the last two lines chooses the boundaries of chunks of several lines, so an inserted line moves those around it
+and no others. Chunks that occur more than once anywhere are removed but for their first occurrence, after their bytes
+were compared.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,104 +18,108 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash, tid_of
 
-#: Short lines for each one that may end a chunk; lines and bytes that a chunk needs to be removed. Documented with
-#: :func:`dedup`: repeats shorter than MIN_BYTES are everyday phrases, and stay.
-MEAN, MIN_LINES, MIN_BYTES = 2, 1, 40
-#: Where a text is broken into lines: at ``\\n``, and at white space after a sentence's end.
-BREAK = re.compile(rb"\n|(?<=[.!?])[ \t]+")
+#: Blanks for each one that ends a line, and rolling hashes for each one that ends a chunk.
+CUT, MEAN = 2, 2
+#: Lines of a chunk at least, and lines from which any end is its end.
+MIN_LINES, MAX_LINES = 2, 16
+#: Bytes of a chunk at least; repeats shorter than that are everyday phrases, and stay.
+MIN_BYTES = 30
+#: Odd numbers by which bytes and hashes are mixed.
+BYTES = (2654435761, 40503, 9973)
+MIX = 0x9E3779B97F4A7C15
 
 
-SENTENCE_END = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
+def ends_line(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is a ``\n``, or a blank that the three bytes before it choose."""
+    d = data.astype(np.uint32)
+    h = np.zeros(len(d), np.uint32)
+    for k, m in enumerate(BYTES, 1):
+        h[k:] += d[:-k] * np.uint32(m)
+    h = (h ^ h >> np.uint32(15)) * np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    return (data == 10) | (((data == 32) | (data == 9)) & (h % np.uint32(CUT) == 0))
 
 
 @dataclass
 class Lines:
-    """The lines of some texts, laid end to end in one buffer."""
+    """The lines of some texts, laid end to end in one buffer, each text with a ``\n`` after it."""
 
     buffer: bytes
-    #: Where each text begins, which text a line belongs to, and its bytes.
+    #: Where each text begins and ends, which text a line belongs to, and its bytes.
     begin: np.ndarray
+    end: np.ndarray
     text: np.ndarray
     start: np.ndarray
     stop: np.ndarray
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Lines:
-        buffer = b"".join(x + b"\n" for x in texts)
-        data = np.frombuffer(buffer, np.uint8)
-        blank = (data == 32) | (data == 9)
-        newline = data == 10
-        gap = blank.copy()
-        gap[1:] &= SENTENCE_END[data[:-1]]
-        gap[:1] = False
-        stop = np.flatnonzero(newline | gap)
-        solid = np.flatnonzero(~blank)
-        ends = solid[np.minimum(np.searchsorted(solid, stop), max(0, len(solid) - 1))] if len(solid) else stop
-        start = np.r_[0, np.where(newline[stop], stop + 1, ends)[:-1]] if len(stop) else stop
-        last = np.cumsum(np.array([len(x) + 1 for x in texts], np.int64))
-        return cls(buffer, last - np.array([len(x) + 1 for x in texts], np.int64), np.searchsorted(last, stop, side="right"), start, stop)
-
-    def chunks(self) -> list[tuple[int, int, int]]:
-        """First line, line after the last, and bytes of each chunk, text by text."""
-        size = self.stop - self.start
-        far = np.cumsum(size + 1)
-        alone = size >= MIN_BYTES
-        last = np.r_[self.text[1:] != self.text[:-1], True] if len(size) else np.zeros(0, bool)
-        may, low = alone | last, np.flatnonzero(~(alone | last))
-        h = np.array([xxhash.xxh3_64_intdigest(self.buffer[a:b]) for a, b in zip(self.start[low].tolist(), self.stop[low].tolist(), strict=True)], np.uint64)
-        may[low] = (h ^ h >> np.uint64(29)) % np.uint64(MEAN) == 0
-        may = np.flatnonzero(may)
-        out, line, at, fresh = [], 0, 0, True
-        for i, end, ends in zip(may.tolist(), far[may].tolist(), last[may].tolist(), strict=True):
-            if end - at > MIN_BYTES or (ends and fresh):
-                out.append((line, i + 1, end - at - 1))
+        # three line breaks before each text, so that what stands before it has no say
+        buffer = b"".join(b"\n\n\n" + x + b"\n" for x in texts)
+        size = np.array([len(x) + 4 for x in texts], np.int64)
+        end = np.cumsum(size) - 1
+        begin = end + 4 - size
+        at = np.flatnonzero(ends_line(np.frombuffer(buffer, np.uint8)))
+        text = np.searchsorted(end, at)
+        own = at >= begin[text] if len(texts) else at >= 0
+        stop, text = at[own], text[own]
+        first = np.r_[True, text[1:] != text[:-1]] if len(text) else np.zeros(0, bool)
+        start = np.where(first, begin[text], np.r_[0, stop[:-1] + 1][: len(stop)]) if len(text) else stop
+        return cls(buffer, begin, end, text, start, stop)
+
+    def chunks(self, min_bytes: int) -> np.ndarray:
+        """First line, and line after the last, of each chunk, text by text."""
+        n = len(self.stop)
+        h = np.fromiter((xxhash.xxh3_64_intdigest(self.buffer[a:b]) for a, b in zip(self.start.tolist(), self.stop.tolist(), strict=True)), np.uint64, n)
+        before = np.r_[np.zeros(min(1, n), np.uint64), h[:-1]]
+        before[np.searchsorted(self.text, np.unique(self.text))] = 0
+        roll = h * np.uint64(3) + before * np.uint64(MIX)
+        roll = (roll ^ roll >> np.uint64(29)) * np.uint64(MIX)
+        may = (roll >> np.uint64(32)) % np.uint64(MEAN) == 0
+        last = self.stop == self.end[self.text]
+        out, first, fresh = [], 0, True
+        for i, begin, stop, good, ends in zip(range(n), self.start.tolist(), self.stop.tolist(), may.tolist(), last.tolist(), strict=True):
+            if i == first:
+                at = begin
+            lines = i + 1 - first
+            if (good or ends or lines >= MAX_LINES) and ((lines >= MIN_LINES and stop - at >= min_bytes) or (ends and fresh)):
+                out.append((first, i + 1))
+                first, fresh = i + 1, ends
             elif ends:  # what is left of a text goes with the chunk before
-                out[-1] = (out[-1][0], i + 1, out[-1][2] + end - at)
-            else:
-                continue
-            line, at, fresh = i + 1, end, ends
-        return out
+                out[-1] = (out[-1][0], i + 1)
+                first, fresh = i + 1, True
+        return np.array(out, np.int64).reshape(-1, 2)
 
 
-def chunks(text: bytes) -> list[tuple[int, int, int]]:
-    """First line, line after the last, and bytes of each chunk of a text.
+def chunks(text: bytes, min_bytes: int = MIN_BYTES) -> list[tuple[int, int]]:
+    """First byte, and byte after the last, of each chunk of a text.
 
-    A chunk has MIN_BYTES, if the text has so many. It ends after a line that is so long by itself, or after a shorter one
-    whose hash is divisible by MEAN; what is left at the end of a text goes with its last chunk.
+    A chunk has MIN_LINES and ``min_bytes`` at least, if the text has so many. It ends after the first line from there on whose
+    hash, rolled over the line before, is divisible by MEAN, or that is its MAX_LINES-th; what is left at the end of a
+    text goes with its last chunk.
     """
-    return Lines.of([text]).chunks()
-
-
-def content(part: bytes) -> bytes:
-    """The lines of a piece of a text, joined by ``\\n``: what chunks are compared by."""
-    return b"\n".join(BREAK.split(part))
-
-
-def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
-    """Text without some ranges of lines."""
     lines = Lines.of([text])
-    return _without(lines, 0, len(lines.stop), {i for a, b in gone for i in range(a, b)})
+    return [(int(lines.start[a] - lines.begin[0]), int(lines.stop[b - 1] - lines.begin[0])) for a, b in lines.chunks(min_bytes)]
 
 
-def _without(lines: Lines, first: int, after: int, removed: set[int]) -> bytes:
-    """What is left of the text that has the lines from ``first`` to ``after``.
+def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """Text without some ranges of bytes, in order, each of whole lines.
 
-    What separates a removed line from the next goes as well, but a line break stays where something of its own line is
-    kept, and the white space before it goes.
+    The blank or line break after a range goes as well. A line break stays where something of its own line is kept; then,
+    and at the end of the text, the blank or break before the range goes instead.
     """
-    buffer, out = lines.buffer, []
-    start, stop = lines.start[first : after + 1].tolist(), lines.stop[first:after].tolist()
-    start += [stop[-1]] * (len(stop) + 1 - len(start))
-    start[-1] = stop[-1]  # nothing separates the last line from another text
-    for i, end in enumerate(stop):
-        between = buffer[end : start[i + 1]]
-        if first + i not in removed:
-            out += [buffer[start[i] : end], between]
-        elif between in (b"\n", b"") and out and out[-1] != b"\n":
-            out[-1] = between
-    if after - 1 in removed and out:
-        out[-1] = b""
-    return b"".join(out)
+    joined: list[list[int]] = []
+    for lo, hi in gone:
+        if joined and lo == joined[-1][1] + 1:
+            joined[-1][1] = hi
+        else:
+            joined.append([lo, hi])
+    out, at = [], 0
+    for lo, hi in joined:
+        before = hi == len(text) or (text[hi : hi + 1] == b"\n" and lo > 0 and text[lo - 1 : lo] != b"\n")
+        out.append(text[at : max(0, lo - before)])
+        at = hi + (not before)
+    return b"".join([*out, text[at:]])
 
 
 def _flat(marks: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -125,62 +129,62 @@ def _flat(marks: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return rows, {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
 
 
-def occurrences(docs: DataFrame, tid: Column | None = None) -> DataFrame:
-    """A row for each chunk that may be removed: its document, its bytes, its number of lines, and the halves of a 128-bit digest of its content."""
+def occurrences(docs: DataFrame, tid: Column | None = None, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """A row for each chunk that may be removed: its document, its bytes, its number of lines, and a 64-bit digest of its bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = Lines.of([t or b"" for t in batch.column(2).to_pylist()])
-        found = np.array([(a, b) for a, b, size in lines.chunks() if b - a >= MIN_LINES and size >= MIN_BYTES], np.int64).reshape(-1, 2)
+        found = lines.chunks(min_bytes)
         lo, hi, n = lines.start[found[:, 0]], lines.stop[found[:, 1] - 1], found[:, 1] - found[:, 0]
-        parts = [lines.buffer[x:y] if one else content(lines.buffer[x:y]) for x, y, one in zip(lo.tolist(), hi.tolist(), (n == 1).tolist(), strict=True)]
-        digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
+        large = (n >= MIN_LINES) & (hi - lo >= min_bytes)
+        doc, lo, hi, n = lines.text[found[large, 0]], lo[large], hi[large], n[large]
+        parts = [lines.buffer[x:y] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
         some = np.array([not p.isspace() for p in parts], bool)
-        doc = lines.text[found[:, 0]][some]
-        take = pa.array(doc)
-        places = [x.astype(np.int32) for x in (lo[some] - lines.begin[doc], hi[some] - lines.begin[doc], n[some])]
-        cols = [batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), *map(pa.array, digest[some].T.copy())]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "lo", "hi", "lines", "h1", "h2"])
+        h = np.array([xxhash.xxh3_64_intdigest(p) for p in parts], np.uint64).astype(np.int64)[some]
+        take = pa.array(doc[some])
+        places = [x[some].astype(np.int32) for x in (lo - lines.begin[doc], hi - lines.begin[doc], n)]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), pa.array(h)], ["doc_id", "tid", "lo", "hi", "lines", "h"])
 
-    return keyed(docs, tid).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h1 bigint, h2 bigint")
+    return keyed(docs, tid).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h bigint")
 
 
 def _contents(marked: DataFrame) -> DataFrame:
-    """Digest and content of every chunk that ``marked`` lists in __chunks."""
+    """Digest and bytes of every chunk that ``marked`` lists in __chunks."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, (rows, m) = batch.column(0).to_pylist(), _flat(batch.column(1))
-        data = [texts[r][lo:hi] if n == 1 else content(texts[r][lo:hi]) for r, lo, hi, n in zip(rows.tolist(), m["lo"].tolist(), m["hi"].tolist(), m["lines"].tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(m["h1"]), pa.array(m["h2"]), pa.array(data, pa.binary())], ["h1", "h2", "data"])
+        data = [texts[r][lo:hi] for r, lo, hi in zip(rows.tolist(), m["lo"].tolist(), m["hi"].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(m["h"]), pa.array(data, pa.binary())], ["h", "data"])
 
     rows = marked.filter("__chunks is not null").select(F.col("text").cast("binary").alias("text"), "__chunks")
-    return rows.mapInArrow(by_slice(work), "h1 bigint, h2 bigint, data binary")
+    return rows.mapInArrow(by_slice(work), "h bigint, data binary")
 
 
 def _marked(docs: DataFrame, chunks_: DataFrame, tid: Column) -> DataFrame:
     """docs with __chunks, the array of a document's repeated chunks, null where it has none; a written table."""
-    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("lo", "hi", "lines", "h1", "h2", "is_first"))).alias("__chunks"))
+    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("lo", "hi", "lines", "h", "is_first"))).alias("__chunks"))
     rows = docs.withColumn("__tid", tid)
     joined = rows.join(marks, rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__tid"] == marks["__of"]), "left")
     return stash(joined.drop("__doc_id", "__of", "__tid"), "marked")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """docs, all columns, with __chunks: the repeated chunks of each text, and whether each is the first of its kind.
 
-    First is the occurrence with the smallest doc_id (nulls last), text hash and place. Chunks are counted by a 128-bit
+    First is the occurrence with the smallest doc_id (nulls last), text hash and place. Chunks are counted by a 64-bit
     digest; then the bytes of those met again are compared, by their smallest and largest value for a digest, and a
     digest that stands for different bytes is struck out. Counts and comparisons are summed in each task before they
     shuffle, and occurrences are joined to their first, so no group is gathered. Texts are shuffled once.
     """
     tid = tid_of(docs)
-    found = stash(occurrences(docs, tid), "chunks")
+    found = stash(occurrences(docs, tid, min_bytes), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "lo")
-    again = stash(found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1"), "again")
-    chunks_ = join_counted(found, again, ["h1", "h2"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
+    again = stash(found.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1"), "again")
+    chunks_ = join_counted(found, again, ["h"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
     marked = _marked(docs, chunks_, tid)
-    differ = stash(_contents(marked).groupBy("h1", "h2").agg(F.min("data").alias("a"), F.max("data").alias("b")).filter("a <> b").select("h1", "h2"), "differ")
-    same = marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, ["h1", "h2"], "left_anti"), tid)
+    differ = stash(_contents(marked).groupBy("h").agg(F.min("data").alias("a"), F.max("data").alias("b")).filter("a <> b").select("h"), "differ")
+    same = marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, "h", "left_anti"), tid)
     for table in (found, again, differ):
         forget(table)
     return same
@@ -193,42 +197,39 @@ def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).to_pylist()
-        lines = Lines.of([(t or "").encode() for t in texts])
-        first = np.searchsorted(lines.text, np.arange(len(texts) + 1))
+        n = np.bincount(Lines.of([(t or "").encode() for t in texts]).text, minlength=len(texts)).astype(np.int64)
         rows, m = _flat(batch.column(len(columns)))
         gone = ~m["is_first"].astype(bool)
-        rows, n = rows[gone], m["lines"][gone].astype(np.int64)
-        begin = np.searchsorted(lines.start, m["lo"][gone] + lines.begin[rows], side="right") - 1
-        removed = np.bincount(rows, n, len(texts)).astype(np.int64)
-        which = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        ends = np.searchsorted(np.repeat(rows, n), np.arange(len(texts) + 1))
+        rows, lo, hi = rows[gone], m["lo"][gone].tolist(), m["hi"][gone].tolist()
+        removed = np.bincount(rows, m["lines"][gone], len(texts)).astype(np.int64)
+        ends = np.searchsorted(rows, np.arange(len(texts) + 1))
         for i in np.flatnonzero(removed).tolist():
-            texts[i] = _without(lines, int(first[i]), int(first[i + 1]), set(which[ends[i] : ends[i + 1]].tolist())).decode()
+            texts[i] = without(texts[i].encode(), list(zip(lo[ends[i] : ends[i + 1]], hi[ends[i] : ends[i + 1]], strict=True))).decode()
         cols = list(batch.columns[: len(columns)])
         cols[at] = pa.array(texts, pa.string())
-        return pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(first)), pa.array(removed)], [*columns, "__lines", "__removed"])
+        return pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(removed)], [*columns, "__lines", "__removed"])
 
     return marked.select(*columns, "__chunks").mapInArrow(by_slice(work), schema)
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """docs with repeated chunks of lines removed but for their first occurrence. All columns are kept, in order.
 
-    Lines end at ``\\n`` and after sentences. A chunk has MIN_BYTES at least, in one line or several; shorter texts
-    stay, however often they occur. Where a passage differs in a word, the chunk with that word stays.
-    n_chars, if there, is counted anew where a text changed. A document of which nothing is left is removed; one that
+    Lines end at ``\n`` and at blanks that the bytes before choose; a chunk has several, and ``min_bytes`` at least: shorter
+    repeats stay, however often they occur, as does a text of one line. Where a passage differs in a word, the chunk with
+    that word stays. n_chars, if there, is counted anew where a text changed. A document of which nothing is left is removed; one that
     was null or empty before stays. Rows that repeat both id and text are one document and are cut alike. An empty
     table gives an empty result.
     """
     names = docs.columns
-    out = _apply(repeats(docs), names).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
+    out = _apply(repeats(docs, min_bytes), names).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*names)
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, n_lines, n_removed and kept_sha256 (of the text that is left) for every row of docs; null texts count as empty."""
-    done = _apply(repeats(docs.select("doc_id", "text")), ["doc_id", "text"])
+    done = _apply(repeats(docs.select("doc_id", "text"), min_bytes), ["doc_id", "text"])
     text = F.coalesce("text", F.lit("")).cast("binary")
     return done.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), F.sha2(text, 256).alias("kept_sha256"))

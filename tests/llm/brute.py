@@ -36,6 +36,17 @@ def contamination(text: bytes, items: list[tuple[str, bytes]], window: int = 10)
     return len(words), hit, names
 
 
+def without_words(text: bytes, hit: set[int]) -> bytes:
+    """Text without its hit words; one space where they stood, none at the edges."""
+    places = [m.span() for m in BENCH_WORD.finditer(ascii_lower(text))]
+    parts, at = [], 0
+    for i in sorted(hit):
+        if i - 1 not in hit:
+            parts.append(text[at : places[i][0]].rstrip())
+        at = places[i][1]
+    return b" ".join(x for x in [*parts, text[at:].lstrip() if hit else text[at:]] if x)
+
+
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     grams = list(zip(words, words[1:], words[2:], strict=False))
@@ -103,51 +114,70 @@ def components(rows: list[tuple[int, int]], bits: int = 3) -> list[int]:
     return [min(low[find(i)]) for i in range(len(rows))]
 
 
-def lines_of(text: str) -> list[str]:
-    """Lines, and sentences within them, each with the white space that ends it."""
-    return re.findall(r"[^\n]*?(?:\n|(?<=[.!?])[ \t]+|$)", text)[: 1 + len(re.findall(r"\n|(?<=[.!?])[ \t]+", text))]
+def lines_of(text: bytes) -> list[tuple[int, int]]:
+    """Where each line of a text begins and ends; a line ends at a line break, or at a blank that the three bytes before it choose."""
+    out, begin = [], 0
+    for i, byte in enumerate(text):
+        a, b, c = (text[i - k] if i >= k else 10 for k in (1, 2, 3))
+        h = (2654435761 * a + 40503 * b + 9973 * c) % 2**32
+        h = (h ^ h >> 15) * 0x85EBCA6B % 2**32
+        h ^= h >> 13
+        if byte == 10 or (byte in (32, 9) and h % 2 == 0):
+            out.append((begin, i))
+            begin = i + 1
+    return [*out, (begin, len(text))]
+
+
+def line_chunks(text: bytes, size: int, least: int = 2, most: int = 16) -> list[list[tuple[int, int]]]:
+    """The lines of each chunk: several, of ``size`` bytes together, up to one that the hashes of it and the line before choose."""
+    lines, out, held, before = lines_of(text), [], [], 0
+    for a, b in lines:
+        h = xxhash.xxh3_64_intdigest(text[a:b])
+        roll = (3 * h + 0x9E3779B97F4A7C15 * before) % 2**64
+        roll = (roll ^ roll >> 29) * 0x9E3779B97F4A7C15 % 2**64
+        before = h
+        held.append((a, b))
+        if ((roll >> 32) % 2 == 0 or len(held) >= most) and len(held) >= least and b - held[0][0] >= size:
+            out.append(held)
+            held = []
+    if held and out and (len(held) < least or held[-1][1] - held[0][0] < size):
+        out[-1] += held
+    elif held:
+        out.append(held)
+    return out
 
 
-def cut_lines(rows: list[tuple[int, str]], chunks, least: int, size: int) -> dict[int, list[tuple[int, int]]]:
-    """Line ranges to cut from each text, rows in order of doc_id."""
-    seen, cut, count, found = set(), defaultdict(list), Counter(), []
+def cut_lines(rows: list[tuple[int, bytes]], size: int, least: int = 2) -> dict[int, list[list[tuple[int, int]]]]:
+    """The chunks to cut from each text, rows in order of doc_id: those that were met before."""
+    seen, cut = set(), defaultdict(list)
     for d, t in rows:
-        lines = [re.sub(r"\n$|(?<=[.!?])[ \t]+$", "", x) for x in lines_of(t)]
-        for a, b, _ in chunks(t.encode()):
-            part = "\n".join(lines[a:b])
-            if b - a >= least and len(part.encode()) >= size and part.strip():
-                found.append((d, a, b, part))
-                count[part] += 1
-    for d, a, b, part in found:
-        if part in seen:
-            cut[d].append((a, b))
-        seen.add(part)
+        for lines in line_chunks(t, size):
+            part = t[lines[0][0] : lines[-1][1]]
+            if len(lines) >= least and len(part) >= size and part.strip(b" \t\n\r\x0b\x0c"):
+                if part in seen:
+                    cut[d].append(lines)
+                seen.add(part)
     return cut
 
 
-def without_lines(text: str, cut: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """Text without ranges of lines, their number before, and how many went.
+def without_lines(text: bytes, cut: list[list[tuple[int, int]]]) -> tuple[bytes, int, int]:
+    """Text without some chunks, its number of lines before, and how many went.
 
-    White space after a removed line goes as well, but a line break stays where something of its own line is kept.
+    What ends a removed line goes with it, but a line break stays where something of its own line is kept; what ended the
+    last line before goes instead, as it does at the end of the text.
     """
-    lines, kept = lines_of(text), []
-    gone = {i for a, b in cut for i in range(a, b)}
-    whole = []  # lines of the text, each as the indexes of its sentences
-    for i, x in enumerate(lines):
-        if i and not lines[i - 1].endswith("\n"):
-            whole[-1].append(i)
-        else:
-            whole.append([i])
-    for of in whole:
-        left = [i for i in of if i not in gone]
-        if left:
-            end = lines[of[-1]][len(lines[of[-1]].rstrip("\n")) :]
-            last = re.sub(r"\n$|(?<=[.!?])[ \t]+$", "", lines[left[-1]]) if left[-1] != of[-1] else lines[left[-1]].rstrip("\n")
-            kept.append("".join(lines[i] for i in left[:-1]) + last + end)
-    out = "".join(kept)
-    if cut and len(lines) - 1 in gone:
-        out = out.removesuffix("\n")
-    return out, len(lines), len(gone)
+    lines, gone = lines_of(text), {x for c in cut for x in c}
+    kept = []
+    for i, (a, b) in enumerate(lines):
+        if (a, b) not in gone:
+            kept.append((text[a:b], text[b : b + 1]))
+            continue
+        if i + 1 == len(lines):
+            if kept:
+                kept[-1] = (kept[-1][0], b"")
+        elif text[b : b + 1] == b"\n" and lines[i + 1] not in gone and kept and kept[-1][1] != b"\n":
+            kept[-1] = (kept[-1][0], b"\n")
+    return b"".join(x + y for x, y in kept), len(lines), len(gone)
 
 
 def bench_terms(text: bytes) -> list[bytes]:
