@@ -24,6 +24,8 @@ CUT, MEAN = 2, 2
 MIN_LINES, MAX_LINES = 2, 16
 #: Bytes of a chunk at least; repeats shorter than that are everyday phrases, and stay.
 MIN_BYTES = 30
+#: Rows of documents whose lines a worker holds at once.
+ROWS = 250
 #: Odd numbers by which bytes and hashes are mixed.
 BYTES = (2654435761, 40503, 9973)
 MIX = 0x9E3779B97F4A7C15
@@ -146,7 +148,7 @@ def occurrences(docs: DataFrame, tid: Column | None = None, min_bytes: int = MIN
         places = [x[some].astype(np.int32) for x in (lo - lines.begin[doc], hi - lines.begin[doc], n)]
         return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), pa.array(h)], ["doc_id", "tid", "lo", "hi", "lines", "h"])
 
-    return keyed(docs, tid).mapInArrow(by_slice(work), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h bigint")
+    return keyed(docs, tid).mapInArrow(by_slice(work, ROWS), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h bigint")
 
 
 def _contents(marked: DataFrame) -> DataFrame:
@@ -161,11 +163,11 @@ def _contents(marked: DataFrame) -> DataFrame:
     return rows.mapInArrow(by_slice(work), "h bigint, data binary")
 
 
-def _marked(docs: DataFrame, chunks_: DataFrame, tid: Column) -> DataFrame:
+def _marked(docs: DataFrame, marks: DataFrame, tid: Column) -> DataFrame:
     """docs with __chunks, the array of a document's repeated chunks, null where it has none; a written table."""
-    marks = chunks_.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of")).agg(F.array_sort(F.collect_set(F.struct("lo", "hi", "lines", "h", "is_first"))).alias("__chunks"))
+    of = marks.select(F.col("doc_id").alias("__doc_id"), F.col("tid").alias("__of"), "__chunks")
     rows = docs.withColumn("__tid", tid)
-    joined = rows.join(marks, rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__tid"] == marks["__of"]), "left")
+    joined = rows.join(of, rows["doc_id"].eqNullSafe(of["__doc_id"]) & (rows["__tid"] == of["__of"]), "left")
     return stash(joined.drop("__doc_id", "__of", "__tid"), "marked")
 
 
@@ -175,19 +177,27 @@ def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     First is the occurrence with the smallest doc_id (nulls last), text hash and place. Chunks are counted by a 64-bit
     digest; then the bytes of those met again are compared, by their smallest and largest value for a digest, and a
     digest that stands for different bytes is struck out. Counts and comparisons are summed in each task before they
-    shuffle, and occurrences are joined to their first, so no group is gathered. Texts are shuffled once.
+    shuffle, and occurrences are joined to their first, so no group is gathered. Texts are shuffled once, when the
+    tables of chunks have gone.
     """
     tid = tid_of(docs)
     found = stash(occurrences(docs, tid, min_bytes), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "lo")
     again = stash(found.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1"), "again")
-    chunks_ = join_counted(found, again, ["h"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
-    marked = _marked(docs, chunks_, tid)
+    repeated = join_counted(found, again, ["h"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
+    gathered = F.array_sort(F.collect_set(F.struct("lo", "hi", "lines", "h", "is_first"))).alias("__chunks")
+    marks = stash(repeated.groupBy("doc_id", "tid").agg(gathered), "marks")
+    for table in (found, again):
+        forget(table)
+    marked = _marked(docs, marks, tid)
     differ = stash(_contents(marked).groupBy("h").agg(F.min("data").alias("a"), F.max("data").alias("b")).filter("a <> b").select("h"), "differ")
-    same = marked if differ.isEmpty() else _marked(docs, chunks_.join(differ, "h", "left_anti"), tid)
-    for table in (found, again, differ):
+    if not differ.isEmpty():
+        same = marks.select("doc_id", "tid", F.inline("__chunks")).join(differ, "h", "left_anti").groupBy("doc_id", "tid").agg(gathered)
+        before, marked = marked, _marked(docs, same, tid)
+        forget(before)
+    for table in (marks, differ):
         forget(table)
-    return same
+    return marked
 
 
 def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
