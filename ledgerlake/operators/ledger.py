@@ -146,10 +146,16 @@ def ledger(transfers: DataFrame, transactions: DataFrame, internals: DataFrame)
     return out
 
 
+def block_sums(transfers: DataFrame) -> DataFrame:
+    """delta limbs of each account, token and block in which something moved, and n, its facts; one of an account to itself counts once."""
+    own = transfers.withColumn("__own", F.coalesce(F.col("from_address") == F.col("to_address"), F.lit(False)))
+    sums = entries(own, "block", "__own").groupBy("chain_id", "address", "token_address", "block").agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"), F.sum(F.when(F.col("__own"), 1).otherwise(2)).alias("n"))
+    return sums.select("chain_id", "address", "token_address", "block", u256.minus(F.col("g"), F.col("l")).alias("delta"), F.floor(F.col("n") / 2).cast("bigint").alias("n"))
+
+
 def block_deltas(transfers: DataFrame) -> DataFrame:
     """delta limbs of each account, token and block in which something moved."""
-    sums = entries(transfers, "block").groupBy("chain_id", "address", "token_address", "block").agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"))
-    return sums.select("chain_id", "address", "token_address", "block", u256.minus(F.col("g"), F.col("l")).alias("delta"))
+    return block_sums(transfers).drop("n")
 
 
 def balance_history(transfers: DataFrame) -> DataFrame:
@@ -175,15 +181,20 @@ def touched_blocks(transfers: DataFrame) -> DataFrame:
 
 
 def at_marks(transfers: DataFrame, marks: DataFrame) -> DataFrame:
-    """Balances at each mark (chain_id, address, block) of an account's history.
+    """Balances at each mark (chain_id, address, block) of an account's history; deltas after the last mark of a chain are left out."""
+    mine = transfers.join(F.broadcast(marks.groupBy("chain_id").agg(F.max("block").alias("__last"))), "chain_id").filter("block <= __last").drop("__last")
+    return sums_at(block_deltas(mine), marks, touched_blocks(mine))
+
+
+def sums_at(deltas: DataFrame, marks: DataFrame, places: DataFrame) -> DataFrame:
+    """The same from deltas of :func:`block_deltas`; places: chain_id, address and block of them, others too.
 
     A delta belongs to the first mark at or after its block, by an as-of lookup in buckets of blocks, so that a hub
-    account's history is many tasks; deltas after the last mark are left out.
+    account's history is many tasks.
     """
     key = ["chain_id", "address"]
     points = marks.select(*key, "block", F.col("block").alias("mark")).distinct()
-    mine = transfers.join(F.broadcast(marks.groupBy("chain_id").agg(F.max("block").alias("__last"))), "chain_id").filter("block <= __last").drop("__last")
-    placed = by_block(block_deltas(mine), points, key, "after", touched_blocks(mine)).select(*key, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    placed = by_block(deltas, points, key, "after", places).select(*key, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
     return running_sums(placed, points.select(*key, "mark"), key)
 
 

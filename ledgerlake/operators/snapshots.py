@@ -4,55 +4,113 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlake.functions import u256
 from ledgerlake.lineage import cut
-from ledgerlake.operators.ledger import at_marks, block_deltas, by_block, rendered, running_sums, touched_blocks, watched
+from ledgerlake.operators.asof import as_of
+from ledgerlake.operators.ledger import at_marks, block_deltas, block_sums, by_block, rendered, running_sums, sums_at, touched_blocks
 
 EVENTS, BLOCKS = 10_000, 10_000
 KEY = ["chain_id", "address"]
 #: Stands for no snapshot: before every block.
 NEVER = -1
+#: Blocks with facts from which an account is many tasks, and blocks or facts of a bucket then.
+LARGE, SPAN = 1_000_000, 100_000
 
 
 def _segments(counts: DataFrame, events: int, blocks: int) -> DataFrame:
     """chain_id, address, block, is_boundary, and for an account's last row begin and seen, the state of its open segment.
 
     counts: chain_id, address, block, n (its facts), begin and seen (of the segment that is open before; null at first).
-    The greedy reset is no window function: counts are walked in order, a sorted partition at a time, and an account
-    that spans batches carries its state along.
+    From a cut, the next is at the first block at which ``events`` facts or ``blocks`` blocks have come since: both are
+    found by binary search over running sums. Accounts are walked from cut to cut, a sorted partition at a time; those of more than LARGE
+    blocks with facts go by :func:`_pointed`, as many tasks.
     """
+    events, blocks = max(1, events), max(1, blocks)
+    large = cut(counts.groupBy(*KEY).agg(F.count("*").alias("__n")).filter(F.col("__n") > LARGE).select(*KEY))
+    if large.isEmpty():
+        return _walked(counts, events, blocks)
+    return _walked(counts.join(large, KEY, "left_anti"), events, blocks).unionByName(_pointed(cut(counts.join(large, KEY, "left_semi")), events, blocks))
 
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["chain_id", "address", "block", "is_boundary", "begin", "seen"]
-        typed = lambda rows: pd.DataFrame(rows, columns=names).astype({"begin": "Int64", "seen": "Int64"})
-        close = lambda account, last, begin, seen: (*account, last, seen > 0, begin, seen)
+
+def _walked(counts: DataFrame, events: int, blocks: int) -> DataFrame:
+    names = ["chain_id", "address", "block", "is_boundary", "begin", "seen"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         account, begin, seen, last = None, 0, 0, 0
-        for frame in frames:
-            out = []
-            for chain, address, block, n, before, held in frame.itertuples(index=False):
-                if (chain, address) != account:
+        closed = lambda: (*account, last, seen > 0, begin, seen)
+        for batch in batches:
+            out: list[tuple] = []
+            chain, address = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            block, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            starts = [0, *(i for i in range(1, len(chain)) if address[i] != address[i - 1] or chain[i] != chain[i - 1])] if chain else []
+            for lo, hi in zip(starts, [*starts[1:], len(chain)], strict=True):
+                if (chain[lo], address[lo]) != account:
                     if account is not None:
-                        out.append(close(account, last, begin, seen))
-                    account, begin, seen = (chain, address), block if pd.isna(before) else int(before), 0 if pd.isna(held) else int(held)
-                seen, last = seen + n, block
-                if seen >= max(1, events) or block - begin + 1 >= max(1, blocks):
-                    out.append((*account, block, True, None, None))
-                    begin, seen = block + 1, 0
-            yield typed(out)
+                        out.append(closed())
+                    before, held = batch.column(4)[lo].as_py(), batch.column(5)[lo].as_py()
+                    account, begin, seen = (chain[lo], address[lo]), int(block[lo]) if before is None else before, held or 0
+                b, sums = block[lo:hi], np.cumsum(n[lo:hi])
+                at, done = 0, 0
+                while at < len(b):
+                    k = max(at, min(int(np.searchsorted(sums, done + events - seen)), int(np.searchsorted(b, begin + blocks - 1))))
+                    if k >= len(b):
+                        break
+                    out.append((*account, int(b[k]), True, None, None))
+                    begin, seen, at, done = int(b[k]) + 1, 0, k + 1, int(sums[k])
+                seen, last = seen + int(sums[-1]) - done, int(b[-1])
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
         if account is not None:
-            yield typed([close(account, last, begin, seen)])
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(closed(), types, strict=True)], names)
 
     ordered = counts.repartition(*KEY).sortWithinPartitions(*KEY, "block").select(*KEY, "block", "n", "begin", "seen")
-    return ordered.mapInPandas(walk, "chain_id bigint, address string, block bigint, is_boundary boolean, begin bigint, seen bigint")
+    return ordered.mapInArrow(walk, "chain_id bigint, address string, block bigint, is_boundary boolean, begin bigint, seen bigint")
+
 
+def _pointed(counts: DataFrame, events: int, blocks: int) -> DataFrame:
+    """:func:`_walked` for accounts with very many blocks: every block points to the cut that would follow one at it.
 
-def _counts(transfers: DataFrame) -> DataFrame:
-    return watched(transfers).filter("address is not null").groupBy(*KEY, "block").agg(F.count("*").alias("n"))
+    Pointers come from two as-of lookups, over running sums and over blocks, in buckets. Then jumps are doubled: after k
+    rounds the first 2^k cuts are known, so that a history of any length takes few joins.
+    """
+    of = F.floor(F.col("block") / SPAN)
+    by = counts.withColumn("__of", of).groupBy(*KEY, "__of").agg(F.sum("n").alias("__n"))
+    before = by.select(*KEY, "__of", F.coalesce(F.sum("__n").over(Window.partitionBy(*KEY).orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    run = Window.partitionBy(*KEY, "__of").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    sums = cut(counts.withColumn("__of", of).join(before, [*KEY, "__of"]).select(*KEY, "block", "begin", "seen", (F.col("__before") + F.sum("n").over(run)).alias("sum")))
+    first = sums.groupBy(*KEY).agg(F.min("block").alias("__first"), F.max("begin").alias("__begin"), F.max("seen").alias("__seen"), F.max("block").alias("__last"), F.max("sum").alias("__all"))
+    start = first.select(*KEY, F.lit(NEVER).cast("bigint").alias("block"), (events - F.coalesce("__seen", F.lit(0))).cast("bigint").alias("want"), (F.coalesce("__begin", "__first") + blocks - 1).cast("bigint").alias("reach"))
+    asked = sums.select(*KEY, "block", (F.col("sum") + events).alias("want"), (F.col("block") + blocks).alias("reach")).unionByName(start)
+    found = lambda at, point, width: as_of(asked.select(*KEY, F.col(at).alias("at"), "block"), sums.select(*KEY, F.col(point).alias("at"), F.col("block").alias("cut")), KEY, "after", at="at", position=F.col("at").cast("bigint"), width=width, unit=1).select(*KEY, "block", F.col("point.cut").alias(at))
+    jump = cut(found("want", "sum", max(SPAN, events)).join(found("reach", "block", SPAN), [*KEY, "block"]).select(*KEY, "block", F.least("want", "reach").alias("next")).filter("next is not null"))
+    met, n = start.select(*KEY, "block"), 0
+    while True:
+        met = cut(met.unionByName(met.join(jump, [*KEY, "block"]).select(*KEY, F.col("next").alias("block"))).distinct())
+        if (now := met.count()) == n:
+            break
+        n = now
+        jump = cut(jump.join(jump.select(*KEY, F.col("block").alias("next"), F.col("next").alias("__next")), [*KEY, "next"]).select(*KEY, "block", F.col("__next").alias("next")))
+    cuts, none = met.filter(F.col("block") != NEVER), F.lit(None).cast("bigint")
+    ends = cuts.join(sums.select(*KEY, "block", "sum"), [*KEY, "block"]).groupBy(*KEY).agg(F.max("block").alias("__cut"), F.max("sum").alias("__done"))
+    state = first.join(ends, KEY, "left").select(*KEY, F.col("__last").alias("block"), F.coalesce(F.col("__cut") + 1, "__begin", "__first").alias("begin"), F.when(F.col("__cut").isNull(), F.col("__all") + F.coalesce("__seen", F.lit(0))).otherwise(F.col("__all") - F.col("__done")).alias("seen"))
+    return cuts.select(*KEY, "block", F.lit(True).alias("is_boundary"), none.alias("begin"), none.alias("seen")).unionByName(state.select(*KEY, "block", (F.col("seen") > 0).alias("is_boundary"), "begin", "seen"))
+
+
+def _counts(sums: DataFrame) -> DataFrame:
+    """chain_id, address, block and n, its facts, from :func:`ledger.block_sums`."""
+    return sums.groupBy(*KEY, "block").agg(F.sum("n").alias("n"))
+
+
+def _boundaries(sums: DataFrame, events: int, blocks: int) -> DataFrame:
+    nothing = F.lit(None).cast("bigint")
+    rows = _segments(_counts(sums).withColumn("begin", nothing).withColumn("seen", nothing), events, blocks)
+    return rows.filter("is_boundary").select(*KEY, "block").distinct()
 
 
 def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
@@ -60,9 +118,14 @@ def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS)
 
     One falls at a block's end when ``events`` facts or ``blocks`` blocks came since the last, and at the last block.
     """
-    nothing = F.lit(None).cast("bigint")
-    rows = _segments(_counts(transfers).withColumn("begin", nothing).withColumn("seen", nothing), events, blocks)
-    return rows.filter("is_boundary").select(*KEY, "block").distinct()
+    return _boundaries(block_sums(transfers), events, blocks)
+
+
+def take(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
+    """Snapshots at all boundaries. What moved in each block is summed once, for the boundaries and for the balances."""
+    sums = cut(block_sums(transfers))
+    at = cut(_boundaries(sums, events, blocks))
+    return rendered(sums_at(sums.drop("n"), at, sums.select(*KEY, "block")), amount="balance")
 
 
 def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
@@ -73,8 +136,7 @@ def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
 def replay(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS, earlier: DataFrame | None = None) -> DataFrame:
     """Snapshots of facts up to a block under a revision; ``earlier`` ones of that revision are kept and resumed after."""
     if earlier is None:
-        facts = transfers.filter(F.col("block") <= to_block)
-        return snapshots(facts, boundaries(facts, events, blocks)).withColumn("revision", F.lit(revision))
+        return take(transfers.filter(F.col("block") <= to_block), events, blocks).withColumn("revision", F.lit(revision))
     newest = earlier.groupBy(*KEY).agg(F.max("block").alias("as_of"))
     held = newest.select(*KEY, "as_of", F.lit(revision).alias("revision"), (F.col("as_of") + 1).alias("begin"), F.lit(0).cast("bigint").alias("seen"), F.lit(0).cast("bigint").alias("processed"))
     return earlier.unionByName(resume(transfers, to_block, earlier, held, events, blocks)[0].select(*earlier.columns))
@@ -98,14 +160,14 @@ def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataF
     boundaries are those of one replay of everything, and in addition the last blocks of the earlier ones. Accounts
     without a pointer start at ``revision``.
     """
-    facts = transfers.filter(F.col("block") <= to_block)
+    facts = cut(block_sums(transfers.filter(F.col("block") <= to_block)))
     old = pointer.select(*KEY, F.col("as_of").alias("__as_of"), "begin", "seen", "revision")
     later = F.col("__as_of").isNull() | (F.col("block") > F.col("__as_of"))
     counts = _counts(facts).join(old, KEY, "left").filter(later)
     rows = cut(_segments(counts, events, blocks))
     marks = rows.filter("is_boundary").select(*KEY, "block").distinct()
-    deltas = block_deltas(facts).join(old.select(*KEY, "__as_of"), KEY, "left").filter(later).drop("__as_of")
-    placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after", touched_blocks(facts)).select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    deltas = facts.drop("n").join(old.select(*KEY, "__as_of"), KEY, "left").filter(later).drop("__as_of")
+    placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after", facts.select(*KEY, "block")).select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
     newest = taken.join(taken.groupBy(*KEY).agg(F.max("block").alias("block")), [*KEY, "block"])
     first = marks.groupBy(*KEY).agg(F.min("block").alias("mark"))
     held = newest.join(first, KEY).select(*KEY, "token_address", "mark", u256.parse(F.col("amount")).alias("delta"))

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import identity, ledger, maintenance, selection, snapshots
@@ -123,3 +125,42 @@ def test_bucket_rewrite_keeps_other_partitions(spark, tmp_path):
     maintenance.write_buckets(transfers(spark, [("z", 0, 251, B, A, 3)]), str(tmp_path), 100)
     assert sorted(r.amount for r in maintenance.read_buckets(spark, str(tmp_path)).collect()) == ["1", "3"]
     assert maintenance.read_buckets(spark, str(tmp_path), 200, 299, 100).count() == 1
+
+
+def walk(rows, events, blocks):
+    """Boundaries of one account's (block, facts), row by row."""
+    out, begin, seen = [], rows[0][0], 0
+    for block, n in rows:
+        seen += n
+        if seen >= events or block - begin + 1 >= blocks:
+            out.append(block)
+            begin, seen = block + 1, 0
+    return sorted({*out, rows[-1][0]})
+
+
+@pytest.mark.parametrize("large", [10**6, 20])
+def test_boundaries_equal_the_walk(spark, monkeypatch, large):
+    monkeypatch.setattr(snapshots, "LARGE", large)
+    monkeypatch.setattr(snapshots, "SPAN", 30)
+    rng = random.Random(large)
+    counts = {f"a{k}": [(b, rng.randrange(1, 5)) for b in sorted(rng.sample(range(400), rng.randrange(1, 200)))] for k in range(12)}
+    facts = [(f"x{i}", 0, b, B if i % 2 else name, name, 1) for name, rows in counts.items() for b, n in rows for i in range(n)]
+    t = transfers(spark, facts).coalesce(2)
+    for events, blocks in ((1, 1), (7, 10**6), (10**6, 9), (11, 23), (10**6, 10**6), (0, 0)):
+        got = {}
+        for r in snapshots.boundaries(t, events, blocks).filter(F.col("address") != B).collect():
+            got.setdefault(r.address, []).append(r.block)
+        assert {k: sorted(x) for k, x in got.items()} == {k: walk(rows, max(1, events), max(1, blocks)) for k, rows in counts.items()}, (events, blocks)
+
+
+@pytest.mark.parametrize("large", [10**6, 0])
+def test_resumed_boundaries_are_those_of_one_replay(spark, monkeypatch, large):
+    monkeypatch.setattr(snapshots, "LARGE", large)
+    rng = random.Random(1)
+    t = transfers(spark, [(f"x{i}", 0, rng.randrange(300), f"a{i % 3}", f"b{i % 2}", 1) for i in range(400)])
+    taken, pointer = snapshots.start(t, 100, 0, 9, 31)
+    more, after = snapshots.resume(t, 300, taken, pointer, 9, 31)
+    whole, end = snapshots.start(t, 300, 0, 9, 31)
+    key = lambda rows: {tuple(r) for r in rows.select("address", "token_address", "block", "amount").collect()}
+    assert key(whole) <= key(taken) | key(more)
+    assert {tuple(r) for r in after.select(*end.columns).collect()} == {tuple(r) for r in end.collect()}
