@@ -76,10 +76,28 @@ def times(n1: pd.Series, d1: pd.Series, n2: pd.Series, d2: pd.Series) -> pd.Data
     return _ratio_rows([(int(a) * int(c), int(b) * int(d)) if a and b and c and d else None for a, b, c, d in zip(n1, d1, n2, d2, strict=True)])
 
 
-@F.pandas_udf(StringType())
-def ratio_order(num: pd.Series, den: pd.Series) -> pd.Series:
-    """Text that sorts ratios by exact value: the 512-bit floor and, below it, a fraction of 1300 bits, in hexadecimal.
+#: Turns the order of hexadecimal digits around.
+_TURNED = str.maketrans("0123456789abcdef", "fedcba9876543210")
+
+
+def order_text(num: int, den: int) -> str:
+    """Text that sorts positive ratios by exact value, whatever the size of their terms.
 
-    Ratios of 650-bit terms that differ do so by at least 2^-1300, so none that differ get the same text.
+    It is the continued fraction: of two ratios the one with the larger first different part is larger where that part's
+    number is even, and smaller where it is odd, so that odd parts are written with their digits turned around. A part is
+    its length and its hexadecimal digits; the end counts as a part without bound.
     """
-    return pd.Series([f"{(int(n) << 1300) // int(d):0512x}" if n and d else None for n, d in zip(num, den, strict=True)], dtype=object)
+    out, odd = [], False
+    while den:
+        part, rest = divmod(num, den)
+        digits = f"{part:x}"
+        text = f"{len(digits):x}{digits}" if len(digits) < 15 else f"f{len(digits):08x}{digits}"
+        out.append(text.translate(_TURNED) if odd else text)
+        num, den, odd = den, rest, not odd
+    return "".join([*out, "!" if odd else "~"])
+
+
+@F.pandas_udf(StringType())
+def ratio_order(num: pd.Series, den: pd.Series) -> pd.Series:
+    """:func:`order_text` of ratios of decimal strings; null where one is missing."""
+    return pd.Series([order_text(int(n), int(d)) if n and d else None for n, d in zip(num, den, strict=True)], dtype=object)

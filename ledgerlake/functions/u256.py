@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,13 +137,29 @@ def from_hex_signed(text: Column) -> Column:
 
 
 def register(spark: SparkSession) -> None:
-    """exact_sum(text), the exact sum of decimal strings as an aggregate for SQL; Arrow-batched, so Python takes part.
+    """exact_limbs(text) and exact_text(hi, mid, lo) for SQL: temporary functions that stay in the JVM.
 
-    Column expressions need no registration: :func:`sum_` stays in the JVM and is the one for large groups.
+    The exact sum of a column of decimal strings is three sums of limbs, which Spark adds up in each task before it
+    shuffles; :func:`sql_sum` writes them. exact_carry, exact_low and exact_digits are parts of exact_text.
     """
-
-    @F.pandas_udf("string")
-    def exact_sum(values: pd.Series) -> str:
-        return str(sum(int(x) for x in values if x is not None))
-
-    spark.udf.register("exact_sum", exact_sum)
+    base, zero = "CAST('1" + "0" * DIGITS + f"' AS {LIMB})", f"CAST(0 AS {LIMB})"
+    fields = f"STRUCT<hi: {LIMB}, mid: {LIMB}, lo: {LIMB}>"
+    digits = f"lpad(regexp_replace(t, '^-', ''), {3 * DIGITS}, '0')"
+    part = lambda k: f"CAST(CASE WHEN t LIKE '-%' THEN -1 ELSE 1 END * CAST(substring({digits}, {1 + DIGITS * k}, {DIGITS}) AS {LIMB}) AS {LIMB})"
+    struct = lambda hi, mid, lo: f"named_struct('hi', {hi}, 'mid', {mid}, 'lo', {lo})"
+    three = ", ".join(f"{p} {LIMB}" for p in PARTS)
+    high, mid = "hi + exact_carry(mid + exact_carry(lo))", "mid + exact_carry(lo)"
+    functions = {
+        f"exact_limbs(t STRING) RETURNS {fields}": f"CASE WHEN t RLIKE '^-?[0-9]{{1,{DIGITS}}}$' THEN {struct(zero, zero, f'CAST(t AS {LIMB})')} WHEN t RLIKE '^-?[0-9]{{{DIGITS + 1},{3 * DIGITS}}}$' THEN {struct(part(0), part(1), part(2))} END",
+        f"exact_low(v {LIMB}) RETURNS {LIMB}": f"CAST(pmod(v, {base}) AS {LIMB})",
+        f"exact_carry(v {LIMB}) RETURNS {LIMB}": f"CAST((v - exact_low(v)) / {base} AS {LIMB})",
+        f"exact_digits({three}) RETURNS STRING": f"regexp_replace(concat(CAST({high} AS STRING), lpad(CAST(exact_low({mid}) AS STRING), {DIGITS}, '0'), lpad(CAST(exact_low(lo) AS STRING), {DIGITS}, '0')), '^0+(?=[0-9])', '')",
+        f"exact_text({three}) RETURNS STRING": f"CASE WHEN {high} < 0 THEN concat('-', exact_digits(-hi, -mid, -lo)) ELSE exact_digits(hi, mid, lo) END",
+    }
+    for head, body in functions.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
+
+
+def sql_sum(text: str) -> str:
+    """SQL of the exact sum of an expression of decimal strings; null where there are none."""
+    return "exact_text(" + ", ".join(f"sum(exact_limbs({text}).{p})" for p in PARTS) + ")"

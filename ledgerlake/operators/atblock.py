@@ -88,16 +88,18 @@ def uint(data: Column) -> Column:
     return F.when(s.has_words(data, 1), u256.hex_text(data))
 
 
-def oracle_prices(feeds: DataFrame, results: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Price or failure code of each feed at each block.
+def oracle_prices(feeds: DataFrame, results: DataFrame, blocks: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """Price or failure code of each asked feed and block, or of each feed at each block of its chain.
+
+    asked: feed_id, chain_id, block; without it every pair is evaluated, which is meant for few feeds or blocks.
 
     feeds: feed_id, chain_id, expected_decimals, heartbeat (nullable); results: chain_id, block, call_id
     (``<feed_id>::round`` and ``::decimals``), success, return_data; blocks: chain_id, block, block_ts (seconds).
     """
-    at = blocks.join(feeds, "chain_id")
-    rows = at
-    for part in ("round", "decimals"):
-        rows = with_results(rows.withColumn("call_id", F.concat_ws("::", "feed_id", F.lit(part))), results, part).drop("call_id")
+    at = blocks.join(feeds, "chain_id") if asked is None else asked.select("feed_id", *AT).distinct().join(blocks, AT).join(feeds, ["feed_id", "chain_id"])
+    told = results.select(*AT, F.regexp_extract("call_id", "^(.*)::(round|decimals)$", 1).alias("feed_id"), F.regexp_extract("call_id", "::(round|decimals)$", 1).alias("__part"), F.struct("success", F.lower("return_data").alias("data")).alias("__r")).filter("__part <> ''")
+    both = told.groupBy(*AT, "feed_id").agg(*[F.max(F.when(F.col("__part") == p, F.col("__r"))).alias(f"__{p}") for p in ("round", "decimals")])
+    rows = at.join(both, [*AT, "feed_id"], "left").select(*at.columns, *[F.col(f"__{p}.{c}").alias(f"{p}_{n}") for p in ("round", "decimals") for c, n in (("success", "ok"), ("data", "data"))])
     data = F.col("round_data")
     word = lambda k: s.word(data, k)
     rows = rows.withColumn("shaped", s.has_words(data, 5))

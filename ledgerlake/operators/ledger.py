@@ -43,15 +43,29 @@ def entries(transfers: DataFrame, *more: str) -> DataFrame:
     return rows.select("chain_id", "token_address", *more, F.explode(sides).alias("e")).select("chain_id", "e.address", "token_address", *more, "e.gained", "e.lost").filter("address is not null")
 
 
+#: Bits of a sieve of keys, and rows of it that are broadcast at most.
+SIEVE = 1 << 20
+
+
+def sieved(rows: DataFrame, few: DataFrame, key: list[str]) -> DataFrame:
+    """Those of rows whose key may be among the keys of ``few``: a Bloom filter of one hash, before a join that would shuffle all.
+
+    The hashes of the few keys, SIEVE at most whatever their number, are broadcast, so that the bulk of rows is dropped where it is read.
+    """
+    bit = F.pmod(F.xxhash64(*key), F.lit(SIEVE)).cast("int")
+    bits = few.select(bit.alias("__bit")).distinct()
+    return rows.withColumn("__bit", bit).join(F.broadcast(bits), "__bit", "left_semi").drop("__bit")
+
+
 def settlements(transfers: DataFrame) -> DataFrame:
     """settled limbs of each account and token: mints in a transaction in which the account also sends that token.
 
-    Only mints are joined, to what accounts send; the bulk of transfers takes no part.
+    Only mints are joined, to what accounts send; sends that cannot be a mint's are dropped before they shuffle.
     """
     key = ["chain_id", "address", "tx_hash", "token_address"]
     mints = transfers.filter(F.col("from_address") == ZERO).select("chain_id", F.col("to_address").alias("address"), "tx_hash", "token_address", "amount")
     sends = transfers.select("chain_id", F.col("from_address").alias("address"), "tx_hash", "token_address")
-    return mints.join(sends, key, "left_semi").groupBy("chain_id", "address", "token_address").agg(u256.sum_(amount_limbs("amount")).alias("settled"))
+    return mints.join(sieved(sends, mints, key), key, "left_semi").groupBy("chain_id", "address", "token_address").agg(u256.sum_(amount_limbs("amount")).alias("settled"))
 
 
 def sum_balances(transfers: DataFrame) -> DataFrame:
@@ -122,7 +136,8 @@ def wrapped_native(transactions: DataFrame, transfers: DataFrame, wrapped: dict[
     """Transfers for wrapping and unwrapping of the native token that the transfers lack.
 
     A deposit is a positive value sent to the wrapper with the deposit selector or no input; a withdrawal carries its
-    amount as argument. Both are left out where a canonical transfer of that side exists: an anti join on (chain, tx).
+    amount as argument. Both are left out where a canonical transfer of that side exists: an anti join on (chain, tx),
+    for which only transfers that may match are shuffled.
     """
     token = F.create_map(*[F.lit(x) for kv in wrapped.items() for x in kv])
     rows = transactions.withColumn("token_address", F.try_element_at(token, F.col("chain_id").cast("int"))).filter(F.col("to_address") == F.col("token_address"))
@@ -132,9 +147,9 @@ def wrapped_native(transactions: DataFrame, transfers: DataFrame, wrapped: dict[
     taken = u256.hex_text(call_argument(F.col("input")))
     withdrawals = rows.filter(selector(F.col("input")) == WITHDRAW).select(*base, F.col("from_address"), F.lit(ZERO).alias("to_address"), taken.alias("amount"), F.lit("withdrawal").alias("source")).filter("amount <> '0'")
     there = transfers.select("chain_id", "tx_hash", "token_address", "from_address", "to_address")
-    made = deposits.join(there.select("chain_id", "tx_hash", "token_address", "to_address"), ["chain_id", "tx_hash", "token_address", "to_address"], "left_anti").select(*base, "from_address", "to_address", "amount", "source")
-    spent = withdrawals.join(there.select("chain_id", "tx_hash", "token_address", "from_address"), ["chain_id", "tx_hash", "token_address", "from_address"], "left_anti").select(*base, "from_address", "to_address", "amount", "source")
-    return made.unionByName(spent)
+    lacking = lambda rows, key: rows.join(sieved(there.select(*key), rows, key), key, "left_anti").select(*base, "from_address", "to_address", "amount", "source")
+    side = ["chain_id", "tx_hash", "token_address"]
+    return lacking(deposits, [*side, "to_address"]).unionByName(lacking(withdrawals, [*side, "from_address"]))
 
 
 def ledger(transfers: DataFrame, transactions: DataFrame, internals: DataFrame) -> DataFrame:

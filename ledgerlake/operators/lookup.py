@@ -47,14 +47,15 @@ def pairs(requests: DataFrame, registry: DataFrame) -> DataFrame:
     """Every registry row whose two tokens are a request's, in either order, or one row with a code.
 
     requests: request, a, b (symbols or addresses); registry: id, token0, token1, symbol0, symbol1 and more. Codes:
-    TOKEN_UNKNOWN, TOKEN_AMBIGUOUS, SAME_TOKEN, and PAIR_UNKNOWN where no row has both. An address stands for itself.
+    TOKEN_UNKNOWN, TOKEN_AMBIGUOUS, SAME_TOKEN, and PAIR_UNKNOWN where no row has both. Of two tokens with a
+    code, the first tells. An address stands for itself.
     """
     side = lambda k: registry.select(F.lower(f"symbol{k}").alias("__ref"), F.lower(f"token{k}").alias("__at"))
     named = side(0).unionByName(side(1)).groupBy("__ref").agg(F.min("__at").alias("__at"), F.countDistinct("__at").alias("__n"))
-    asked = requests.select("request", F.explode(F.array(F.lower("a"), F.lower("b"))).alias("__ref")).join(named, "__ref", "left")
+    asked = requests.select("request", F.posexplode(F.array(F.lower("a"), F.lower("b"))).alias("__side", "__ref")).join(named, "__ref", "left")
     at = F.when(is_address(F.col("__ref")), F.col("__ref")).when(F.col("__n") == 1, F.col("__at"))
     why = F.when(at.isNotNull(), None).when(F.col("__n") > 1, "TOKEN_AMBIGUOUS").otherwise("TOKEN_UNKNOWN")
-    both = asked.groupBy("request").agg(F.array_sort(F.collect_set(at)).alias("__pair"), F.max(why).alias("code"))
+    both = asked.groupBy("request").agg(F.array_sort(F.collect_set(at)).alias("__pair"), F.min(F.when(why.isNotNull(), F.struct("__side", why.alias("code"))))["code"].alias("code"))
     both = both.withColumn("code", F.coalesce("code", F.when(F.size("__pair") != 2, "SAME_TOKEN")))
     rows = registry.withColumn("__pair", F.array_sort(F.array(F.lower("token0"), F.lower("token1"))))
     found = both.filter("code is null").drop("code").join(rows, "__pair", "left").drop("__pair")

@@ -80,12 +80,29 @@ def request_summary(results: DataFrame, configured: int | None = None) -> DataFr
     return sums.withColumn("status", F.when(F.col("failed") == 0, "ok").when(F.col("succeeded") == 0, "failed").otherwise("partial"))
 
 
-def unless_all_failed(results: DataFrame) -> DataFrame:
-    """results, or an error if every one of them failed; with some failures they are partial, and stand."""
-    told = request_summary(results).first()
-    if told.status == "failed" and told.requested:
-        raise ValueError(f"all {told.requested} requests failed")
-    return results
+def unless_all_failed(results: DataFrame, by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Results that stand, and the groups that failed: by, requested and code (the smallest), where every request of one has a code.
+
+    A group with some failures is partial, and stands with them. Without ``by`` all results are one group.
+    """
+    key = by or []
+    sums = results.groupBy(*key).agg(F.count("*").alias("requested"), F.count_if(F.col("code").isNull()).alias("__good"), F.min("code").alias("code"))
+    failed = sums.filter("requested > 0 and __good = 0").drop("__good")
+    if not key:
+        return results.join(failed.select(F.lit(1).alias("__failed")), F.lit(True), "left_anti"), failed
+    same = F.lit(True)
+    for c in key:
+        same = same & results[c].eqNullSafe(failed[c])
+    return results.join(failed, same, "left_anti"), failed
+
+
+def or_raise(results: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """:func:`unless_all_failed`, with an error that names a failed group."""
+    good, failed = unless_all_failed(results, by)
+    bad = failed.limit(1).collect()
+    if bad:
+        raise ValueError(f"all requests failed: {bad[0].asDict()}")
+    return good
 
 
 def plan_chunks(requests: DataFrame, days: int) -> DataFrame:

@@ -515,9 +515,9 @@ CASE WHEN o_orderkey % 7 = 6 THEN CAST(CAST(round(o_totalprice * 100) AS BIGINT)
 def oracle_prices(spark, d):
     """The failure ladder of oracle rounds."""
     o, feeds, results = _calls(spark, d)
-    blocks = o.select("chain_id", "block", (F.col("updated") + F.when(F.col("block") % 2 == 1, 4000).otherwise(60)).alias("block_ts"), F.col("feed_id").alias("own"))
-    got = atblock.oracle_prices(feeds, results, blocks).withColumn("own", (F.col("block") % 4).cast("string"))
-    return got.filter("feed_id = own").select("feed_id", "block", "code", "raw_answer", "is_stale")
+    blocks = o.select("chain_id", "block", (F.col("updated") + F.when(F.col("block") % 2 == 1, 4000).otherwise(60)).alias("block_ts"))
+    got = atblock.oracle_prices(feeds, results, blocks, o.select("feed_id", "chain_id", "block"))
+    return got.select("feed_id", "block", "code", "raw_answer", "is_stale")
 
 
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS token_id, CASE WHEN p_partkey > 0 THEN CAST((CAST(p_partkey AS HUGEINT) * 1000000000000000000) // CAST(p_size AS HUGEINT) AS VARCHAR) END AS leg0,

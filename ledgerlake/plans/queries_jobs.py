@@ -118,20 +118,22 @@ def halved_windows(spark, d):
 # Prices.
 
 
-@query("""SELECT user_id % 5 AS exchange, count(*) AS requested, count(*) FILTER (event_id % 10 > user_id % 5 * 3) AS succeeded, count(*) FILTER (event_id % 10 <= user_id % 5 * 3) AS failed,
-CASE WHEN count(*) FILTER (event_id % 10 <= user_id % 5 * 3) = 0 THEN 'ok' WHEN count(*) FILTER (event_id % 10 > user_id % 5 * 3) = 0 THEN 'failed' ELSE 'partial' END AS status FROM events GROUP BY user_id % 5""")
+@query("""SELECT *, CASE WHEN failed = 0 THEN 'ok' WHEN succeeded = 0 THEN 'failed' ELSE 'partial' END AS status, CASE WHEN succeeded = 0 THEN 0 ELSE requested END AS standing, CASE WHEN succeeded = 0 THEN 'MARKET_NOT_FOUND' END AS code FROM (
+SELECT user_id % 5 AS exchange, count(*) AS requested, count(*) FILTER (event_id % 10 > user_id % 5 * 3) AS succeeded, count(*) FILTER (event_id % 10 <= user_id % 5 * 3) AS failed FROM events GROUP BY user_id % 5)""")
 def request_summaries(spark, d):
-    """Results of several exchanges, their failures kept apart, and what became of the requests."""
+    """Results of several exchanges, their failures kept apart, what became of the requests, and the exchanges of which all failed."""
     e = v.table(spark, d, "events")
     bad = F.col("event_id") % 10 <= F.col("user_id") % 5 * 3
     results = {str(k): e.filter(F.col("user_id") % 5 == k).select("event_id", F.when(bad, "MARKET_NOT_FOUND").alias("code")) for k in range(5)}
     good, failed = px.union_results(results)
+    both = good.unionByName(failed)
     out = None
     for k in range(5):
-        both = good.unionByName(failed).filter(F.col("source") == str(k))
-        row = px.request_summary(both, 7).select(F.lit(k).cast("bigint").alias("exchange"), "requested", "succeeded", "failed", "status")
+        row = px.request_summary(both.filter(F.col("source") == str(k)), 7).select(F.lit(str(k)).alias("source"), "requested", "succeeded", "failed", "status")
         out = row if out is None else out.unionByName(row)
-    return px.unless_all_failed(good.unionByName(failed)).limit(0).select(F.lit(0).cast("bigint").alias("exchange"), *[F.lit(0).cast("bigint").alias(c) for c in ("requested", "succeeded", "failed")], F.lit("").alias("status")).unionByName(out)
+    stand, gone = px.unless_all_failed(both, ["source"])
+    rows = out.join(stand.groupBy("source").agg(F.count("*").alias("standing")), "source", "left").join(gone.select("source", "code"), "source", "left")
+    return rows.select(F.col("source").cast("bigint").alias("exchange"), "requested", "succeeded", "failed", "status", F.coalesce("standing", F.lit(0)).cast("bigint").alias("standing"), "code")
 
 
 @query("""SELECT kind, token_key, n, total FROM (SELECT 'replaced' AS kind, token_key, count(*) AS n, CAST(sum(CASE WHEN token_key = 'view' THEN price + 1 ELSE price END) AS BIGINT) AS total FROM v_prices WHERE token_key <> 'view' OR ordinal % 2 = 0 GROUP BY ALL

@@ -354,4 +354,4 @@ def exact_sums_in_sql(spark, d):
     """The exact sum as an aggregate of SQL."""
     u256.register(spark)
     rows = v.table(spark, d, "lineitem").select("l_suppkey", F.concat(cents("l_extendedprice"), F.lit("0" * 14)).alias("amount"))
-    return spark.sql("SELECT l_suppkey, exact_sum(amount) AS total FROM {rows} GROUP BY l_suppkey", rows=rows)
+    return spark.sql(f"SELECT l_suppkey, {u256.sql_sum('amount')} AS total FROM {{rows}} GROUP BY l_suppkey", rows=rows)
