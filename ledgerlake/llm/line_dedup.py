@@ -8,7 +8,9 @@ were compared.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ MIN_BYTES = 30
 ROWS = 250
 #: Odd numbers by which bytes and hashes are mixed.
 BYTES = (2654435761, 40503, 9973)
-MIX = 0x9E3779B97F4A7C15
+MIX, POLY = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
 def ends_line(data: np.ndarray) -> np.ndarray:
@@ -42,6 +44,13 @@ def ends_line(data: np.ndarray) -> np.ndarray:
     return (data == 10) | (((data == 32) | (data == 9)) & (h % np.uint32(CUT) == 0))
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of POLY and of its inverse, modulo 2^64."""
+    one = np.ones(1, np.uint64)
+    return tuple(np.cumprod(np.r_[one, np.full(n - 1, x, np.uint64)]) for x in (POLY, pow(POLY, -1, 1 << 64)))
+
+
 @dataclass
 class Lines:
     """The lines of some texts, laid end to end in one buffer, each text with a ``\n`` after it."""
@@ -69,22 +78,35 @@ class Lines:
         start = np.where(first, begin[text], np.r_[0, stop[:-1] + 1][: len(stop)]) if len(text) else stop
         return cls(buffer, begin, end, text, start, stop)
 
+    def hashes(self) -> np.ndarray:
+        """A polynomial hash of each line's bytes, from running sums over the buffer."""
+        n = len(self.buffer)
+        power, back = _powers(max(1 << 16, 1 << n.bit_length()))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((np.frombuffer(self.buffer, np.uint8) + np.uint64(1)) * power[:n], out=sums[1:])
+        return (sums[self.stop] - sums[self.start]) * back[self.start]
+
     def chunks(self, min_bytes: int) -> np.ndarray:
         """First line, and line after the last, of each chunk, text by text."""
-        n = len(self.stop)
-        h = np.fromiter((xxhash.xxh3_64_intdigest(self.buffer[a:b]) for a, b in zip(self.start.tolist(), self.stop.tolist(), strict=True)), np.uint64, n)
-        before = np.r_[np.zeros(min(1, n), np.uint64), h[:-1]]
+        h = self.hashes()
+        before = np.r_[np.zeros(min(1, len(h)), np.uint64), h[:-1]]
         before[np.searchsorted(self.text, np.unique(self.text))] = 0
         roll = h * np.uint64(3) + before * np.uint64(MIX)
         roll = (roll ^ roll >> np.uint64(29)) * np.uint64(MIX)
-        may = (roll >> np.uint64(32)) % np.uint64(MEAN) == 0
         last = self.stop == self.end[self.text]
+        may = np.flatnonzero(((roll >> np.uint64(32)) % np.uint64(MEAN) == 0) | last)
+        start, stop = self.start.tolist(), self.stop.tolist()
         out, first, fresh = [], 0, True
-        for i, begin, stop, good, ends in zip(range(n), self.start.tolist(), self.stop.tolist(), may.tolist(), last.tolist(), strict=True):
-            if i == first:
-                at = begin
-            lines = i + 1 - first
-            if (good or ends or lines >= MAX_LINES) and ((lines >= MIN_LINES and stop - at >= min_bytes) or (ends and fresh)):
+        for i, ends in zip(may.tolist(), last[may].tolist(), strict=True):
+            while i - first >= MAX_LINES:  # lines end a chunk by their number
+                j = first + MAX_LINES - 1
+                if stop[j] - start[first] < min_bytes:
+                    j = bisect_left(stop, start[first] + min_bytes, j)
+                if j >= i:
+                    break
+                out.append((first, j + 1))
+                first, fresh = j + 1, False
+            if (i - first + 1 >= MIN_LINES and stop[i] - start[first] >= min_bytes) or (ends and fresh):
                 out.append((first, i + 1))
                 first, fresh = i + 1, ends
             elif ends:  # what is left of a text goes with the chunk before
@@ -200,14 +222,14 @@ def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return marked
 
 
-def _apply(marked: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of marked with the text cut, and __lines and __removed, counts of lines."""
+def _apply(marked: DataFrame, columns: list[str], count: bool = False) -> DataFrame:
+    """``columns`` of marked with the text cut, and __lines (0 unless asked to ``count``) and __removed, counts of lines."""
     schema = marked.select(*columns).schema.add("__lines", "long").add("__removed", "long")
     at = columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).to_pylist()
-        n = np.bincount(Lines.of([(t or "").encode() for t in texts]).text, minlength=len(texts)).astype(np.int64)
+        n = np.bincount(Lines.of([(t or "").encode() for t in texts]).text, minlength=len(texts)).astype(np.int64) if count else np.zeros(len(texts), np.int64)
         rows, m = _flat(batch.column(len(columns)))
         gone = ~m["is_first"].astype(bool)
         rows, lo, hi = rows[gone], m["lo"][gone].tolist(), m["hi"][gone].tolist()
@@ -240,6 +262,6 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def report(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, n_lines, n_removed and kept_sha256 (of the text that is left) for every row of docs; null texts count as empty."""
-    done = _apply(repeats(docs.select("doc_id", "text"), min_bytes), ["doc_id", "text"])
+    done = _apply(repeats(docs.select("doc_id", "text"), min_bytes), ["doc_id", "text"], count=True)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return done.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), F.sha2(text, 256).alias("kept_sha256"))

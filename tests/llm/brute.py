@@ -132,7 +132,7 @@ def line_chunks(text: bytes, size: int, least: int = 2, most: int = 16) -> list[
     """The lines of each chunk: several, of ``size`` bytes together, up to one that the hashes of it and the line before choose."""
     lines, out, held, before = lines_of(text), [], [], 0
     for a, b in lines:
-        h = xxhash.xxh3_64_intdigest(text[a:b])
+        h = sum((x + 1) * pow(0xD6E8FEB86659FD93, k, 2**64) for k, x in enumerate(text[a:b])) % 2**64
         roll = (3 * h + 0x9E3779B97F4A7C15 * before) % 2**64
         roll = (roll ^ roll >> 29) * 0x9E3779B97F4A7C15 % 2**64
         before = h
