@@ -27,7 +27,7 @@ RPC_TRANSFER = "struct<category:string,uniqueId:string,asset:string,from:string,
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """file, body: each landed document as text, with an explicit schema and nothing inferred."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
 
 
 def triage(envelopes: DataFrame, kind: str = "transactions") -> DataFrame:
