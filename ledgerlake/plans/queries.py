@@ -193,12 +193,14 @@ def merged_directions(spark, d):
     return selection.merged_directions(t.withColumn("address", F.col("to_address")), t.withColumn("address", F.col("from_address"))).select("tx_hash", "address", "amount")
 
 
-@query("SELECT block, tx_hash, log_index, CAST(amount AS VARCHAR) AS amount FROM (SELECT * FROM v_transfers WHERE block > 500 OR (block = 500 AND tx_hash > '1')) ORDER BY block, tx_hash, log_index, v_transfers.amount LIMIT 100".replace("v_transfers.amount", "amount"))
+_LATER = "(SELECT * FROM v_transfers WHERE block > 500 OR (block = 500 AND tx_hash > '1') OR (block = 500 AND tx_hash = '1' AND log_index > 2))"
+
+
+@query(f"SELECT block, tx_hash, log_index, CAST(amount AS VARCHAR) AS amount, has_next FROM (SELECT *, count(*) OVER () > 100 AS has_next FROM {_LATER}) ORDER BY block, tx_hash, log_index, CAST(amount AS BIGINT) LIMIT 100")
 def keyset_page(spark, d):
-    """The page after a cursor."""
+    """The page after a cursor, and whether there are more."""
     t = v.transfers(spark, d).withColumn("n", F.col("amount").cast("bigint"))
-    after = t.filter("block > 500 or (block = 500 and tx_hash > '1')")
-    return selection.page(after, ["block", "tx_hash", "log_index", "n"]).select("block", "tx_hash", "log_index", "amount")
+    return selection.page(t, ["block", "tx_hash", "log_index", "n"], after=(500, "1", 2, 10**15)).select("block", "tx_hash", "log_index", "amount", "has_next")
 
 
 @query("SELECT tx_hash, CAST(k AS BIGINT) AS place FROM (SELECT tx_hash, row_number() OVER (PARTITION BY address ORDER BY block DESC, tx_hash DESC) AS k FROM v_transactions)")
@@ -327,14 +329,17 @@ def price_coverage(spark, d):
     return px.coverage(v.prices(spark, d)).select("token_key", "points", "from_ts", "to_ts")
 
 
-@query("""SELECT token_key, CAST(sum(price) AS BIGINT) AS total, count(*) AS points, max(CASE WHEN ts < TIMESTAMP '2024-01-20' THEN ts END) AS last_ts FROM v_prices WHERE ts < TIMESTAMP '2024-01-20' GROUP BY token_key""")
+@query("""SELECT token_key, CAST(sum(price) FILTER (taken) AS BIGINT) AS total, count(*) FILTER (taken) AS points, max(ts) FILTER (taken) AS last_ts,
+CASE WHEN token_key = 'view' THEN TIMESTAMP '2024-01-10' ELSE least(max(ts) FILTER (taken) + INTERVAL 1 MINUTE, TIMESTAMP '2024-01-20') END AS next_from, CASE WHEN token_key = 'view' THEN 'stalled' ELSE 'ok' END AS status
+FROM (SELECT *, ts < CASE WHEN token_key = 'view' THEN TIMESTAMP '2024-01-10' ELSE TIMESTAMP '2024-01-20' END AS taken FROM v_prices) GROUP BY token_key""")
 def price_update(spark, d):
-    """A resumed price sync gives the same table as one that ran through."""
+    """A resumed price sync gives the same table as one that ran through; its control rows, one of them stalled."""
     p = v.prices(spark, d).withColumn("ordinal", F.lit(0).cast("bigint"))
     start, end = (F.lit(f"2024-01-{k} 00:00:00").cast("timestamp") for k in ("10", "20"))
     scopes = p.select(*px.SCOPE).distinct().withColumn("next_from", start).withColumn("to_ts", end)
-    merged, _ = px.update(p.filter(F.col("ts") < start), p, scopes, 60_000)
-    return merged.groupBy("token_key").agg(F.sum("price").cast("bigint").alias("total"), F.count("*").alias("points"), F.max("ts").alias("last_ts"))
+    merged, control = px.update(p.filter(F.col("ts") < start), p.filter("token_key <> 'view'"), scopes, 60_000)
+    sums = merged.groupBy(*px.SCOPE).agg(F.sum("price").cast("bigint").alias("total"), F.count("*").alias("points"), F.max("ts").alias("last_ts"))
+    return sums.join(control, px.SCOPE).select("token_key", "total", "points", "last_ts", "next_from", "status")
 
 
 @query("""SELECT c_custkey AS request, chunk, CAST(first_day + CAST(chunk * 90 AS INTEGER) AS DATE) AS chunk_first, least(CAST(first_day + CAST(chunk * 90 + 89 AS INTEGER) AS DATE), DATE '2024-12-31') AS chunk_last
@@ -345,24 +350,27 @@ def chunk_plan(spark, d):
     return px.plan_chunks(c, 90).select(F.col("token_key").alias("request"), F.col("chunk").cast("bigint").alias("chunk"), "chunk_first", "chunk_last")
 
 
-@query("""SELECT o_custkey AS request, CASE WHEN count(DISTINCT l_suppkey) = 1 THEN min(l_partkey) END AS pool, count(DISTINCT l_suppkey) > 1 AS ambiguous FROM (
-  SELECT o_custkey, l_suppkey, l_partkey, l_linenumber, min(l_linenumber) OVER (PARTITION BY o_custkey) AS best FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE l_linenumber = best GROUP BY o_custkey""")
+@query("""SELECT o_custkey AS request, CASE WHEN count(DISTINCT token) = 1 THEN arg_min(l_partkey, k) END AS pool, count(DISTINCT token) > 1 AS ambiguous FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY l_quantity DESC, l_extendedprice DESC, l_partkey) AS k FROM (
+    SELECT o_custkey, l_suppkey % 3 AS token, l_partkey, l_quantity, l_extendedprice, l_linenumber, min(l_linenumber) OVER (PARTITION BY o_custkey) AS best FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE l_linenumber = best) GROUP BY o_custkey""")
 def best_pool(spark, d):
-    """T5: the pool of the best rank, if its token is one."""
+    """T5: of the pools of the best rank, if they have one token, that of the most liquidity, then volume, then the first address."""
     j = v.table(spark, d, "lineitem").join(v.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    pools = j.select(F.col("o_custkey").alias("request"), F.col("l_linenumber").alias("rank"), F.col("l_suppkey").alias("token_address"), F.lit(0).alias("liquidity"), F.lit(0).alias("volume"), F.col("l_partkey").alias("pool_address"))
-    got = px.best_pool(pools)
-    return got.select("request", F.col("pool_address").alias("pool"), "ambiguous")
+    pools = j.select(F.col("o_custkey").alias("request"), F.col("l_linenumber").alias("rank"), (F.col("l_suppkey") % 3).alias("token_address"), F.col("l_quantity").alias("liquidity"), F.col("l_extendedprice").alias("volume"), F.col("l_partkey").alias("pool_address"))
+    return px.best_pool(pools).select("request", F.col("pool_address").alias("pool"), "ambiguous")
 
 
 # Maintenance.
 
 
-@query("""SELECT c_custkey, greatest(c_custkey * 7 - 12, 0) AS "start", least(greatest(c_custkey * 7 - 12, 0) + 99, c_custkey * 7 + 50) AS "end" FROM customer""")
+@query("""SELECT c_custkey, start, least(start + 99, c_custkey * 7 + 50) AS "end", coalesce(asked > c_custkey * 7, false) AS conflict, start > c_custkey * 7 + 50 AS done FROM (
+SELECT c_custkey, asked, coalesce(asked, greatest(c_custkey * 7 - 12, 0)) AS start FROM (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN c_custkey * 7 + 10 WHEN 1 THEN c_custkey * 7 + 60 WHEN 2 THEN c_custkey * 3 END AS asked FROM customer))""")
 def next_windows(spark, d):
-    """M1: the next window of every scope, with its overlap."""
-    scopes = v.table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") * 7).alias("next_block"), (F.col("c_custkey") * 7 + 50).alias("target_block"), F.lit(None).cast("bigint").alias("asked_start"))
-    return maintenance.plan_windows(scopes, 100).select("c_custkey", "start", "end")
+    """M1: the next window of every scope with its overlap or from an asked start, holes that this would leave, and scopes that are done."""
+    k = F.col("c_custkey")
+    asked = F.when(k % 5 == 0, k * 7 + 10).when(k % 5 == 1, k * 7 + 60).when(k % 5 == 2, k * 3)
+    scopes = v.table(spark, d, "customer").select(k, (k * 7).alias("next_block"), (k * 7 + 50).alias("target_block"), asked.cast("bigint").alias("asked_start"))
+    return maintenance.plan_windows(scopes, 100).select("c_custkey", "start", "end", "conflict", "done")
 
 
 def _collections(spark, d):
@@ -533,16 +541,13 @@ def exchange_rates(spark, d):
     return atblock.exchange_rates(tokens, calls).select("token_id", F.get("amounts", 0).alias("leg0"), F.get("amounts", 1).alias("leg1"))
 
 
-@query()
+@query(f"SELECT o_orderkey AS request, CAST(NULL AS VARCHAR) AS code, p % 800000 AS tick, {queries_jobs._SPOT} AS spot, true AS near FROM {queries_jobs._POOLS}")
 def pool_prices(spark, d):
-    """Spot and tick price of a pool at every order's block, exact to 18 digits."""
-    o = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("block"), F.round(F.col("o_totalprice")).cast("bigint").alias("p"), F.lit(1).cast("bigint").alias("chain_id"))
-    word = lambda c: F.lpad(F.lower(F.hex(c)), 64, "0")
-    data = F.concat(F.lit("0x"), F.lpad(F.concat(F.lower(F.hex(F.col("p"))), F.lit("0" * 20)), 64, "0"), word(F.col("p") % 800000), *[word(F.lit(0))] * 5)
-    results = o.select("chain_id", "block", F.lit("pool").alias("call_id"), F.lit(True).alias("success"), data.alias("return_data"))
-    asked = o.select(F.col("block").alias("request"), "chain_id", "block", F.lit("pool").alias("pool"), (F.col("block") % 2 == 0).alias("base_is_0"), F.lit(18).alias("decimals0"), F.lit(6).alias("decimals1"))
-    got = atblock.pool_prices(asked, results)
-    return got.select("request", "code", "tick", F.col("spot.display").alias("spot"), F.col("by_tick.display").alias("by_tick"))
+    """Code, tick and spot price of a pool at every order's block, and whether the tick's price is near 1.0001 to its power."""
+    got = atblock.pool_prices(*queries_jobs._pools(spark, d, 7))
+    by_tick = F.log(F.col("by_tick.num").cast("double")) - F.log(F.col("by_tick.den").cast("double"))
+    side = F.when(F.col("block") % 2 == 0, 1).otherwise(-1)
+    return got.select("request", "code", F.col("tick").cast("bigint").alias("tick"), F.col("spot.display").alias("spot"), (F.abs(by_tick - side * (12 * F.log(F.lit(10.0)) + F.col("tick") * F.log(F.lit(1.0001)))) < 1e-6).alias("near"))
 
 
 @query("SELECT p_partkey AS id, CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN CAST(p_partkey AS VARCHAR) END AS value, CASE WHEN p_size % 3 = 2 THEN 'CALL_FAILED' END AS code FROM part")
@@ -558,14 +563,14 @@ def erc20_reads(spark, d):
     return atblock.erc20_reads(r).select("id", "value", "code")
 
 
-@query("SELECT CAST(o_orderkey AS BIGINT) AS batch_id, CAST(k AS INTEGER) AS call_index, k = 0 AS success FROM orders, range(2) t(k)")
+@query("SELECT CAST(o_orderkey AS BIGINT) AS batch_id, CAST(k AS INTEGER) AS call_index, k = 0 AS success, CASE WHEN k = 0 THEN '0x' || lpad(lower(to_hex(o_orderkey)), 64, '0') ELSE '0x' END AS return_data FROM orders, range(2) t(k)")
 def batch_decode(spark, d):
-    """Batch results taken apart."""
+    """Batch results taken apart, with what each call returned."""
     word = lambda c: F.lpad(F.lower(F.hex(c)), 64, "0")
     n = lambda x: word(F.lit(x).cast("bigint"))
     blob = F.concat(F.lit("0x"), n(32), n(2), n(64), n(192), n(1), n(64), n(32), word(F.col("o_orderkey")), n(0), n(64), n(0))
     b = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("batch_id"), F.lit(2).alias("expected"), blob.alias("data"))
-    return atblock.decode_batches(b).select("batch_id", "call_index", "success")
+    return atblock.decode_batches(b).select("batch_id", "call_index", "success", "return_data")
 
 
 @query("SELECT o_orderkey AS block FROM orders WHERE o_custkey % 3 <> 0")

@@ -341,12 +341,12 @@ def native_balances_at_block(spark, d):
     return atblock.native_balances(rows, blocks).select(F.col("address").cast("bigint").alias("id"), "amount", "block_ts")
 
 
-@query("SELECT p_partkey AS request, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey WHEN p_partkey % 3 = 1 THEN p_partkey - 1 ELSE p_partkey - 2 END AS BIGINT) AS pool FROM part WHERE p_partkey >= 3")
+@query("SELECT p_partkey AS request, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey WHEN p_partkey % 3 = 1 THEN p_partkey - 1 ELSE p_partkey - 2 END AS BIGINT) AS pool FROM part p WHERE EXISTS (SELECT 1 FROM part q WHERE q.p_partkey = p.p_partkey - p.p_partkey % 3)")
 def pool_search(spark, d):
     """The pool of a token text: a symbol before a name, a name before a beginning of either."""
     k = F.col("p_partkey")
     own = k - k % 3
-    p = v.table(spark, d, "part").filter("p_partkey >= 3")
+    p = v.table(spark, d, "part")
     tokens = p.filter(k % 3 == 0).select(k.cast("string").alias("token_id"), F.concat(F.lit("S"), k, F.lit("x")).alias("symbol"), F.concat(F.lit("Name"), k, F.lit("y")).alias("name"), k.cast("string").alias("token_address"))
     pools = p.filter(k % 3 == 0).select(k.cast("string").alias("pool_address"), F.lit(1.0).alias("liquidity"), F.lit(1.0).alias("volume"), k.cast("string").alias("base_id"), F.lit("quote").alias("quote_id"))
     text = F.when(k % 3 == 0, F.concat(F.lit("s"), own, F.lit("X"))).when(k % 3 == 1, F.concat(F.lit(" NAME"), own, F.lit("Y"))).otherwise(F.concat(F.lit("name"), own, F.lit("y")))
@@ -359,5 +359,5 @@ def states_at_blocks(spark, d):
     """Balances of accounts at several blocks each, from snapshots of which some lie between."""
     t = v.transfers(spark, d)
     taken = cut(snapshots.replay(t, 900, 1, 10**6, 250))
-    asked = t.select("chain_id", F.col("from_address").alias("address")).distinct().crossJoin(F.broadcast(spark.createDataFrame([(300,), (700,), (1100,), (2300,)], "at_block bigint")))
+    asked = t.select("chain_id", F.col("from_address").alias("address")).distinct().select("*", F.explode(F.array(*[F.lit(b).cast("bigint") for b in (300, 700, 1100, 2300)])).alias("at_block"))
     return snapshots.at_block(taken, t, asked).select("address", "at_block", "token_address", "amount")
