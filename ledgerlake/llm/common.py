@@ -46,10 +46,14 @@ def forget(table: DataFrame) -> None:
         folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def tid_of(docs: DataFrame) -> Column:
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether a doc_id is null or that of several rows."""
+    return not docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").isEmpty()
+
+
+def tid_of(docs: DataFrame, repeat: bool | None = None) -> Column:
     """What tells rows of one doc_id apart: a hash of the text, or zero, which costs nothing to carry along, where no id is null or repeated."""
-    again = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
-    return F.lit(0).cast("bigint") if again.isEmpty() else F.xxhash64("text")
+    return F.xxhash64("text") if (ids_repeat(docs) if repeat is None else repeat) else F.lit(0).cast("bigint")
 
 
 def keyed(docs: DataFrame, tid: Column | None = None) -> DataFrame:

@@ -18,14 +18,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import by_slice, forget, join_counted, keyed, stash, tid_of
+from ledgerlake.llm.common import by_slice, forget, ids_repeat, join_counted, keyed, stash, tid_of
 
-#: Blanks for each one that ends a line, and rolling hashes for each one that ends a chunk.
-CUT, MEAN = 2, 2
+#: Blanks for each one that ends a line (1: every blank, so that repeats within long lines are found, and a line is a word),
+#: and rolling hashes for each one that ends a chunk.
+CUT, MEAN = 1, 3
 #: Lines of a chunk at least, and lines from which any end is its end.
-MIN_LINES, MAX_LINES = 2, 16
+MIN_LINES, MAX_LINES = 3, 16
 #: Bytes of a chunk at least; repeats shorter than that are everyday phrases, and stay.
-MIN_BYTES = 30
+MIN_BYTES = 24
 #: Rows of documents whose lines a worker holds at once.
 ROWS = 250
 #: Odd numbers by which bytes and hashes are mixed.
@@ -194,7 +195,7 @@ def _marked(docs: DataFrame, marks: DataFrame, tid: Column) -> DataFrame:
 
 
 def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """docs, all columns, with __chunks: the repeated chunks of each text, and whether each is the first of its kind.
+    """docs, all columns, with __chunks: the repeated chunks of each text, and whether their first occurrence is in it.
 
     First is the occurrence with the smallest doc_id (nulls last), text hash and place. Chunks are counted by a 64-bit
     digest; then the bytes of those met again are compared, by their smallest and largest value for a digest, and a
@@ -202,9 +203,11 @@ def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     shuffle, and occurrences are joined to their first, so no group is gathered. Texts are shuffled once, when the
     tables of chunks have gone.
     """
-    tid = tid_of(docs)
+    repeat = ids_repeat(docs)
+    tid = tid_of(docs, repeat)
     found = stash(occurrences(docs, tid, min_bytes), "chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "lo")
+    # the document is enough, and the minimum of a number needs no sort; within it the first is told from the last step's arrays
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid") if repeat else F.col("doc_id")
     again = stash(found.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1"), "again")
     repeated = join_counted(found, again, ["h"], "n").withColumn("is_first", place.eqNullSafe(F.col("first")))
     gathered = F.array_sort(F.collect_set(F.struct("lo", "hi", "lines", "h", "is_first"))).alias("__chunks")
@@ -231,7 +234,11 @@ def _apply(marked: DataFrame, columns: list[str], count: bool = False) -> DataFr
         texts = batch.column(at).to_pylist()
         n = np.bincount(Lines.of([(t or "").encode() for t in texts]).text, minlength=len(texts)).astype(np.int64) if count else np.zeros(len(texts), np.int64)
         rows, m = _flat(batch.column(len(columns)))
-        gone = ~m["is_first"].astype(bool)
+        gone = np.ones(len(rows), bool)
+        own = np.flatnonzero(m["is_first"].astype(bool))
+        own = own[np.lexsort((m["lo"][own], m["h"][own], rows[own]))]
+        again = (rows[own][1:] == rows[own][:-1]) & (m["h"][own][1:] == m["h"][own][:-1])
+        gone[own[np.r_[True, ~again][: len(own)]]] = False
         rows, lo, hi = rows[gone], m["lo"][gone].tolist(), m["hi"][gone].tolist()
         removed = np.bincount(rows, m["lines"][gone], len(texts)).astype(np.int64)
         ends = np.searchsorted(rows, np.arange(len(texts) + 1))

@@ -114,7 +114,7 @@ def components(rows: list[tuple[int, int]], bits: int = 3) -> list[int]:
     return [min(low[find(i)]) for i in range(len(rows))]
 
 
-def lines_of(text: bytes) -> list[tuple[int, int]]:
+def lines_of(text: bytes, cut: int = 1) -> list[tuple[int, int]]:
     """Where each line of a text begins and ends; a line ends at a line break, or at a blank that the three bytes before it choose."""
     out, begin = [], 0
     for i, byte in enumerate(text):
@@ -122,13 +122,13 @@ def lines_of(text: bytes) -> list[tuple[int, int]]:
         h = (2654435761 * a + 40503 * b + 9973 * c) % 2**32
         h = (h ^ h >> 15) * 0x85EBCA6B % 2**32
         h ^= h >> 13
-        if byte == 10 or (byte in (32, 9) and h % 2 == 0):
+        if byte == 10 or (byte in (32, 9) and h % cut == 0):
             out.append((begin, i))
             begin = i + 1
     return [*out, (begin, len(text))]
 
 
-def line_chunks(text: bytes, size: int, least: int = 2, most: int = 16) -> list[list[tuple[int, int]]]:
+def line_chunks(text: bytes, size: int, least: int = 3, most: int = 16) -> list[list[tuple[int, int]]]:
     """The lines of each chunk: several, of ``size`` bytes together, up to one that the hashes of it and the line before choose."""
     lines, out, held, before = lines_of(text), [], [], 0
     for a, b in lines:
@@ -137,7 +137,7 @@ def line_chunks(text: bytes, size: int, least: int = 2, most: int = 16) -> list[
         roll = (roll ^ roll >> 29) * 0x9E3779B97F4A7C15 % 2**64
         before = h
         held.append((a, b))
-        if ((roll >> 32) % 2 == 0 or len(held) >= most) and len(held) >= least and b - held[0][0] >= size:
+        if ((roll >> 32) % 3 == 0 or len(held) >= most) and len(held) >= least and b - held[0][0] >= size:
             out.append(held)
             held = []
     if held and out and (len(held) < least or held[-1][1] - held[0][0] < size):
@@ -147,7 +147,7 @@ def line_chunks(text: bytes, size: int, least: int = 2, most: int = 16) -> list[
     return out
 
 
-def cut_lines(rows: list[tuple[int, bytes]], size: int, least: int = 2) -> dict[int, list[list[tuple[int, int]]]]:
+def cut_lines(rows: list[tuple[int, bytes]], size: int, least: int = 3) -> dict[int, list[list[tuple[int, int]]]]:
     """The chunks to cut from each text, rows in order of doc_id: those that were met before."""
     seen, cut = set(), defaultdict(list)
     for d, t in rows:
