@@ -272,6 +272,7 @@ def price_before(spark, d):
 
 @query(_ASOF.format(kind="LEFT", op="<="))
 def price_after(spark, d):
+    """The price at or after each probe."""
     return px.price_at(v.probes(spark, d), v.prices(spark, d), "after").select("token_key", "ts", "request", "point_ts", F.col("point.price").alias("price"))
 
 

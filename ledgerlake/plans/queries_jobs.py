@@ -239,7 +239,8 @@ def rebuild_counts(spark, d):
     return lost.join(made.select(*KEY).distinct(), KEY, "left_semi").select("address", "invalidated")
 
 
-# Calls at blocks.
+# Calls at blocks. Fixed values in the SQL of rate_call_plan and erc20_plan_and_reads: addresses and selectors of contracts, as in
+# atblock.TARGETS and atblock.SELECTORS.
 
 
 @query("""SELECT 't' || p_partkey || '::' || part AS call_id, target, data AS call_data, code FROM (SELECT *, '0x' || lpad(lower(to_hex(p_partkey)), 40, '0') AS own, lpad(lower(to_hex(p_partkey)), 64, '0') AS w, p_partkey % 13 AS a FROM part) p, LATERAL (SELECT unnest(CASE
