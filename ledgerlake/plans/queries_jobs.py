@@ -333,6 +333,24 @@ def adapter_rates(spark, d):
     return atblock.exchange_rates(tokens, calls).select("token_id", "code", F.get("amounts", 0).alias("leg0"))
 
 
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS token_id, CASE a WHEN 0 THEN '1000' WHEN 1 THEN CAST(k * 1000 // p_size AS VARCHAR) WHEN 2 THEN CAST(k * 1000 // p_size AS VARCHAR) ELSE CAST((k + 5) * 1000 // p_size AS VARCHAR) END AS leg0,
+CASE a WHEN 0 THEN NULL WHEN 1 THEN CAST(2 * k * 1000 // p_size AS VARCHAR) WHEN 2 THEN CAST((k + 1) * 1000 // p_size AS VARCHAR) ELSE CAST(k * 1000 // p_size AS VARCHAR) END AS leg1, CASE a WHEN 1 THEN CAST(3 * k * 1000 // p_size AS VARCHAR) END AS leg2 FROM (SELECT *, p_partkey % 4 AS a, p_partkey + 1 AS k FROM part)""")
+def multi_leg_rates(spark, d):
+    """Amounts under a share of fixed, three-coin, volatile and weighted pools; weighted legs are matched by address."""
+    p, k, a = v.table(spark, d, "part"), F.col("p_partkey") + 1, F.col("p_partkey") % 4
+    at, ident = [F.lit(1).cast("bigint").alias("chain_id"), F.lit(9).cast("bigint").alias("block")], F.col("p_partkey").cast("string")
+    names = F.array(*map(F.lit, ("fixed-ratio", "curve-3pool-lp", "aerodrome-lp", "balancer-bpt")))
+    legs = [F.lit("0x" + c * 40) for c in "123"]
+    tokens = p.select(ident.alias("token_id"), *at, F.get(names, a.cast("int")).alias("adapter"), F.lit("1000").alias("sample"), F.when(a == 0, F.array(legs[0])).when(a == 1, F.array(*legs)).when(a == 2, F.array(*legs[:2])).otherwise(F.array(legs[1], legs[0])).alias("legs"))
+    n = lambda x: word(F.lit(x))
+    pool = F.concat(n(96), n(192), n(7), n(2), F.lit("0" * 24 + "1" * 40), F.lit("0" * 24 + "2" * 40), n(2), word(k), word(k + 5))
+    call = lambda part, data: F.struct(F.concat(ident, F.lit(f"::{part}")).alias("call_id"), F.concat(F.lit("0x"), data).alias("return_data"))
+    supply = call("supply", word(F.col("p_size")))
+    made = F.when(a == 1, F.array(*[call(f"balance{i}", word(k * (i + 1))) for i in range(3)], supply)).when(a == 2, F.array(call("reserves", F.concat(word(k), word(k + 1), n(0))), supply)).when(a == 3, F.array(call("poolTokens", pool), supply))
+    calls = p.select(*at, F.explode(made).alias("c")).select("chain_id", "block", "c.call_id", F.lit(True).alias("success"), "c.return_data")
+    return atblock.exchange_rates(tokens, calls).select("token_id", *[F.get("amounts", i).alias(f"leg{i}") for i in range(3)])
+
+
 @query("SELECT c_custkey AS id, CAST(c_custkey * 3 AS VARCHAR) AS amount, c_custkey + 100 AS block_ts FROM customer")
 def native_balances_at_block(spark, d):
     """Native balances at blocks with the blocks' times."""
