@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import by_slice
 
-#: Fragments of up to KNOWN bytes that a worker remembers, 80 MB at most; when full it starts anew. Longer ones are
+#: Fragments of up to KNOWN bytes that a worker remembers, 40 MB at most; when full it starts anew. Longer ones are
 #: merged each time. Neither changes a result.
-CACHE, KNOWN = 400_000, 48
+CACHE, KNOWN = 200_000, 48
 #: Bytes up to which pieces are merged many at a time.
 SHORT = 200
 #: White space outside ASCII, as patterns of bytes: no cut between one and a space, for they may be one piece.

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -114,10 +116,24 @@ def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int
                 out = work(piece)
                 if out is not None:
                     yield out
+        give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Returns what a task has freed to the system, since a worker may sit idle beside others from then on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _libc() -> ctypes.CDLL:
+    return ctypes.CDLL(None)
+
+
 def is_in_fold(modulus: int, remainder: int) -> Column:
     """Whether crc32 of doc_id as text leaves ``remainder``; a null id leaves none."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))

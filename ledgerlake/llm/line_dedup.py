@@ -8,7 +8,6 @@ were compared.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,13 +35,20 @@ MIX, POLY = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 def ends_line(data: np.ndarray) -> np.ndarray:
     """Whether each byte is a ``\n``, or a blank that the three bytes before it choose."""
+    blank = (data == 32) | (data == 9)
+    if CUT == 1:
+        return (data == 10) | blank
     d = data.astype(np.uint32)
     h = np.zeros(len(d), np.uint32)
     for k, m in enumerate(BYTES, 1):
         h[k:] += d[:-k] * np.uint32(m)
     h = (h ^ h >> np.uint32(15)) * np.uint32(0x85EBCA6B)
     h ^= h >> np.uint32(13)
-    return (data == 10) | (((data == 32) | (data == 9)) & (h % np.uint32(CUT) == 0))
+    return (data == 10) | (blank & (h % np.uint32(CUT) == 0))
+
+
+#: Stands for a line of which it is not known yet where a chunk from it would end.
+NOWHERE = np.iinfo(np.int64).min
 
 
 @lru_cache(maxsize=2)
@@ -96,24 +102,36 @@ class Lines:
         roll = (roll ^ roll >> np.uint64(29)) * np.uint64(MIX)
         last = self.stop == self.end[self.text]
         may = np.flatnonzero(((roll >> np.uint64(32)) % np.uint64(MEAN) == 0) | last)
-        start, stop = self.start.tolist(), self.stop.tolist()
-        out, first, fresh = [], 0, True
-        for i, ends in zip(may.tolist(), last[may].tolist(), strict=True):
-            while i - first >= MAX_LINES:  # lines end a chunk by their number
-                j = first + MAX_LINES - 1
-                if stop[j] - start[first] < min_bytes:
-                    j = bisect_left(stop, start[first] + min_bytes, j)
-                if j >= i:
-                    break
-                out.append((first, j + 1))
-                first, fresh = j + 1, False
-            if (i - first + 1 >= MIN_LINES and stop[i] - start[first] >= min_bytes) or (ends and fresh):
-                out.append((first, i + 1))
-                first, fresh = i + 1, ends
-            elif ends:  # what is left of a text goes with the chunk before
-                out[-1] = (out[-1][0], i + 1)
-                first, fresh = i + 1, True
-        return np.array(out, np.int64).reshape(-1, 2)
+        known, todo, close, tries = np.full(len(h), NOWHERE), np.r_[0, may + 1][: len(may)], np.flatnonzero(last), 0
+        while len(todo):  # lines after ends by hash, then those after ends by number, soon all that are left
+            known[todo] = at = self._after(todo, may, close, min_bytes)
+            after = at[at >= 0] + 1
+            after, tries = after[after < len(h)], tries + 1
+            todo = np.unique(after[known[after] == NOWHERE])
+            if len(todo) and tries == 4:
+                todo = np.flatnonzero(known == NOWHERE)
+        begins = np.r_[True, last[:-1]].tolist() if len(h) else []
+        first, out, ends, known = 0, [], [], known.tolist()
+        while first < len(known):
+            end = known[first]
+            if end >= 0 or begins[first]:
+                out.append(first)
+                ends.append(end if end >= 0 else -1 - end)
+            else:  # what is left of a text goes with the chunk before
+                ends[-1] = -1 - end
+            first = ends[-1] + 1
+        return np.array([out, [e + 1 for e in ends]], np.int64).T.reshape(-1, 2)
+
+    def _after(self, first: np.ndarray, may: np.ndarray, close: np.ndarray, min_bytes: int) -> np.ndarray:
+        """The last line of the chunk that begins at each line of ``first``; -1 minus the text's last line, where too little is left.
+
+        may, close: lines that end a chunk by their hash, and texts.
+        """
+        large = np.searchsorted(self.stop, self.start[first] + min_bytes)
+        low = np.maximum(first + MIN_LINES - 1, large)
+        end = close[np.searchsorted(close, first)]
+        chosen = may[np.minimum(np.searchsorted(may, low), len(may) - 1)]
+        return np.where(low > end, -1 - end, np.minimum(chosen, np.maximum(first + MAX_LINES - 1, large)))
 
 
 def chunks(text: bytes, min_bytes: int = MIN_BYTES) -> list[tuple[int, int]]:
