@@ -85,13 +85,14 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: list[str], count: str)
     return rows.join(F.broadcast(few), key).unionByName(rest)
 
 
-def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of at most ``rows`` rows and, where they have several, SLICE_BYTES."""
+def slices(batch: pa.RecordBatch, rows: int = SLICE, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of at most ``rows`` rows and, where they have several, ``size`` bytes (SLICE_BYTES)."""
+    size = SLICE_BYTES if size is None else size
     for at in range(0, batch.num_rows, rows):
         piece = batch.slice(at, rows)
-        while piece.num_rows > 1 and piece.nbytes > SLICE_BYTES:
+        while piece.num_rows > 1 and piece.nbytes > size:
             half = piece.num_rows // 2
-            while half > 1 and piece.slice(0, half).nbytes > SLICE_BYTES:
+            while half > 1 and piece.slice(0, half).nbytes > size:
                 half //= 2
             yield piece.slice(0, half)
             piece = piece.slice(half)
@@ -107,12 +108,12 @@ def shards(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[int,
             number += 1
 
 
-def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = SLICE) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows, bounded in bytes too."""
+def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = SLICE, size: int | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows, bounded in bytes too (``size``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, rows):
+            for piece in slices(batch, rows, size):
                 out = work(piece)
                 if out is not None:
                     yield out

@@ -26,8 +26,8 @@ CUT, MEAN = 1, 3
 MIN_LINES, MAX_LINES = 3, 16
 #: Bytes of a chunk at least; repeats shorter than that are everyday phrases, and stay.
 MIN_BYTES = 24
-#: Rows of documents whose lines a worker holds at once.
-ROWS = 250
+#: Rows and bytes of documents whose lines a worker holds at once (or one longer text), and bytes that are hashed at once.
+ROWS, SIZE, BLOCK = 250, 2_000_000, 1 << 19
 #: Odd numbers by which bytes and hashes are mixed.
 BYTES = (2654435761, 40503, 9973)
 MIX, POLY = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -86,12 +86,19 @@ class Lines:
         return cls(buffer, begin, end, text, start, stop)
 
     def hashes(self) -> np.ndarray:
-        """A polynomial hash of each line's bytes, from running sums over the buffer."""
-        n = len(self.buffer)
-        power, back = _powers(max(1 << 16, 1 << n.bit_length()))
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((np.frombuffer(self.buffer, np.uint8) + np.uint64(1)) * power[:n], out=sums[1:])
-        return (sums[self.stop] - sums[self.start]) * back[self.start]
+        """A polynomial hash of each line's bytes, from running sums over BLOCK bytes or a longer line at a time."""
+        out, at, data = np.empty(len(self.stop), np.uint64), 0, np.frombuffer(self.buffer, np.uint8)
+        while at < len(out):
+            begin = int(self.start[at])
+            after = max(at + 1, int(np.searchsorted(self.stop, begin + BLOCK, side="right")))
+            part = data[begin : int(self.stop[after - 1])]
+            power, back = _powers(max(BLOCK + 1, 1 << len(part).bit_length()))
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part + np.uint64(1)) * power[: len(part)], out=sums[1:])
+            start, stop = self.start[at:after] - begin, self.stop[at:after] - begin
+            out[at:after] = (sums[stop] - sums[start]) * back[start]
+            at = after
+        return out
 
     def chunks(self, min_bytes: int) -> np.ndarray:
         """First line, and line after the last, of each chunk, text by text."""
@@ -189,7 +196,7 @@ def occurrences(docs: DataFrame, tid: Column | None = None, min_bytes: int = MIN
         places = [x[some].astype(np.int32) for x in (lo - lines.begin[doc], hi - lines.begin[doc], n)]
         return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places), pa.array(h)], ["doc_id", "tid", "lo", "hi", "lines", "h"])
 
-    return keyed(docs, tid).mapInArrow(by_slice(work, ROWS), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h bigint")
+    return keyed(docs, tid).mapInArrow(by_slice(work, ROWS, SIZE), f"doc_id {kind}, tid bigint, lo int, hi int, lines int, h bigint")
 
 
 def _contents(marked: DataFrame) -> DataFrame:
@@ -201,7 +208,7 @@ def _contents(marked: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(m["h"]), pa.array(data, pa.binary())], ["h", "data"])
 
     rows = marked.filter("__chunks is not null").select(F.col("text").cast("binary").alias("text"), "__chunks")
-    return rows.mapInArrow(by_slice(work), "h bigint, data binary")
+    return rows.mapInArrow(by_slice(work, ROWS, SIZE), "h bigint, data binary")
 
 
 def _marked(docs: DataFrame, marks: DataFrame, tid: Column) -> DataFrame:
@@ -266,7 +273,7 @@ def _apply(marked: DataFrame, columns: list[str], count: bool = False) -> DataFr
         cols[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(removed)], [*columns, "__lines", "__removed"])
 
-    return marked.select(*columns, "__chunks").mapInArrow(by_slice(work), schema)
+    return marked.select(*columns, "__chunks").mapInArrow(by_slice(work, ROWS, SIZE), schema)
 
 
 def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
