@@ -229,7 +229,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0), ids, text], ["doc_id", "token_ids", "decoded"])
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(by_slice(work), f"doc_id {kind}, token_ids array<int>, decoded string")
+    # a worker that sits idle afterwards holds no vocabulary and no fragments
+    return rows.mapInArrow(by_slice(work, after=lambda: loaded.cache_clear()), f"doc_id {kind}, token_ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:

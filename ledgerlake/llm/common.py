@@ -108,8 +108,8 @@ def shards(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[int,
             number += 1
 
 
-def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = SLICE, size: int | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows, bounded in bytes too (``size``)."""
+def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = SLICE, size: int | None = None, after: Callable[[], None] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` as a function for mapInArrow, given slices of at most ``rows`` rows, bounded in bytes too (``size``); ``after`` is called at the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,6 +117,8 @@ def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int
                 out = work(piece)
                 if out is not None:
                     yield out
+        if after is not None:
+            after()
         give_back()
 
     return run
