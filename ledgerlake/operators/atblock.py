@@ -25,12 +25,30 @@ TARGETS = {("aave-v2", 0): "0x7d2768dE32b0b80b7a3454c06BdAc94A69DDc7A9", ("aave-
 RATE_SELECTORS = {"income": "0xd15e0053", "wsteth": "0x035faf82", "rocket-reth": "0xe6aa216c", "cbeth": "0x3ba0b9a9", "balances": "0x4903b0d1", "poolTokens": "0xf94d4668"}
 
 
+def _wide_word(digits: Column) -> Column:
+    """Hexadecimal digits of a decimal text of at most 78 digits; null from 2^256 on.
+
+    Nine digits at a time are carried into words of 32 bits, the lowest first, so that no step leaves a long.
+    """
+    text = F.lpad(digits, 81, "0")
+    chunks = F.array(*[F.substring(text, 9 * k + 1, 9).cast("bigint") for k in range(9)])
+
+    def carried(words: Column, chunk: Column) -> Column:
+        def step(at: Column, word: Column) -> Column:
+            sum_ = word * F.lit(10**9) + at["carry"]
+            return F.struct(F.shiftright(sum_, 32).alias("carry"), F.concat(at["done"], F.array(sum_.bitwiseAND(F.lit((1 << 32) - 1)))).alias("done"))
+
+        return F.aggregate(words, F.struct(chunk.alias("carry"), F.array().cast("array<bigint>").alias("done")), step, lambda at: at["done"])
+
+    zeros = F.array(*[F.lit(0).cast("bigint")] * 9)
+    hexed = lambda words: F.when(F.get(words, 8) == 0, F.concat(*[F.lpad(F.lower(F.hex(F.get(words, k))), 8, "0") for k in range(7, -1, -1)]))
+    return F.aggregate(chunks, zeros, carried, hexed)
+
+
 def padded(value: Column) -> Column:
-    """An address or number (of at most 36 digits) as an argument word."""
-    wide = value.try_cast("decimal(38,0)")
-    part = lambda k: F.lower(F.hex(F.pmod(F.floor(wide / F.lit(str(1 << 40 * k)).cast("decimal(38,0)")), F.lit(1 << 40).cast("decimal(38,0)")).cast("bigint")))
-    parts = F.concat(*[F.lpad(part(k), 10, "0") for k in (3, 2, 1, 0)])
-    return F.lpad(F.when(value.startswith("0x"), F.lower(F.substring(value, 3, 64))).when(F.length(value) <= 18, F.lower(F.hex(value.try_cast("bigint")))).otherwise(parts), 64, "0")
+    """An address or number (of 256 bits at most) as an argument word."""
+    wide = F.when(value.rlike("^[0-9]{19,78}$"), _wide_word(value))
+    return F.lpad(F.when(value.startswith("0x"), F.lower(F.substring(value, 3, 64))).when(F.length(value) <= 18, F.lower(F.hex(value.try_cast("bigint")))).otherwise(wide), 64, "0")
 
 
 def plan_calls(registry: DataFrame, selector: str, suffix: str, arguments: list[Column] | None = None) -> DataFrame:

@@ -42,6 +42,13 @@ def test_pool_and_token_prices(spark):
     assert usd == {"WETH": ("2000", None), "T": ("6000", None), "U": (None, "PRICE_UNAVAILABLE")}
 
 
+def test_numbers_of_256_bits_as_words(spark):
+    whole = [0, 7, 10**18 - 1, 10**18, 2**64, 2**120, 10**31, 10**32, 12345 * 10**27, 10**37 + 1, 2**128 - 1, 10**40, 2**255 + 2**31, 2**256 - 1]
+    rows = spark.createDataFrame([(str(n),) for n in [*whole, 2**256, "1" * 79, "x" * 20]], "n string")
+    got = {r.n: r.w for r in rows.select("n", atblock.padded(F.col("n")).alias("w")).collect()}
+    assert got == {str(n): W(n) for n in whole} | {str(2**256): None, "1" * 79: None, "x" * 20: None}
+
+
 def test_exchange_rates(spark):
     calls = {
         "lp": {"reserves": W(10) + W(20) + W(0), "supply": W(2 * 10**18)},
