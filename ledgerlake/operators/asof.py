@@ -34,7 +34,7 @@ def as_of(probes: DataFrame, points: DataFrame, key: list[str], mode: str = "nea
     probes and points: key, ``at`` and any columns. A point at the probe's place is both before and after; of two
     equally near the earlier wins; of points at one place the largest in order of its columns; one further off than
     ``max_distance`` is missing. ``position`` gives the place of ``at`` as a long (microseconds of a timestamp by
-    default) and ``width`` the size of a bucket; distances are in whole ``unit`` (milliseconds). ``places``: key and
+    default) and ``width`` the size of a bucket; distances are between places rounded to ``unit`` (milliseconds). ``places``: key and
     ``at`` of all probes, others too, where they can be told at less cost than by computing the probes once more.
 
     A key is cut into buckets, each with the nearest point from outside carried in, so a hot key is many tasks. Within
@@ -56,7 +56,7 @@ def as_of(probes: DataFrame, points: DataFrame, key: list[str], mode: str = "nea
         both = both.withColumn("__before", last(F.col("__at").asc()))
     if "after" in modes:
         both = both.withColumn("__after", last(F.col("__at").desc()))
-    whole = lambda c: F.floor(F.col(c) / unit)
+    whole = lambda c: F.floor((F.col(c) + unit // 2) / unit)
     gap = lambda c: F.abs(whole("__at") - whole(f"{c}.__at"))
     if mode == "nearest":
         pick = F.when(F.col("__after").isNull() | (gap("__before") <= gap("__after")), F.col("__before")).otherwise(F.col("__after"))

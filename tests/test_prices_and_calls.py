@@ -20,6 +20,13 @@ def test_as_of(spark):
     assert {r.r: r.point.price if r.point else None for r in prices.as_of(ask, pts, ["k"], "after").collect()} == {1: 12, 2: 12, 3: None}
 
 
+def test_distances_are_between_rounded_milliseconds(spark):
+    at = lambda us: datetime(2024, 1, 1, 7, 35, us // 10**6, us % 10**6)
+    pts = spark.createDataFrame([("t", at(6_870_520), 1), ("t", at(31_015_644), 2)], "k string, ts timestamp, price int")
+    # by floors 12,073 and 12,072 ms; rounded 12,072 and 12,073
+    assert [r.point.price for r in prices.as_of(spark.createDataFrame([("t", at(18_943_184))], "k string, ts timestamp"), pts, ["k"]).collect()] == [1]
+
+
 def test_tick_prices():
     assert rational.sqrt_at_tick(0) == 2**96
     assert rational.sqrt_at_tick(-887272) == 4295128739
