@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.commits import CommitLog
+from ledgerlake.operators.commits import PLACE, CommitLog, placed, splits
 from ledgerlake.operators.identity import last_wins
 from ledgerlake.operators.selection import gaps
 
@@ -30,22 +32,41 @@ def _inside(source: str, first: Column, last: Column) -> Column:
     return (F.col("ingestion_source") == source) & F.col("block").between(first, last)
 
 
-def replace_overlap(facts: DataFrame, fresh: DataFrame, windows: DataFrame, source: str) -> DataFrame:
+def replace_overlap(facts: DataFrame, fresh: DataFrame, windows: DataFrame, source: str, place: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Facts with own-source rows of each account's window replaced by a new collection; rows of other sources stay.
 
     windows: chain_id, address, start, end, any number for an account.
     """
-    w = windows.select(F.col("chain_id").alias("__chain"), F.col("address").alias("__account"), "start", "end")
-    of = lambda rows: (rows["chain_id"] == w["__chain"]) & (rows["address"] == w["__account"])
-    stay = facts.join(w, of(facts) & (facts["ingestion_source"] == source) & facts["block"].between(w["start"], w["end"]), "left_anti")
-    new = fresh.join(w, of(fresh) & fresh["block"].between(w["start"], w["end"]), "left_semi").select(*facts.columns)
-    return upsert(stay, new)
+    w = _windows(windows)
+    new = fresh.join(w, _of(fresh, w) & fresh["block"].between(w["start"], w["end"]), "left_semi").select(*facts.columns)
+    return upsert(left_over(facts, windows, source), new, place=place)
+
+
+def _windows(windows: DataFrame) -> DataFrame:
+    return windows.select(F.col("chain_id").alias("__chain"), F.col("address").alias("__account"), "start", "end")
+
+
+def _of(rows: DataFrame, w: DataFrame) -> Column:
+    return (rows["chain_id"] == w["__chain"]) & (rows["address"] == w["__account"])
 
 
-def upsert(facts: DataFrame, fresh: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Facts with fresh rows added or overwritten by identity."""
+def left_over(facts: DataFrame, windows: DataFrame, source: str) -> DataFrame:
+    """Facts without own-source rows of the windows. Only those that can be in a window, by source and by the blocks of all, are joined to them."""
+    w = _windows(windows)
+    edge = windows.agg(F.min("start").alias("__low"), F.max("end").alias("__high"))
+    told = facts.crossJoin(F.broadcast(edge)).withColumn("__near", F.coalesce(_inside(source, F.col("__low"), F.col("__high")), F.lit(False))).drop("__low", "__high")
+    near, far = told.filter("__near").drop("__near"), told.filter("not __near").drop("__near")
+    return far.unionByName(near.join(w, _of(near, w) & near["block"].between(w["start"], w["end"]), "left_anti"))
+
+
+def upsert(facts: DataFrame, fresh: DataFrame, key: list[str] | None = None, place: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Facts with fresh rows added or overwritten by identity.
+
+    place: deals rows to tasks by a hash of their key (:func:`commits.placed`), whose columns the result has, too; it is then the only shuffle.
+    """
     both = facts.withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
-    return last_wins(both, key or KEY, ["__new"]).drop("__new").select(*facts.columns)
+    at = PLACE if place else []
+    return last_wins(place(both) if place else both, [*at, *(key or KEY)], ["__new"]).select(*at, *facts.columns)
 
 
 def upsert_counts(facts: DataFrame, fresh: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -95,7 +116,10 @@ def commit_windows(log: CommitLog, fresh: DataFrame, windows: DataFrame, source:
     span = windows.select("chain_id", F.explode(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH))).alias("k")).select("chain_id", (F.col("k") * WIDTH).alias("block"))
     touched, near = names(span, bucket), names(windows, scope)
     old = log.read("facts", now, touched)
-    facts = replace_overlap(old.select(*fresh.columns) if old is not None else fresh.limit(0), fresh, windows, source)
+    old = old.select(*fresh.columns) if old is not None else fresh.limit(0)
+    sizes = fresh.select(bucket.alias("b")).unionByName(old.select(bucket.alias("b"))).groupBy("b").count().collect()  # a row a bucket
+    place = lambda rows: placed(rows, bucket, KEY, splits(r["count"] for r in sizes))
+    facts = replace_overlap(old, fresh, windows, source, place)
     held = log.read("scopes", now, near)
     held = windows.sparkSession.createDataFrame([], SCOPES) if held is None else held
     asked = windows.groupBy("chain_id", "address").agg(F.max("target_block").alias("__target"))
@@ -104,7 +128,7 @@ def commit_windows(log: CommitLog, fresh: DataFrame, windows: DataFrame, source:
     told = windows.select("chain_id", "address", "start", "end", F.lit(run_id).alias("run_id"))
     runs = run_rows(windows, run_id).join(fresh.groupBy("chain_id", "address").agg(F.count("*").alias("records")), ["chain_id", "address"], "left")
     day = F.lit("all")
-    written = {"facts": (facts.schema, dict.fromkeys(touched, []) | log.write("facts", facts, bucket)), "scopes": (scopes.schema, log.write("scopes", scopes, scope))}
+    written = {"facts": (fresh.schema, dict.fromkeys(touched, []) | log.write("facts", facts, bucket)), "scopes": (scopes.schema, log.write("scopes", scopes, scope))}
     added = {"windows": (told.schema, log.write("windows", told, day)), "runs": (runs.schema, log.write("runs", runs, day))}
     return log.commit(now, written, added)
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlake.lineage import shared_dir
+from ledgerlake.lineage import shared_dir, stored
 from ledgerlake.operators import identity, maintenance
 from ledgerlake.operators.commits import CommitLog
 from ledgerlake.operators.prices import SCOPE
@@ -33,8 +33,9 @@ def _timed(facts):
 
 def _first(spark, d):
     """Transfers, one of each identity."""
-    t = v.transfers(spark, d).withColumn("identity", F.concat_ws(":", "chain_id", "tx_hash", "log_index", "token_address")).withColumn("n", F.col("amount").cast("bigint"))
-    return identity.first_wins(t, ["chain_id", "address", "identity"], ["n", "block", "from_address", "to_address", "ingestion_source"]).drop("n")
+    t = v.transfers(spark, d).withColumn("amount", F.col("amount").cast("bigint"))
+    first = identity.first_wins(t, ["chain_id", "address", "tx_hash", "log_index", "token_address"], ["amount", "block", "from_address", "to_address", "ingestion_source"])
+    return stored(first.withColumns({"identity": F.concat_ws(":", "chain_id", "tx_hash", "log_index", "token_address"), "amount": F.col("amount").cast("string")}))
 
 
 @query(f"""SELECT address, identity, CASE WHEN log_index = 3 THEN amount || '0' ELSE CAST(amount AS VARCHAR) END AS amount FROM {_FIRST}""")
@@ -55,7 +56,7 @@ def sunk_facts(spark, d):
 def atomic_sync(spark, d):
     """Facts, cursors, windows and runs of three sync runs, each one commit; the second finds some facts gone."""
     t = _first(spark, d)
-    log, accounts = CommitLog(spark, _scratch(spark)), t.select(*KEY).distinct()
+    log, accounts = CommitLog(spark, _scratch(spark)), stored(t.select(*KEY).distinct())
     spans = {"r1": (0, 999), "r2": (988, 1399), "r3": (1400, 9999)}
     for name, (first, last) in spans.items():
         fresh = t.filter(F.col("block").between(first, last) & (F.lit(name != "r2") | (F.col("ingestion_source") != "own") | (F.col("log_index") != 2)))

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlake.functions import u256
 from ledgerlake.operators import maintenance
-from ledgerlake.operators.commits import CommitLog, Conflict
+from ledgerlake.operators.commits import CommitLog, Conflict, placed, splits
 from ledgerlake.operators.ledger import watched
 from ledgerlake.operators.prices import SCOPE
 
@@ -45,12 +45,15 @@ class FactSink:
     query id, which stays the same over restarts from a checkpoint; calls from outside a stream are told by ``query``, or
     else by the sink. Of two writers that meet, one merges anew. Facts are merged within their bucket, so an identity that
     moves between buckets needs its old window collected anew.
+
+    With a ``key``, ``merge`` is told by ``place`` how to deal rows to the tasks that write them, so that a batch is one shuffle.
     """
 
     TABLE = "facts"
 
-    def __init__(self, path: str, merge: Callable[..., DataFrame], bucket: Column | None = None):
+    def __init__(self, path: str, merge: Callable[..., DataFrame], bucket: Column | None = None, key: list[str] | None = None):
         self.path, self.merge, self.bucket, self.own = path, merge, block_bucket() if bucket is None else bucket, uuid.uuid4().hex
+        self.key = key
 
     def log(self, spark: SparkSession) -> CommitLog:
         return CommitLog(spark, self.path)
@@ -65,27 +68,33 @@ class FactSink:
         log = self.log(spark)
         return log.read(self.TABLE, log.snapshot(None if before is None else before - 1), buckets)
 
-    def touched(self, batch: DataFrame, windows: DataFrame | None = None) -> set[str]:
-        """Buckets of the facts of a batch, and of the blocks of its windows."""
-        found = batch.select(self.bucket.alias("bucket"))
+    def touched(self, batch: DataFrame, windows: DataFrame | None = None) -> dict[str, int]:
+        """Buckets of the facts of a batch, and of the blocks of its windows, with the number of facts."""
+        found = batch.select(self.bucket.alias("bucket"), F.lit(1).alias("n"))
         if windows is not None:
             starts = F.array_distinct(F.transform(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH)), lambda k: k * WIDTH))
-            found = found.unionByName(windows.select("chain_id", F.explode(starts).alias("block")).select(self.bucket.alias("bucket")))
-        return {r.bucket for r in found.distinct().collect()}  # names of buckets, not facts
+            found = found.unionByName(windows.select("chain_id", F.explode(starts).alias("block")).select(self.bucket.alias("bucket"), F.lit(0).alias("n")))
+        return {r.bucket: r.n for r in found.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # names of buckets, not facts
 
     def __call__(self, batch: DataFrame, batch_id: int, *more: DataFrame, query: str | None = None) -> None:
         spark = batch.sparkSession
         log, stream = self.log(spark), query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or self.own
+        if log.snapshot().applied.get(stream, -1) >= batch_id:
+            return
         touched = self.touched(batch, *more)
         for _ in range(TRIES):
             now = log.snapshot()
             if now.applied.get(stream, -1) >= batch_id:
                 return
-            old = log.read(self.TABLE, now, touched)
-            rows = self.merge(old.select(*batch.columns) if old is not None else batch.limit(0), batch, *more)
+            old = log.read(self.TABLE, now, set(touched))
+            old = old.select(*batch.columns) if old is not None else batch.limit(0)
+            held = {r.bucket: r["count"] for r in old.groupBy(self.bucket.alias("bucket")).count().collect()}  # a row a bucket
+            n = splits(x + held.get(b, 0) for b, x in touched.items())
+            place = {"place": lambda rows: placed(rows, self.bucket, self.key, n)} if self.key else {}  # noqa: B023
+            rows = self.merge(old, batch, *more, **place)
             parts = dict.fromkeys(touched, []) | log.write(self.TABLE, rows, self.bucket)
             try:
-                log.commit(now, {self.TABLE: (rows.schema, parts)}, batch=(stream, batch_id))
+                log.commit(now, {self.TABLE: (batch.schema, parts)}, batch=(stream, batch_id))
                 return
             except Conflict:
                 continue
@@ -93,7 +102,7 @@ class FactSink:
 
 
 def upsert_sink(path: str, key: list[str] | None = None, bucket: Column | None = None) -> FactSink:
-    return FactSink(path, lambda old, new: maintenance.upsert(old, new, key), bucket)
+    return FactSink(path, lambda old, new, place: maintenance.upsert(old, new, key, place), bucket, key or maintenance.KEY)
 
 
 def overlap_sink(path: str, source: str) -> FactSink:
@@ -104,12 +113,12 @@ def overlap_sink(path: str, source: str) -> FactSink:
     Facts outside the windows are upserted.
     """
 
-    def merge(old: DataFrame, new: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+    def merge(old: DataFrame, new: DataFrame, windows: DataFrame | None = None, *, place: Callable[[DataFrame], DataFrame]) -> DataFrame:
         if windows is None:
             windows = new.select("chain_id", "address", F.col("block").alias("start"), F.col("block").alias("end")).distinct()
-        return maintenance.upsert(maintenance.replace_overlap(old, new.limit(0), windows, source), new)
+        return maintenance.upsert(maintenance.left_over(old, windows, source), new, place=place)
 
-    return FactSink(path, merge)
+    return FactSink(path, merge, key=maintenance.KEY)
 
 
 def price_sink(path: str) -> FactSink:
