@@ -6,8 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlake.lineage import stored
 from ledgerlake.operators import identity
 
+#: Blocks of a scope whose counts one task sums, and rows for which there is one task more.
+SPAN, TASK_ROWS = 10_000, 100_000
+
+
+def parts(rows: int) -> int:
+    """Tasks for so many rows, so that the memory of one stays the same whatever the tables' size."""
+    return max(1, -(-rows // TASK_ROWS))
+
 
 def in_blocks(facts: DataFrame, first: int, last: int) -> DataFrame:
     return facts.filter(F.col("block").between(first, last))
@@ -141,34 +150,39 @@ def halved(facts: DataFrame, ranges: DataFrame, most: int) -> DataFrame:
     facts is cut in two, the first half one block longer where its length is odd. A single block of more facts stays, and is told by
     ``over``. The windows of a range cover it exactly; a range of which first is after last has none.
 
-    All scopes at once: counts by block give those of every window above it in the tree of halves, as partial sums, so a
-    scope with very many facts is not one task. Windows are then the halves of the crowded ones that are not crowded
-    themselves.
+    All scopes at once: each block's count goes to every window above it in the tree of halves, by the half that holds the
+    block, so that a window's sum tells both of its halves and no window is looked up again. Counts are summed for SPAN blocks
+    of a scope first, so a scope with very many facts is not one task; tasks grow in number with the counts.
     """
     scope = [c for c in ranges.columns if c not in ("first", "last")]
-    asked = ranges.filter("first <= last").distinct()
-    counts = facts.groupBy(*scope, "block").agg(F.count("*").alias("n"))
-    inside = counts.join(asked, scope).filter("block between first and last")
+    asked = ranges.filter("first <= last").distinct().withColumns({c: F.col(c).cast("bigint") for c in ("first", "last")})
+    counts = stored(facts.groupBy(*scope, "block").agg(F.count("*").alias("n")))
+    tasks = parts(counts.count())
+    inside = counts.join(asked, scope).filter("block between first and last").withColumn("__span", F.floor(F.col("block") / SPAN)).repartition(tasks, *scope, "__span")
+    window = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
     half = lambda w: w["lo"] + F.floor((w["hi"] - w["lo"]) / 2).cast("bigint")
-    window = lambda lo, hi: F.struct(lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"))
 
     def below(path: Column) -> Column:
-        """The path from the whole range with the half of its last window that holds the block."""
+        """The path from the whole range with the half of its last window that holds the block, while that can be halved itself."""
         w = F.element_at(path, -1)
         left = F.col("block") <= half(w)
-        return F.concat(path, F.array(F.when(w["lo"] == w["hi"], w).otherwise(window(F.when(left, w["lo"]).otherwise(half(w) + 1), F.when(left, half(w)).otherwise(w["hi"])))))
+        inner = window(F.when(left, w["lo"]).otherwise(half(w) + 1), F.when(left, half(w)).otherwise(w["hi"]))
+        return F.when(inner["lo"] < inner["hi"], F.concat(path, F.array(inner))).otherwise(path)
 
     depth = F.ceil(F.log2((F.col("last") - F.col("first") + 1).cast("double"))).cast("int") + 1  # one more than doubles may round off
     path = F.aggregate(F.sequence(F.lit(1), depth), F.array(window(F.col("first"), F.col("last"))), lambda done, _: below(done))
     key = [*scope, "first", "last"]
-    nodes = inside.select(*key, "n", F.explode(F.array_distinct(path)).alias("w")).groupBy(*key, "w.lo", "w.hi").agg(F.sum("n").alias("n"))
-    crowded = nodes.filter((F.col("n") > most) & (F.col("lo") < F.col("hi")))
+    node = [*key, "lo", "hi"]
     mid = F.col("lo") + F.floor((F.col("hi") - F.col("lo")) / 2).cast("bigint")
-    halves = crowded.select(*key, F.explode(F.array(window(F.col("lo"), mid), window(mid + 1, F.col("hi")))).alias("w")).select(*key, "w.lo", "w.hi")
-    met = halves.unionByName(asked.select(*key, F.col("first").cast("bigint").alias("lo"), F.col("last").cast("bigint").alias("hi")))
-    told = met.join(nodes, [*key, "lo", "hi"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    done = told.filter((F.col("n") <= most) | (F.col("lo") == F.col("hi")))
-    return done.select(*key, F.col("lo").alias("start"), F.col("hi").alias("end"), F.col("n").alias("records"), (F.col("n") > most).alias("over"))
+    met = inside.select(*key, "__span", "block", "n", F.explode(F.array_distinct(path)).alias("w")).select(*key, "__span", "block", "n", "w.lo", "w.hi")
+    some = met.groupBy(*scope, "__span", "first", "last", "lo", "hi").agg(*[F.sum(F.when(x, F.col("n")).otherwise(0)).alias(c) for c, x in (("l", F.col("block") <= mid), ("r", F.col("block") > mid))])
+    none = asked.select(*key, F.col("first").alias("lo"), F.col("last").alias("hi"), F.lit(0).cast("bigint").alias("l"), F.lit(0).cast("bigint").alias("r"))
+    sums = some.drop("__span").unionByName(none).repartition(tasks, *node).groupBy(*node).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    piece = lambda lo, hi, n: F.struct(lo.alias("start"), hi.alias("end"), n.alias("records"))
+    n, single = F.col("l") + F.col("r"), F.col("lo") == F.col("hi")
+    whole = F.when((F.col("lo") == F.col("first")) & (F.col("hi") == F.col("last")) & ((n <= most) | single), F.array(piece(F.col("lo"), F.col("hi"), n)))
+    halves = F.when((n > most) & ~single, F.filter(F.array(piece(F.col("lo"), mid, F.col("l")), piece(mid + 1, F.col("hi"), F.col("r"))), lambda p: (p["records"] <= most) | (p["start"] == p["end"])))
+    return sums.select(*key, F.explode(F.coalesce(whole, halves)).alias("w")).select(*key, "w.*", (F.col("w.records") > most).alias("over")).repartition(tasks, *scope)
 
 
 def exact_cover(windows: DataFrame, scope: list[str], first: str, last: str) -> DataFrame:

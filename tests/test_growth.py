@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import commits, maintenance
+from ledgerlake.operators import commits, maintenance, selection
 
 
 def exchanges(df) -> int:
@@ -33,3 +33,16 @@ def test_facts_that_no_window_can_hold_stay(spark):
     windows = spark.createDataFrame([(1, "a", 0, 9), (1, "c", 10, 40)], "chain_id bigint, address string, start bigint, end bigint")
     assert sorted(r.identity for r in maintenance.left_over(old, windows, "own").collect()) == ["u", "w", "y", "z"]
     assert maintenance.left_over(old, windows.limit(0), "own").count() == 5
+
+
+def test_tasks_of_halved_windows_grow_with_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(selection, "TASK_ROWS", 10)
+    rows = spark.createDataFrame([("a", b, 0) for b in range(70)] + [("b", 5, 0)] * 3, "scope string, block bigint, x int")
+    ranges = spark.createDataFrame([("a", 0, 99), ("b", 5, 5), ("c", 3, 9), ("c", 9, 3)], "scope string, first bigint, last bigint")
+    found = selection.halved(rows, ranges, 2)
+    assert found.rdd.getNumPartitions() == 8  # of 71 counts
+    got = {(r.scope, r.start, r.end): (r.records, r.over) for r in found.collect()}
+    assert got["b", 5, 5] == (3, True) and got["c", 3, 9] == (0, False) and ("c", 9, 3) not in got
+    mine = sorted(k[1:] for k in got if k[0] == "a")
+    assert mine[0][0] == 0 and mine[-1][1] == 99 and all(x[1] + 1 == y[0] for x, y in zip(mine, mine[1:]))
+    assert all(got["a", lo, hi][0] == max(0, min(hi, 69) - lo + 1) <= 2 for lo, hi in mine)
