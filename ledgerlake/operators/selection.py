@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ledgerlake.lineage import stored
 from ledgerlake.operators import identity
+from ledgerlake.operators.ledger import sieved
 
 #: Blocks of a scope whose counts one task sums, and rows for which there is one task more.
 SPAN, TASK_ROWS = 10_000, 100_000
@@ -23,8 +24,9 @@ def in_blocks(facts: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def for_accounts(facts: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Facts of a set of accounts: a semi join on (chain_id, address)."""
-    return facts.join(accounts.select("chain_id", "address").distinct(), ["chain_id", "address"], "left_semi")
+    """Facts of a set of accounts: a semi join on (chain_id, address), for which only facts that may match are shuffled."""
+    few = accounts.select("chain_id", "address").distinct()
+    return sieved(facts, few, few.columns).join(few, few.columns, "left_semi")
 
 
 def for_tokens(facts: DataFrame, tokens: list[str]) -> DataFrame:
@@ -213,8 +215,8 @@ def closed_range(kind: str, rows: DataFrame, accounts: DataFrame, chain_id: int,
     if kind == "transactions":
         return identity.first_wins(for_accounts(rows, accounts), ["chain_id", "address", "tx_hash"], order).orderBy(*transaction_order())
     if kind == "internals":
-        once = identity.dedup_internals(rows.drop("address"), order)
-        return involving(once, accounts).orderBy("block", "tx_hash", "trace_id", "address")
+        # both sides are in the key, so that rows of other accounts need no dedup
+        return identity.first_wins(involving(rows.drop("address"), accounts), ["chain_id", "address", *identity.INTERNAL_KEY], order).orderBy("block", "tx_hash", "trace_id", "address")
     if kind == "withdrawals":
         return identity.dedup_withdrawals(for_accounts(rows, accounts), order).orderBy("block", "withdrawal_index")
     raise ValueError(f"no such kind: {kind}")

@@ -50,7 +50,7 @@ def test_tasks_of_halved_windows_grow_with_their_counts(spark, monkeypatch):
     assert all(got["a", lo, hi][0] == max(0, min(hi, 69) - lo + 1) <= 2 for lo, hi in mine)
 
 
-@pytest.mark.parametrize("name", ["overlap_replacement", "deduplicated_transfers", "all_interest_settlement", "interest_settlement"])
+@pytest.mark.parametrize("name", ["overlap_replacement", "deduplicated_transfers", "all_interest_settlement", "interest_settlement", "complete_ranges"])
 def test_facts_that_several_steps_read_are_joined_once(spark, name):
     df = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")
     assert df.inputFiles() and not any("lineitem" in f for f in df.inputFiles())
