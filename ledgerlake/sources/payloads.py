@@ -36,7 +36,8 @@ def triage(envelopes: DataFrame, kind: str = "transactions") -> DataFrame:
     An envelope of status 0 is empty only if its message, or its result where that is text, says so in the words of its
     kind; any other is an error, an empty list or not.
     """
-    rows = envelopes.withColumn("e", F.from_json("body", "status string, message string, result string"))
+    # through a generator, so that filters on its fields are not pushed below it and parse once more for each
+    rows = envelopes.select("*", F.explode(F.array(F.from_json("body", "status string, message string, result string"))).alias("e"))
     told = F.when(~F.col("e.result").startswith("["), F.col("e.result"))
     said = F.lower(F.concat_ws(" ", "e.message", told))
     nothing = said.rlike(NOTHING.get(kind, NOTHING["transfers"]))
@@ -50,7 +51,12 @@ def rows_of(envelopes: DataFrame, kind: str) -> DataFrame:
     # two fields of withdrawals differ only in case, which column names do not tell apart
     text = F.regexp_replace("result", r'"timeStamp"\s*:', '"time_stamp":') if kind == "withdrawals" else F.col("result")
     typed = ok.withColumn("__rows", F.from_json(text, f"array<{EXPLORER[kind]}>")).drop("result")
-    return typed.select(*[c for c in typed.columns if c != "__rows"], F.posexplode("__rows").alias("ordinal", "r"))
+    return _each(typed, [c for c in typed.columns if c != "__rows"], F.col("__rows"))
+
+
+def _each(rows: DataFrame, keep: list[str], records: Column) -> DataFrame:
+    """ordinal and r, the elements of an array; the outer form, as the other one makes Spark parse once more for a filter of empty arrays."""
+    return rows.select(*keep, F.posexplode_outer(records).alias("ordinal", "r")).filter("ordinal is not null")
 
 
 def explorer_transactions(rows: DataFrame, provider: str) -> DataFrame:
@@ -139,7 +145,8 @@ def rpc_transfers(pages: DataFrame, provider: str, category: str = "erc20") -> D
 def _explode(pages: DataFrame, path: str, kind: str) -> DataFrame:
     outer, _, inner = path.partition(".")
     shape = f"{outer} struct<{inner}:array<{kind}>>" if inner else f"{outer} array<{kind}>"
-    return pages.select("chain_id", F.posexplode(F.from_json("body", shape)[outer][inner] if inner else F.from_json("body", shape)[outer]).alias("ordinal", "r"))
+    found = F.from_json("body", shape)[outer]
+    return _each(pages, ["chain_id"], found[inner] if inner else found)
 
 
 def _with_block(rows: DataFrame) -> DataFrame:

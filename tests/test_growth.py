@@ -54,3 +54,9 @@ def test_tasks_of_halved_windows_grow_with_their_counts(spark, monkeypatch):
 def test_facts_that_several_steps_read_are_joined_once(spark, name):
     df = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")
     assert df.inputFiles() and not any("lineitem" in f for f in df.inputFiles())
+
+
+@pytest.mark.parametrize(("name", "parses"), [("explorer_transfer_payloads", 2), ("explorer_internal_payloads", 2)])
+def test_a_payload_is_parsed_once(spark, name, parses):
+    df = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == parses  # the envelope and its records
