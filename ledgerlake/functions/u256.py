@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIGITS = 26
@@ -35,6 +35,35 @@ def parse(text: Column) -> Column:
     return F.when(short.isNotNull(), limbs(zero, zero, short)).when(text.rlike(r"^-?[0-9]{27,78}$"), limbs(part(0), part(1), part(2)))
 
 
+#: Columns of nine digits each, the lowest first: sums of these are sums of longs, for steps that see every fact.
+NINES = tuple(f"__n{k}" for k in range(9))
+
+
+def in_nines(rows: DataFrame, text: str, minus: Column) -> DataFrame:
+    """rows with a decimal text of at most 78 digits as NINES instead, negated where ``minus``; zero for anything else.
+
+    Sums of them hold for up to 9 * 10^9 rows. Numbers of up to 18 digits are read as one long.
+    """
+    t, keep = F.col(text), [c for c in rows.columns if c != text]
+    read = rows.select(*keep, F.when(minus, -1).otherwise(1).cast("bigint").alias("__sign"), F.when(t.rlike("^-?[0-9]{1,18}$"), t.cast("bigint")).alias("__long"), F.when(t.rlike("^-?[0-9]{19,78}$"), t).alias("__wide"))
+    digits = F.when(F.col("__wide").isNotNull(), F.lpad(F.regexp_replace("__wide", "^-", ""), 81, "0"))
+    read = read.select(*keep, F.when(F.col("__wide").startswith("-"), -F.col("__sign")).otherwise(F.col("__sign")).alias("__sign"), "__long", digits.alias("__wide"))
+    part = lambda k: F.when(F.col("__wide").isNotNull(), F.substring("__wide", 73 - 9 * k, 9).cast("bigint"))
+    low = {0: F.col("__long") % 10**9, 1: F.expr("__long div 1000000000")}
+    return read.select(*keep, *[(F.col("__sign") * F.coalesce(*[x for x in (low.get(k), part(k)) if x is not None], F.lit(0).cast("bigint"))).alias(n) for k, n in enumerate(NINES)])
+
+
+def nines_text(at: str = "") -> Column:
+    """Canonical decimal string of sums of NINES; ``at`` goes before their names."""
+    n = [F.col(at + c) for c in NINES]
+    short = (F.abs(n[0]) < 10**18) & (F.abs(n[1]) < 10**9)
+    for c in n[2:]:
+        short = short & (c == 0)
+    times = lambda c, k: (c.cast(LIMB) * F.lit("1" + "0" * k).cast(LIMB)).cast(LIMB)
+    parts = [times(n[6], 2) + times(n[7], 11) + times(n[8], 20), times(n[3], 1) + times(n[4], 10) + times(n[5], 19), n[0].cast(LIMB) + times(n[1], 9) + times(n[2], 18)]
+    return F.when(short, (n[1] * 10**9 + n[0]).cast("string")).otherwise(_render(limbs(*parts)))
+
+
 def of_long(value: Column) -> Column:
     return limbs(F.lit(0), F.lit(0), value)
 

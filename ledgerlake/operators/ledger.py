@@ -43,6 +43,9 @@ def entries(transfers: DataFrame, *more: str) -> DataFrame:
     return rows.select("chain_id", "token_address", *more, F.explode(sides).alias("e")).select("chain_id", "e.address", "token_address", *more, "e.gained", "e.lost").filter("address is not null")
 
 
+#: Marks of an account up to which its moves are joined to all of them.
+FEW = 128
+
 #: Bits of a sieve of keys, and rows of it that are broadcast at most.
 SIEVE = 1 << 20
 
@@ -184,6 +187,33 @@ def balance_history(transfers: DataFrame) -> DataFrame:
     return rendered(sums, amount="balance")
 
 
+def moves(transfers: DataFrame) -> DataFrame:
+    """chain_id, address, token_address, block, amount and lost: both sides of each transfer, amounts as they are."""
+    side = lambda c, lost: F.struct(F.col(c).alias("address"), F.lit(lost).alias("lost"))
+    rows = transfers.select("chain_id", "token_address", "block", "amount", F.explode(F.array(side("to_address", False), side("from_address", True))).alias("e"))
+    return rows.select("chain_id", "e.address", "token_address", "block", "amount", "e.lost").filter("address is not null")
+
+
+def standing(moved: DataFrame, marks: DataFrame) -> DataFrame:
+    """chain_id, address, token_address, block and amount of each token moved by then, at each mark of an account.
+
+    moved: rows as of :func:`moves`, and until, the block from which a row says no more (null: never), by which the
+    rows of one account fall into histories of their own. marks: chain_id, address, block. All steps are by account, so
+    that moves shuffle once and are sorted once: a running sum by token holds from its block to the next one, and is
+    joined to the marks between. Meant for accounts with few marks (:data:`FEW`).
+    """
+    # address first: a sort tells most rows apart by the beginning of its first column
+    key = ["address", "chain_id"]
+    ordered = moved.select(*key, "token_address", "until", "block", "amount", "lost").repartition(*key).sortWithinPartitions(*key, "token_address", "until", "block")
+    rows = u256.in_nines(ordered, "amount", F.col("lost")).drop("lost")
+    by = Window.partitionBy(*key, "token_address", "until").orderBy("block")
+    run = by.rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.select(*key, "token_address", "block", F.coalesce(F.lead("block").over(by), "until").alias("__next"), *[F.sum(n).over(run).alias(n) for n in u256.NINES]).filter("__next is null or __next > block")
+    at = marks.select(*key, F.col("block").alias("__mark"))
+    held = sums.join(at.hint("merge"), key).filter("__mark >= block and (__next is null or __mark < __next)")
+    return held.select("chain_id", "address", "token_address", F.col("__mark").alias("block"), u256.nines_text().alias("amount"))
+
+
 def by_block(rows: DataFrame, marks: DataFrame, key: list[str], mode: str, places: DataFrame | None = None) -> DataFrame:
     """As-of lookup by block number, in buckets of 10,000 blocks."""
     return as_of(rows, marks, key, mode, at="block", position=F.col("block").cast("bigint"), width=10_000, unit=1, places=places)

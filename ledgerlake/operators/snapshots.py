@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,7 +14,7 @@ from pyspark.sql.window import Window
 from ledgerlake.functions import u256
 from ledgerlake.lineage import cut
 from ledgerlake.operators.asof import as_of
-from ledgerlake.operators.ledger import at_marks, block_deltas, block_sums, by_block, rendered, running_sums, sums_at, touched_blocks
+from ledgerlake.operators.ledger import FEW, at_marks, block_deltas, block_sums, by_block, moves, rendered, running_sums, standing, sums_at, touched_blocks, watched
 
 EVENTS, BLOCKS = 10_000, 10_000
 KEY = ["chain_id", "address"]
@@ -47,15 +48,16 @@ def _walked(counts: DataFrame, events: int, blocks: int) -> DataFrame:
         closed = lambda: (*account, last, seen > 0, begin, seen)
         for batch in batches:
             out: list[tuple] = []
-            chain, address = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            chain, address = batch.column(0), batch.column(1)
             block, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            starts = [0, *(i for i in range(1, len(chain)) if address[i] != address[i - 1] or chain[i] != chain[i - 1])] if chain else []
-            for lo, hi in zip(starts, [*starts[1:], len(chain)], strict=True):
-                if (chain[lo], address[lo]) != account:
+            other = lambda c: pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            starts = [0, *(np.flatnonzero(other(address) | other(chain)) + 1).tolist()] if len(block) else []
+            for lo, hi in zip(starts, [*starts[1:], len(block)], strict=True):
+                if (now := (chain[lo].as_py(), address[lo].as_py())) != account:
                     if account is not None:
                         out.append(closed())
                     before, held = batch.column(4)[lo].as_py(), batch.column(5)[lo].as_py()
-                    account, begin, seen = (chain[lo], address[lo]), int(block[lo]) if before is None else before, held or 0
+                    account, begin, seen = now, int(block[lo]) if before is None else before, held or 0
                 b, sums = block[lo:hi], np.cumsum(n[lo:hi])
                 at, done = 0, 0
                 while at < len(b):
@@ -69,7 +71,7 @@ def _walked(counts: DataFrame, events: int, blocks: int) -> DataFrame:
         if account is not None:
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(closed(), types, strict=True)], names)
 
-    ordered = counts.repartition(*KEY).sortWithinPartitions(*KEY, "block").select(*KEY, "block", "n", "begin", "seen")
+    ordered = counts.repartition("address", "chain_id").sortWithinPartitions("address", "chain_id", "block").select(*KEY, "block", "n", "begin", "seen")
     return ordered.mapInArrow(walk, "chain_id bigint, address string, block bigint, is_boundary boolean, begin bigint, seen bigint")
 
 
@@ -102,14 +104,14 @@ def _pointed(counts: DataFrame, events: int, blocks: int) -> DataFrame:
     return cuts.select(*KEY, "block", F.lit(True).alias("is_boundary"), none.alias("begin"), none.alias("seen")).unionByName(state.select(*KEY, "block", (F.col("seen") > 0).alias("is_boundary"), "begin", "seen"))
 
 
-def _counts(sums: DataFrame) -> DataFrame:
-    """chain_id, address, block and n, its facts, from :func:`ledger.block_sums`."""
-    return sums.groupBy(*KEY, "block").agg(F.sum("n").alias("n"))
+def _counts(transfers: DataFrame) -> DataFrame:
+    """chain_id, address, block and n, the facts of an account in a block; one of an account to itself counts once."""
+    return watched(transfers.select("chain_id", "from_address", "to_address", "block")).filter("address is not null").groupBy(*KEY, "block").agg(F.count("*").alias("n"))
 
 
-def _boundaries(sums: DataFrame, events: int, blocks: int) -> DataFrame:
+def _boundaries(counts: DataFrame, events: int, blocks: int) -> DataFrame:
     nothing = F.lit(None).cast("bigint")
-    rows = _segments(_counts(sums).withColumn("begin", nothing).withColumn("seen", nothing), events, blocks)
+    rows = _segments(counts.withColumn("begin", nothing).withColumn("seen", nothing), events, blocks)
     return rows.filter("is_boundary").select(*KEY, "block").distinct()
 
 
@@ -118,14 +120,35 @@ def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS)
 
     One falls at a block's end when ``events`` facts or ``blocks`` blocks came since the last, and at the last block.
     """
-    return _boundaries(block_sums(transfers), events, blocks)
+    return _boundaries(cut(_counts(transfers)), events, blocks)
+
+
+def _hubs(counts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Accounts of more than LARGE facts or FEW marks: their histories are cut up by as-of lookups; others shuffle once, whole."""
+    much = counts.groupBy(*KEY).agg(F.sum("n").alias("__n")).filter(F.col("__n") > LARGE).select(*KEY)
+    many = marks.groupBy(*KEY).agg(F.count("*").alias("__n")).filter(F.col("__n") > FEW).select(*KEY)
+    return cut(much.unionByName(many).distinct())
+
+
+def _by(rows: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of accounts that are no hubs, and of hubs."""
+    return rows.join(hubs, KEY, "left_anti"), rows.join(hubs, KEY, "left_semi")
+
+
+def _forever(moved: DataFrame) -> DataFrame:
+    return moved.withColumn("until", F.lit(None).cast("bigint"))
 
 
 def take(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
-    """Snapshots at all boundaries. What moved in each block is summed once, for the boundaries and for the balances."""
-    sums = cut(block_sums(transfers))
-    at = cut(_boundaries(sums, events, blocks))
-    return rendered(sums_at(sums.drop("n"), at, sums.select(*KEY, "block")), amount="balance")
+    """Snapshots at all boundaries. Facts are counted by block for the boundaries, and summed for the balances."""
+    counts = cut(_counts(transfers))
+    at = cut(_boundaries(counts, events, blocks))
+    moved, hubs = _forever(moves(transfers)), _hubs(counts, at)
+    if hubs.isEmpty():
+        return standing(moved, at)
+    few, many = _by(at, hubs)
+    sums = cut(block_sums(transfers).drop("n").join(hubs, KEY, "left_semi"))
+    return standing(_by(moved, hubs)[0], few).unionByName(rendered(sums_at(sums, many, sums.select(*KEY, "block")), amount="balance"))
 
 
 def snapshots(transfers: DataFrame, at: DataFrame) -> DataFrame:
@@ -160,20 +183,18 @@ def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataF
     boundaries are those of one replay of everything, and in addition the last blocks of the earlier ones. Accounts
     without a pointer start at ``revision``.
     """
-    facts = cut(block_sums(transfers.filter(F.col("block") <= to_block)))
+    facts = transfers.filter(F.col("block") <= to_block)
     old = pointer.select(*KEY, F.col("as_of").alias("__as_of"), "begin", "seen", "revision")
+    since = old.select(*KEY, "__as_of")
     later = F.col("__as_of").isNull() | (F.col("block") > F.col("__as_of"))
-    counts = _counts(facts).join(old, KEY, "left").filter(later)
+    counts = cut(_counts(facts).join(old, KEY, "left").filter(later))
     rows = cut(_segments(counts, events, blocks))
     marks = rows.filter("is_boundary").select(*KEY, "block").distinct()
-    deltas = facts.drop("n").join(old.select(*KEY, "__as_of"), KEY, "left").filter(later).drop("__as_of")
-    placed = by_block(deltas, marks.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after", facts.select(*KEY, "block")).select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
     newest = taken.join(taken.groupBy(*KEY).agg(F.max("block").alias("block")), [*KEY, "block"])
-    first = marks.groupBy(*KEY).agg(F.min("block").alias("mark"))
-    held = newest.join(first, KEY).select(*KEY, "token_address", "mark", u256.parse(F.col("amount")).alias("delta"))
-    sums = running_sums(placed.unionByName(held), marks.withColumnRenamed("block", "mark"), KEY)
+    held = newest.join(marks.select(*KEY).distinct(), KEY, "left_semi").select(*KEY, "token_address", "block", "amount")
+    made = _resumed(facts, since, counts, marks, held)
     told = pointer.select(*KEY, "revision")
-    made = rendered(sums, amount="balance").join(told, KEY, "left").withColumn("revision", F.coalesce("revision", F.lit(revision)))
+    made = made.join(told, KEY, "left").withColumn("revision", F.coalesce("revision", F.lit(revision)))
     done = counts.groupBy(*KEY).agg(F.sum("n").alias("n"))
     ends = rows.filter("begin is not null").select(*KEY, F.col("block").alias("__block"), F.col("begin").alias("__begin"), F.col("seen").alias("__seen")).join(done, KEY)
     both = pointer.join(ends, KEY, "full")
@@ -181,6 +202,23 @@ def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataF
     return made.select(*KEY, "token_address", "block", "amount", "revision"), after
 
 
+def _resumed(facts: DataFrame, since: DataFrame, counts: DataFrame, marks: DataFrame, held: DataFrame) -> DataFrame:
+    """Balances at marks: what an account held (a snapshot's rows) plus what moved after its ``__as_of``."""
+    later = lambda rows: rows.join(since, KEY, "left").filter(F.col("__as_of").isNull() | (F.col("block") > F.col("__as_of"))).drop("__as_of")
+    both = lambda rows, held: _forever(later(rows).unionByName(held.withColumn("lost", F.lit(False))))
+    hubs = _hubs(counts, marks)
+    if hubs.isEmpty():
+        return standing(both(moves(facts), held), marks)
+    (few, many), (held, known) = _by(marks, hubs), _by(held, hubs)
+    sums = cut(block_sums(facts).drop("n").join(hubs, KEY, "left_semi"))
+    deltas = later(sums)
+    placed = by_block(deltas, many.select(*KEY, "block", F.col("block").alias("mark")), KEY, "after", sums.select(*KEY, "block")).select(*KEY, "token_address", F.col("point.mark").alias("mark"), "delta").filter("mark is not null")
+    first = many.groupBy(*KEY).agg(F.min("block").alias("mark"))
+    start = known.join(first, KEY).select(*KEY, "token_address", "mark", u256.parse(F.col("amount")).alias("delta"))
+    ran = rendered(running_sums(placed.unionByName(start), many.withColumnRenamed("block", "mark"), KEY), amount="balance")
+    return standing(both(_by(moves(facts), hubs)[0], held), few).unionByName(ran)
+
+
 def rebuild(transfers: DataFrame, to_block: int, taken: DataFrame, revision: int, from_block: int | None = None, events: int = EVENTS, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Snapshots and pointers of a new replay under a new revision, and how many old ones each account loses by it.
 
@@ -218,12 +256,31 @@ def at_block(taken: DataFrame, transfers: DataFrame, probes: DataFrame) -> DataF
     asked = probes.select(*KEY, F.col("at_block").alias("block")).distinct()
     edges = taken.select(*KEY, "block", F.col("block").alias("snapshot")).distinct()
     near = cut(by_block(asked, edges, KEY, "before").select(*KEY, "block", F.coalesce("point.snapshot", F.lit(NEVER)).alias("since")))
-    span = near.groupBy(*KEY).agg(F.min("since").alias("__low"), F.max("block").alias("__high"))
+    span = cut(near.groupBy(*KEY).agg(F.min("since").alias("__low"), F.max("block").alias("__high"), F.count("*").alias("__n")))
     near_facts = _within(transfers, span)
-    inside = block_deltas(near_facts).join(span, KEY).filter("block > __low and block <= __high").drop("__low", "__high")
+    counts = watched(near_facts.select("chain_id", "from_address", "to_address")).groupBy(*KEY).agg(F.count("*").alias("__facts"))
+    hubs = cut(span.join(counts, KEY, "left").filter((F.col("__n") > FEW) | (F.col("__facts") > LARGE)).select(*KEY))
+    if hubs.isEmpty():
+        return _stood(taken, near_facts, near)
+    few, many = _by(near, hubs)
+    return _stood(taken, near_facts, few).unionByName(_looked_up(taken, near_facts, many, _by(span, hubs)[1].drop("__n")))
+
+
+def _stood(taken: DataFrame, transfers: DataFrame, near: DataFrame) -> DataFrame:
+    """at_block for accounts with few probes: each snapshot and the moves up to its last probe are a history of their own."""
+    used = near.groupBy(*KEY, "since").agg((F.max("block") + 1).alias("until"))
+    spans = used.select(*KEY, "since", "until")
+    moved = moves(transfers).join(spans.hint("merge"), KEY).filter("block > since and block < until").drop("since")
+    held = taken.withColumnRenamed("block", "since").join(used, [*KEY, "since"]).select(*KEY, "token_address", F.col("since").alias("block"), "amount", F.lit(False).alias("lost"), "until")
+    return standing(moved.unionByName(held), near).withColumnRenamed("block", "at_block").select(*KEY, "token_address", "at_block", "amount")
+
+
+def _looked_up(taken: DataFrame, transfers: DataFrame, near: DataFrame, span: DataFrame) -> DataFrame:
+    """at_block by as-of lookups in buckets of blocks, for accounts with many probes or facts."""
+    inside = block_deltas(transfers).join(span, KEY).filter("block > __low and block <= __high").drop("__low", "__high")
     marks = near.select(*KEY, "block", "since")
     # probes that start from one snapshot follow each other without another's in between
-    placed = by_block(inside, marks, KEY, "after", touched_blocks(near_facts)).filter("block > point.since").select(*KEY, F.col("point.since").alias("since"), "token_address", F.col("point.block").alias("mark"), "delta")
+    placed = by_block(inside, marks, KEY, "after", touched_blocks(transfers)).filter("block > point.since").select(*KEY, F.col("point.since").alias("since"), "token_address", F.col("point.block").alias("mark"), "delta")
     moved = running_sums(placed, marks.withColumnRenamed("block", "mark"), [*KEY, "since"]).select(*KEY, "token_address", "block", F.col("balance").alias("x"))
     held = near.join(taken.withColumnRenamed("block", "since"), [*KEY, "since"]).select(*KEY, "token_address", "block", u256.parse(F.col("amount")).alias("x"))
     sums = held.unionByName(moved).groupBy(*KEY, "token_address", "block").agg(u256.sum_(F.col("x")).alias("balance"))

@@ -33,6 +33,11 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a replay reads of the transfers."""
+    return transfers(spark, sf_dir).select("chain_id", "from_address", "to_address", "token_address", "block", "amount")
+
+
 def minted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transfers of one token, of which first lines are mints and second ones are sent by the customer."""
     t = transfers(spark, sf_dir).withColumn("token_address", F.lit("t"))

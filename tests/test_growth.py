@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from ledgerlake.operators import commits, maintenance, selection
+from ledgerlake.functions import u256
+from ledgerlake.operators import commits, maintenance, selection, snapshots
 
 
 def exchanges(df) -> int:
@@ -60,3 +61,56 @@ def test_facts_that_several_steps_read_are_joined_once(spark, name):
 def test_a_payload_is_parsed_once(spark, name, parses):
     df = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == parses  # the envelope and its records
+
+
+def history(spark, n=120):
+    rows = [(1, "a" if k % 3 else "b", "c" if k % 5 else "a", f"t{k % 4}", k * 7 % 90, str(k + 10 ** (k % 60))) for k in range(n)]
+    return spark.createDataFrame(rows, "chain_id bigint, from_address string, to_address string, token_address string, block bigint, amount string")
+
+
+def test_moves_are_shuffled_once_for_balances_at_snapshots(spark):
+    taken = snapshots.take(history(spark), 20, 50)
+    assert exchanges(taken) <= 2  # the moves and the boundaries
+    more, _ = snapshots.resume(history(spark), 90, *(x.localCheckpoint() for x in snapshots.start(history(spark), 40, 7, 20, 50)), 20, 50, 7)
+    asked = spark.createDataFrame([(1, a, b) for a in "abc" for b in (30, 60)], "chain_id bigint, address string, at_block bigint")
+    for df in (more, snapshots.at_block(taken, history(spark), asked)):
+        assert "__probe" not in df._jdf.queryExecution().executedPlan().toString()  # moves are not looked up as of marks
+
+
+@pytest.mark.parametrize(("few", "large"), [(1, 10**6), (128, 30)])
+def test_hubs_have_the_balances_that_others_have(spark, monkeypatch, few, large):
+    t = history(spark)
+    asked = spark.createDataFrame([(1, a, b) for a in "abcd" for b in (3, 30, 31, 60, 95)], "chain_id bigint, address string, at_block bigint")
+
+    def all_of():
+        taken = snapshots.take(t, 10, 25).localCheckpoint()
+        earlier, pointer = (x.localCheckpoint() for x in snapshots.start(t, 40, 7, 10, 25))
+        frames = taken, snapshots.resume(t, 90, earlier, pointer, 10, 25, 7)[0], snapshots.at_block(taken.filter("block < 70"), t, asked)
+        return [sorted(map(tuple, f.select("address", "token_address", f.columns[3], "amount", *f.columns[:1]).collect())) for f in frames]
+
+    want = all_of()
+    monkeypatch.setattr(snapshots, "FEW", few)
+    if large < 10**6:
+        monkeypatch.setattr(snapshots, "LARGE", large)
+    assert all_of() == want and all(want)
+
+
+def test_pointers_are_told_without_balances(spark, monkeypatch):
+    from ledgerlake.operators import snapshots as at
+    from ledgerlake.plans import queries_jobs
+
+    seen = []
+    for module in (at, queries_jobs):
+        monkeypatch.setattr(module, "cut", lambda df, f=module.cut: (seen.append(df.columns), f(df))[1])
+    assert queries_jobs.replay_pointers(spark, "/root/testdata/sf0.001").count()
+    assert seen and not any("amount" in c for c in seen)
+
+
+def test_sums_of_nines_are_exact(spark):
+    numbers = [0, 7, -7, 10**9, -(10**18) + 1, 10**18, 10**27 + 1, -(10**54) - 5, 2**256 - 1, -(2**255), 123456789012345678]
+    rows = spark.createDataFrame([(k, str(n), k % 2 == 1) for k, n in enumerate(numbers)] + [(99, "x", False), (98, None, True)], "id int, amount string, lost boolean")
+    nines = u256.in_nines(rows, "amount", F.col("lost"))
+    got = {r.id: r.text for r in nines.select("id", u256.nines_text().alias("text")).collect()}
+    assert got == {k: str(-n if k % 2 else n) for k, n in enumerate(numbers)} | {99: "0", 98: "0"}
+    total = nines.agg(*[F.sum(c).alias(c) for c in u256.NINES]).select(u256.nines_text().alias("text")).first().text
+    assert total == str(sum(-n if k % 2 else n for k, n in enumerate(numbers)))
