@@ -66,8 +66,8 @@ def _ratio_rows(rows: list[tuple[int, int] | None]) -> pd.DataFrame:
 
 @F.pandas_udf(RATIO)
 def sqrt_price(sqrt: pd.Series, base_is_0: pd.Series, d0: pd.Series, d1: pd.Series) -> pd.DataFrame:
-    """Price of the base token in the other from sqrtPriceX96 (a decimal string) and both tokens' decimals."""
-    return _ratio_rows([_price(int(s), bool(b), int(x), int(y)) if s else None for s, b, x, y in zip(sqrt, base_is_0, d0, d1, strict=True)])
+    """Price of the base token in the other from sqrtPriceX96 (a decimal string, or hexadecimal after 0x) and both tokens' decimals."""
+    return _ratio_rows([_price(int(s, 16 if s.startswith("0x") else 10), bool(b), int(x), int(y)) if s else None for s, b, x, y in zip(sqrt, base_is_0, d0, d1, strict=True)])
 
 
 @F.pandas_udf(RATIO)

@@ -201,11 +201,12 @@ def pool_prices(requests: DataFrame, results: DataFrame, words: int = 7) -> Data
     """
     states = first_wins(results.select(*AT, F.col("call_id").alias("pool"), "success", F.lower("return_data").alias("data")), [*AT, "pool"], ["success", "data"])
     data = F.col("data")
-    sqrt = F.when(s.has_words(data, words), u256.hex_text(s.word(data, 0)))
+    # a word stays hexadecimal: digits of equal number compare like the numbers, and only the arithmetic needs these
+    sqrt = F.when(s.has_words(data, words), s.word(data, 0))
     states = states.select(*AT, "pool", call_code(F.col("success"), data).alias("code"), sqrt.alias("sqrt"), F.when(s.has_words(data, words), s.tick(s.word(data, 1))).alias("tick"), F.substring(data, 131, 128).alias("fee_words"))
     rows = requests.join(states, [*AT, "pool"], "left")
     fees = F.lit(True) if words != 4 else F.coalesce((F.col("fee_words").rlike("^(0{58}[0-9a-f]{6}){2}$")), F.lit(False))
-    bad = ~fees | F.col("sqrt").isNull() | (F.col("sqrt") == "0") | (F.length("sqrt") > 49) | F.col("tick").isNull()
+    bad = ~fees | F.col("sqrt").isNull() | (F.col("sqrt") == "0x" + "0" * 64) | (F.col("sqrt") >= f"0x{10**49:064x}") | F.col("tick").isNull()
     rows = rows.withColumn("code", F.coalesce("code", F.when(bad, "RESPONSE_INVALID")))
     rows = rows.withColumn("sqrt", F.when(F.col("code").isNull(), F.col("sqrt"))).withColumn("tick_sqrt", rational.tick_sqrt(F.when(F.col("code").isNull(), F.col("tick"))))
     orient = ("base_is_0", "decimals0", "decimals1")

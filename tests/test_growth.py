@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from ledgerlake.functions import u256
-from ledgerlake.operators import commits, maintenance, selection, snapshots
+from ledgerlake.operators import atblock, commits, ledger, maintenance, selection, snapshots
 
 
 def exchanges(df) -> int:
@@ -114,3 +114,17 @@ def test_sums_of_nines_are_exact(spark):
     assert got == {k: str(-n if k % 2 else n) for k, n in enumerate(numbers)} | {99: "0", 98: "0"}
     total = nines.agg(*[F.sum(c).alias(c) for c in u256.NINES]).select(u256.nines_text().alias("text")).first().text
     assert total == str(sum(-n if k % 2 else n for k, n in enumerate(numbers)))
+
+
+@pytest.mark.parametrize("name", ["pool_prices", "pool_spot_prices"])
+def test_words_of_pools_are_not_turned_into_digits_in_columns(spark, name):
+    plan = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "decimal(26,0)" not in plan
+
+
+def test_bounds_of_a_pools_word(spark):
+    requests = spark.createDataFrame([(k, str(k), True, 18, 6, 1, 5) for k in range(4)], "request int, pool string, base_is_0 boolean, decimals0 int, decimals1 int, chain_id bigint, block bigint")
+    words = [0, 2**96, 10**49 - 1, 10**49]
+    results = spark.createDataFrame([(1, 5, str(k), True, "0x" + f"{w:064X}" + "0" * 64 * 6) for k, w in enumerate(words)], "chain_id bigint, block bigint, call_id string, success boolean, return_data string")
+    got = {r.request: (r.code, r.spot.num) for r in atblock.pool_prices(requests, results).collect()}
+    assert got == {k: ("RESPONSE_INVALID", None) if k in (0, 3) else (None, str(w * w * 10**18)) for k, w in enumerate(words)}
