@@ -59,9 +59,13 @@ def nines_text(at: str = "") -> Column:
     short = (F.abs(n[0]) < 10**18) & (F.abs(n[1]) < 10**9)
     for c in n[2:]:
         short = short & (c == 0)
-    times = lambda c, k: (c.cast(LIMB) * F.lit("1" + "0" * k).cast(LIMB)).cast(LIMB)
-    parts = [times(n[6], 2) + times(n[7], 11) + times(n[8], 20), times(n[3], 1) + times(n[4], 10) + times(n[5], 19), n[0].cast(LIMB) + times(n[1], 9) + times(n[2], 18)]
-    return F.when(short, (n[1] * 10**9 + n[0]).cast("string")).otherwise(_render(limbs(*parts)))
+    return F.when(short, (n[1] * 10**9 + n[0]).cast("string")).otherwise(_render(of_nines(dict(zip(NINES, n, strict=True)))))
+
+
+def of_nines(sums: dict[str, Column]) -> Column:
+    """Limbs of sums of NINES, of which those that are not there are zero."""
+    times = lambda k, zeros: (sums[NINES[k]].cast(LIMB) * F.lit("1" + "0" * zeros).cast(LIMB)).cast(LIMB) if NINES[k] in sums else F.lit(0).cast(LIMB)
+    return limbs(times(6, 2) + times(7, 11) + times(8, 20), times(3, 1) + times(4, 10) + times(5, 19), times(0, 0) + times(1, 9) + times(2, 18))
 
 
 def of_long(value: Column) -> Column:

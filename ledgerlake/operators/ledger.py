@@ -71,13 +71,35 @@ def settlements(transfers: DataFrame) -> DataFrame:
     return mints.join(sieved(sends, mints, key), key, "left_semi").groupBy("chain_id", "address", "token_address").agg(u256.sum_(amount_limbs("amount")).alias("settled"))
 
 
+#: Facts of a task that sums them before they shuffle.
+TASK_FACTS = 1_000_000
+
+
+def dealt(facts: DataFrame) -> DataFrame:
+    """Stored facts in as many tasks as their number asks for, so that what a task sums does not grow with the table."""
+    n = -(-facts.count() // TASK_FACTS)
+    return facts if n <= facts.rdd.getNumPartitions() else facts.repartition(n, *facts.columns)
+
+
 def sum_balances(transfers: DataFrame) -> DataFrame:
     """balance, incoming and outgoing limbs of every account and token; legs are summed in each task before they shuffle."""
     key = ["chain_id", "address", "token_address"]
-    sums = entries(transfers).groupBy(*key).agg(u256.sum_(F.col("gained")).alias("g"), u256.sum_(F.col("lost")).alias("l"))
-    both = sums.join(settlements(transfers), key, "left")
-    less = u256.limbs(*[F.coalesce(F.col("settled")[p], F.lit(0)) for p in u256.PARTS])
-    return both.select(*key, u256.minus(F.col("g"), F.col("l")).alias("balance"), u256.minus(F.col("g"), less).alias("incoming"), F.col("l").alias("outgoing"))
+    wide = F.coalesce(F.col("amount").rlike("^-?[0-9]{19,78}$"), F.lit(False))
+    legs = moves(transfers.withColumn("block", F.lit(0)))
+
+    def summed(rows: DataFrame, names: tuple[str, ...], gained: str, lost: str) -> DataFrame:
+        rows = u256.in_nines(rows, "amount", F.lit(False))
+        sides = [(F.sum(F.when(of, F.col(n)).otherwise(0)), f"{s}{n}") for s, of in (("g", ~F.col("lost")), ("l", F.col("lost"))) for n in names]
+        sums = rows.groupBy(*key).agg(*[x.alias(n) for x, n in sides])
+        side = lambda s: u256.of_nines({n: F.col(f"{s}{n}") for n in names})
+        return sums.select(*key, side("g").alias(gained), side("l").alias(lost))
+
+    # amounts of up to 18 digits, nearly all, are sums of two longs a side; longer ones are added to these
+    short = summed(legs.withColumn("amount", F.when(~wide, F.col("amount"))), u256.NINES[:2], "g", "l")
+    both = short.join(summed(legs.filter(wide), u256.NINES, "__g", "__l"), key, "left").join(settlements(transfers), key, "left")
+    zero = lambda c: u256.limbs(*[F.coalesce(F.col(c)[p], F.lit(0)) for p in u256.PARTS])
+    both = both.select(*key, u256.plus(F.col("g"), zero("__g")).alias("g"), u256.plus(F.col("l"), zero("__l")).alias("l"), zero("settled").alias("s"))
+    return both.select(*key, u256.minus(F.col("g"), F.col("l")).alias("balance"), u256.minus(F.col("g"), F.col("s")).alias("incoming"), F.col("l").alias("outgoing"))
 
 
 def rendered(sums: DataFrame, **columns: str) -> DataFrame:
@@ -181,10 +203,10 @@ def balance_history(transfers: DataFrame) -> DataFrame:
 
     Facts are summed by block first, so the running window sees one row for each block.
     """
-    run = Window.partitionBy("chain_id", "address", "token_address").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    rows = block_deltas(transfers).select("chain_id", "address", "token_address", "block", *[F.sum(F.col("delta")[p]).over(run).alias(p) for p in u256.PARTS])
-    sums = rows.select("chain_id", "address", "token_address", "block", u256.limbs(*[F.col(p) for p in u256.PARTS]).alias("balance"))
-    return rendered(sums, amount="balance")
+    key = ["chain_id", "address", "token_address"]
+    run = Window.partitionBy(*key).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    rows = u256.in_nines(moves(transfers), "amount", F.col("lost")).groupBy(*key, "block").agg(*[F.sum(n).alias(n) for n in u256.NINES])
+    return rows.select(*key, "block", *[F.sum(n).over(run).alias(n) for n in u256.NINES]).select(*key, "block", u256.nines_text().alias("amount"))
 
 
 def moves(transfers: DataFrame) -> DataFrame:

@@ -128,3 +128,16 @@ def test_bounds_of_a_pools_word(spark):
     results = spark.createDataFrame([(1, 5, str(k), True, "0x" + f"{w:064X}" + "0" * 64 * 6) for k, w in enumerate(words)], "chain_id bigint, block bigint, call_id string, success boolean, return_data string")
     got = {r.request: (r.code, r.spot.num) for r in atblock.pool_prices(requests, results).collect()}
     assert got == {k: ("RESPONSE_INVALID", None) if k in (0, 3) else (None, str(w * w * 10**18)) for k, w in enumerate(words)}
+
+
+def test_balances_are_sums_of_longs_in_tasks_that_grow_with_the_facts(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "TASK_FACTS", 10)
+    assert ledger.dealt(history(spark)).rdd.getNumPartitions() == 12  # of 120 facts
+    plan = ledger.balance_history(history(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "__n0" in plan
+    want = {}
+    for r in history(spark).collect():
+        for who, side in ((r.to_address, 0), (r.from_address, 1)):
+            want.setdefault((who, r.token_address), [0, 0])[side] += int(r.amount)
+    got = {(r.address, r.token_address): [int(r.incoming), int(r.outgoing)] for r in ledger.token_balances(history(spark).withColumn("tx_hash", F.col("block").cast("string"))).collect()}
+    assert got == want
