@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from ledgerlake.functions import rational
 from ledgerlake.functions import scalars as s
@@ -20,6 +21,8 @@ WORD_RATES = ("wsteth", "rocket-reth", "cbeth", "erc4626")
 #: Adapters whose rate is sample * word / 10^k.
 SCALED_RATES = {"aave-v2": 27, "aave-v3": 27, "compound-v2": 18}
 STABLE = ("USDC", "USDT")
+#: Calls and asked tokens that one task gathers.
+TASK_CALLS = 200_000
 # Pools and vaults that adapters call, by adapter and chain (0: any chain), and the selectors they use.
 TARGETS = {("aave-v2", 0): "0x7d2768dE32b0b80b7a3454c06BdAc94A69DDc7A9", ("aave-v3", 1): "0x87870Bca3F3fD6335C3F4ce8392D69350B4fA4E2", ("aave-v3", 0): "0xA238Dd80C259a72e81d7e4664a9801593F98d1c5", ("curve-3pool-lp", 0): "0xbEbc44782C7dB0A1A60Cb6Fe97d0b483032FF1C7"}
 RATE_SELECTORS = {"income": "0xd15e0053", "wsteth": "0x035faf82", "rocket-reth": "0xe6aa216c", "cbeth": "0x3ba0b9a9", "balances": "0x4903b0d1", "poolTokens": "0xf94d4668"}
@@ -146,9 +149,15 @@ def exchange_rates(tokens: DataFrame, results: DataFrame) -> DataFrame:
     call_id ``<token_id>::<part>`` where part is income, rate, assets, reserves, supply, balance0..2 or poolTokens.
     Decoding is in columns; only floor(a * b / c) beyond 128 bits is Arrow-batched. Any amount of zero is invalid.
     """
-    part = F.split_part("call_id", F.lit("::"), F.lit(2))
-    got = results.groupBy(*AT, F.split_part("call_id", F.lit("::"), F.lit(1)).alias("token_id")).agg(F.map_from_entries(F.collect_list(F.struct(part, F.struct("success", F.lower("return_data").alias("data"))))).alias("calls"))
-    rows = tokens.join(got, [*AT, "token_id"], "left")
+    key = [*AT, "token_id"]
+    ident, part = (F.split_part("call_id", F.lit("::"), F.lit(k)) for k in (1, 2))
+    calls = results.select(*AT, ident.alias("token_id"), F.struct(part.alias("part"), F.struct("success", F.lower("return_data").alias("data")).alias("told")).alias("call")).dropna(subset=key)
+    asked = tokens.select(*key, F.struct("adapter", "sample", "legs").alias("token"))
+    # both are dealt to as many tasks as their number asks for, in one shuffle: what a task gathers does not grow with them
+    n = max(1, -(-(calls.count() + asked.count()) // TASK_CALLS))
+    both = asked.unionByName(calls, allowMissingColumns=True).repartition(n, *key).groupBy(*key)
+    told = both.agg(F.collect_list("token").alias("tokens"), F.map_from_entries(F.collect_list("call")).alias("calls"))
+    rows = told.select(*key, "calls", F.explode("tokens").alias("token")).select(*key, "calls", "token.*")
     needs = {"aave-v2": ["income"], "aave-v3": ["income"], "compound-v2": ["rate"], "wsteth": ["rate"], "rocket-reth": ["rate"], "cbeth": ["rate"], "erc4626": ["assets"], "curve-3pool-lp": ["balance0", "balance1", "balance2", "supply"], "uniswap-v2-lp": ["reserves", "supply"], "aerodrome-lp": ["reserves", "supply"], "balancer-bpt": ["poolTokens", "supply"], "fixed-ratio": []}
     need = F.create_map(*[x for k, v in needs.items() for x in (F.lit(k), F.array(*map(F.lit, v)).cast("array<string>"))])
     call = lambda p: F.try_element_at("calls", p)
@@ -173,24 +182,31 @@ def exchange_rates(tokens: DataFrame, results: DataFrame) -> DataFrame:
     )
     divisor = F.when(kind.isin(*[k for k, v in SCALED_RATES.items() if v == 27]), "1" + "0" * 27).when(kind == "compound-v2", "1" + "0" * 18).when(kind.isin("fixed-ratio", *WORD_RATES), "1").otherwise(uint(data("supply")))
     scale = F.when(kind.isin(*WORD_RATES), "1").otherwise(F.col("sample"))
-    flat = rows.select("token_id", *AT, "code", F.posexplode_outer(F.when(F.col("code").isNull(), factors)).alias("leg", "factor"), divisor.alias("divisor"), scale.alias("scale"))
-    amounts = _floor_products(flat)
-    wrong = F.max((F.col("amount").isNull() | (F.col("amount") == "0")).cast("int")) == 1
-    by = amounts.groupBy("token_id", *AT).agg(F.first("code").alias("code"), wrong.alias("wrong"), F.array_sort(F.collect_list(F.struct("leg", "amount"))).alias("legs"))
-    code = F.coalesce("code", F.when(F.col("wrong"), "RESPONSE_INVALID"))
-    return by.select("token_id", *AT, code.alias("code"), F.when(code.isNull(), F.transform("legs", lambda x: x["amount"])).alias("amounts"))
+    flat = rows.select("token_id", *AT, "code", F.when(F.col("code").isNull(), factors).alias("factors"), divisor.alias("divisor"), scale.alias("scale"))
+    rates = _floor_products(flat)
+    return rates.withColumn("code", F.coalesce("code", F.when(F.col("amounts").isNull(), "RESPONSE_INVALID")))
 
 
 def _floor_products(rows: DataFrame) -> DataFrame:
-    """rows with amount, floor(factor * scale / divisor); null where one is missing or the divisor is zero."""
+    """rows with amounts, floor(factor * scale / divisor) of each of its factors, instead of these columns.
+
+    amounts is null where one would be zero or cannot be told, or there is none.
+    """
+    keep = [c for c in rows.columns if c not in ("factors", "scale", "divisor")]
+
+    def products(factors: list[str | None] | None, scale: str | None, divisor: str | None) -> list[str] | None:
+        if not factors or not all(factors) or not scale or not divisor or not int(divisor):
+            return None
+        amounts = [int(f) * int(scale) // int(divisor) for f in factors]
+        return [str(a) for a in amounts] if all(amounts) else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = (b.column(c).to_pylist() for c in ("factor", "scale", "divisor"))
-            amount = [str(int(f) * int(m) // int(d)) if f and m and d and int(d) else None for f, m, d in zip(*parts, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(amount, pa.string())], [*b.schema.names, "amount"])
+            parts = (b.column(c).to_pylist() for c in ("factors", "scale", "divisor"))
+            amounts = [products(*x) for x in zip(*parts, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(amounts, pa.list_(pa.string()))], [*keep, "amounts"])
 
-    return rows.mapInArrow(work, rows.select("*").schema.add("amount", "string"))
+    return rows.mapInArrow(work, rows.select(*keep).schema.add("amounts", ArrayType(StringType())))
 
 
 def pool_prices(requests: DataFrame, results: DataFrame, words: int = 7) -> DataFrame:

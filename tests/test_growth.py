@@ -141,3 +141,24 @@ def test_balances_are_sums_of_longs_in_tasks_that_grow_with_the_facts(spark, mon
             want.setdefault((who, r.token_address), [0, 0])[side] += int(r.amount)
     got = {(r.address, r.token_address): [int(r.incoming), int(r.outgoing)] for r in ledger.token_balances(history(spark).withColumn("tx_hash", F.col("block").cast("string"))).collect()}
     assert got == want
+
+
+def rate_calls(spark, n, asks=1):
+    word = lambda x: f"{x:064x}"
+    tokens = spark.createDataFrame([(str(k), "uniswap-v2-lp", str(10 * (a + 1)), ["a", "b"], 1, 5) for k in range(n) for a in range(asks)], "token_id string, adapter string, sample string, legs array<string>, chain_id bigint, block bigint")
+    calls = [(1, 5, f"{k}::{part}", True, "0x" + data) for k in range(n) for part, data in (("reserves", word(k + 1) + word(2 * k + 2) + word(0)), ("supply", word(1)))]
+    return tokens, spark.createDataFrame([*calls, (1, 5, None, True, "0x")], "chain_id bigint, block bigint, call_id string, success boolean, return_data string")
+
+
+def test_calls_of_rates_are_gathered_in_tasks_that_grow_with_them(spark, monkeypatch):
+    monkeypatch.setattr(atblock, "TASK_CALLS", 10, raising=False)
+    rates = atblock.exchange_rates(*rate_calls(spark, 40))
+    plan = rates._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+    assert rates.rdd.getNumPartitions() == 12 and plan.count("Exchange hashpartitioning") == 1  # of 120 calls and tokens
+    assert {r.token_id: (r.code, r.amounts) for r in rates.collect()} == {str(k): (None, [str(10 * (k + 1)), str(20 * (k + 1))]) for k in range(40)}
+
+
+def test_a_token_that_is_asked_twice_at_a_block_has_two_rows(spark):
+    got = sorted((r.token_id, r.code, r.amounts) for r in atblock.exchange_rates(*rate_calls(spark, 2, asks=2)).collect())
+    assert got == [("0", None, ["10", "20"]), ("0", None, ["20", "40"]), ("1", None, ["20", "40"]), ("1", None, ["40", "80"])]
