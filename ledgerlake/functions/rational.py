@@ -54,14 +54,9 @@ def multiply(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([str(int(x) * int(y)) if x and y else None for x, y in zip(a, b, strict=True)], dtype=object)
 
 
-@F.pandas_udf(StringType())
-def tick_sqrt(tick: pd.Series) -> pd.Series:
-    """sqrtPriceX96 at each tick; null out of bounds."""
-    return pd.Series([str(sqrt_at_tick(int(t))) if t == t and abs(t) <= MAX_TICK else None for t in tick], dtype=object)
-
-
 def _ratio_rows(rows: list[tuple[int, int] | None]) -> pd.DataFrame:
-    return pd.DataFrame([(None, None, None) if r is None or min(r) <= 0 else (str(r[0]), str(r[1]), scaled(*r)) for r in rows], columns=["num", "den", "display"])
+    cols = zip(*[(None, None, None) if r is None or min(r) <= 0 else (str(r[0]), str(r[1]), scaled(*r)) for r in rows], strict=True)
+    return pd.DataFrame(dict(zip(RATIO.names, [pd.Series(c, dtype=object) for c in cols] or [[], [], []], strict=True)))
 
 
 @F.pandas_udf(RATIO)
@@ -70,6 +65,12 @@ def sqrt_price(sqrt: pd.Series, base_is_0: pd.Series, d0: pd.Series, d1: pd.Seri
     return _ratio_rows([_price(int(s, 16 if s.startswith("0x") else 10), bool(b), int(x), int(y)) if s else None for s, b, x, y in zip(sqrt, base_is_0, d0, d1, strict=True)])
 
 
+@F.pandas_udf(RATIO)
+def tick_price(tick: pd.Series, base_is_0: pd.Series, d0: pd.Series, d1: pd.Series) -> pd.DataFrame:
+    """The same at a tick; null out of bounds."""
+    return _ratio_rows([_price(sqrt_at_tick(int(t)), bool(b), int(x), int(y)) if t == t and abs(t) <= MAX_TICK else None for t, b, x, y in zip(tick, base_is_0, d0, d1, strict=True)])
+
+
 @F.pandas_udf(RATIO)
 def times(n1: pd.Series, d1: pd.Series, n2: pd.Series, d2: pd.Series) -> pd.DataFrame:
     """Product of two ratios; null if one is missing."""

@@ -216,17 +216,22 @@ def pool_prices(requests: DataFrame, results: DataFrame, words: int = 7) -> Data
     requests may name a pool; its state is decoded once a block and joined back.
     """
     states = first_wins(results.select(*AT, F.col("call_id").alias("pool"), "success", F.lower("return_data").alias("data")), [*AT, "pool"], ["success", "data"])
-    data = F.col("data")
+    data, key = F.col("data"), [*AT, "pool"]
+    # each part is a column of its own: within one expression Spark would compute it anew wherever it is named
+    states = states.select(*key, "success", "data", s.has_words(data, words).alias("shaped"))
     # a word stays hexadecimal: digits of equal number compare like the numbers, and only the arithmetic needs these
-    sqrt = F.when(s.has_words(data, words), s.word(data, 0))
-    states = states.select(*AT, "pool", call_code(F.col("success"), data).alias("code"), sqrt.alias("sqrt"), F.when(s.has_words(data, words), s.tick(s.word(data, 1))).alias("tick"), F.substring(data, 131, 128).alias("fee_words"))
+    states = states.select(*key, call_code(F.col("success"), data).alias("code"), *[F.when(F.col("shaped"), F.substring(data, lo, n)).alias(c) for c, lo, n in (("sqrt", 1, 66), ("pad", 67, 58), ("low", 125, 6), ("fee_words", 131, 128))])
+    states = states.withColumn("low", F.conv("low", 16, 10).cast("int"))
+    negative = F.col("low") >= 1 << 23
+    states = states.withColumn("tick", F.when(F.col("pad") == F.when(negative, "f" * 58).otherwise("0" * 58), F.col("low") - F.when(negative, 1 << 24).otherwise(0)))
+    states = states.select(*key, "code", "sqrt", F.when(F.col("tick").between(-s.MAX_TICK, s.MAX_TICK), F.col("tick")).alias("tick"), "fee_words")
     rows = requests.join(states, [*AT, "pool"], "left")
     fees = F.lit(True) if words != 4 else F.coalesce((F.col("fee_words").rlike("^(0{58}[0-9a-f]{6}){2}$")), F.lit(False))
     bad = ~fees | F.col("sqrt").isNull() | (F.col("sqrt") == "0x" + "0" * 64) | (F.col("sqrt") >= f"0x{10**49:064x}") | F.col("tick").isNull()
     rows = rows.withColumn("code", F.coalesce("code", F.when(bad, "RESPONSE_INVALID")))
-    rows = rows.withColumn("sqrt", F.when(F.col("code").isNull(), F.col("sqrt"))).withColumn("tick_sqrt", rational.tick_sqrt(F.when(F.col("code").isNull(), F.col("tick"))))
-    orient = ("base_is_0", "decimals0", "decimals1")
-    return rows.select("request", "pool", *AT, "code", "tick", rational.sqrt_price("sqrt", *orient).alias("spot"), rational.sqrt_price("tick_sqrt", *orient).alias("by_tick"))
+    good, orient = F.col("code").isNull(), [F.col(c) for c in ("base_is_0", "decimals0", "decimals1")]
+    spot, by_tick = rational.sqrt_price(F.when(good, F.col("sqrt")), *orient), rational.tick_price(F.when(good, F.col("tick")), *orient)
+    return rows.select("request", "pool", *AT, "code", "tick", spot.alias("spot"), by_tick.alias("by_tick"))
 
 
 def state_view_prices(requests: DataFrame, results: DataFrame) -> DataFrame:

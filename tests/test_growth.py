@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from ledgerlake.functions import u256
+from ledgerlake.functions import rational, u256
 from ledgerlake.operators import atblock, commits, ledger, maintenance, selection, snapshots
 
 
@@ -122,6 +122,22 @@ def test_words_of_pools_are_not_turned_into_digits_in_columns(spark, name):
     assert "transform(" not in plan and "decimal(26,0)" not in plan
 
 
+@pytest.mark.parametrize("name", ["pool_prices", "pool_spot_prices", "state_view_prices"])
+def test_words_of_pools_are_checked_once_and_priced_in_one_python_stage(spark, name):
+    plan = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("conv(") == 1
+    assert plan.lower().count("rlike") - plan.count("(0{58}") == 1  # the fee words have their own
+
+
+def test_ticks_of_pools_are_those_of_their_words(spark):
+    ticks = [0, 1, -1, 887272, -887272, 887273, -887273, 2**23 - 1, 2**23, -(2**23), 2**24 - 1, 2**24, 2**255, -(2**24) - 1]
+    requests = spark.createDataFrame([(k, str(k), True, 18, 6, 1, 5) for k in range(len(ticks))], "request int, pool string, base_is_0 boolean, decimals0 int, decimals1 int, chain_id bigint, block bigint")
+    results = spark.createDataFrame([(1, 5, str(k), True, "0x" + f"{2**96:064X}" + f"{t % 2**256:064X}" + "0" * 64 * 5) for k, t in enumerate(ticks)], "chain_id bigint, block bigint, call_id string, success boolean, return_data string")
+    got = {r.request: (r.code, r.tick, r.by_tick.num) for r in atblock.pool_prices(requests, results).collect()}
+    price = lambda t: str(rational.sqrt_at_tick(t) ** 2 * 10**18)
+    assert got == {k: (None, t, price(t)) if abs(t) <= 887272 else ("RESPONSE_INVALID", None, None) for k, t in enumerate(ticks)}
+
+
 def test_bounds_of_a_pools_word(spark):
     requests = spark.createDataFrame([(k, str(k), True, 18, 6, 1, 5) for k in range(4)], "request int, pool string, base_is_0 boolean, decimals0 int, decimals1 int, chain_id bigint, block bigint")
     words = [0, 2**96, 10**49 - 1, 10**49]
