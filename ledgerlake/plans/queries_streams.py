@@ -27,6 +27,19 @@ def _land(rows, path: str, files: int) -> None:
     rows.repartition(files).write.mode("append").parquet(path)
 
 
+def _halves(rows):
+    """Rows in two parts by a hash, column half, so that facts of one transaction come apart; made once."""
+    made = stored(rows.withColumn("half", F.pmod("half", F.lit(2)).cast("int")))
+    return [made.filter(F.col("half") == k).drop("half") for k in (0, 1)]
+
+
+def _streamed(rows, path: str, work, sink) -> None:
+    """Lands rows as they lie, in as many files as they have tasks, and works them off."""
+    rows.write.mode("append").option("compression", "zstd").parquet(f"{path}/in")
+    stream = ingest.landing(rows.sparkSession, f"{path}/in", rows.schema, form="parquet")
+    ingest.run_available(work(stream), sink, f"{path}/mark").awaitTermination()
+
+
 def _timed(facts):
     return facts.withColumn("ts", F.timestamp_seconds(F.unix_timestamp(F.lit("1995-01-01").cast("timestamp")) + F.col("block") * 86_400))
 
@@ -84,16 +97,14 @@ def streamed_balances(spark, d):
 @query("SELECT chain_id, account AS address, token_address, block, CAST(sum(sum(gained) - sum(lost)) OVER (PARTITION BY chain_id, account, token_address ORDER BY block) AS VARCHAR) AS amount FROM v_entries GROUP BY chain_id, account, token_address, block")
 def published_states(spark, d):
     """States of accounts as a stream publishes them, once for each complete block."""
-    path, key = _scratch(spark), ["chain_id", "address", "token_address", "block"]
-    facts = _timed(v.transfers(spark, d))
-    end = facts.limit(1).withColumns({"block": F.lit(20_000).cast("bigint"), "from_address": F.lit(None).cast("string"), "to_address": F.lit("end"), "ts": F.lit("2200-01-01").cast("timestamp")})
-    sink = ingest.FactSink(f"{path}/table", lambda old, new: maintenance.upsert(old, new, key), F.pmod(F.xxhash64("address"), F.lit(64)).cast("string"))
+    path = _scratch(spark)
+    facts = _halves(_timed(v.transfers(spark, d)).select("chain_id", "token_address", "from_address", "to_address", "block", "amount", "ts", F.xxhash64("tx_hash", "log_index").alias("half")))
+    end = facts[0].unionByName(facts[1]).limit(1).withColumns({"block": F.lit(20_000).cast("bigint"), "from_address": F.lit(None).cast("string"), "to_address": F.lit("end"), "ts": F.lit("2200-01-01").cast("timestamp")})
+    sink = ingest.AppendSink(f"{path}/table")
     with stateful.state_store(spark):
-        for rows, files in ((facts, 4), (end, 1)):  # the second makes all blocks of the first complete
-            _land(rows, f"{path}/in", files)
-            stream = ingest.landing(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, 2, "parquet")
-            ingest.run_available(stateful.published_states(stream, EVER, 1), sink, f"{path}/mark").awaitTermination()
-    return sink.read(spark).filter("kind = 'state'").select(*key, "amount")
+        for rows in (*facts, end):  # the last makes all blocks of the others complete
+            _streamed(rows, path, lambda stream: stateful.published_states(stream, EVER, 1), sink)
+    return sink.read(spark).filter("kind = 'state'").select("chain_id", "address", "token_address", "block", "amount")
 
 
 @query("""SELECT token_key, count(*) AS points, CAST(sum(price) AS BIGINT) AS total, max(ts) + INTERVAL 1 MINUTE AS next_from, CASE WHEN token_key = 'view' THEN 'stalled' ELSE 'ok' END AS status FROM (SELECT token_key, ts, arg_max(price, ordinal) AS price FROM v_prices GROUP BY ALL) GROUP BY token_key""")

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlake.functions import u256
 from ledgerlake.operators import maintenance
-from ledgerlake.operators.commits import CommitLog, Conflict, placed, splits
+from ledgerlake.operators.commits import PLACE, CommitLog, Conflict, placed, splits
 from ledgerlake.operators.ledger import watched
 from ledgerlake.operators.prices import SCOPE
 
@@ -47,13 +47,14 @@ class FactSink:
     moves between buckets needs its old window collected anew.
 
     With a ``key``, ``merge`` is told by ``place`` how to deal rows to the tasks that write them, so that a batch is one shuffle.
+    ``first`` reduces a batch, which is then computed once and held until it is merged.
     """
 
     TABLE = "facts"
 
-    def __init__(self, path: str, merge: Callable[..., DataFrame], bucket: Column | None = None, key: list[str] | None = None):
+    def __init__(self, path: str, merge: Callable[..., DataFrame], bucket: Column | None = None, key: list[str] | None = None, first: Callable[[DataFrame], DataFrame] | None = None):
         self.path, self.merge, self.bucket, self.own = path, merge, block_bucket() if bucket is None else bucket, uuid.uuid4().hex
-        self.key = key
+        self.key, self.first = key, first
 
     def log(self, spark: SparkSession) -> CommitLog:
         return CommitLog(spark, self.path)
@@ -81,6 +82,15 @@ class FactSink:
         log, stream = self.log(spark), query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or self.own
         if log.snapshot().applied.get(stream, -1) >= batch_id:
             return
+        if self.first is None:
+            return self._merge(log, stream, batch, batch_id, *more)
+        batch = self.first(batch).persist()
+        try:
+            return self._merge(log, stream, batch, batch_id, *more)
+        finally:
+            batch.unpersist()
+
+    def _merge(self, log: CommitLog, stream: str, batch: DataFrame, batch_id: int, *more: DataFrame) -> None:
         touched = self.touched(batch, *more)
         for _ in range(TRIES):
             now = log.snapshot()
@@ -101,6 +111,29 @@ class FactSink:
         raise Conflict(f"{TRIES} others came first")
 
 
+class AppendSink(FactSink):
+    """Rows of micro-batches as they come, for streams that publish each once: no bucket is read, merged or written anew.
+
+    Each batch is one commit, with its id, as of a :class:`FactSink`; it is computed once and not shuffled.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path, lambda old, new: new, F.lit("all"))
+
+    def _merge(self, log: CommitLog, stream: str, batch: DataFrame, batch_id: int, *more: DataFrame) -> None:
+        parts = log.write(self.TABLE, batch.withColumns({PLACE[0]: self.bucket, PLACE[1]: F.lit(0)}), self.bucket)
+        for _ in range(TRIES):
+            now = log.snapshot()
+            if now.applied.get(stream, -1) >= batch_id:
+                return
+            try:
+                log.commit(now, {}, {self.TABLE: (batch.schema, parts)}, batch=(stream, batch_id))
+                return
+            except Conflict:
+                continue
+        raise Conflict(f"{TRIES} others came first")
+
+
 def upsert_sink(path: str, key: list[str] | None = None, bucket: Column | None = None) -> FactSink:
     return FactSink(path, lambda old, new, place: maintenance.upsert(old, new, key, place), bucket, key or maintenance.KEY)
 
