@@ -85,12 +85,11 @@ def atomic_sync(spark, d):
 def streamed_balances(spark, d):
     """Balances, income and outgo of a stream in which mints and sends of one transaction come in any order."""
     path = _scratch(spark)
-    facts = _timed(v.minted(spark, d))
-    _land(facts, f"{path}/in", 4)
+    facts = _halves(_timed(v.minted(spark, d)).select("chain_id", "tx_hash", "token_address", "from_address", "to_address", "amount", "ts", F.xxhash64("tx_hash", "log_index").alias("half")))
     sink = stateful.balance_sink(f"{path}/table")
     with stateful.state_store(spark):
-        stream = ingest.landing(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, 2, "parquet")
-        ingest.run_available(stateful.settled_balances(stream, EVER), sink, f"{path}/mark").awaitTermination()
+        for rows in facts:
+            _streamed(rows, path, lambda stream: stateful.settled_balances(stream, EVER), sink)
     return sink.read(spark).select(*stateful.COLUMNS)
 
 
