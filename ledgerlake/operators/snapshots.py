@@ -18,6 +18,7 @@ from ledgerlake.operators.ledger import FEW, at_marks, block_deltas, block_sums,
 
 EVENTS, BLOCKS = 10_000, 10_000
 KEY = ["chain_id", "address"]
+POINTER = "chain_id bigint, address string, as_of bigint, revision int, begin bigint, seen bigint, processed bigint"
 #: Stands for no snapshot: before every block.
 NEVER = -1
 #: Blocks with facts from which an account is many tasks, and blocks or facts of a bucket then.
@@ -109,6 +110,11 @@ def _counts(transfers: DataFrame) -> DataFrame:
     return watched(transfers.select("chain_id", "from_address", "to_address", "block")).filter("address is not null").groupBy(*KEY, "block").agg(F.count("*").alias("n"))
 
 
+def _every(events: int, blocks: int) -> bool:
+    """Whether a snapshot falls at each block with facts, so that nothing need be walked."""
+    return events <= 1 or blocks <= 1
+
+
 def _boundaries(counts: DataFrame, events: int, blocks: int) -> DataFrame:
     nothing = F.lit(None).cast("bigint")
     rows = _segments(counts.withColumn("begin", nothing).withColumn("seen", nothing), events, blocks)
@@ -120,6 +126,8 @@ def boundaries(transfers: DataFrame, events: int = EVENTS, blocks: int = BLOCKS)
 
     One falls at a block's end when ``events`` facts or ``blocks`` blocks came since the last, and at the last block.
     """
+    if _every(events, blocks):
+        return _counts(transfers).select(*KEY, "block")
     return _boundaries(cut(_counts(transfers)), events, blocks)
 
 
@@ -171,7 +179,7 @@ def start(transfers: DataFrame, to_block: int, revision: int, events: int = EVEN
     The pointer: chain_id, address, as_of (the last block with facts), revision, begin and seen (of the segment open
     there), processed (facts replayed).
     """
-    nothing = transfers.sparkSession.createDataFrame([], "chain_id bigint, address string, as_of bigint, revision int, begin bigint, seen bigint, processed bigint")
+    nothing = transfers.sparkSession.createDataFrame([], POINTER)
     none = transfers.sparkSession.createDataFrame([], "chain_id bigint, address string, token_address string, block bigint, amount string, revision int")
     return resume(transfers, to_block, none, nothing, events, blocks, revision)
 
@@ -195,11 +203,30 @@ def resume(transfers: DataFrame, to_block: int, taken: DataFrame, pointer: DataF
     made = _resumed(facts, since, counts, marks, held)
     told = pointer.select(*KEY, "revision")
     made = made.join(told, KEY, "left").withColumn("revision", F.coalesce("revision", F.lit(revision)))
+    return made.select(*KEY, "token_address", "block", "amount", "revision"), _after(pointer, _ends(counts, rows), revision)
+
+
+def _ends(counts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Where accounts' segments (rows of :func:`_segments`) end, and n, their facts."""
     done = counts.groupBy(*KEY).agg(F.sum("n").alias("n"))
-    ends = rows.filter("begin is not null").select(*KEY, F.col("block").alias("__block"), F.col("begin").alias("__begin"), F.col("seen").alias("__seen")).join(done, KEY)
+    return rows.filter("begin is not null").select(*KEY, F.col("block").alias("__block"), F.col("begin").alias("__begin"), F.col("seen").alias("__seen")).join(done, KEY)
+
+
+def _after(pointer: DataFrame, ends: DataFrame, revision: int) -> DataFrame:
     both = pointer.join(ends, KEY, "full")
-    after = both.select(*KEY, F.coalesce("__block", "as_of").alias("as_of"), F.coalesce("revision", F.lit(revision)).alias("revision"), F.coalesce("__begin", "begin").alias("begin"), F.coalesce("__seen", "seen").alias("seen"), (F.coalesce("processed", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("processed"))
-    return made.select(*KEY, "token_address", "block", "amount", "revision"), after
+    return both.select(*KEY, F.coalesce("__block", "as_of").alias("as_of"), F.coalesce("revision", F.lit(revision)).alias("revision"), F.coalesce("__begin", "begin").alias("begin"), F.coalesce("__seen", "seen").alias("seen"), (F.coalesce("processed", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("processed"))
+
+
+def replayed(transfers: DataFrame, to_block: int, revision: int, events: int = EVENTS, blocks: int = BLOCKS) -> DataFrame:
+    """The pointers of :func:`start` alone, where no balances are asked for: facts are counted, and none are summed."""
+    facts, nothing = transfers.filter(F.col("block") <= to_block), F.lit(None).cast("bigint")
+    if _every(events, blocks):
+        sides = watched(facts.select("chain_id", "from_address", "to_address", "block")).filter("address is not null")
+        ends = sides.groupBy(*KEY).agg(F.max("block").alias("__block"), (F.max("block") + 1).alias("__begin"), F.lit(0).cast("bigint").alias("__seen"), F.count("*").alias("n"))
+    else:
+        counts = cut(_counts(facts))
+        ends = _ends(counts, _segments(counts.withColumn("begin", nothing).withColumn("seen", nothing), events, blocks))
+    return _after(transfers.sparkSession.createDataFrame([], POINTER), ends, revision)
 
 
 def _resumed(facts: DataFrame, since: DataFrame, counts: DataFrame, marks: DataFrame, held: DataFrame) -> DataFrame:
@@ -225,10 +252,14 @@ def rebuild(transfers: DataFrame, to_block: int, taken: DataFrame, revision: int
     ``from_block`` counts those from that block on, as a targeted rebuild reports it; without it all count. Either way
     the whole history is replayed.
     """
-    gone = taken if from_block is None else taken.filter(F.col("block") >= from_block)
-    lost = gone.select(*KEY, "block").distinct().groupBy(*KEY).agg(F.count("*").alias("invalidated"))
     made, pointer = start(transfers, to_block, revision, events, blocks)
-    return made, pointer, lost
+    return made, pointer, lost(taken, from_block)
+
+
+def lost(taken: DataFrame, from_block: int | None = None) -> DataFrame:
+    """invalidated, how many snapshots each account loses to a rebuild."""
+    gone = taken if from_block is None else taken.filter(F.col("block") >= from_block)
+    return gone.select(*KEY, "block").distinct().groupBy(*KEY).agg(F.count("*").alias("invalidated"))
 
 
 def readiness(probes: DataFrame, pointer: DataFrame) -> DataFrame:
