@@ -109,14 +109,6 @@ def sum_(x: Column) -> Column:
     return limbs(*[F.coalesce(F.sum(x[p]), F.lit(0)) for p in PARTS])
 
 
-def sum_text(text: Column) -> Column:
-    """Exact sum of decimal strings as limbs, an aggregate; those of up to 18 characters, nearly all, are sums of longs. What is no number counts as zero."""
-    short = F.when(F.length(text) <= 18, text).try_cast("bigint")
-    low, high = short % 10**9, ((short - short % 10**9) / 10**9).cast("bigint")
-    zero = lambda x: F.coalesce(F.sum(x), F.lit(0))
-    return plus(of_nines({NINES[0]: zero(low), NINES[1]: zero(high)}), sum_(parse(F.when(F.length(text) > 18, text))))
-
-
 def over(x: Column, window) -> Column:
     return limbs(*[F.sum(x[p]).over(window) for p in PARTS])
 

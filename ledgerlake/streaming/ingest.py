@@ -84,11 +84,13 @@ class FactSink:
             return
         if self.first is None:
             return self._merge(log, stream, batch, batch_id, *more)
-        batch = self.first(batch).persist()
+        held = batch.persist()
+        small = self.first(held).persist()
         try:
-            return self._merge(log, stream, batch, batch_id, *more)
+            return self._merge(log, stream, small, batch_id, *more)
         finally:
-            batch.unpersist()
+            small.unpersist()
+            held.unpersist()
 
     def _merge(self, log: CommitLog, stream: str, batch: DataFrame, batch_id: int, *more: DataFrame) -> None:
         touched = self.touched(batch, *more)
