@@ -85,6 +85,7 @@ class FactSink:
         if self.first is None:
             return self._merge(log, stream, batch, batch_id, *more)
         held = batch.persist()
+        held.count()  # before the steps that read it, which run side by side and may each compute it in another machine
         small = self.first(held).persist()
         try:
             return self._merge(log, stream, small, batch_id, *more)
